@@ -32,9 +32,21 @@ def record_hash(*cols) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]))
 
 
+def ts_lit(value) -> Column:
+    """Timestamp literal read in the session time zone (not the Python
+    process's): datetimes and 'yyyy-MM-dd HH:mm:ss' text alike."""
+    if isinstance(value, Column):
+        return value.cast("timestamp")
+    if isinstance(value, dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(value, dt.date):
+        value = value.isoformat()
+    return F.lit(value).cast("timestamp")
+
+
 def scd2_columns(run_ts) -> list[Column]:
     """Metadata of a freshly opened history version."""
-    ts = F.lit(run_ts).cast("timestamp") if not isinstance(run_ts, Column) else run_ts.cast("timestamp")
+    ts = ts_lit(run_ts)
     return [ts.alias("valid_from"),
             F.lit(None).cast("timestamp").alias("valid_to"),
             F.lit(True).alias("is_current")]
@@ -101,8 +113,9 @@ def as_of_window(ts_col, as_of: dt.date, months: int = 12) -> tuple[Column, Colu
 
 def hours_between(later, earlier) -> Column:
     """Fractional hours from ``earlier`` to ``later`` (timestamps)."""
-    return (F.unix_micros(_c(later).cast("timestamp")) -
-            F.unix_micros(_c(earlier).cast("timestamp"))) / F.lit(3_600_000_000.0)
+    later = ts_lit(later) if not isinstance(later, (str, Column)) else _c(later).cast("timestamp")
+    earlier = ts_lit(earlier) if not isinstance(earlier, (str, Column)) else _c(earlier).cast("timestamp")
+    return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(3_600_000_000.0)
 
 
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:

@@ -305,3 +305,228 @@ select checkin_id, business_id, date_id, checkin_hour, checkin_day_of_week,
 """)
 def q_fact_checkins(L: Layers) -> DataFrame:
     return L.fact_checkins()
+
+
+# ── data quality ───────────────────────────────────────────────────────────
+
+from strataflow import schemas as S  # noqa: E402
+from strataflow.operators import quality  # noqa: E402
+
+AS_OF_TS = dt.datetime(2001, 6, 2, 0, 0, 0)
+AS_OF_TS_TEXT = "2001-06-02 00:00:00"
+RUN_DATE = O.RUN_DATE
+LOOKBACK = 3
+
+_SILVER_TABLES = {"business": "silver_business", "reviews": "silver_reviews", "users": "silver_users",
+                  "checkin_events": "checkin_events", "tips": "silver_tips",
+                  "business_categories": "business_categories"}
+_BRONZE_TABLES = {"business": "bronze_business", "reviews": "bronze_reviews", "users": "bronze_users",
+                  "checkins": "bronze_checkins", "tips": "bronze_tips"}
+
+
+def _suite_sql(layer: str) -> str:
+    names = _SILVER_TABLES if layer == "silver" else _BRONZE_TABLES
+    parts = []
+    for spec in quality.layer_specs(layer):
+        t = names[spec.entity]
+        key, key_table = spec.key_col, None
+        if layer == "bronze" and key:
+            key_table = f"(select * from {t} where ingestion_date = {O.d(RUN_DATE)})"
+        parts += O.check_rows_sql(t, spec.entity, layer, spec.min_rows, spec.zero_null_cols,
+                                  spec.null_rate_cols, spec.stars_col, spec.freshness_col,
+                                  spec.freshness_format, spec.freshness_hours, AS_OF_TS_TEXT,
+                                  key, key_table)
+        if layer == "bronze":
+            parts.append(O.lookback_rows_sql(t, spec.entity, layer, RUN_DATE, LOOKBACK))
+    if layer == "silver":
+        for ent in ("business", "reviews", "users", "tips"):
+            parts.append(O.loss_row_sql(_BRONZE_TABLES[ent], _SILVER_TABLES[ent], ent,
+                                        list(S.ENTITIES[ent].keys)))
+    return O.union(parts)
+
+
+_ALL_SILVER = (O.BRONZE_REVIEWS, O.SILVER_REVIEWS, O.BRONZE_BUSINESS, O.silver_business(), O.categories(),
+               O.ELITE, O.BRONZE_USERS, O.silver_users(), O.CHECKIN_ITEMS, O.SILVER_CHECKINS,
+               O.BRONZE_TIPS, O.SILVER_TIPS)
+
+
+def _silver_tables(L: Layers) -> dict:
+    return {k: L.silver(k) for k in _SILVER_TABLES}
+
+
+@register("dq_silver_suite", W(*_ALL_SILVER) + _suite_sql("silver"))
+def q_dq_silver_suite(L: Layers) -> DataFrame:
+    bronze = {e: L.window(e) for e in ("business", "reviews", "users", "tips")}
+    return quality.run_layer_suite(_silver_tables(L), "silver", AS_OF_TS, bronze=bronze)
+
+
+@register("dq_bronze_suite", W(O.BRONZE_REVIEWS, O.BRONZE_BUSINESS, O.ELITE, O.BRONZE_USERS,
+                               O.BRONZE_CHECKINS, O.BRONZE_TIPS) + _suite_sql("bronze"))
+def q_dq_bronze_suite(L: Layers) -> DataFrame:
+    tables = {e: L.bronze(e) for e in _BRONZE_TABLES}
+    return quality.run_layer_suite(tables, "bronze", AS_OF_TS, run_date=RUN_DATE, lookback_days=LOOKBACK)
+
+
+@register("dq_summary", W(*_ALL_SILVER) + f"""
+select count(*) filter (where passed) as passed_count, count(*) filter (where not passed) as failed_count,
+       count(*) filter (where not passed) = 0 as all_passed
+from ({_suite_sql('silver')}) r
+""")
+def q_dq_summary(L: Layers) -> DataFrame:
+    return quality.summarize(q_dq_silver_suite(L))
+
+
+_GOLD_CTES = (*O.REVIEWS_CHAIN, *O.BUSINESS_CHAIN, *O.USERS_CHAIN, O.CHECKIN_ITEMS, O.SILVER_CHECKINS,
+              O.FACT_CHECKINS)
+
+
+@register("dq_gold_tests", W(*_GOLD_CTES) + O.union(
+    [O.generic_test_sql(m, c, k, a) for m, c, k, a in quality.GOLD_COLUMN_TESTS]))
+def q_dq_gold_tests(L: Layers) -> DataFrame:
+    models = {"fact_reviews": L.fact_reviews(), "fact_checkins": L.fact_checkins(),
+              "dim_business": L.dim_business(), "dim_user": L.dim_user(), "dim_date": L.dim_date()}
+    return quality.run_column_tests(models)
+
+
+@register("dq_grain", W(*O.REVIEWS_CHAIN, O.CHECKIN_ITEMS, O.SILVER_CHECKINS, O.FACT_CHECKINS) + """
+select 'fact_reviews' as table_name, 'review_id' as grain_key, review_id as key_value, count(*) as duplicate_count
+from fact_reviews group by review_id having count(*) > 1
+union all
+select 'fact_checkins', 'checkin_id', checkin_id, count(*) from fact_checkins group by checkin_id having count(*) > 1
+""")
+def q_dq_grain(L: Layers) -> DataFrame:
+    return (quality.grain_violations(L.fact_reviews(), "fact_reviews", "review_id")
+            .unionByName(quality.grain_violations(L.fact_checkins(), "fact_checkins", "checkin_id")))
+
+
+@register("dq_grain_raw", W(O.BRONZE_REVIEWS) + """
+select 'bronze_reviews' as table_name, 'review_id' as grain_key, review_id as key_value, count(*) as duplicate_count
+from bronze_reviews group by review_id having count(*) > 1
+""")
+def q_dq_grain_raw(L: Layers) -> DataFrame:
+    return quality.grain_violations(L.bronze("reviews"), "bronze_reviews", "review_id")
+
+
+@register("dq_rising_not_empty", W(*O.REVIEWS_CHAIN) + f"""
+select 'int_rising_star_candidates returned zero rows' as failure_reason, count(*) as rising_star_count
+from (select business_id from fact_reviews group by business_id
+      having count(case when reviewed_at >= {O.d(AS_OF)} - interval 12 month
+                         and reviewed_at < {O.d(AS_OF)} + interval 1 day then review_id end) >= {MIN_RECENT}
+         and avg(case when reviewed_at >= {O.d(AS_OF)} - interval 12 month
+                       and reviewed_at < {O.d(AS_OF)} + interval 1 day then review_stars end)
+             >= avg(case when reviewed_at < {O.d(AS_OF)} - interval 12 month then review_stars end) + {MIN_IMPROVEMENT}) c
+having count(*) = 0
+""")
+def q_dq_rising_not_empty(L: Layers) -> DataFrame:
+    cand = reports.rising_star_candidates(L.fact_reviews(), AS_OF, MIN_RECENT, MIN_IMPROVEMENT)
+    return quality.assert_not_empty(cand, "int_rising_star_candidates returned zero rows", "rising_star_count")
+
+
+_FRESH_AS_OF = "2024-01-31 12:00:00"
+
+
+@register("dq_source_freshness", W(O.CHECKIN_ITEMS, O.SILVER_CHECKINS, O.BRONZE_TIPS, O.SILVER_TIPS) + O.union([
+    O._row("source_freshness", ent, "source",
+           "status <> 'error'", "status", O.r2("age", 2), 48.0)
+    + f" from (select {age} as age, case when latest is null or {age} > 48 then 'error' "
+      f"when {age} > 25 then 'warn' else 'pass' end as status from (select max({col}) as latest from {t}) m) s"
+    for ent, t, col, age in [
+        ("checkin_events", "checkin_events", "checkin_ts",
+         f"((epoch_us(timestamp '{_FRESH_AS_OF}') - epoch_us(latest)) / 3600000000.0)"),
+        ("tips", "silver_tips", "tip_date",
+         f"((epoch_us(timestamp '{_FRESH_AS_OF}') - epoch_us(latest)) / 3600000000.0)")]]))
+def q_dq_source_freshness(L: Layers) -> DataFrame:
+    ts = dt.datetime(2024, 1, 31, 12, 0, 0)
+    return (quality.source_freshness(L.silver("checkin_events"), "checkin_events", "checkin_ts", ts)
+            .unionByName(quality.source_freshness(L.silver("tips"), "tips", "tip_date", ts)))
+
+
+# ── checks against history (every day of a derived daily history) ─────────
+
+def _daily_series(L: Layers, value: F.Column, entity: str = "events", layer: str = "bronze",
+                  source: DataFrame | None = None) -> DataFrame:
+    ev = source if source is not None else L.spark.read.parquet(f"{L.sf_dir}/events.parquet")
+    return (ev.groupBy(F.to_date("ts").alias("run_date")).agg(value.alias("value"))
+              .select(F.lit(entity).alias("entity"), F.lit(layer).alias("layer"), "run_date", "value"))
+
+
+def _backtest_sql(series_sql: str, kind: str) -> str:
+    thr = {"row_count": 15.0, "metric": 0.5, "null_rate": 0.02}[kind]
+    dev = {"row_count": "case when base <> 0 then abs(value - base) / base * 100.0 end",
+           "metric": "abs(value - base)", "null_rate": "value - base"}[kind]
+    enough = "(hist >= 3 and base is not null)"
+    return f"""
+with s as ({series_sql}),
+b as (select *, avg(value) over w as base, count(value) over w as hist from s
+      window w as (partition by entity, layer order by run_date rows between 7 preceding and 1 preceding))
+select entity, layer, cast(run_date as varchar) as run_date, cast(value as double) as value,
+       case when {enough} then {O.r2('base', 4)} end as baseline,
+       case when {enough} then {O.r2(dev, 4)} end as deviation,
+       cast({thr} as double) as threshold,
+       (not {enough}) or coalesce(({dev}) <= {thr}, true) as passed
+from b
+"""
+
+
+_EV_DAY = "cast(ts as date)"
+
+
+@register("dq_count_drift", _backtest_sql(
+    f"select 'events' as entity, 'bronze' as layer, {_EV_DAY} as run_date, count(*) as value from events group by {_EV_DAY}",
+    "row_count"))
+def q_dq_count_drift(L: Layers) -> DataFrame:
+    return quality.drift_backtest(_daily_series(L, F.count(F.lit(1))), "row_count")
+
+
+@register("dq_metric_drift", _backtest_sql(
+    f"select 'events' as entity, 'bronze' as layer, {_EV_DAY} as run_date, "
+    f"avg(1 + cast(floor(value) as bigint) % 5) as value from events group by {_EV_DAY}", "metric"))
+def q_dq_metric_drift(L: Layers) -> DataFrame:
+    return quality.drift_backtest(
+        _daily_series(L, F.avg(F.lit(1) + F.floor("value") % 5)), "metric")
+
+
+@register("dq_null_drift", _backtest_sql(
+    f"select 'tips' as entity, 'bronze' as layer, cast(try_strptime(date, '%Y-%m-%d %H:%M:%S') as date) as run_date, "
+    f"count(*) filter (where user_id is null) / count(*) as value from ({O.BRONZE_TIPS.split(' as (', 1)[1].rsplit(')', 1)[0]}) t "
+    f"group by cast(try_strptime(date, '%Y-%m-%d %H:%M:%S') as date)", "null_rate"))
+def q_dq_null_drift(L: Layers) -> DataFrame:
+    tips = L.bronze("tips").withColumn("ts", F.try_to_timestamp("date", F.lit(S.SOURCE_TS_FORMAT)))
+    series = _daily_series(L, F.count_if(F.col("user_id").isNull()) / F.count(F.lit(1)),
+                           entity="tips", source=tips)
+    return quality.drift_backtest(series, "null_rate")
+
+
+@register("dq_regression", f"""
+with s as (select 'events' as entity, 'bronze' as layer, cast({_EV_DAY} as timestamp) as run_timestamp,
+                  count(*) as row_count from events group by {_EV_DAY}),
+p as (select *, lag(row_count) over (partition by entity, layer order by run_timestamp) as previous_count from s)
+select entity, layer, {O.ts_text('run_timestamp')} as run_timestamp, row_count, previous_count,
+       {O.r2('case when previous_count > 0 then (previous_count - row_count) / previous_count * 100.0 end', 2)} as drop_pct,
+       coalesce(case when previous_count > 0 then (previous_count - row_count) / previous_count * 100.0 end > 10.0, false) as regressed
+from p
+""")
+def q_dq_regression(L: Layers) -> DataFrame:
+    ev = L.spark.read.parquet(f"{L.sf_dir}/events.parquet")
+    series = (ev.groupBy(F.to_date("ts").alias("d")).agg(F.count(F.lit(1)).alias("row_count"))
+                .select(F.lit("events").alias("entity"), F.lit("bronze").alias("layer"),
+                        F.col("d").cast("timestamp").alias("run_timestamp"), "row_count",
+                        F.lit("SUCCESS").alias("status")))
+    return quality.count_regression(series)
+
+
+@register("dq_volume_change", f"""
+with s as (select 'events' as entity, 'bronze' as layer, {_EV_DAY} as run_date, count(*) as row_count
+           from events group by {_EV_DAY}),
+p as (select *, lag(row_count) over (partition by entity, layer order by run_date) as previous_count from s)
+select entity, layer, cast(run_date as varchar) as run_date, row_count, previous_count,
+       {O.r2('case when previous_count > 0 then (row_count - previous_count) / previous_count * 100.0 end', 2)} as change_pct,
+       case when layer = 'bronze' and (row_count - previous_count) / previous_count * 100.0 > 20.0 then 'growth'
+            when layer = 'gold' and (row_count - previous_count) / previous_count * 100.0 < -5.0 then 'shrink' end as alert
+from p
+""")
+def q_dq_volume_change(L: Layers) -> DataFrame:
+    ev = L.spark.read.parquet(f"{L.sf_dir}/events.parquet")
+    series = (ev.groupBy(F.to_date("ts").alias("run_date")).agg(F.count(F.lit(1)).alias("row_count"))
+                .select(F.lit("events").alias("entity"), F.lit("bronze").alias("layer"), "run_date", "row_count"))
+    return quality.volume_change(series)

@@ -282,3 +282,100 @@ REVIEWS_CHAIN = (BRONZE_REVIEWS, SILVER_REVIEWS, DIM_DATE, FACT_REVIEWS)
 BUSINESS_CHAIN = (BRONZE_BUSINESS, silver_business(), categories(), dim_business())
 USERS_CHAIN = (ELITE, BRONZE_USERS, silver_users(), dim_user())
 CHECKINS_CHAIN = (CHECKIN_ITEMS, SILVER_CHECKINS, DIM_DATE, FACT_CHECKINS)
+
+
+# ── data-quality results ───────────────────────────────────────────────────
+
+BRONZE_CHECKINS = f"""
+bronze_checkins as (
+  select cast(user_id as varchar) as business_id,
+         string_agg(case when event_id % 101 = 0 then 'garbage' else strftime(ts, '{TS_FMT}') end, ', ') as date,
+         {d(RUN_DATE)} as ingestion_date
+  from events group by user_id, floor(event_id / 16))"""
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _row(test, entity, layer, passed, message, value, threshold) -> str:
+    return (f"select {q(test)} as test_name, {q(entity)} as entity, {q(layer)} as layer, "
+            f"coalesce({passed}, false) as passed, {message} as message, "
+            f"cast({value} as double) as value, cast({threshold} as double) as threshold")
+
+
+def _sv(x: str) -> str:
+    return f"coalesce(cast({x} as varchar), 'null')"
+
+
+def check_rows_sql(table: str, entity: str, layer: str, min_rows=None, zero_null=(), null_rate=(),
+                   stars=None, fresh=None, fresh_fmt=None, fresh_hours=None, as_of_ts=None,
+                   key=None, key_table=None) -> list[str]:
+    out = []
+    if min_rows is not None:
+        out.append(_row("row_count_minimum", entity, layer, f"n >= {min_rows}",
+                        f"case when n >= {min_rows} then 'row count ' || {_sv('n')} || ' >= minimum {min_rows}' "
+                        f"else 'FAIL - row count ' || {_sv('n')} || ' below minimum {min_rows}' end",
+                        "n", float(min_rows)) + f" from (select count(*) as n from {table})")
+    for c in zero_null:
+        out.append(_row("zero_nulls", entity, layer, "x = 0", f"{q(f'column {chr(39)}{c}{chr(39)}: ')} || {_sv('x')} || ' null values'",
+                        "x", 0.0) + f" from (select count(*) filter (where {c} is null) as x from {table})")
+    for c in null_rate:
+        out.append(_row("null_rate", entity, layer, "x = 0",
+                        f"{q(f'column {chr(39)}{c}{chr(39)}: ')} || {_sv('x')} || ' of ' || {_sv('n')} || ' rows null'",
+                        r2("case when n > 0 then x / n else 0.0 end", 4), 0.0)
+                   + f" from (select count(*) filter (where {c} is null) as x, count(*) as n from {table})")
+    if stars:
+        out.append(_row("star_rating_range", entity, layer, "x = 0", f"{_sv('x')} || ' rows with stars outside 1-5'",
+                        "x", 0.0) + f" from (select count(*) filter (where not ({stars} between 1 and 5)) as x from {table})")
+    if fresh:
+        col = f"try_strptime({fresh}, '%Y-%m-%d %H:%M:%S')" if fresh_fmt else fresh
+        h = int(fresh_hours)
+        age = f"((epoch_us(timestamp '{as_of_ts}') - epoch_us(latest)) / 3600000000.0)"
+        out.append(_row("freshness", entity, layer, f"latest is not null and {age} <= {float(h)}",
+                        f"case when latest is null then 'FAIL - no latest timestamp' when {age} <= {float(h)} "
+                        f"then 'latest record within {h}h' else 'FAIL - latest record older than {h}h' end",
+                        r2(age, 2), float(h)) + f" from (select max({col}) as latest from {table})")
+    if key:
+        kt = key_table or table
+        out.append(_row("no_duplicate_keys", entity, layer, "total - dist = 0",
+                        f"{q(f'key {chr(39)}{key}{chr(39)}: ')} || {_sv('total - dist')} || ' duplicate rows'",
+                        "total - dist", 0.0)
+                   + f" from (select coalesce(sum(c), 0) as total, count(*) as dist from "
+                     f"(select {key}, count(*) as c from {kt} group by {key}) g)")
+    return out
+
+
+def lookback_rows_sql(table: str, entity: str, layer: str, run_date: dt.date, days: int) -> str:
+    start = run_date - dt.timedelta(days=days - 1)
+    return (_row("lookback_partitions_present", entity, layer, "m = 0",
+                 f"{_sv('m')} || ' of {days} lookback partitions missing'", "m", 0.0)
+            + f" from (select count(*) as m from (select cast(unnest(generate_series({d(start)}, {d(run_date)}, "
+              f"interval 1 day)) as date) as p) e where p not in (select distinct ingestion_date from {table}))")
+
+
+def loss_row_sql(bronze: str, silver: str, entity: str, keys: list[str], max_loss=5.0) -> str:
+    loss = "(case when b > 0 then (b - a) / b * 100.0 else 0.0 end)"
+    return (_row("bronze_silver_row_ratio", entity, "silver", f"{loss} <= {max_loss}",
+                 f"'input ' || {_sv('b')} || ', output ' || {_sv('a')}", r2(loss, 2), max_loss)
+            + f" from (select (select count(*) from (select distinct {', '.join(keys)} from {bronze}) k) as b, "
+              f"(select count(*) from {silver}) as a)")
+
+
+def generic_test_sql(model: str, col: str, kind: str, arg) -> str:
+    msg = f"{q(col + ': ')} || {_sv('x')} || ' failing rows'"
+    if kind == "not_null":
+        src = f"(select count(*) filter (where {col} is null) as x from {model})"
+    elif kind == "unique":
+        src = f"(select count(*) as x from (select {col} from {model} where {col} is not null group by {col} having count(*) > 1) g)"
+    elif kind == "accepted_values":
+        vals = ", ".join("true" if v is True else "false" if v is False else repr(v) for v in arg)
+        src = f"(select count(*) filter (where {col} is not null and {col} not in ({vals})) as x from {model})"
+    else:
+        src = (f"(select count(*) as x from {model} c where c.{col} is not null and not exists "
+               f"(select 1 from {arg[0]} p where p.{arg[1]} = c.{col}))")
+    return _row(kind, model, "gold", "x = 0", msg, "x", 0.0) + f" from {src}"
+
+
+def union(parts: list[str]) -> str:
+    return "\nunion all\n".join(parts)
