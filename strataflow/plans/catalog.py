@@ -530,3 +530,109 @@ def q_dq_volume_change(L: Layers) -> DataFrame:
     series = (ev.groupBy(F.to_date("ts").alias("run_date")).agg(F.count(F.lit(1)).alias("row_count"))
                 .select(F.lit("events").alias("entity"), F.lit("bronze").alias("layer"), "run_date", "row_count"))
     return quality.volume_change(series)
+
+
+# ── upsert and history ─────────────────────────────────────────────────────
+
+from strataflow.functions.columns import surrogate_key  # noqa: E402
+from strataflow.operators import history as hist  # noqa: E402
+from strataflow.operators.upsert import incremental_slice, upsert  # noqa: E402
+from strataflow.session import scratch_path  # noqa: E402
+from strataflow.sources.tables import write_table  # noqa: E402
+
+_FACT_COLS = ["review_id", "business_id", "user_id", "date_id", "review_stars", "useful_votes", "funny_votes",
+              "cool_votes", "review_length_chars", "reviewed_at", "year", "month"]
+
+
+@register("fact_upsert", W(*O.REVIEWS_CHAIN) + f"""
+, changed as (
+  select review_id, business_id, user_id, md5(cast(cast(ts2 as date) as varchar)) as date_id,
+         6.0 - review_stars as review_stars, useful_votes, funny_votes, cool_votes, review_length_chars,
+         ts2 as reviewed_at, cast(year(ts2) as integer) as year, cast(month(ts2) as integer) as month
+  from (select *, case when useful_votes = 1 then reviewed_at + interval 40 day else reviewed_at end as ts2
+        from fact_reviews) t),
+first_load as (select * from fact_reviews where reviewed_at < timestamp '1999-01-01 00:00:00'),
+incoming as (select * from changed
+             where reviewed_at >= (select max(reviewed_at) from first_load) - interval 184 day)
+select review_id, business_id, user_id, date_id, review_stars, useful_votes, funny_votes, cool_votes,
+       review_length_chars, {TS('reviewed_at')} as reviewed_at, year, month from incoming
+union all
+select review_id, business_id, user_id, date_id, review_stars, useful_votes, funny_votes, cool_votes,
+       review_length_chars, {TS('reviewed_at')} as reviewed_at, year, month from first_load
+where review_id not in (select review_id from incoming)
+""".replace("\n, changed as", ",\nchanged as", 1).replace("with ", "with ", 1))
+def q_fact_upsert(L: Layers) -> DataFrame:
+    spark, f = L.spark, L.fact_reviews()
+    path = scratch_path(spark, "fact_upsert") + "/fact_reviews"
+    first = f.filter(F.col("reviewed_at") < F.lit("1999-01-01 00:00:00").cast("timestamp"))
+    upsert(spark, first, path, ["review_id"], ["year", "month"])
+    ts2 = F.when(F.col("useful_votes") == 1, F.col("reviewed_at") + F.expr("INTERVAL 40 DAYS")) \
+           .otherwise(F.col("reviewed_at"))
+    changed = (f.withColumn("reviewed_at", ts2)
+                .withColumn("review_stars", F.lit(6.0) - F.col("review_stars"))
+                .withColumn("year", F.year("reviewed_at")).withColumn("month", F.month("reviewed_at"))
+                .withColumn("date_id", surrogate_key(F.to_date("reviewed_at"))))
+    incoming = incremental_slice(changed, spark.read.parquet(path), "reviewed_at", dt.timedelta(days=184))
+    upsert(spark, incoming, path, ["review_id"], ["year", "month"])
+    return spark.read.parquet(path).select(*_FACT_COLS)
+
+
+_BIZ_COLS = ["business_id", "name", "city", "state", "stars", "review_count", "is_open", "primary_category",
+             "latitude", "longitude"]
+_USER_COLS = ["user_id", "name", "review_count", "average_stars", "is_elite", "elite_years_count", "fan_count",
+              "yelping_since_year", "total_useful_votes", "total_funny_votes", "total_cool_votes"]
+_META_SQL = f"record_hash, {TS('valid_from')} as valid_from, {TS('valid_to')} as valid_to, is_current"
+
+
+def _two_runs(L: Layers, build, key: str, cols, tracked, t1: str, t2: str, name: str) -> DataFrame:
+    """Apply two snapshots, persisting the history table between the runs."""
+    spark = L.spark
+    base = scratch_path(spark, name)
+    h1 = hist.scd2_apply(None, build("previous").select(*cols), key, tracked, t1)
+    write_table(h1, base + "/run1")
+    h2 = hist.scd2_apply(spark.read.parquet(base + "/run1"), build("latest").select(*cols), key, tracked, t2)
+    write_table(h2, base + "/run2")
+    return spark.read.parquet(base + "/run2")
+
+
+_BIZ_SNAPSHOTS = (O.BRONZE_BUSINESS_PREV, O.silver_business("bronze_business_prev", "sb_prev"),
+                  O.categories("bronze_business_prev", "cat_prev"), O.dim_business("sb_prev", "cat_prev", "db_prev"),
+                  O.BRONZE_BUSINESS_LATEST, O.silver_business("bronze_business_latest", "sb_latest"),
+                  O.categories("bronze_business_latest", "cat_latest"),
+                  O.dim_business("sb_latest", "cat_latest", "db_latest"))
+_USER_SNAPSHOTS = (O.ELITE, O.BRONZE_USERS_PREV, O.silver_users("bronze_users_prev", "su_prev"),
+                   O.dim_user("su_prev", "du_prev"), O.BRONZE_USERS_LATEST,
+                   O.silver_users("bronze_users_latest", "su_latest"), O.dim_user("su_latest", "du_latest"))
+
+
+@register("business_history", W(*_BIZ_SNAPSHOTS, O.scd2_two_runs_sql(
+    "db_prev", "db_latest", "business_id", _BIZ_COLS, hist.BUSINESS_TRACKED,
+    "2001-05-31 00:00:00", "2001-06-01 00:00:00")) + f"select {', '.join(_BIZ_COLS)}, {_META_SQL} from history\n")
+def q_business_history(L: Layers) -> DataFrame:
+    return _two_runs(L, L.dim_business, "business_id", _BIZ_COLS, hist.BUSINESS_TRACKED,
+                     "2001-05-31 00:00:00", "2001-06-01 00:00:00", "business_history")
+
+
+@register("user_history", W(*_USER_SNAPSHOTS, O.scd2_two_runs_sql(
+    "du_prev", "du_latest", "user_id", _USER_COLS, hist.USER_TRACKED,
+    "2001-05-31 00:00:00", "2001-06-01 00:00:00")) + f"select {', '.join(_USER_COLS)}, {_META_SQL} from history\n")
+def q_user_history(L: Layers) -> DataFrame:
+    return _two_runs(L, L.dim_user, "user_id", _USER_COLS, hist.USER_TRACKED,
+                     "2001-05-31 00:00:00", "2001-06-01 00:00:00", "user_history")
+
+
+@register("asof_elite", W(*O.REVIEWS_CHAIN, *_USER_SNAPSHOTS, O.scd2_two_runs_sql(
+    "du_prev", "du_latest", "user_id", _USER_COLS, hist.USER_TRACKED,
+    "1998-01-01 00:00:00", "2000-01-01 00:00:00")) + f"""
+select f.review_id, f.user_id, {TS('f.reviewed_at')} as reviewed_at, h.is_elite, h.fan_count,
+       {TS('h.valid_from')} as valid_from, {TS('h.valid_to')} as valid_to
+from fact_reviews f
+left join history h on f.user_id = h.user_id and h.valid_from <= f.reviewed_at
+                   and (h.valid_to is null or f.reviewed_at < h.valid_to)
+""")
+def q_asof_elite(L: Layers) -> DataFrame:
+    h = _two_runs(L, L.dim_user, "user_id", _USER_COLS, hist.USER_TRACKED,
+                  "1998-01-01 00:00:00", "2000-01-01 00:00:00", "asof_history")
+    facts = L.fact_reviews().select("review_id", "user_id", "reviewed_at")
+    return hist.as_of_join(facts, h, "user_id", "reviewed_at", ["is_elite", "fan_count"]) \
+               .select("review_id", "user_id", "reviewed_at", "is_elite", "fan_count", "valid_from", "valid_to")

@@ -379,3 +379,29 @@ def generic_test_sql(model: str, col: str, kind: str, arg) -> str:
 
 def union(parts: list[str]) -> str:
     return "\nunion all\n".join(parts)
+
+
+# ── history ────────────────────────────────────────────────────────────────
+
+def hash_sql(cols: list[str]) -> str:
+    return "md5(concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '')" for c in cols) + "))"
+
+
+def scd2_two_runs_sql(prev: str, latest: str, key: str, cols: list[str], tracked: list[str],
+                      t1: str, t2: str) -> str:
+    """History after loading snapshot ``prev`` at t1 and then ``latest`` at t2."""
+    sel = ", ".join(cols)
+    h = hash_sql(tracked)
+    return f"""
+hp as (select {sel}, {h} as record_hash from {prev}),
+hl as (select {sel}, {h} as record_hash from {latest}),
+history as (
+  select {', '.join('p.' + c for c in cols)}, p.record_hash, timestamp '{t1}' as valid_from,
+         case when l.{key} is not null and l.record_hash <> p.record_hash then timestamp '{t2}' end as valid_to,
+         not (l.{key} is not null and l.record_hash <> p.record_hash) as is_current
+  from hp p left join hl l on p.{key} = l.{key}
+  union all
+  select {', '.join('l.' + c for c in cols)}, l.record_hash, timestamp '{t2}' as valid_from,
+         cast(null as timestamp) as valid_to, true as is_current
+  from hl l left join hp p on p.{key} = l.{key}
+  where p.{key} is null or p.record_hash <> l.record_hash)"""
