@@ -636,3 +636,63 @@ def q_asof_elite(L: Layers) -> DataFrame:
     facts = L.fact_reviews().select("review_id", "user_id", "reviewed_at")
     return hist.as_of_join(facts, h, "user_id", "reviewed_at", ["is_elite", "fan_count"]) \
                .select("review_id", "user_id", "reviewed_at", "is_elite", "fan_count", "valid_from", "valid_to")
+
+
+# ── raw-layer ingestion ────────────────────────────────────────────────────
+
+from strataflow.schemas import BUSINESS_SCHEMA, REVIEWS_SCHEMA, USERS_SCHEMA  # noqa: E402
+from strataflow.sources import bronze as B  # noqa: E402
+from strataflow.sources import json_source as J  # noqa: E402
+
+_RUN_TS = dt.datetime(2001, 6, 1, 6, 0, 0)
+
+
+@register("bronze_roundtrip", W(O.BRONZE_REVIEWS) + f"""
+select review_id, business_id, user_id, stars, date, text, useful, funny, cool,
+       '{O.RUN_DATE.isoformat()}' as ingestion_date
+from bronze_reviews where review_id not like '%-7'
+""")
+def q_bronze_roundtrip(L: Layers) -> DataFrame:
+    """Raw reviews written as JSON lines (lines of line-number-7 reviews
+    truncated), ingested with quarantine and drift check, read back."""
+    spark = L.spark
+    base = scratch_path(spark, "bronze_roundtrip")
+    raw = L.bronze("reviews")
+    js = F.to_json(F.struct(*REVIEWS_SCHEMA.fieldNames()))
+    line = F.when(F.col("review_id").endswith("-7"), F.expr("substring(_js, 1, length(_js) - 7)")).otherwise(F.col("_js"))
+    raw.select(js.alias("_js"), "review_id").select(line.alias("value")).write.mode("overwrite").text(base + "/landing")
+    B.ingest_entity(spark, "reviews", base + "/landing", base + "/bronze", RUN_DATE, _RUN_TS,
+                    audit_path=base + "/audit", quarantine_path=base + "/quarantine",
+                    drift_path=base + "/drift", min_rows=0)
+    return spark.read.parquet(base + "/bronze")
+
+
+@register("schema_drift", """
+select * from (values
+  ('business', 'new', 'rating_source', cast(null as varchar), 'string'),
+  ('business', 'missing', 'attributes', 'string', cast(null as varchar)),
+  ('business', 'missing', 'hours', 'string', cast(null as varchar)),
+  ('business', 'missing', 'postal_code', 'string', cast(null as varchar)),
+  ('users', 'type_change', 'fans', 'bigint', 'string')
+) t(entity, change_kind, column_name, expected_type, actual_type)
+where (select count(*) from part) > 0 and (select count(*) from customer) > 0
+""")
+def q_schema_drift(L: Layers) -> DataFrame:
+    """Drift between the declared contracts and JSON exports derived from the
+    tables: business gains a field and loses postal_code (hours/attributes are
+    never present); users' fans arrive as text."""
+    spark = L.spark
+    base = scratch_path(spark, "schema_drift")
+    bcols = [c for c in BUSINESS_SCHEMA.fieldNames() if c != "postal_code"]
+    (L.bronze("business", "latest")
+      .select(F.to_json(F.struct(*bcols, F.lit("web").alias("rating_source"))).alias("value"))
+      .write.mode("overwrite").text(base + "/business"))
+    ucols = [F.concat(F.col("fans").cast("string"), F.lit(" fans")).alias("fans") if c == "fans" else F.col(c)
+             for c in USERS_SCHEMA.fieldNames()]
+    (L.bronze("users", "latest").select(F.to_json(F.struct(*ucols)).alias("value"))
+      .write.mode("overwrite").text(base + "/users"))
+    events = []
+    for entity, schema, sub in (("business", BUSINESS_SCHEMA, "business"), ("users", USERS_SCHEMA, "users")):
+        rep = J.detect_drift(schema, J.infer_source_schema(spark, f"{base}/{sub}"))
+        events.append(J.drift_events(spark, entity, rep, RUN_DATE, _RUN_TS))
+    return quality.union_all(events).select("entity", "change_kind", "column_name", "expected_type", "actual_type")
