@@ -696,3 +696,78 @@ def q_schema_drift(L: Layers) -> DataFrame:
         rep = J.detect_drift(schema, J.infer_source_schema(spark, f"{base}/{sub}"))
         events.append(J.drift_events(spark, entity, rep, RUN_DATE, _RUN_TS))
     return quality.union_all(events).select("entity", "change_kind", "column_name", "expected_type", "actual_type")
+
+
+# ── streaming ──────────────────────────────────────────────────────────────
+
+from strataflow.operators.silver import clean_reviews as _clean_reviews  # noqa: E402
+from strataflow.streaming import streams as ST  # noqa: E402
+
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
+
+
+def _events_landing(L: Layers, base: str, with_duplicates: bool) -> str:
+    # Watermarks need TIMESTAMP (not TIMESTAMP_NTZ): cast at the source boundary
+    # (the session time zone is UTC, so wall-clock values are unchanged).
+    ev = (L.spark.read.parquet(f"{L.sf_dir}/events.parquet").select(*_EVENT_COLS)
+           .withColumn("ts", F.col("ts").cast("timestamp")))
+    if with_duplicates:
+        ev = ev.unionByName(ev.filter(F.col("event_id") % 10 == 0))
+    ev.write.mode("overwrite").parquet(base + "/landing")
+    return base + "/landing"
+
+
+@register("stream_dedup_events", f"""
+select event_id, {TS('ts')} as ts, user_id, event_type, value from events
+""")
+def q_stream_dedup_events(L: Layers) -> DataFrame:
+    """Events with planted duplicates, de-duplicated by a streaming query
+    (watermark 3 days) into a parquet sink."""
+    spark = L.spark
+    base = scratch_path(spark, "stream_dedup")
+    landing = _events_landing(L, base, with_duplicates=True)
+    schema = spark.read.parquet(landing).schema
+    s = ST.dedup_within_watermark(ST.file_stream(spark, landing, schema, fmt="parquet"), "ts", ["event_id"])
+    q = ST.start(s, base + "/checkpoint", sink_path=base + "/sink", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(base + "/sink").select(*_EVENT_COLS)
+
+
+@register("stream_daily_events", """
+select cast(cast(ts as date) as varchar) as day, count(*) as events, max(value) as max_value
+from events group by cast(ts as date)
+""")
+def q_stream_daily_events(L: Layers) -> DataFrame:
+    """Daily event counts from a windowed streaming aggregate, upserted per
+    micro-batch (update mode) into a table keyed by window start."""
+    spark = L.spark
+    base = scratch_path(spark, "stream_daily")
+    landing = _events_landing(L, base, with_duplicates=False)
+    schema = spark.read.parquet(landing).schema
+    agg = (ST.windowed_counts(ST.file_stream(spark, landing, schema, fmt="parquet"), "ts",
+                              extra_aggs=[F.max("value").alias("max_value")])
+             .withColumn("month", F.date_format("window_start", "yyyy-MM")))
+    handler = ST.upsert_batches(base + "/daily", ["window_start"], ["month"])
+    q = ST.start(agg, base + "/checkpoint", foreach_batch=handler, output_mode="update", available_now=True)
+    q.awaitTermination()
+    return (spark.read.parquet(base + "/daily")
+                 .select(F.to_date("window_start").cast("string").alias("day"), "events", "max_value"))
+
+
+@register("stream_upsert", SQL["clean_reviews"])
+def q_stream_upsert(L: Layers) -> DataFrame:
+    """Raw review snapshots streamed as JSON files in several micro-batches;
+    each batch goes through the batch cleaning function and a latest-wins
+    upsert, so the table equals the batch result whatever the file order."""
+    spark = L.spark
+    base = scratch_path(spark, "stream_upsert")
+    L.bronze("reviews").write.mode("overwrite").partitionBy("ingestion_date").json(base + "/landing")
+    from pyspark.sql.types import DateType, StructField, StructType
+    schema = StructType(REVIEWS_SCHEMA.fields + [StructField("ingestion_date", DateType(), True)])
+    src = ST.file_stream(spark, base + "/landing", schema, fmt="json", max_files_per_trigger=4)
+    handler = ST.upsert_batches(base + "/silver", ["review_id"], ["year", "month"],
+                                transform=lambda b: _clean_reviews(b, keep_ingestion_date=True),
+                                order_cols=["ingestion_date"], resolve="latest")
+    q = ST.start(src, base + "/checkpoint", foreach_batch=handler, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(base + "/silver").drop("ingestion_date")
