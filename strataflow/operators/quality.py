@@ -299,22 +299,35 @@ GOLD_COLUMN_TESTS = [
 
 
 def run_column_tests(models: Mapping[str, DataFrame], tests=GOLD_COLUMN_TESTS) -> DataFrame:
-    """All declared column tests over the given models (one result row each)."""
+    """All declared column tests over the given models, one result row each.
+
+    Per model, every ``not_null`` and ``accepted_values`` test is answered by
+    one shared aggregate pass; ``unique`` needs a group-by on its column and
+    ``relationships`` an anti-join, each a pass of its own.
+    """
     out = []
-    for model, col, kind, arg in tests:
+    for model in dict.fromkeys(m for m, _, _, _ in tests):
         df = models.get(model)
         if df is None:
             continue
-        if kind == "not_null":
-            out.append(test_not_null(df, model, col))
-        elif kind == "unique":
-            out.append(test_unique(df, model, col))
-        elif kind == "accepted_values":
-            out.append(test_accepted_values(df, model, col, arg))
-        elif kind == "relationships":
-            parent = models.get(arg[0])
-            if parent is not None:
-                out.append(test_relationships(df, model, col, parent, arg[1]))
+        mine = [(c, k, a) for m, c, k, a in tests if m == model]
+        aggs, structs = [], []
+        for i, (col, kind, arg) in enumerate(mine):
+            x = f"_x{i}"
+            if kind == "not_null":
+                aggs.append(F.count_if(F.col(col).isNull()).alias(x))
+            elif kind == "accepted_values":
+                aggs.append(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(arg))).alias(x))
+            else:
+                continue
+            structs.append(_generic(kind, model, col, F.col(x)))
+        if aggs:
+            out.append(rows_from(df.agg(*aggs), structs))
+        for col, kind, arg in mine:
+            if kind == "unique":
+                out.append(test_unique(df, model, col))
+            elif kind == "relationships" and models.get(arg[0]) is not None:
+                out.append(test_relationships(df, model, col, models[arg[0]], arg[1]))
     return union_all(out)
 
 
