@@ -530,3 +530,38 @@ def run_layer_suite(tables: Mapping[str, DataFrame], layer: str, as_of_ts: dt.da
                 keys = list(S.ENTITIES[ent].keys)
                 out.append(row_loss(bronze[ent], tables[ent], ent, before_keys=keys))
     return union_all(out)
+
+
+# ── single-run checks against the audit log, and result persistence ────────
+
+def regression_vs_previous(current: DataFrame, audit: DataFrame, entity: str, layer: str,
+                           max_drop_pct: float = S.REGRESSION_DROP_PCT) -> DataFrame:
+    """Warn (failed row) when this run's count dropped more than ``max_drop_pct``
+    below the latest successful run of the same table in the audit log."""
+    prev = (audit.filter((F.col("entity") == entity) & (F.col("layer") == layer) & (F.col("status") == "SUCCESS"))
+                 .agg(F.max_by("row_count", "run_timestamp").alias("_prev")))
+    now = current.agg(F.count(F.lit(1)).alias("_now"))
+    u = (now.select(F.col("_now").cast("long").alias("_now"), F.lit(None).cast("long").alias("_prev"))
+            .unionByName(prev.select(F.lit(None).cast("long").alias("_now"), F.col("_prev").cast("long"))))
+    m = u.agg(F.max("_now").alias("_now"), F.max("_prev").alias("_prev"))
+    drop = F.when(F.col("_prev") > 0, (F.col("_prev") - F.col("_now")) / F.col("_prev") * 100.0)
+    return rows_from(m, [result("count_regression", entity, layer, F.coalesce(drop <= max_drop_pct, F.lit(True)),
+                                F.concat(F.lit("previous "), _s("_prev"), F.lit(", current "), _s("_now")),
+                                round_half_up(drop, 2), max_drop_pct)])
+
+
+def input_output_drop(before: DataFrame, after: DataFrame, entity: str, layer: str,
+                      max_drop_pct: float = 10.0) -> DataFrame:
+    """Rows lost between a job's input and output (alert above 10%)."""
+    return row_loss(before, after, entity, max_drop_pct, test_name="input_output_drop", layer=layer)
+
+
+def with_run(results: DataFrame, run_date: dt.date, run_ts: dt.datetime) -> DataFrame:
+    from strataflow.functions.columns import ts_lit
+    return results.select(*RESULT_COLS, F.lit(run_date).alias("run_date"), ts_lit(run_ts).alias("run_timestamp"))
+
+
+def write_test_results(results: DataFrame, path: str, run_date: dt.date, run_ts: dt.datetime,
+                       fmt: str = "parquet") -> None:
+    """Append this run's results; they become the next runs' drift baseline."""
+    with_run(results, run_date, run_ts).write.format(fmt).mode("append").save(path)

@@ -57,33 +57,41 @@ def rising_star_candidates(reviews: DataFrame, as_of: dt.date, min_reviews: int
         "review_count_recent")
 
 
+def _ordered(df: DataFrame, ordered: bool, *cols) -> DataFrame:
+    """Reports are small aggregates: sorting them globally is cheap."""
+    return df.orderBy(*cols) if ordered else df
+
+
 def rising_stars(fact: DataFrame, dim_business: DataFrame, as_of: dt.date,
-                 min_reviews: int = MIN_RECENT_REVIEWS, min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+                 min_reviews: int = MIN_RECENT_REVIEWS, min_improvement: float = MIN_IMPROVEMENT,
+                 ordered: bool = True) -> DataFrame:
     """Rising-star report with business attributes and an improvement tier."""
     cand = rising_star_candidates(fact, as_of, min_reviews, min_improvement)
     b = dim_business.select("business_id", F.col("name").alias("business_name"), "city", "state",
                             "primary_category")
-    return (cand.join(b, "business_id", "inner")
-                .select("business_id", "business_name", "city", "state", "primary_category",
-                        "avg_stars_recent", "avg_stars_historical", "rating_improvement",
-                        "review_count_recent",
-                        improvement_tier("rating_improvement").alias("improvement_tier")))
+    out = (cand.join(b, "business_id", "inner")
+               .select("business_id", "business_name", "city", "state", "primary_category",
+                       "avg_stars_recent", "avg_stars_historical", "rating_improvement",
+                       "review_count_recent",
+                       improvement_tier("rating_improvement").alias("improvement_tier")))
+    return _ordered(out, ordered, F.col("rating_improvement").desc(), "business_id")
 
 
 def rising_stars_from_silver(silver_reviews: DataFrame, silver_business: DataFrame, as_of: dt.date,
                              min_reviews: int = MIN_RECENT_REVIEWS,
-                             min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+                             min_improvement: float = MIN_IMPROVEMENT, ordered: bool = True) -> DataFrame:
     """The same question answered straight from the clean layer."""
     cand = rising_star_candidates(silver_reviews, as_of, min_reviews, min_improvement,
                                   ts_col="review_date", stars_col="stars")
-    return (cand.join(silver_business.select("business_id", "name"), "business_id", "inner")
-                .select("business_id", "name", "avg_stars_recent", "avg_stars_historical",
-                        "rating_improvement", "review_count_recent"))
+    out = (cand.join(silver_business.select("business_id", "name"), "business_id", "inner")
+               .select("business_id", "name", "avg_stars_recent", "avg_stars_historical",
+                       "rating_improvement", "review_count_recent"))
+    return _ordered(out, ordered, F.col("rating_improvement").desc(), "business_id")
 
 
 # ── trends ─────────────────────────────────────────────────────────────────
 
-def review_trends(fact: DataFrame, dates: DataFrame) -> DataFrame:
+def review_trends(fact: DataFrame, dates: DataFrame, ordered: bool = True) -> DataFrame:
     """Monthly review volume, rating, useful votes and length."""
     d = dates.select("date_id", "year", "month")
     j = fact.select("date_id", "review_id", "review_stars", "useful_votes", "review_length_chars").join(d, "date_id")
@@ -96,16 +104,18 @@ def review_trends(fact: DataFrame, dates: DataFrame) -> DataFrame:
                      "total_reviews",
                      round_half_up("_r", 2).alias("avg_rating"),
                      round_half_up("_u", 2).alias("avg_useful_votes"),
-                     round_half_up("_l", 0).alias("avg_review_length")))
+                     round_half_up("_l", 0).alias("avg_review_length"))
+             .transform(lambda df: _ordered(df, ordered, "year", "month")))
 
 
-def review_volume(fact: DataFrame, dates: DataFrame) -> DataFrame:
+def review_volume(fact: DataFrame, dates: DataFrame, ordered: bool = True) -> DataFrame:
     """Reviews and average rating per calendar month."""
     d = dates.select("date_id", "year", "month")
     return (fact.select("date_id", "review_id", "review_stars").join(d, "date_id")
                 .groupBy("year", "month")
                 .agg(F.count("review_id").alias("total_reviews"), F.avg("review_stars").alias("_r"))
-                .select("year", "month", "total_reviews", round_half_up("_r", 2).alias("avg_rating")))
+                .select("year", "month", "total_reviews", round_half_up("_r", 2).alias("avg_rating"))
+                .transform(lambda df: _ordered(df, ordered, "year", "month")))
 
 
 # ── top lists ──────────────────────────────────────────────────────────────
@@ -155,15 +165,16 @@ def _per_user(fact: DataFrame) -> DataFrame:
                      F.sum("review_length_chars").alias("_l"), F.count("review_length_chars").alias("_lc")))
 
 
-def elite_behaviour(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
+def elite_behaviour(fact: DataFrame, dim_user: DataFrame, ordered: bool = True) -> DataFrame:
     """Elite vs non-elite reviewers: volume, stars given, useful votes, length."""
     g = (_per_user(fact).join(dim_user.select("user_id", "is_elite"), "user_id")
          .groupBy("is_elite")
          .agg(*[F.sum(c).alias(c) for c in ("_n", "_s", "_sc", "_u", "_uc", "_l", "_lc")]))
-    return g.select("is_elite", F.col("_n").alias("total_reviews"),
-                    round_half_up(_avg("_s", "_sc"), 2).alias("avg_stars_given"),
-                    round_half_up(_avg("_u", "_uc"), 2).alias("avg_useful_votes"),
-                    round_half_up(_avg("_l", "_lc"), 0).alias("avg_review_length_chars"))
+    out = g.select("is_elite", F.col("_n").alias("total_reviews"),
+                   round_half_up(_avg("_s", "_sc"), 2).alias("avg_stars_given"),
+                   round_half_up(_avg("_u", "_uc"), 2).alias("avg_useful_votes"),
+                   round_half_up(_avg("_l", "_lc"), 0).alias("avg_review_length_chars"))
+    return _ordered(out, ordered, F.col("is_elite").desc())
 
 
 def active_reviewers(fact: DataFrame, dim_user: DataFrame, limit: int = ACTIVE_REVIEWERS_LIMIT) -> DataFrame:
@@ -177,19 +188,22 @@ def active_reviewers(fact: DataFrame, dim_user: DataFrame, limit: int = ACTIVE_R
 
 # ── check-ins ──────────────────────────────────────────────────────────────
 
-def peak_checkins(fact_checkins: DataFrame, dim_business: DataFrame) -> DataFrame:
+def peak_checkins(fact_checkins: DataFrame, dim_business: DataFrame, ordered: bool = True) -> DataFrame:
     """Check-ins per (primary category, day of week, hour)."""
     per = (fact_checkins.groupBy("business_id", "checkin_day_of_week", "checkin_hour")
                         .agg(F.count("checkin_id").alias("_n")))
     b = dim_business.filter(F.col("primary_category").isNotNull()).select("business_id", "primary_category")
     return (per.join(b, "business_id")
                .groupBy("primary_category", "checkin_day_of_week", "checkin_hour")
-               .agg(F.sum("_n").alias("total_checkins")))
+               .agg(F.sum("_n").alias("total_checkins"))
+               .transform(lambda df: _ordered(df, ordered, "primary_category", F.col("total_checkins").desc(),
+                                              "checkin_day_of_week", "checkin_hour")))
 
 
 # ── activity gaps ──────────────────────────────────────────────────────────
 
-def no_recent_reviews(fact: DataFrame, dim_business: DataFrame, dates: DataFrame, as_of: dt.date) -> DataFrame:
+def no_recent_reviews(fact: DataFrame, dim_business: DataFrame, dates: DataFrame, as_of: dt.date,
+                      ordered: bool = True) -> DataFrame:
     """Open businesses without a review in the 12 months up to ``as_of``.
 
     ``distinct`` before the anti-join collapses the fact side map-side to one
@@ -201,21 +215,28 @@ def no_recent_reviews(fact: DataFrame, dim_business: DataFrame, dates: DataFrame
     return (dim_business.filter(F.col("is_open") == F.lit(True))
                         .join(reviewed, "business_id", "left_anti")
                         .select("business_id", "name", "city", "primary_category",
-                                F.col("review_count").alias("total_lifetime_reviews")))
+                                F.col("review_count").alias("total_lifetime_reviews"))
+                        .transform(lambda df: _ordered(df, ordered, F.col("total_lifetime_reviews").desc(),
+                                                       "business_id")))
 
 
 # ── running rating ─────────────────────────────────────────────────────────
 
-def running_rating(fact: DataFrame, dim_business: DataFrame, dates: DataFrame) -> DataFrame:
+def running_rating(fact: DataFrame, dim_business: DataFrame, dates: DataFrame, ordered: bool = False) -> DataFrame:
     """Per business, each review with the running average rating and count so
-    far, ordered by review date then review id (a total order)."""
+    far, ordered by review date then review id (a total order).
+
+    The output has one row per review, so a global sort of it is a full range
+    shuffle of fact-sized data; it is opt-in (``ordered=True``) rather than
+    the default."""
     d = dates.select("date_id", F.col("full_date").alias("review_date"))
     base = fact.select("business_id", "review_id", "date_id", "review_stars").join(d, "date_id").drop("date_id")
     run = running_totals(base, ["business_id"], ["review_date", "review_id"],
                          sums={"_rs": "review_stars"},
                          counts={"_rc": "review_stars", "cumulative_review_count": "review_id"})
     b = dim_business.select("business_id", "name")
-    return (run.join(b, "business_id")
-               .select("business_id", "name", "review_id", "review_date", "review_stars",
-                       round_half_up(F.col("_rs") / F.col("_rc"), 2).alias("running_avg_stars"),
-                       "cumulative_review_count"))
+    out = (run.join(b, "business_id")
+              .select("business_id", "name", "review_id", "review_date", "review_stars",
+                      round_half_up(F.col("_rs") / F.col("_rc"), 2).alias("running_avg_stars"),
+                      "cumulative_review_count"))
+    return _ordered(out, ordered, "business_id", "review_date", "review_id")

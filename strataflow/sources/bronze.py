@@ -38,7 +38,13 @@ class IngestResult:
 def ingest_entity(spark: SparkSession, entity: str, source_path: str, bronze_path: str, run_date: dt.date,
                   run_ts: dt.datetime, audit_path: str | None = None, quarantine_path: str | None = None,
                   drift_path: str | None = None, min_rows: int | None = None, sampling_ratio: float = 1.0,
-                  fmt: str = "parquet") -> IngestResult:
+                  fmt: str = "parquet", rebalance: bool = True) -> IngestResult:
+    """Ingest one entity's JSON export as the ``run_date`` partition.
+
+    ``rebalance``: spread the parsed rows over the cluster when the source
+    could not be split into enough read tasks (e.g. a few gzip files); a
+    splittable source is left as it is.
+    """
     declared = ENTITIES[entity].schema
     inferred = J.infer_source_schema(spark, source_path, sampling_ratio)
     report = J.detect_drift(declared, inferred)
@@ -48,6 +54,8 @@ def ingest_entity(spark: SparkSession, entity: str, source_path: str, bronze_pat
         raise J.SchemaDriftError(f"[{entity}] breaking type change: {report.changed}")
 
     parsed = J.read_json_entity(spark, source_path, J.read_schema_for(declared, report, inferred))
+    if rebalance and parsed.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        parsed = parsed.repartition(spark.sparkContext.defaultParallelism)
     good, bad = J.split_corrupt(parsed)
     n_bad = bad.count()
     if quarantine_path and n_bad:
