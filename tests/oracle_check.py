@@ -29,11 +29,14 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("STRICT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return v
