@@ -18,6 +18,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from strataflow.plans import oracle_sql as O
 from strataflow.plans import reports
 from strataflow.plans.layers import Layers
+from strataflow.sources.driver_tables import table
 
 AS_OF = dt.date(2001, 6, 1)
 AS_OF_GAP = dt.date(2002, 1, 1)
@@ -218,6 +219,21 @@ def q_running_rating(L: Layers) -> DataFrame:
 
 # ── clean layer ────────────────────────────────────────────────────────────
 
+@register("dedup_latest", W(O.BRONZE_REVIEWS) + """
+select review_id, business_id, user_id, stars, date, text, useful, funny, cool,
+       cast(ingestion_date as varchar) as ingestion_date
+from (select *, row_number() over (partition by review_id order by ingestion_date desc nulls last,
+             business_id desc nulls last, user_id desc nulls last, stars desc nulls last, date desc nulls last,
+             text desc nulls last, useful desc nulls last, funny desc nulls last, cool desc nulls last) as rn
+      from bronze_reviews) t
+where rn = 1
+""")
+def q_dedup_latest(L: Layers) -> DataFrame:
+    """Latest snapshot wins per review id over the raw window (no cleaning)."""
+    from strataflow.operators.dedup import latest_wins
+    return latest_wins(L.window("reviews"), ["review_id"], ["ingestion_date"])
+
+
 @register("clean_reviews", W(O.BRONZE_REVIEWS, O.SILVER_REVIEWS) + f"""
 select review_id, business_id, user_id, stars, text, useful, funny, cool,
        {TS('review_date')} as review_date, year, month from silver_reviews
@@ -445,7 +461,7 @@ def q_dq_source_freshness(L: Layers) -> DataFrame:
 
 def _daily_series(L: Layers, value: F.Column, entity: str = "events", layer: str = "bronze",
                   source: DataFrame | None = None) -> DataFrame:
-    ev = source if source is not None else L.spark.read.parquet(f"{L.sf_dir}/events.parquet")
+    ev = source if source is not None else table(L.spark, L.sf_dir, "events")
     return (ev.groupBy(F.to_date("ts").alias("run_date")).agg(value.alias("value"))
               .select(F.lit(entity).alias("entity"), F.lit(layer).alias("layer"), "run_date", "value"))
 
@@ -507,7 +523,7 @@ select entity, layer, {O.ts_text('run_timestamp')} as run_timestamp, row_count,
 from p
 """)
 def q_dq_regression(L: Layers) -> DataFrame:
-    ev = L.spark.read.parquet(f"{L.sf_dir}/events.parquet")
+    ev = table(L.spark, L.sf_dir, "events")
     series = (ev.groupBy(F.to_date("ts").alias("d")).agg(F.count(F.lit(1)).alias("row_count"))
                 .select(F.lit("events").alias("entity"), F.lit("bronze").alias("layer"),
                         F.col("d").cast("timestamp").alias("run_timestamp"), "row_count",
@@ -526,7 +542,7 @@ select entity, layer, cast(run_date as varchar) as run_date, row_count, previous
 from p
 """)
 def q_dq_volume_change(L: Layers) -> DataFrame:
-    ev = L.spark.read.parquet(f"{L.sf_dir}/events.parquet")
+    ev = table(L.spark, L.sf_dir, "events")
     series = (ev.groupBy(F.to_date("ts").alias("run_date")).agg(F.count(F.lit(1)).alias("row_count"))
                 .select(F.lit("events").alias("entity"), F.lit("bronze").alias("layer"), "run_date", "row_count"))
     return quality.volume_change(series)
@@ -709,7 +725,7 @@ _EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 def _events_landing(L: Layers, base: str, with_duplicates: bool) -> str:
     # Watermarks need TIMESTAMP (not TIMESTAMP_NTZ): cast at the source boundary
     # (the session time zone is UTC, so wall-clock values are unchanged).
-    ev = (L.spark.read.parquet(f"{L.sf_dir}/events.parquet").select(*_EVENT_COLS)
+    ev = (table(L.spark, L.sf_dir, "events").select(*_EVENT_COLS)
            .withColumn("ts", F.col("ts").cast("timestamp")))
     if with_duplicates:
         ev = ev.unionByName(ev.filter(F.col("event_id") % 10 == 0))
@@ -764,7 +780,7 @@ def q_stream_upsert(L: Layers) -> DataFrame:
     L.bronze("reviews").write.mode("overwrite").partitionBy("ingestion_date").json(base + "/landing")
     from pyspark.sql.types import DateType, StructField, StructType
     schema = StructType(REVIEWS_SCHEMA.fields + [StructField("ingestion_date", DateType(), True)])
-    src = ST.file_stream(spark, base + "/landing", schema, fmt="json", max_files_per_trigger=4)
+    src = ST.file_stream(spark, base + "/landing", schema, fmt="json", max_files_per_trigger=8)
     handler = ST.upsert_batches(base + "/silver", ["review_id"], ["year", "month"],
                                 transform=lambda b: _clean_reviews(b, keep_ingestion_date=True),
                                 order_cols=["ingestion_date"], resolve="latest")

@@ -31,7 +31,13 @@ PREVIOUS_DATE = dt.date(2001, 5, 31)    # earlier snapshot for business/users
 REBALANCE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
-def rebalance_if_unsplit(df: DataFrame, key: str) -> DataFrame:
+# Read-only inputs: their parquet schema and split count are looked up once per
+# path (each lookup is otherwise a footer-reading job / a physical plan).
+_SCHEMAS: dict[str, object] = {}
+_SPLITS: dict[tuple, int] = {}
+
+
+def rebalance_if_unsplit(df: DataFrame, key: str, path: str | None = None) -> DataFrame:
     """Even redistribution of a large input that the scan cannot split.
 
     A file written as one row group is read by a single task however large
@@ -40,16 +46,27 @@ def rebalance_if_unsplit(df: DataFrame, key: str) -> DataFrame:
     A scan that already yields enough splits (any input written in normal
     row groups) is returned unchanged, so this costs nothing at scale.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    memo = (path, want, spark.conf.get("spark.sql.files.maxPartitionBytes"),
+            spark.conf.get("spark.sql.files.openCostInBytes")) if path else None
+    splits = _SPLITS.get(memo) if memo else None
+    if splits is None:
+        splits = df.rdd.getNumPartitions()
+        if memo:
+            _SPLITS[memo] = splits
+    if splits >= want:
         return df
     return df.repartition(want, key)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    _SCHEMAS.setdefault(path, df.schema)
     key = REBALANCE_KEYS.get(name)
-    return rebalance_if_unsplit(df, key) if key else df
+    return rebalance_if_unsplit(df, key, path) if key else df
 
 
 def _fmt(ts_col) -> F.Column:
