@@ -38,3 +38,15 @@ def test_partition_filter_reaches_scan(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(ingestion_date" in r._jdf.queryExecution().executedPlan().toString() or \
         "ingestion_date" in str(r._jdf.queryExecution().executedPlan().toString())
     assert r.count() == 2
+
+
+def test_running_totals_shares_one_range_shuffle(spark):
+    from pyspark.sql import functions as F
+    from strataflow.operators.running import running_totals
+    df = (spark.range(0, 20000).select((F.col("id") % 13).cast("string").alias("k"), F.col("id").alias("o"),
+                                       (F.col("id") % 5).cast("double").alias("v"))
+               .groupBy("k", "o").agg(F.max("v").alias("v")))
+    r = running_totals(df, ["k"], ["o"], sums={"s": "v"}, counts={"c": "v"})
+    r.collect()
+    final = r._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final          # the range-partitioned input is computed once
