@@ -807,3 +807,37 @@ def q_layered_build(L: Layers) -> DataFrame:
     jobs.run_silver(spark, paths, RUN_DATE, _RUN_TS, LOOKBACK)
     jobs.run_gold(spark, paths, DATE_START, DATE_END, _RUN_TS)
     return spark.read.parquet(paths.gold("fact_reviews")).select(*_FACT_COLS)
+
+
+# ── snapshot reads and retention over a written raw table ──────────────────
+
+from strataflow.sources.tables import expired_partitions, read_as_of  # noqa: E402
+
+
+def _raw_table(L: Layers, entity: str, name: str) -> str:
+    path = scratch_path(L.spark, name) + "/" + entity
+    write_partitioned(L.bronze(entity), path, ["ingestion_date"], guard=False)
+    return path
+
+
+@register("snapshot_as_of", W(O.BRONZE_BUSINESS_PREV) + """
+select business_id, name, city, state, postal_code, latitude, longitude, stars, review_count, is_open,
+       categories, cast(null as varchar) as hours, cast(null as varchar) as attributes,
+       cast(ingestion_date as varchar) as ingestion_date
+from bronze_business_prev
+""")
+def q_snapshot_as_of(L: Layers) -> DataFrame:
+    """The raw business table as it stood on 2001-05-31 (latest partition on or
+    before that day), read from the written, date-partitioned table."""
+    path = _raw_table(L, "business", "snapshot_as_of")
+    return read_as_of(L.spark, path, dt.date(2001, 5, 31))
+
+
+@register("retention_expired", W(O.BRONZE_REVIEWS) + """
+select distinct cast(ingestion_date as varchar) as expired_ingestion_date
+from bronze_reviews where ingestion_date < date '2001-05-31'
+""")
+def q_retention_expired(L: Layers) -> DataFrame:
+    """Raw review partitions past a one-day retention on 2001-06-01."""
+    path = _raw_table(L, "reviews", "retention_expired")
+    return expired_partitions(L.spark.read.parquet(path), "ingestion_date", RUN_DATE, keep_days=1)
