@@ -251,11 +251,15 @@ def test_accepted_values(df: DataFrame, model: str, col: str, values: Sequence)
 
 
 def test_relationships(df: DataFrame, model: str, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row. The parent side is
-    de-duplicated map-side first, so the anti-join probes distinct keys."""
-    orphans = (df.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
-                 .join(parent.select(F.col(parent_col).alias("_k")).distinct(), "_k", "left_anti"))
-    m = orphans.agg(F.count(F.lit(1)).alias("_x"))
+    """Child rows whose non-null key has no parent row.
+
+    Both sides are reduced to one row per key first (partial aggregates, so a
+    hot child key is collapsed map-side); the anti-join then compares keys
+    and the orphan rows are summed back from the per-key counts."""
+    child = (df.select(F.col(col).alias("_k")).filter(F.col("_k").isNotNull())
+               .groupBy("_k").agg(F.count(F.lit(1)).alias("_rows")))
+    orphans = child.join(parent.select(F.col(parent_col).alias("_k")).distinct(), "_k", "left_anti")
+    m = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_x"))
     return rows_from(m, [_generic("relationships", model, col, F.col("_x"))])
 
 

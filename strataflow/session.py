@@ -10,12 +10,20 @@ from pyspark.sql import SparkSession
 # Settings every job relies on: UTC so parsed timestamps and day boundaries are
 # stable, AQE for runtime re-planning (partition coalescing, skew-join splits),
 # and dynamic partition overwrite so a write replaces only the partitions it holds.
+#
+# Broadcasts: the planner's size *estimates* are not a bound (they do not see
+# explode fan-out or filter selectivity), so estimate-based broadcasting is off.
+# A join side is broadcast only (a) by an explicit hint on a side whose size is
+# bounded by construction (the calendar, fixed code tables), or (b) by AQE after
+# the side's shuffle has run and its measured size is under the limit.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
