@@ -777,10 +777,13 @@ def q_stream_upsert(L: Layers) -> DataFrame:
     upsert, so the table equals the batch result whatever the file order."""
     spark = L.spark
     base = scratch_path(spark, "stream_upsert")
-    L.bronze("reviews").write.mode("overwrite").partitionBy("ingestion_date").json(base + "/landing")
+    # About two files per daily snapshot (range bounds split a large day over
+    # several tasks); two files per trigger -> several micro-batches.
+    (L.bronze("reviews").repartitionByRange(6, "ingestion_date", "review_id")
+      .write.mode("overwrite").partitionBy("ingestion_date").json(base + "/landing"))
     from pyspark.sql.types import DateType, StructField, StructType
     schema = StructType(REVIEWS_SCHEMA.fields + [StructField("ingestion_date", DateType(), True)])
-    src = ST.file_stream(spark, base + "/landing", schema, fmt="json", max_files_per_trigger=8)
+    src = ST.file_stream(spark, base + "/landing", schema, fmt="json", max_files_per_trigger=2)
     handler = ST.upsert_batches(base + "/silver", ["review_id"], ["year", "month"],
                                 transform=lambda b: _clean_reviews(b, keep_ingestion_date=True),
                                 order_cols=["ingestion_date"], resolve="latest")

@@ -60,6 +60,24 @@ def rebalance_if_unsplit(df: DataFrame, key: str, path: str | None = None) -> Da
     return df.repartition(want, key)
 
 
+_MEASURED: dict[tuple, int] = {}
+
+
+def lookup_side(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
+    """A projection of a raw table used as a join's lookup side, broadcast only
+    when its measured size (rows x width + string bytes, measured once per
+    input) is within the session's broadcast limit; otherwise a shuffled join."""
+    from strataflow.sources.tables import broadcast_limit, measured_bytes
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path) if path in _SCHEMAS else spark.read.parquet(path)
+    _SCHEMAS.setdefault(path, df.schema)
+    df = df.select(*cols)
+    memo = (path, tuple(cols))
+    if memo not in _MEASURED:
+        _MEASURED[memo] = measured_bytes(df)
+    return F.broadcast(df) if _MEASURED[memo] <= broadcast_limit(spark) else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = _SCHEMAS.get(path)
@@ -78,8 +96,8 @@ def reviews_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread over three daily snapshots ending at RUN_DATE."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    orders = lookup_side(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    part = lookup_side(spark, sf_dir, "part", ["p_partkey", "p_name"])
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(part, li.l_partkey == part.p_partkey))
     shifted = F.expr("timestampadd(SECOND, l_orderkey % 86400, l_shipdate)")

@@ -38,6 +38,37 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def bytes_on_disk(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (a measured, not estimated, size)."""
+    fs, p = _fs_path(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """An upper bound of ``df``'s in-memory size from a measurement: the row
+    count times the fixed row width (null-bit word + 8 bytes a field) plus the
+    summed lengths of its string columns. Costs one aggregate over ``df``."""
+    from pyspark.sql.types import BinaryType, StringType
+    var = [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.octet_length(c)).alias(f"_v{i}") for i, c in enumerate(var)]
+    row = df.agg(*aggs).first()
+    n = int(row["_n"] or 0)
+    var_bytes = sum(int(row[f"_v{i}"] or 0) for i in range(len(var)))
+    return n * (8 + 8 * len(df.schema.fields)) + var_bytes
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's runtime (measured-size) broadcast limit in bytes."""
+    raw = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) or \
+        spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    raw = str(raw).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if raw.endswith(u):
+            return int(float(raw[: -len(u)]) * units[u])
+    return int(raw)
+
+
 def partition_dir(path: str, values: dict) -> str:
     return path.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in values.items())
 
