@@ -119,6 +119,25 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], f
     return int(obs.get["rows"])
 
 
+def write_partitions_observed(df: DataFrame, path: str, partition_cols: Sequence[str],
+                              fmt: str = "parquet", cluster_cols: Sequence[str] = ()) -> tuple[int, set]:
+    """Dynamic-overwrite write that also reports which partitions it wrote.
+
+    The partition set is gathered by an ``Observation`` during the write (its
+    size is the number of table partitions, not rows). Spark stages the new
+    files and swaps the partitions at job commit, after every task has
+    finished reading, so ``df`` may read the table it overwrites.
+    """
+    obs = Observation("write_parts")
+    out = clustered(df, partition_cols, cluster_cols).observe(
+        obs, F.count(F.lit(1)).alias("rows"),
+        F.collect_set(F.struct(*[F.col(c) for c in partition_cols])).alias("parts"))
+    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols).save(path))
+    got = obs.get
+    return int(got["rows"]), {tuple(r) for r in got["parts"]}
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Sequence[str] = ()) -> int:
     """Full-table overwrite."""
     obs = Observation("write_full")
