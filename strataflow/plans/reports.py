@@ -25,6 +25,14 @@ ACTIVE_REVIEWERS_LIMIT = 50
 MIN_REVIEWS_PER_GROUP = 10
 
 
+def _add_months(d: dt.date, months: int) -> dt.date:
+    """Calendar month shift, clamping the day (29 Feb -> 28 Feb)."""
+    import calendar
+    m = d.month - 1 + months
+    y, m = d.year + m // 12, m % 12 + 1
+    return dt.date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
 def _avg(sum_col: str, cnt_col: str) -> F.Column:
     return F.col(sum_col) / F.col(cnt_col)
 
@@ -141,9 +149,14 @@ def top_businesses_by_year(fact: DataFrame, dim_business: DataFrame, dates: Data
 
 def top_by_city_category(fact: DataFrame, dim_business: DataFrame, dates: DataFrame, year: int,
                          min_reviews: int = MIN_REVIEWS_PER_GROUP, limit: int = TOP_BY_CITY_LIMIT) -> DataFrame:
-    """Best-rated (city, category, name) groups in one year; a top-k report."""
+    """Best-rated (city, category, name) groups in one year; a top-k report.
+
+    The fact's own ``year`` column is filtered too: on a year/month partitioned
+    fact that prunes partitions, which a filter on the date dimension alone
+    cannot (the join key is ``date_id``)."""
     d = dates.filter(F.col("year") == year).select("date_id")
-    per = _per_business(fact.select("business_id", "date_id", "review_id", "review_stars").join(d, "date_id"))
+    f = fact.filter(F.col("year") == year) if "year" in fact.columns else fact
+    per = _per_business(f.select("business_id", "date_id", "review_id", "review_stars").join(d, "date_id"))
     b = dim_business.filter(F.col("primary_category").isNotNull()).select("business_id", "city", "primary_category", "name")
     g = (per.join(b, "business_id")
             .groupBy("city", "primary_category", "name")
@@ -211,7 +224,14 @@ def no_recent_reviews(fact: DataFrame, dim_business: DataFrame, dates: DataFrame
     """
     recent, _ = as_of_window(F.col("full_date").cast("timestamp"), as_of)
     d = dates.select("date_id", "full_date").filter(recent).select("date_id")
-    reviewed = fact.select("business_id", "date_id").join(d, "date_id").select("business_id").distinct()
+    f = fact
+    if "year" in fact.columns and "month" in fact.columns:
+        # coarse (year, month) bounds of the window: partition pruning on a stored fact
+        first = _add_months(as_of, -12)
+        last = as_of + dt.timedelta(days=1)
+        ym = F.col("year") * 100 + F.col("month")
+        f = fact.filter(ym.between(first.year * 100 + first.month, last.year * 100 + last.month))
+    reviewed = f.select("business_id", "date_id").join(d, "date_id").select("business_id").distinct()
     return (dim_business.filter(F.col("is_open") == F.lit(True))
                         .join(reviewed, "business_id", "left_anti")
                         .select("business_id", "name", "city", "primary_category",

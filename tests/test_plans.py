@@ -50,3 +50,18 @@ def test_running_totals_shares_one_range_shuffle(spark):
     r.collect()
     final = r._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in final          # the range-partitioned input is computed once
+
+
+def test_fact_year_filter_prunes_partitions(spark, tmp_dir):
+    import datetime as dt
+    from strataflow.plans import reports
+    from strataflow.plans.layers import Layers
+    L = Layers(spark, SF)
+    L.fact_reviews().write.partitionBy("year", "month").parquet(tmp_dir + "/fact")
+    fact = spark.read.parquet(tmp_dir + "/fact")
+    q = reports.top_by_city_category(fact, L.dim_business(), L.dates(), 1999, 1)
+    assert "PartitionFilters: [isnotnull(year" in q._jdf.queryExecution().executedPlan().toString()
+    q2 = reports.no_recent_reviews(fact, L.dim_business(), L.dates(), dt.date(2001, 6, 1))
+    assert "PartitionFilters: [isnotnull(year" in q2._jdf.queryExecution().executedPlan().toString()
+    lazy = reports.no_recent_reviews(L.fact_reviews(), L.dim_business(), L.dates(), dt.date(2001, 6, 1))
+    assert sorted(map(tuple, q2.collect())) == sorted(map(tuple, lazy.collect()))
