@@ -89,8 +89,10 @@ def clustered(df: DataFrame, partition_cols: Sequence[str] = (), cluster_cols: S
     keys = list(partition_cols) + list(cluster_cols)
     if not keys:
         return df
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE sizes the write tasks from the measured
+    # shuffle (spark.sql.adaptive.advisoryPartitionSizeInBytes ~ file size).
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def check_schema(df: DataFrame, expected: StructType, ignore: Sequence[str] = ()) -> None:
