@@ -51,3 +51,14 @@ def test_windowed_counts_upsert_sink(spark, tmp_dir):
     q.awaitTermination()
     got = sorted((r.window_start.day, r.events) for r in spark.read.parquet(tmp_dir + "/t").collect())
     assert got == [(10, 3), (11, 1)]
+
+
+def test_kafka_reader_reports_missing_package(spark):
+    import pytest
+    from strataflow.schemas import REVIEWS_SCHEMA
+    try:
+        df = ST.kafka_json_stream(spark, "localhost:9", ["reviews"], REVIEWS_SCHEMA)
+    except RuntimeError as exc:
+        assert "Kafka source" in str(exc)
+    else:   # connector present: the stream carries the contract's columns
+        assert "review_id" in df.columns and "_corrupt_record" in df.columns
