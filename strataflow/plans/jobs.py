@@ -21,8 +21,7 @@ from strataflow.operators import gold, history, silver
 from strataflow.operators.upsert import incremental_slice, upsert
 from strataflow.schemas import AUDIT_SCHEMA, ENTITIES
 from strataflow.sources import bronze as B
-from strataflow.sources.tables import (append_records, delete_path, path_exists, read_window,
-                                       write_partitioned, write_table)
+from strataflow.sources.tables import append_records, delete_path, path_exists, read_window, write_table
 
 PARTITIONED = {"reviews": ("review_id",), "checkin_events": ("business_id",), "tips": ("business_id",)}
 
