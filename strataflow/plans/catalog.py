@@ -45,9 +45,26 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_LAYERS: dict[tuple, Layers] = {}
+
+
+def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
+    """One lazy layer graph per (session, input folder).
+
+    It holds plans only, no data: every action still reads the tables, but
+    the Python-side plan building over the read-only inputs is paid once.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LAYERS:
+        _LAYERS[key] = Layers(spark, sf_dir)
+    L = _LAYERS[key]
+    L.__post_init__()           # re-apply the session settings
+    return L
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: present(fn(Layers(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: present(fn(layers_for(spark, sf_dir)))
         if sql is not None:
             SQL[name] = sql
         return fn
