@@ -181,6 +181,13 @@ def read_window(spark: SparkSession, path: str, part_col: str, start: dt.date, e
     return spark.read.format(fmt).load(path).filter(F.col(part_col).between(F.lit(start), F.lit(end)))
 
 
+def read_partitions(spark: SparkSession, path: str, part_col: str, values: Sequence,
+                    fmt: str = "parquet") -> DataFrame:
+    """Rows of the listed partitions only (``IN`` list, static partition
+    pruning), e.g. scattered dates being replayed."""
+    return spark.read.format(fmt).load(path).filter(F.col(part_col).isin(list(values)))
+
+
 def read_as_of(spark: SparkSession, path: str, as_of: dt.date, part_col: str = "ingestion_date",
                fmt: str = "parquet") -> DataFrame:
     """The latest snapshot partition on or before ``as_of``.

@@ -65,3 +65,14 @@ def test_fact_year_filter_prunes_partitions(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(year" in q2._jdf.queryExecution().executedPlan().toString()
     lazy = reports.no_recent_reviews(L.fact_reviews(), L.dim_business(), L.dates(), dt.date(2001, 6, 1))
     assert sorted(map(tuple, q2.collect())) == sorted(map(tuple, lazy.collect()))
+
+
+def test_partition_list_read_prunes(spark, tmp_dir):
+    import datetime as dt
+    from strataflow.sources.tables import read_partitions
+    df = spark.createDataFrame([(1, dt.date(2024, 1, d)) for d in range(1, 6)], "x int, ingestion_date date")
+    df.write.partitionBy("ingestion_date").parquet(tmp_dir + "/t")
+    r = read_partitions(spark, tmp_dir + "/t", "ingestion_date", [dt.date(2024, 1, 2), dt.date(2024, 1, 4)])
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "ingestion_date" in plan.split("PartitionFilters")[1][:200]
+    assert r.count() == 2
