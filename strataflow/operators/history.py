@@ -77,3 +77,36 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str, ts_col: str,
     cond = ((facts[key] == h["_h_key"]) & (h["valid_from"] <= facts[ts_col])
             & (h["valid_to"].isNull() | (facts[ts_col] < h["valid_to"])))
     return facts.join(h, cond, how).drop("_h_key")
+
+
+CLOSED_RUN = "closed_run"
+
+
+def scd2_store(spark, path: str, snapshot: DataFrame, key: str, tracked: Sequence[str], run_ts,
+               fmt: str = "parquet") -> int:
+    """Apply a snapshot to a stored history table without rewriting it whole.
+
+    The table is partitioned by ``closed_run`` (the run that closed a version;
+    null for current versions). A run reads only the current partition,
+    and one dynamic-overwrite write replaces that partition and creates the
+    partition of the versions closed by this run; both become visible at the
+    same commit. Older closed versions are never rewritten, and re-running
+    the same ``run_ts`` rewrites the same two partitions (idempotent).
+    """
+    from strataflow.sources.tables import path_exists, write_partitioned
+    tag = F.concat(F.lit("r"), F.date_format("valid_to", "yyyyMMddHHmmss"))
+    if not path_exists(spark, path):
+        out = scd2_apply(None, snapshot, key, tracked, run_ts)
+    else:
+        stored = spark.read.format(fmt).load(path)
+        current = stored.filter(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
+        out = scd2_apply(current, snapshot, key, tracked, run_ts)
+        # a re-run at the same run_ts: versions it closed before are still there
+        same_run = stored.filter(F.col(CLOSED_RUN) == F.concat(
+            F.lit("r"), F.date_format(ts_lit(run_ts), "yyyyMMddHHmmss"))).drop(CLOSED_RUN)
+        out = out.unionByName(same_run)
+    return write_partitioned(out.withColumn(CLOSED_RUN, tag), path, [CLOSED_RUN], fmt, guard=False)
+
+
+def read_history(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.format(fmt).load(path).drop(CLOSED_RUN)

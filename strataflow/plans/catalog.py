@@ -622,12 +622,10 @@ _META_SQL = f"record_hash, {TS('valid_from')} as valid_from, {TS('valid_to')} as
 def _two_runs(L: Layers, build, key: str, cols, tracked, t1: str, t2: str, name: str) -> DataFrame:
     """Apply two snapshots, persisting the history table between the runs."""
     spark = L.spark
-    base = scratch_path(spark, name)
-    h1 = hist.scd2_apply(None, build("previous").select(*cols), key, tracked, t1)
-    write_table(h1, base + "/run1")
-    h2 = hist.scd2_apply(spark.read.parquet(base + "/run1"), build("latest").select(*cols), key, tracked, t2)
-    write_table(h2, base + "/run2")
-    return spark.read.parquet(base + "/run2")
+    path = scratch_path(spark, name) + "/history"
+    hist.scd2_store(spark, path, build("previous").select(*cols), key, tracked, t1)
+    hist.scd2_store(spark, path, build("latest").select(*cols), key, tracked, t2)
+    return hist.read_history(spark, path)
 
 
 _BIZ_SNAPSHOTS = (O.BRONZE_BUSINESS_PREV, O.silver_business("bronze_business_prev", "sb_prev"),

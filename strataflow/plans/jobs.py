@@ -132,14 +132,7 @@ def run_gold(spark: SparkSession, paths: Paths, date_start: dt.date, date_end: d
             ("dim_user_history", paths.gold("dim_user"), "user_id", history.USER_TRACKED,
              ["user_id", "name", "review_count", "average_stars", "is_elite", "elite_years_count", "fan_count",
               "yelping_since_year", "total_useful_votes", "total_funny_votes", "total_cool_votes"])):
-        hpath = paths.gold(name)
-        prev = rd(hpath) if path_exists(spark, hpath) else None
-        new = history.scd2_apply(prev, rd(dim).select(*cols), key, tracked, run_ts)
-        staging = hpath + "__next"
-        delete_path(spark, staging)
-        write_table(new, staging)
-        out[name] = write_table(rd(staging), hpath)
-        delete_path(spark, staging)
+        out[name] = history.scd2_store(spark, paths.gold(name), rd(dim).select(*cols), key, tracked, run_ts)
     for t in ("dim_date", "dim_business", "dim_user"):
         _audit(spark, paths, t, "gold", None, out[t], run_ts.date(), run_ts)
     return out

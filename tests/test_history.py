@@ -40,3 +40,23 @@ def test_as_of_join(spark):
                                   "fid string, id string, ts timestamp")
     got = {r.fid: r.score for r in as_of_join(facts, h, "id", "ts", ["score"]).collect()}
     assert got == {"f0": None, "f1": 1, "f2": 2, "f3": 2}
+
+
+def test_scd2_store_rewrites_only_current_and_new_closed(spark, tmp_dir):
+    import os
+    from strataflow.operators.history import read_history, scd2_store
+    path = tmp_dir + "/h"
+    s1 = spark.createDataFrame([("a", "x", 1), ("b", "y", 1)], SCHEMA)
+    s2 = spark.createDataFrame([("a", "x", 2), ("b", "y", 1)], SCHEMA)
+    s3 = spark.createDataFrame([("a", "x", 3), ("b", "y", 1)], SCHEMA)
+    scd2_store(spark, path, s1, "id", ["score"], T1)
+    scd2_store(spark, path, s2, "id", ["score"], T2)
+    parts = sorted(p for p in os.listdir(path) if p.startswith("closed_run="))
+    assert parts == ["closed_run=__HIVE_DEFAULT_PARTITION__", "closed_run=r20240201000000"]
+    before = os.listdir(os.path.join(path, "closed_run=r20240201000000"))
+    scd2_store(spark, path, s3, "id", ["score"], "2024-03-01 00:00:00")
+    assert os.listdir(os.path.join(path, "closed_run=r20240201000000")) == before   # untouched
+    scd2_store(spark, path, s3, "id", ["score"], "2024-03-01 00:00:00")             # re-run: no-op
+    h = read_history(spark, path)
+    assert h.count() == 4 and h.filter("is_current").count() == 2
+    assert sorted(r.score for r in h.filter("id = 'a'").collect()) == [1, 2, 3]
