@@ -173,6 +173,20 @@ def q_top_by_city_category(L: Layers) -> DataFrame:
                                         MIN_CITY_GROUP, 100)
 
 
+@register("city_category_ratings", W(*O.REVIEWS_CHAIN, *O.BUSINESS_CHAIN) + f"""
+select b.city, b.primary_category, b.name, {O.r2('avg(f.review_stars)')} as avg_rating,
+       count(f.review_id) as total_reviews
+from fact_reviews f
+join dim_business b on f.business_id = b.business_id
+join dim_date dd on f.date_id = dd.date_id
+where dd.year = {TOP_YEAR} and b.primary_category is not null
+group by b.city, b.primary_category, b.name
+""")
+def q_city_category_ratings(L: Layers) -> DataFrame:
+    """The scenario form of the city ranking: every group, no floor, no limit."""
+    return reports.top_by_city_category(L.fact_reviews(), L.dim_business(), L.dates(), TOP_YEAR, 0, None)
+
+
 @register("elite_behaviour", W(*O.REVIEWS_CHAIN, *O.USERS_CHAIN) + f"""
 select u.is_elite, count(f.review_id) as total_reviews,
        {O.r2('avg(f.review_stars)')} as avg_stars_given,

@@ -148,7 +148,7 @@ def top_businesses_by_year(fact: DataFrame, dim_business: DataFrame, dates: Data
 
 
 def top_by_city_category(fact: DataFrame, dim_business: DataFrame, dates: DataFrame, year: int,
-                         min_reviews: int = MIN_REVIEWS_PER_GROUP, limit: int = TOP_BY_CITY_LIMIT) -> DataFrame:
+                         min_reviews: int = MIN_REVIEWS_PER_GROUP, limit: int | None = TOP_BY_CITY_LIMIT) -> DataFrame:
     """Best-rated (city, category, name) groups in one year; a top-k report.
 
     The fact's own ``year`` column is filtered too: on a year/month partitioned
@@ -164,8 +164,9 @@ def top_by_city_category(fact: DataFrame, dim_business: DataFrame, dates: DataFr
             .filter(F.col("total_reviews") >= min_reviews)
             .select("city", "primary_category", "name",
                     round_half_up(_avg("_s", "_sc"), 2).alias("avg_rating"), "total_reviews"))
-    return g.orderBy(F.col("avg_rating").desc(), F.col("total_reviews").desc(), "city",
-                     "primary_category", "name").limit(limit)
+    ordered = g.orderBy(F.col("avg_rating").desc(), F.col("total_reviews").desc(), "city",
+                        "primary_category", "name")
+    return ordered.limit(limit) if limit is not None else ordered
 
 
 # ── users ──────────────────────────────────────────────────────────────────
