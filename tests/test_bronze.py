@@ -82,3 +82,12 @@ def test_schema_guard(spark):
     check_schema(a, a.schema)
     with pytest.raises(SchemaMismatch):
         check_schema(a, spark.createDataFrame([(1, 2)], "a int, b int").schema)
+
+
+def test_good_plus_quarantine_equals_input(spark, tmp_dir):
+    lines = [json.dumps({"business_id": f"b{i}", "date": "2020-01-01 00:00:00"}) for i in range(40)]
+    lines[7] = lines[7][:-5]
+    lines[21] = "not json at all"
+    src = write_lines(tmp_dir + "/land", "c.json", lines)
+    good, bad = J.split_corrupt(J.read_json_entity(spark, src, CHECKINS_SCHEMA))
+    assert good.count() + bad.count() == len(lines) and bad.count() == 2
