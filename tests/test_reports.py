@@ -53,3 +53,24 @@ def test_round_half_up(spark):
     got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
     assert got[:2] == [2.13, 1.0] and got[3] is None
     assert df.select(round_half_up("x", 0)).collect()[2][0] == 3.0
+
+
+def test_trends_and_elite_split(spark):
+    from strataflow.operators.gold import dim_date
+    dates = dim_date(spark, dt.date(2024, 1, 1), dt.date(2024, 3, 31))
+    ids = {r.full_date: r.date_id for r in dates.collect()}
+    fact = spark.createDataFrame(
+        [("r1", "b", "u1", ids[dt.date(2024, 1, 5)], 5.0, 2, 10), ("r2", "b", "u2", ids[dt.date(2024, 1, 9)], 2.0, 0, 20),
+         ("r3", "c", "u1", ids[dt.date(2024, 3, 1)], 4.0, 1, 30), ("r4", "c", "u3", None, 1.0, 0, 40)],
+        "review_id string, business_id string, user_id string, date_id string, review_stars double, "
+        "useful_votes long, review_length_chars int")
+    t = {r.year_month: r for r in reports.review_trends(fact, dates).collect()}
+    assert set(t) == {"2024-01", "2024-03"}                        # no date -> not in the inner join
+    assert (t["2024-01"].total_reviews, t["2024-01"].avg_rating, t["2024-01"].avg_review_length) == (2, 3.5, 15.0)
+    users = spark.createDataFrame([("u1", "A", True, 3), ("u2", "B", False, 0), ("u3", "C", False, 1)],
+                                  "user_id string, name string, is_elite boolean, fan_count long")
+    e = {r.is_elite: r for r in reports.elite_behaviour(fact, users).collect()}
+    assert e[True].total_reviews == 2 and e[True].avg_stars_given == 4.5 and e[True].avg_useful_votes == 1.5
+    assert e[False].total_reviews == 2 and e[False].avg_review_length_chars == 30.0
+    top = reports.active_reviewers(fact, users, limit=1).collect()
+    assert [(r.user_id, r.reviews_written) for r in top] == [("u1", 2)]
