@@ -76,3 +76,21 @@ def test_partition_list_read_prunes(spark, tmp_dir):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "ingestion_date" in plan.split("PartitionFilters")[1][:200]
     assert r.count() == 2
+
+
+WRITES = {"fact_upsert", "business_history", "user_history", "asof_elite", "bronze_roundtrip", "schema_drift",
+          "stream_dedup_events", "stream_daily_events", "stream_upsert", "layered_build", "snapshot_as_of",
+          "retention_expired"}
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    bad = {}
+    for name, q in E.queries().items():
+        if name in WRITES:
+            continue
+        p = plan(q(spark, SF))
+        found = [k for k in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+                 if k in p]
+        if found:
+            bad[name] = found
+    assert not bad, bad
