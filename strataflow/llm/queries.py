@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strataflow.llm import packing, token_files
+from strataflow.llm import decontaminate, packing, simhash, token_files
 from strataflow.llm.common import ship, table
 from strataflow.session import scratch_path
 
@@ -21,6 +22,19 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, capacity=2048)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    n_hit = F.size(decontaminate.hit_positions()).cast("long")
+    return hits.select(F.col("id").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
+                       F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, k=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token_files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary_file(), end_id=1)
@@ -32,7 +46,25 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op3_best_fit_packing, op9_token_files)
+    f.__name__: _with_package(f) for f in (op3_best_fit_packing, op5_decontamination, op7_simhash, op9_token_files)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_decontamination": r"""
+with w as (select doc_id, rid, coalesce(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) ws
+           from (select doc_id, text, row_number() over () rid from documents)),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from benchmark),
+bw as (select distinct item_id, m, array_to_string(ws[i:i + m - 1], ' ') win
+       from (select item_id, ws, least(len(ws), 10) m, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) i from b where len(ws) > 0)),
+dw as (select rid, m, i, array_to_string(ws[i:i + m - 1], ' ') win
+       from (select rid, ws, m, unnest(range(1, len(ws) - m + 2)) i from w, (select distinct m from bw))),
+h as (select dw.rid, dw.i, dw.m, bw.item_id from dw join bw using (win)),
+c as (select rid, count(distinct p) n_hit from (select distinct rid, unnest(range(i, i + m)) p from h) group by 1),
+t as (select rid, count(*) n_items, string_agg(s, ',' order by s) ids from (select distinct rid, item_id::varchar s from h) where s is not null group by 1)
+select doc_id, len(ws)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+       sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from w left join c using (rid) left join t using (rid)
+""",
+}
