@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from strataflow.session import scratch_path
 
-MIX = 0x9E3779B97F4A7C15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,3 +146,41 @@ def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             parent[max(x, y)] = min(x, y)
             keep.append(i)
     return np.array(keep, np.int64)
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_powers: dict[int, np.ndarray] = {}
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n - 1) modulo 2**64, kept per process."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        step = np.full(max(n, 1 << 16), base, np.uint64)
+        step[0] = 1
+        have = _powers[base] = np.multiply.accumulate(step)
+    return have[:n]
+
+
+def hash_words(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and 64-bit hash of each space-separated word in a byte array.
+
+    A polynomial hash from one running sum (differences of prefix sums, scaled
+    back by the inverse power), then mixed with the word's length.
+    """
+    base = 0x9E3779B97F4A7C15
+    space = _SPACE[text]
+    starts = np.flatnonzero(~space & np.append(True, space[:-1])) if len(text) else np.empty(0, np.int64)
+    ends = np.flatnonzero(~space & np.append(space[1:], True)) + 1 if len(text) else np.empty(0, np.int64)
+    total = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * _powers_of(base, len(text)), out=total[1:])
+    inverse = _powers_of(pow(base, -1, 1 << 64), len(text))
+    h = (total[ends] - total[starts]) * inverse[starts]
+    return starts, ends, mix64(h ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def mix64(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, packing, simhash, token_files
+from strataflow.llm import decontaminate, packing, quality, simhash, token_files
 from strataflow.llm.common import ship, table
 from strataflow.session import scratch_path
 
@@ -22,6 +22,14 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, capacity=2048)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crf = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, crf)
+    return scored.select("doc_id", (quality.remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
     n_hit = F.size(decontaminate.hit_positions()).cast("long")
@@ -46,7 +54,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op3_best_fit_packing, op5_decontamination, op7_simhash, op9_token_files)
+    f.__name__: _with_package(f) for f in (op3_best_fit_packing, op4_quality, op5_decontamination, op7_simhash, op9_token_files)
 }
 
 SQL: dict[str, str] = {
