@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import chunks, hash_words, text_bytes
+from strataflow.llm.common import chunks, hash_words, remainder, text_bytes
 
 BATCH_BYTES = 2 << 20
 OTHER, SPACE, LOWER, UPPER, DIGIT, PUNCT, SYMBOL = range(7)
@@ -138,11 +138,6 @@ def fit(x: np.ndarray, bounds: np.ndarray, label: np.ndarray, rounds: int = 500,
     return crf
 
 
-def remainder(id_col: str, divisor: int) -> Column:
-    """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
-
-
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, folds: int = 5, held_out: int = 0,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> LineCrf:
     """Fit on at most ``max_docs`` labelled documents whose fold is not ``held_out``."""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, packing, quality, simhash, token_files
-from strataflow.llm.common import ship, table
+from strataflow.llm import decontaminate, language, packing, quality, simhash, token_files
+from strataflow.llm.common import remainder, ship, table
 from strataflow.session import scratch_path
 
 
@@ -26,7 +26,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     crf = quality.train(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs, crf)
-    return scored.select("doc_id", (quality.remainder("doc_id", 5) == 0).alias("held_out"), "score",
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
@@ -49,12 +49,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    found = language.predict(docs.select("doc_id", "text"), model, score_out="score")
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op3_best_fit_packing, op4_quality, op5_decontamination, op7_simhash, op9_token_files)
+    f.__name__: _with_package(f) for f in (op3_best_fit_packing, op4_quality, op5_decontamination, op7_simhash, op9_token_files,
+                                          op10_language_id)
 }
 
 SQL: dict[str, str] = {
