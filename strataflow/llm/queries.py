@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, language, packing, quality, simhash, token_files
+from strataflow.llm import decontaminate, html_text, language, packing, quality, simhash, token_files, warc
 from strataflow.llm.common import remainder, ship, table
 from strataflow.session import scratch_path
 
@@ -17,6 +17,11 @@ def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(table(spark, sf_dir, "documents"), vocabulary_file(), end_id=0, capacity=2048)
     return packing.pack(pieces, capacity=2048)
@@ -43,6 +48,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return warc.resolve_revisits(warc.assemble(warc.read_archives(spark, folder))).drop("url")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token_files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary_file(), end_id=1)
@@ -61,8 +72,9 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _with_package(f) for f in (op3_best_fit_packing, op4_quality, op5_decontamination, op7_simhash, op9_token_files,
-                                          op10_language_id)
+    f.__name__: _with_package(f) for f in (
+        op2_html_text, op3_best_fit_packing, op4_quality, op5_decontamination, op7_simhash, op8_warc, op9_token_files,
+        op10_language_id)
 }
 
 SQL: dict[str, str] = {
