@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, html_text, language, packing, quality, simhash, token_files, warc
+from strataflow.llm import decontaminate, embeddings, html_text, language, packing, quality, simhash, token_files, warc
 from strataflow.llm.common import remainder, ship, table
 from strataflow.session import scratch_path
 
@@ -43,6 +43,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), limit=0.9)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, k=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -73,7 +77,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_package(f) for f in (
-        op2_html_text, op3_best_fit_packing, op4_quality, op5_decontamination, op7_simhash, op8_warc, op9_token_files,
+        op2_html_text, op3_best_fit_packing, op4_quality, op5_decontamination, op6_embeddings, op7_simhash, op8_warc, op9_token_files,
         op10_language_id)
 }
 
