@@ -8,15 +8,22 @@ from functools import lru_cache
 import numpy as np
 
 #: Words remembered by one Python worker; beyond it the memory starts anew.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
+#: Marks that often follow a word; between a letter and a mark the pre-tokenizer always cuts.
+MARKS = b".,!?:;*#$%&|"
+END_OF_WORD = "</w>"
 
 
 class WordEncoder:
     """``Tokenizer.encode(text, add_special_tokens=False)`` for many texts.
 
-    The vocabulary's pre-tokenizer drops white space and never joins text
-    across it, so a text's ids are those of its space-separated words in
-    order. Each distinct word goes through the library once per worker.
+    The vocabulary's pre-tokenizer drops white space, never joins text across
+    it, and ignores case, so a text's ids are those of its space-separated,
+    lower-cased words in order. Each distinct word goes through the library once
+    per worker: words of letters only in one long call (each is one piece, whose
+    last token is marked as a word's end), all others one by one. Texts that
+    may hold a special token's name, or marks that combine with a letter
+    (U+0300 to U+037F), go through the library whole.
     Ids are little-endian unsigned 32-bit.
     """
 
@@ -25,17 +32,45 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.ends = np.zeros(self.vocabulary, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items() if t.endswith(END_OF_WORD)]] = True
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, odd = [], []
+        for w in words:
+            (plain if w.isalpha() or w.decode().isalpha() else odd).append(w)
+        for i in range(0, len(plain), 5_000):
+            part = plain[i:i + 5_000]
+            ids = np.frombuffer(self._each([b" ".join(part).decode()])[0], "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part) and stops[-1] == len(ids):
+                flat, at = ids.tobytes(), (4 * stops).tolist()
+                self.known.update(zip(part, [flat[a:b] for a, b in zip([0, *at], at)]))
+            else:
+                odd += part
+        self.known.update(zip(odd, self._each([w.decode() for w in odd])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
         if len(self.known) > WORDS_KEPT:
             self.known = {}
-        new = list(set().union(*words).difference(self.known))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        apart = [b"<|" in t or b"\xcc" in t or b"\xcd" in t for t in texts]
+        words = [[] if x else t.lower().split() for t, x in zip(texts, apart)]
+        new, known = set().union(*words).difference(self.known), self.known
+        marked = []
+        for w in new:
+            stem = w.rstrip(MARKS)
+            if stem and len(stem) < len(w) and stem.decode()[-1].lower().isalpha():
+                marked.append((w, stem, w[len(stem):]))
+        new.difference_update(w for w, _, _ in marked)
+        for _, stem, marks in marked:
+            new.update(x for x in (stem, marks) if x not in known)
+        self._learn(sorted(new))
+        known.update((w, known[stem] + known[marks]) for w, stem, marks in marked)
+        whole = iter(self._each([t.decode() for t, x in zip(texts, apart) if x]))
+        return [next(whole) if x else b"".join(map(known.__getitem__, w)) for w, x in zip(words, apart)]
 
     @property
     def vocabulary(self) -> int:
