@@ -1,8 +1,71 @@
-"""Corpus pipeline (stages follow)."""
+"""The corpus pipeline: quality, language, near-duplicates, benchmark passages, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+it as Parquet to the shared scratch folder and reads it back as the next
+stage's ``docs``. All but the last return the columns they were given.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from strataflow.llm import decontaminate, language, packing, quality, simhash
+from strataflow.llm.common import ship, stored, table
+from strataflow.llm.queries import vocabulary_file
+
+#: Documents with a lower quality score go.
+MIN_QUALITY = 0.3
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line CRF, learned from the labels, scores at least ``MIN_QUALITY``."""
+    ship(spark)
+    crf = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, crf, out="_quality").where(f"_quality >= {MIN_QUALITY}").select(*_same(docs))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages: those without a letter (``und``) go."""
+    ship(spark)
+    found = language.predict(docs, language.train(docs), lang_out="_lang", score_out="_lang_score")
+    return found.where(f"_lang <> '{language.UND}'").select(*_same(docs))
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of fingerprints within 3 bits: the one with the smallest id."""
+    ship(spark)
+    return simhash.keep_one(docs, width=3, k=3)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a word inside a benchmark window of 10 words."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"), mode="documents", width=10)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the kept documents in training sequences of at most 2048 tokens."""
+    ship(spark)
+    return packing.pack(packing.cut_pieces(docs, vocabulary_file(), end_id=0, capacity=2048), capacity=2048)
+
+
+def _same(docs: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in docs.columns]
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("language", language_stage),
+    ("simhash", simhash_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
+
+#: Four of the five stages are models, hashes or tokenizers that SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

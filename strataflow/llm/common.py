@@ -86,21 +86,39 @@ def mapped(store, path: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def text_bytes(column: pa.Array) -> list[bytes]:
-    """UTF-8 bytes of a string column; null counts as empty."""
-    return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
-
-
-def chunks(items: list, sizes: list[int], most: int) -> Iterator[slice]:
-    """Consecutive slices of ``items`` of about ``most`` bytes, at least one item each."""
-    start = total = 0
-    for i, n in enumerate(sizes):
-        if total and total + n > most:
-            yield slice(start, i)
-            start, total = i, 0
-        total += n
-    if start < len(items):
-        yield slice(start, len(items))
+class TextBytes:
+    """UTF-8 bytes of a string column (null counts as empty), copied only as they are asked for."""
+
+    def __init__(self, column: pa.Array) -> None:
+        column = column.cast(pa.large_string())
+        _, at, data = column.buffers()
+        first, n = column.offset, len(column)
+        self.at = np.frombuffer(at, np.int64)[first:first + n + 1] if n else np.zeros(1, np.int64)
+        self.data = memoryview(data) if data else memoryview(b"")
+        self.sizes = np.diff(self.at)
+        if column.null_count:
+            self.sizes = np.where(np.array(column.is_null()), 0, self.sizes)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, s: slice) -> list[bytes]:
+        return [bytes(self.data[a:a + n]) for a, n in zip(self.at[s].tolist(), self.sizes[s].tolist())]
+
+    def __iter__(self) -> Iterator[bytes]:
+        for i in range(len(self)):
+            yield self[i:i + 1][0]
+
+    def slices(self, most: int) -> Iterator[slice]:
+        """Consecutive rows of about ``most`` bytes, at least one row each."""
+        start = total = 0
+        for i, n in enumerate(self.sizes.tolist()):
+            if total and total + n > most:
+                yield slice(start, i)
+                start, total = i, 0
+            total += n
+        if start < len(self):
+            yield slice(start, len(self))
 
 
 def connected(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:

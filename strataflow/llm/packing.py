@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import chunks, partitions, stored, text_bytes
+from strataflow.llm.common import TextBytes, partitions, stored
 from strataflow.llm.tokens import encoder
 
 BATCH_BYTES = 4 << 20
@@ -42,8 +42,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
-            for s in chunks(texts, list(map(len, texts)), BATCH_BYTES):
+            names, texts = batch.column(0).to_pylist(), TextBytes(batch.column(1))
+            for s in texts.slices(BATCH_BYTES):
                 rows = []
                 for name, ids in zip(names[s], enc.encode(texts[s])):
                     ids += end

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import chunks, hash_words, remainder, text_bytes
+from strataflow.llm.common import TextBytes, hash_words, remainder
 
 BATCH_BYTES = 2 << 20
 OTHER, SPACE, LOWER, UPPER, DIGIT, PUNCT, SYMBOL = range(7)
@@ -147,8 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, folds: int =
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            for s in chunks(texts, list(map(len, texts)), BATCH_BYTES):
+            texts = TextBytes(batch.column(1))
+            for s in texts.slices(BATCH_BYTES):
                 x, _, bounds = line_features(texts[s])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[s], pa.array(np.diff(bounds)), pa.array([x[a:b].tobytes() for a, b in zip(bounds, bounds[1:])])],
@@ -168,8 +168,8 @@ def score(docs: DataFrame, crf: LineCrf, text_col: str = "text", out: str = "sco
     """``docs`` with a score column added; every other column passes through, whatever its name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_bytes(batch.column(0))
-            got = [crf.scores(texts[s]) for s in chunks(texts, list(map(len, texts)), BATCH_BYTES)]
+            texts = TextBytes(batch.column(0))
+            got = [crf.scores(texts[s]) for s in texts.slices(BATCH_BYTES)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(np.concatenate(got) if got else np.empty(0))], names=["row", "score"])
 

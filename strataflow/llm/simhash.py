@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import chunks, connected, partitions, spanning, stored, text_bytes
+from strataflow.llm.common import TextBytes, connected, partitions, spanning, stored
 
 SEED = 42
 CAP = 2048
@@ -51,15 +51,21 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row."""
+def _named_fingerprints(docs: DataFrame, name: Column, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, name, fp) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t, width) for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t, width) for t in TextBytes(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "name", "fp"])
+
+    return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), name.cast("string").alias("name"),
+                        F.col(f"`{text_col}`").cast("string").alias("text"))
+            .mapInArrow(run, "doc_id long, name string, fp long"))
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+
+def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp) of every row."""
+    return _named_fingerprints(docs, F.lit(None), width, id_col, text_col).drop("name")
 
 
 def _variants(value: Column, bits: int, start: int) -> list[Column]:
@@ -174,13 +180,36 @@ def links(distinct: DataFrame, k: int = 3, cap: int = CAP) -> DataFrame:
     return found.unionAll(second)
 
 
+def grouped(fps: DataFrame, k: int) -> DataFrame:
+    """(fp, root) of every distinct fingerprint of ``fps``; root is one fingerprint of its group."""
+    distinct = fps.select("fp").distinct()
+    roots = connected(links(distinct, k), "simhash_components")
+    return (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+            .select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, fp (signed), component_id (smallest id reachable over links of at most ``k`` bits)."""
     fps = stored(fingerprints(docs, width, id_col, text_col), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    roots = connected(links(classes.select("fp"), k), "simhash_components")
-    rooted = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .withColumn("root", F.coalesce("root", "fp")))
-    named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return (fps.join(rooted.select("fp", "root").join(named, "root").drop("root"), "fp")
+    rooted = stored(grouped(fps, k), "simhash_roots")
+    # the smallest id of each fingerprint first (map-side), then of each group
+    named = (fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).join(rooted, "fp")
+             .groupBy("root").agg(F.min("rep").alias("component_id")))
+    return (fps.join(rooted.join(named, "root").drop("root"), "fp")
             .select("doc_id", "fp", "component_id"))
+
+
+def keep_one(docs: DataFrame, width: int = 3, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group: that with the smallest id (null last), then the smallest text hash.
+
+    All columns of ``docs`` stay; of exact repeats of that row, one stays.
+    """
+    text = F.col(f"`{text_col}`").cast("string")
+    name = F.concat_ws("-", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")),
+                       F.hex(F.xxhash64(text)), F.hex(F.xxhash64(F.lit("second"), text)))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("name"))
+    fps = stored(_named_fingerprints(docs, name, width, id_col, text_col), "fingerprints")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "name")).alias("best")
+    kept = (fps.groupBy("fp").agg(best).join(grouped(fps, k), "fp")
+            .groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.name").alias("name")))
+    return own.join(kept, "name", "left_semi").groupBy("name").agg(F.first("row").alias("row")).select("row.*")

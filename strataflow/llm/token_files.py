@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import chunks, mapped, open_store, partitions, put_file, text_bytes
+from strataflow.llm.common import TextBytes, mapped, open_store, partitions, put_file
 from strataflow.llm.tokens import encoder
 
 NULL_ID = -(1 << 63)
@@ -42,8 +42,8 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         for batch in batches:
             enc = enc or encoder(tokenizer)
             width = "<u2" if max(enc.vocabulary, end_id + 1) <= 65536 else "<u4"
-            texts = text_bytes(batch.column(1))
-            for s in chunks(texts, list(map(len, texts)), BATCH_BYTES):
+            texts = TextBytes(batch.column(1))
+            for s in texts.slices(BATCH_BYTES):
                 for ids in enc.encode(texts[s]):
                     parts.append(np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(width).tobytes())
                     lengths.append(len(ids) // 4 + 1)
