@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -27,7 +28,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Drop ``stored`` tables that are no longer needed, and the shuffle files of finished steps.
+
+    Spark removes shuffle files once the plans that made them are garbage; a
+    long job that waits for that keeps all of them on disk at once.
+    """
+    jvm = spark.sparkContext._jvm
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def ship(spark: SparkSession) -> SparkSession:

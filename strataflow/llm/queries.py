@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, embeddings, html_text, language, packing, quality, simhash, token_files, warc
+from strataflow.llm import decontaminate, embeddings, html_text, katz, language, packing, quality, simhash, token_files, warc
 from strataflow.llm.common import remainder, ship, table
 from strataflow.session import scratch_path
 
@@ -17,6 +17,11 @@ def vocabulary_file(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.score_corpus(table(spark, sf_dir, "documents"), held_out=remainder("doc_id", 10) == 0)
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -77,7 +82,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_package(f) for f in (
-        op2_html_text, op3_best_fit_packing, op4_quality, op5_decontamination, op6_embeddings, op7_simhash, op8_warc, op9_token_files,
+        op1_katz, op2_html_text, op3_best_fit_packing, op4_quality, op5_decontamination, op6_embeddings, op7_simhash, op8_warc, op9_token_files,
         op10_language_id)
 }
 
