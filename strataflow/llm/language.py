@@ -140,25 +140,23 @@ def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge:
 
 def predict(docs: DataFrame, model: KernelClassifier, text_col: str = "text",
             lang_out: str = "lang_pred", score_out: str = "lang_score") -> DataFrame:
-    """``docs`` with predicted language and score; every other column passes through."""
+    """``docs`` with predicted language and score; every other column stays in the JVM."""
     shared = docs.sparkSession.sparkContext.broadcast(model)      # bounded by the sample
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m, table = shared.value, None
-        for batch in batches:
-            texts, langs, scores = batch.column(0).to_pylist(), [], []
+        for column in columns:
+            langs, scores = [], [np.empty(0)]
             if not m.languages:
-                langs, scores = [UND] * len(texts), [np.zeros(len(texts))]
+                langs, scores = [UND] * len(column), [np.zeros(len(column))]
             else:
                 table = m.lookup() if table is None else table
-                for i in range(0, len(texts), BATCH_ROWS):
-                    a, b = m.predict(texts[i:i + BATCH_ROWS], table)
+                for i in range(0, len(column), BATCH_ROWS):
+                    a, b = m.predict(column[i:i + BATCH_ROWS].to_pylist(), table)
                     langs += a
                     scores.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(langs, pa.string()),
-                                              pa.array(np.concatenate(scores) if scores else np.empty(0))], names=["row", "lang", "score"])
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], names=["lang", "score"])
 
-    rest = [c for c in docs.columns if c not in (lang_out, score_out)]
-    packed = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
-    schema = f"row {packed.schema['row'].dataType.simpleString()}, lang string, score double"
-    return packed.mapInArrow(run, schema).select("row.*", F.col("lang").alias(lang_out), F.col("score").alias(score_out))
+    found = F.arrow_udf(run, "lang string, score double").asNondeterministic()
+    return (docs.withColumn("_language", found(F.col(f"`{text_col}`").cast("string")))
+            .withColumns({lang_out: F.col("_language.lang"), score_out: F.col("_language.score")}).drop("_language"))

@@ -165,15 +165,15 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, folds: int =
 
 
 def score(docs: DataFrame, crf: LineCrf, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with a score column added; every other column passes through, whatever its name."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = TextBytes(batch.column(0))
-            got = [crf.scores(texts[s]) for s in texts.slices(BATCH_BYTES)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(np.concatenate(got) if got else np.empty(0))], names=["row", "score"])
-
-    rest = [c for c in docs.columns if c != out]
-    packed = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
-    schema = f"row {packed.schema['row'].dataType.simpleString()}, score double"
-    return packed.mapInArrow(run, schema).select("row.*", F.col("score").alias(out))
+    """``docs`` with a score column; every other column stays, whatever its name.
+
+    Only the text goes to Python; the other columns wait in the JVM.
+    """
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            texts = TextBytes(column)
+            yield pa.array(np.concatenate([np.empty(0), *(crf.scores(texts[s]) for s in texts.slices(BATCH_BYTES))]))
+
+    # evaluated once a row: a filter on the score does not make a second call of it
+    scored = F.arrow_udf(run, "double").asNondeterministic()
+    return docs.withColumn(out, scored(F.col(f"`{text_col}`").cast("string")))
