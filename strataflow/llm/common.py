@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -43,8 +44,10 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
     for t in tables:
         path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
+    for _ in range(2):          # Python's handles first, then the plans they held, then Spark's cleaner
+        gc.collect()
+        time.sleep(0.2)
+        jvm.System.gc()
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -169,23 +172,18 @@ def connected(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"{name}: components did not settle in {most_rounds} rounds")
 
 
-def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Positions of pairs (a[i], b[i]) over 0..n-1 that form a spanning forest."""
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    keep = []
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = find(x), find(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            keep.append(i)
-    return np.array(keep, np.int64)
+def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest member of the group of each of 0..n-1, under the links (a[i], b[i])."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 _SPACE = np.zeros(256, bool)

@@ -12,7 +12,7 @@ in double precision.
 
 Exact copies are one class from the start. Lists are cut into blocks, and pairs
 of blocks are the groups that tasks work on, so a large list is many bounded
-tasks; a group returns counts of links and a spanning forest, never its pairs.
+tasks; a group returns counts of links and one edge a member, never its pairs.
 A pair that both sides find counts once for each, as does a pair that one side
 finds.
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import connected, spanning, stored
+from strataflow.llm.common import connected, roots, stored
 
 BLOCK = 2000
 
@@ -173,12 +173,13 @@ def _links(classes: DataFrame, width: int, limit: float, sample: int, per_list:
         alone = ~(seen[b] == home[a][:, None]).any(axis=1)
         n = (np.bincount(a, yc[b], minlength=len(x)), np.bincount(b[alone], xc[a[alone]], minlength=len(y)))
         nodes, at = np.unique(np.concatenate([xi[a], yi[b]]), return_inverse=True)
-        keep = spanning(at[:len(a)], at[len(a):], len(nodes))
+        root = roots(at[:len(a)], at[len(a):], len(nodes))
+        other = np.flatnonzero(root != np.arange(len(nodes)))
         counted = [(i[c > 0], c[c > 0].astype(np.int64)) for i, c in zip((xi, yi), n)]
         counts = np.concatenate([c for c, _ in counted]), np.concatenate([c for _, c in counted])
-        return pa.table({"a": np.concatenate([xi[a[keep]], counts[0]]),
-                         "b": pa.concat_arrays([pa.array(yi[b[keep]]), pa.nulls(len(counts[0]), pa.int64())]),
-                         "n": pa.concat_arrays([pa.nulls(len(keep), pa.int64()), pa.array(counts[1])])})
+        return pa.table({"a": np.concatenate([nodes[other], counts[0]]),
+                         "b": pa.concat_arrays([pa.array(nodes[root[other]]), pa.nulls(len(counts[0]), pa.int64())]),
+                         "n": pa.concat_arrays([pa.nulls(len(other), pa.int64()), pa.array(counts[1])])})
 
     found = stored(left.unionByName(right).groupBy("list", "q", "m").applyInArrow(compare, "a long, b long, n long"), "vector_links")
     return (found.where("n is not null").select(F.col("a").alias("node"), "n"), found.where("n is null").select("a", "b"))

@@ -28,11 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import TextBytes, connected, partitions, spanning, stored
+from strataflow.llm.common import TextBytes, connected, partitions, stored
 
 SEED = 42
 CAP = 2048
-BATCH_BYTES = 4 << 20
 
 
 def fingerprint(text: bytes, width: int) -> int:
@@ -85,9 +84,18 @@ def close_pairs(f: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     u = f.view(np.uint64)
     if len(u) <= CAP:
         near = np.bitwise_count(u[:, None] ^ u[None, :]) <= k
-        a, b = np.nonzero(np.triu(near, 1))
-        keep = spanning(a, b, len(u))
-        return a[keep], b[keep]
+        left, a, b = np.ones(len(u), bool), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in range(len(u)):
+            front = [i] if left[i] else []
+            left[i] = False
+            while front:
+                j = front.pop()
+                new = np.flatnonzero(near[j] & left)
+                left[new] = False
+                front += new.tolist()
+                a.append(np.full(len(new), j))
+                b.append(new)
+        return np.concatenate(a), np.concatenate(b)
     # a larger group differs in few bits: try every flip of up to k of them
     order = np.argsort(u)
     s = u[order]
