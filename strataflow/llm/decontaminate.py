@@ -3,8 +3,10 @@
 Benchmark items are normalised to words and cut into windows of ``width`` words
 (an item of fewer words, but not none, is one window). The distinct windows form
 a hash set that is broadcast once its measured size is under a bound, and joined
-by shuffle beyond it. Every window of every document is looked up; the join
-compares the whole window text, so each hit is verified. Hits become word spans
+by shuffle beyond it. Documents are scanned in blocks of half a window: every
+window holds one of them whole. Around each block that the benchmark also has,
+all windows are looked up; the join compares the whole window text, so each hit
+is verified and none is missed. Hits become word spans
 that are reported, cut out, or used to drop documents.
 
 Defined cases: null text or an item without words has no words and no windows;
@@ -32,17 +34,35 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def _windows(column: str, width: int) -> Column:
-    """(at, window) of every run of ``width`` words; ``at`` counts from 1."""
-    w, n = F.col(column), F.size(column)
-    starts = F.when(n >= width, F.sequence(F.lit(1), n - (width - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(w, i, F.lit(width)), " ").alias("window")))
+def _windows(column: Column, width: Column | int, first: Column | int = 1) -> Column:
+    """(at, window) of every run of ``width`` words; ``at`` counts from ``first``."""
+    n = F.size(column)
+    starts = F.when(n >= width, F.sequence(F.lit(1), n - width + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct((i + first - 1).alias("at"), F.array_join(F.slice(column, i, width), " ").alias("window")))
+
+
+def _blocks(column: str, width: int) -> Column:
+    """(at, words, block, around) of every ``half``-th run of ``half`` words, with the words of all windows that hold it.
+
+    ``half`` is half of ``width``, rounded up: every window of ``width`` words
+    holds one of these blocks whole, so only windows around a block that also
+    occurs in the benchmark need a look.
+    """
+    w, half = F.col(column), (width + 1) // 2
+    n = F.size(w)
+    starts = F.when(n >= width, F.sequence(F.lit(1), n - (half - 1), F.lit(half))).otherwise(F.array().cast("array<int>"))
+
+    def block(p: Column) -> Column:
+        first = F.greatest(p - (width - half), F.lit(1))
+        return F.struct(first.alias("at"), F.lit(width).alias("words"), F.array_join(F.slice(w, p, half), " ").alias("block"),
+                        F.slice(w, first, p + width - first).alias("around"))
+    return F.transform(starts, block)
 
 
 def benchmark_windows(items: DataFrame, width: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct windows: window, words (its length), items (ids as strings)."""
     w = items.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
-    long_ = w.where(F.size("w") >= width).select("item", F.lit(width).alias("words"), F.explode(_windows("w", width)).alias("x"))
+    long_ = w.where(F.size("w") >= width).select("item", F.lit(width).alias("words"), F.explode(_windows(F.col("w"), width)).alias("x"))
     short = w.where(F.size("w") < width).select("item", F.size("w").alias("words"), F.array_join("w", " ").alias("window"))
     return (long_.select("item", "words", F.col("x.window").alias("window")).unionByName(short)
             .groupBy("window", "words").agg(F.collect_set("item").alias("items")))
@@ -54,19 +74,28 @@ def find_hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str =
 
     Exact repeats of a row meet in one group and are expanded again at the end.
     """
-    known = benchmark_windows(items, width, item_col, item_text)
+    windows = benchmark_windows(items, width, item_col, item_text)
     # two bounded facts for the plan: which short lengths occur (under `width`), and the size of the set
-    facts = known.agg(F.collect_set(F.when(F.col("words") < width, F.col("words"))).alias("short"),
+    facts = windows.agg(F.collect_set(F.when(F.col("words") < width, F.col("words"))).alias("short"),
                       F.sum(F.octet_length("window") + 40 * F.size("items") + 64).alias("bytes")).first()
-    if (facts["bytes"] or 0) <= broadcast_bytes:
-        known = F.broadcast(known)
+    small = (facts["bytes"] or 0) <= broadcast_bytes
     scan = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
                        words(F.col(text_col)).alias("w"))
+    lengths = sorted({width, *facts["short"]})
+    blocks = (windows.select("words", F.split("window", " ").alias("w"))
+              .select("words", F.explode(_windows(F.col("w"), F.floor((F.col("words") + 1) / 2).cast("int"))).alias("x"))
+              .select("words", F.col("x.window").alias("block")).distinct().withColumn("known", F.lit(True)))
+    if small:
+        windows, blocks = F.broadcast(windows), F.broadcast(blocks)
     # every document also sends one row that matches nothing and carries its word count
-    itself = F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("window")))
-    rows = scan.select("id", "text_hash", F.size("w").alias("n"),
-                       F.explode(F.concat(itself, *(_windows("w", m) for m in sorted({width, *facts["short"]})))).alias("x"))
-    found = (rows.select("id", "text_hash", "n", "x.at", "x.window").join(known, "window", "left")
+    nothing = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("words"), F.lit("").alias("block"), F.array().cast("array<string>").alias("around")))
+    rows = scan.select("id", "text_hash", F.size("w").alias("n"), F.explode(F.concat(nothing, *(_blocks("w", m) for m in lengths))).alias("x"))
+    near = (rows.select("id", "text_hash", "n", "x.*").join(blocks, ["words", "block"], "left")
+            .where(F.col("known") | (F.col("at") == 0)))
+    looked = near.select("id", "text_hash", "n", F.explode(
+        F.when(F.col("at") == 0, F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("window"))))
+        .otherwise(_windows(F.col("around"), F.col("words"), F.col("at")))).alias("x"))
+    found = (looked.select("id", "text_hash", "n", "x.at", "x.window").join(windows, "window", "left")
              .where(F.col("words").isNotNull() | (F.col("at") == 0)))
     grouped = found.groupBy("id", "text_hash").agg(
         F.max("n").alias("n_words"), F.count(F.when(F.col("at") == 0, 1)).alias("copies"),
