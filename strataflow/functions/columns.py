@@ -76,16 +76,11 @@ def improvement_tier(col) -> Column:
 
 
 def elite_flags(elite_col="elite") -> tuple[Column, Column]:
-    """(is_elite, elite_years_count) from a packed ``"2015,2016"`` string."""
-    e = _c(elite_col)
-    present = e.isNotNull() & (F.trim(e) != "")
-    return (F.when(present, F.lit(True)).otherwise(F.lit(False)),
-            F.when(present, F.size(F.split(e, ","))).otherwise(F.lit(0)))
-
-
-def split_trim_explode(col, pattern: str = r",\s*") -> Column:
-    """Explode a packed list: ``explode(split(trim(x), pattern))``."""
-    return F.explode(F.split(F.trim(_c(col)), pattern))
+    """(is_elite, elite_years_count) of a packed ``"2015,2016"`` string: one year more than commas."""
+    packed = _c(elite_col)
+    is_elite = F.coalesce(F.length(F.trim(packed)) > 0, F.lit(False))
+    commas = F.length(packed) - F.length(F.translate(packed, ",", ""))
+    return is_elite, F.when(is_elite, commas + 1).otherwise(0)
 
 
 def lookback_dates(run_date: dt.date, days: int) -> list[dt.date]:

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.columns import record_hash, scd2_columns, ts_lit
 
+class RunOutOfOrder(RuntimeError):
+    """A history run is dated before versions that are already stored."""
+
+
 META = ["valid_from", "valid_to", "is_current"]
 
 # Tracked attributes of the two history tables.
@@ -91,22 +95,37 @@ def scd2_store(spark, path: str, snapshot: DataFrame, key: str, tracked: Sequenc
     and one dynamic-overwrite write replaces that partition and creates the
     partition of the versions closed by this run; both become visible at the
     same commit. Older closed versions are never rewritten, and re-running
-    the same ``run_ts`` rewrites the same two partitions (idempotent).
+    the same ``run_ts`` rewrites the same two partitions (idempotent). Runs must
+    come in order: one dated before the newest stored version is refused.
     """
-    from strataflow.sources.tables import path_exists, write_partitioned
-    tag = F.concat(F.lit("r"), F.date_format("valid_to", "yyyyMMddHHmmss"))
+    from strataflow.sources.tables import check_schema, path_exists, write_partitioned
+    tag = _run_tag(F.col("valid_to"))
     if not path_exists(spark, path):
         out = scd2_apply(None, snapshot, key, tracked, run_ts)
     else:
         stored = spark.read.format(fmt).load(path)
         current = stored.filter(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
+        _check_order(current, run_ts)
         out = scd2_apply(current, snapshot, key, tracked, run_ts)
         # a re-run at the same run_ts: versions it closed before are still there
-        same_run = stored.filter(F.col(CLOSED_RUN) == F.concat(
-            F.lit("r"), F.date_format(ts_lit(run_ts), "yyyyMMddHHmmss"))).drop(CLOSED_RUN)
+        same_run = stored.filter(F.col(CLOSED_RUN) == _run_tag(ts_lit(run_ts))).drop(CLOSED_RUN)
         out = out.unionByName(same_run)
+        check_schema(out, stored.schema, ignore=[CLOSED_RUN])
     return write_partitioned(out.withColumn(CLOSED_RUN, tag), path, [CLOSED_RUN], fmt, guard=False)
 
 
+def _run_tag(ts) -> F.Column:
+    """Partition value of a run, to the microsecond."""
+    return F.concat(F.lit("r"), F.date_format(ts, "yyyyMMddHHmmssSSSSSS"))
+
+
+def _check_order(current: DataFrame, run_ts) -> None:
+    """Refuse a run dated before the newest stored version: its versions would end before they begin."""
+    late = current.agg(F.max("valid_from").alias("m")).select(
+        F.col("m").cast("string").alias("m"), (F.col("m") > ts_lit(run_ts)).alias("late")).first()
+    if late["late"]:
+        raise RunOutOfOrder(f"run at {run_ts} is older than the stored version of {late['m']}")
+
+
 def read_history(spark, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path).drop(CLOSED_RUN)

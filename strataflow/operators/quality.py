@@ -18,6 +18,7 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -230,30 +231,20 @@ def table_readable(spark: SparkSession, path: str, entity: str, layer: str, fmt:
 
 # ── generic column tests (not_null / unique / accepted_values / relationships) ──
 
-def _generic(test_name: str, model: str, col: str, failing: Column) -> Column:
-    return result(test_name, model, "gold", failing == 0,
+def _generic(test_name: str, model: str, col: str, failing: Column, layer: str = "gold") -> Column:
+    return result(test_name, model, layer, failing == 0,
                   F.concat(F.lit(f"{col}: "), _s(failing), F.lit(" failing rows")), failing, 0.0)
 
 
-def test_not_null(df: DataFrame, model: str, col: str) -> DataFrame:
-    m = df.agg(F.count_if(F.col(col).isNull()).alias("_x"))
-    return rows_from(m, [_generic("not_null", model, col, F.col("_x"))])
-
-
-def test_unique(df: DataFrame, model: str, col: str) -> DataFrame:
+def test_unique(df: DataFrame, model: str, col: str, layer: str = "gold") -> DataFrame:
     """Number of non-null values that occur more than once."""
     per = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     m = per.agg(F.count_if(F.col("_c") > 1).alias("_x"))
-    return rows_from(m, [_generic("unique", model, col, F.col("_x"))])
-
-
-def test_accepted_values(df: DataFrame, model: str, col: str, values: Sequence) -> DataFrame:
-    """Rows whose non-null value is outside ``values``."""
-    m = df.agg(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(values))).alias("_x"))
-    return rows_from(m, [_generic("accepted_values", model, col, F.col("_x"))])
+    return rows_from(m, [_generic("unique", model, col, F.col("_x"), layer)])
 
 
-def test_relationships(df: DataFrame, model: str, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+def test_relationships(df: DataFrame, model: str, col: str, parent: DataFrame, parent_col: str,
+                       layer: str = "gold") -> DataFrame:
     """Child rows whose non-null key has no parent row.
 
     Both sides are reduced to one row per key first (partial aggregates, so a
@@ -263,7 +254,7 @@ def test_relationships(df: DataFrame, model: str, col: str, parent: DataFrame, p
                .groupBy("_k").agg(F.count(F.lit(1)).alias("_rows")))
     orphans = child.join(parent.select(F.col(parent_col).alias("_k")).distinct(), "_k", "left_anti")
     m = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_x"))
-    return rows_from(m, [_generic("relationships", model, col, F.col("_x"))])
+    return rows_from(m, [_generic("relationships", model, col, F.col("_x"), layer)])
 
 
 # Column tests declared for the star schema (model, column, test, argument).
@@ -305,7 +296,50 @@ GOLD_COLUMN_TESTS = [
 ]
 
 
-def run_column_tests(models: Mapping[str, DataFrame], tests=GOLD_COLUMN_TESTS) -> DataFrame:
+def _not_null(model: str, *cols: str) -> list[tuple]:
+    return [(model, c, "not_null", None) for c in cols]
+
+
+# Column tests declared for the other layers.
+LAYER_COLUMN_TESTS = {
+    "staging": [
+        ("stg_reviews", "review_id", "unique", None),
+        *_not_null("stg_reviews", "review_id", "business_id", "user_id", "review_stars", "reviewed_at"),
+        ("stg_reviews", "review_stars", "accepted_values", [1.0, 2.0, 3.0, 4.0, 5.0]),
+        ("stg_business", "business_id", "unique", None),
+        *_not_null("stg_business", "business_id", "business_name"),
+        ("stg_users", "user_id", "unique", None),
+        *_not_null("stg_users", "user_id", "is_elite"),
+        ("stg_users", "is_elite", "accepted_values", [True, False]),
+        ("stg_checkins", "checkin_id", "unique", None),
+        *_not_null("stg_checkins", "checkin_id", "business_id", "checkin_ts"),
+    ],
+    "intermediate": [
+        ("int_reviews_with_dates", "review_id", "unique", None),
+        *_not_null("int_reviews_with_dates", "review_id", "date_id"),
+        ("int_business_categories", "business_id", "unique", None),
+        *_not_null("int_business_categories", "business_id", "primary_category"),
+        ("int_rising_star_candidates", "business_id", "unique", None),
+        *_not_null("int_rising_star_candidates", "business_id", "avg_stars_recent", "avg_stars_historical",
+                   "rating_improvement", "review_count_recent"),
+    ],
+    "reporting": [
+        ("vw_rising_stars", "business_id", "unique", None),
+        *_not_null("vw_rising_stars", "business_id", "business_name", "avg_stars_recent", "avg_stars_historical",
+                   "rating_improvement", "review_count_recent"),
+        ("vw_rising_stars", "improvement_tier", "accepted_values", ["Major improvement", "Strong improvement", "Improvement"]),
+        *_not_null("vw_top_businesses_by_city", "business_id", "business_name", "city", "year", "avg_rating", "total_reviews"),
+        ("vw_review_trends", "year_month", "unique", None),
+        *_not_null("vw_review_trends", "year", "month", "year_month", "total_reviews", "avg_rating"),
+    ],
+    "history": [
+        *_not_null("dim_business_history", "business_id", "valid_from", "is_current", "record_hash"),
+        *_not_null("dim_user_history", "user_id", "valid_from", "is_current", "is_elite", "record_hash"),
+    ],
+}
+
+
+def run_column_tests(models: Mapping[str, DataFrame], tests=GOLD_COLUMN_TESTS, layer: str = "gold") -> DataFrame:
     """All declared column tests over the given models, one result row each.
 
     Per model, every ``not_null`` and ``accepted_values`` test is answered by
@@ -327,14 +361,14 @@ def run_column_tests(models: Mapping[str, DataFrame], tests=GOLD_COLUMN_TESTS) -
                 aggs.append(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(arg))).alias(x))
             else:
                 continue
-            structs.append(_generic(kind, model, col, F.col(x)))
+            structs.append(_generic(kind, model, col, F.col(x), layer))
         if aggs:
             out.append(rows_from(df.agg(*aggs), structs))
         for col, kind, arg in mine:
             if kind == "unique":
-                out.append(test_unique(df, model, col))
+                out.append(test_unique(df, model, col, layer))
             elif kind == "relationships" and models.get(arg[0]) is not None:
-                out.append(test_relationships(df, model, col, models[arg[0]], arg[1]))
+                out.append(test_relationships(df, model, col, models[arg[0]], arg[1], layer))
     return union_all(out)
 
 
@@ -379,7 +413,8 @@ def history_baseline(history: DataFrame, test_name: str, entity: str, layer: str
 
 
 def _drift_row(today: DataFrame, base: DataFrame, test_name: str, entity: str, layer: str,
-               deviation: Column, threshold: float, value: Column) -> DataFrame:
+               deviation: Column, threshold: float, value: Column, always: bool = False) -> DataFrame:
+    """``always``: record the value also while history is short, so that a baseline can form."""
     u = (today.select(F.col("_today").cast("double").alias("_today"), F.lit(None).cast("double").alias("_base"),
                       F.lit(None).cast("long").alias("_hist"))
          .unionByName(base.select(F.lit(None).cast("double").alias("_today"), "_base", "_hist")))
@@ -389,7 +424,7 @@ def _drift_row(today: DataFrame, base: DataFrame, test_name: str, entity: str, l
         test_name, entity, layer, ~enough | (deviation <= threshold),
         F.when(~enough, F.concat(F.lit("insufficient history ("), _s("_hist"), F.lit(" runs) - skipped")))
          .when(deviation <= threshold, F.lit("within threshold")).otherwise(F.lit("FAIL - drift above threshold")),
-        F.when(enough, value), threshold)])
+        value if always else F.when(enough, value), threshold)])
 
 
 def row_count_drift(df: DataFrame, history: DataFrame, entity: str, layer: str, as_of: dt.date) -> DataFrame:
@@ -407,7 +442,7 @@ def metric_drift(df: DataFrame, history: DataFrame, entity: str, layer: str, met
     base = history_baseline(history, "metric_drift", entity, layer, as_of)
     dev = F.abs(F.col("_today") - F.col("_base"))
     return _drift_row(today, base, "metric_drift", entity, layer, dev, S.METRIC_DRIFT_THRESHOLD,
-                      round_half_up(F.col("_today"), 4))
+                      round_half_up(F.col("_today"), 4), always=True)
 
 
 def null_rate_drift(df: DataFrame, history: DataFrame, entity: str, layer: str, col: str, as_of: dt.date) -> DataFrame:
@@ -416,7 +451,7 @@ def null_rate_drift(df: DataFrame, history: DataFrame, entity: str, layer: str,
     base = history_baseline(history, "null_rate_drift", entity, layer, as_of)
     dev = F.col("_today") - F.coalesce(F.col("_base"), F.lit(0.0))
     return _drift_row(today, base, "null_rate_drift", entity, layer, dev, S.NULL_RATE_DRIFT_THRESHOLD,
-                      round_half_up(F.col("_today"), 4))
+                      round_half_up(F.col("_today"), 4), always=True)
 
 
 def drift_backtest(series: DataFrame, kind: str, runs: int = S.ANOMALY_LOOKBACK_RUNS,
@@ -492,7 +527,7 @@ def layer_specs(layer: str) -> list[TableChecks]:
               "tips": ("date", S.SOURCE_TS_FORMAT)} if layer == "bronze" else
              {"reviews": ("review_date", None), "users": ("yelping_since", None),
               "tips": ("tip_date", None), "checkin_events": ("checkin_ts", None)})
-    null_rate = {"reviews": "stars", "business": "city", "users": "average_stars"}
+    null_rate = NULL_DRIFT_COLUMNS
     specs = []
     for ent, floor in floors.items():
         fc = fresh.get(ent)
@@ -509,9 +544,14 @@ def layer_specs(layer: str) -> list[TableChecks]:
 
 def run_layer_suite(tables: Mapping[str, DataFrame], layer: str, as_of_ts: dt.datetime,
                     run_date: dt.date | None = None, lookback_days: int = 3,
-                    bronze: Mapping[str, DataFrame] | None = None) -> DataFrame:
+                    bronze: Mapping[str, DataFrame] | None = None, history: DataFrame | None = None,
+                    floors: Mapping[str, int] | None = None) -> DataFrame:
     """All checks of a layer over ``tables`` (entity -> DataFrame).
 
+    ``history`` (stored results of earlier runs) adds the drift checks: row
+    count of every table, average stars of the reviews, null rates of one
+    column each. ``floors`` replaces row floors (0 where a table is not named).
+
     Raw tables hold one full snapshot per ``ingestion_date``, so the duplicate
     check looks at the latest snapshot only, and the lookback check lists the
     partitions. For the clean layer, ``bronze`` enables the loss check
@@ -522,6 +562,10 @@ def run_layer_suite(tables: Mapping[str, DataFrame], layer: str, as_of_ts: dt.da
         df = tables.get(spec.entity)
         if df is None:
             continue
+        if floors is not None:
+            spec.min_rows = floors.get(spec.entity, 0)
+        if history is not None and run_date is not None:
+            out += drift_rows(df, history, spec.entity, layer, run_date)
         if layer == "bronze" and spec.key_col and run_date is not None and "ingestion_date" in df.columns:
             key, spec.key_col = spec.key_col, None
             out.append(check_table(df, spec, as_of_ts))
@@ -539,6 +583,28 @@ def run_layer_suite(tables: Mapping[str, DataFrame], layer: str, as_of_ts: dt.da
     return union_all(out)
 
 
+# The column whose null rate is followed, per table.
+NULL_DRIFT_COLUMNS = {"reviews": "stars", "business": "city", "users": "average_stars"}
+
+
+def drift_rows(df: DataFrame, history: DataFrame, entity: str, layer: str, run_date: dt.date) -> list[DataFrame]:
+    out = [row_count_drift(df, history, entity, layer, run_date)]
+    if entity == "reviews":
+        out.append(metric_drift(df, history, entity, layer, "stars", run_date))
+    col = NULL_DRIFT_COLUMNS.get(entity)
+    if col in df.columns:
+        out.append(null_rate_drift(df, history, entity, layer, col, run_date))
+    return out
+
+
+def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Stored results of earlier runs (none yet: an empty frame)."""
+    try:
+        return spark.read.schema(S.TEST_RESULT_HISTORY_SCHEMA).format(fmt).load(path)
+    except AnalysisException:
+        return spark.createDataFrame([], S.TEST_RESULT_HISTORY_SCHEMA)
+
+
 # ── single-run checks against the audit log, and result persistence ────────
 
 def regression_vs_previous(current: DataFrame, audit: DataFrame, entity: str, layer: str,

@@ -6,7 +6,9 @@ range-partitioned on ``(k, o)`` instead, so a key that holds a large share of
 the data is cut into several contiguous chunks, and the cumulative value is
 assembled as a parallel prefix sum:
 
-1. range-partition on ``(k, o)``; the chunk id is the partition id;
+1. range-partition on ``(k, o)`` and write the rows once, each with its chunk
+   id, to the shared scratch folder: the id is then a stored value that both
+   later reads agree on, whatever the planner does with the exchange;
 2. per (chunk, k): totals -> a table with at most ``#chunks`` rows per key;
 3. per k: exclusive prefix of the chunk totals (a window over that small table);
 4. per (chunk, k): local running values (a window bounded by one chunk) plus
@@ -22,7 +24,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.session import scratch_path
+
 CHUNK = "_chunk"
+CHUNK_BYTES = 128 << 20
+UNKNOWN_SIZE = 1 << 55        # what Spark says of a source whose size it does not know is larger
+
+
+def _chunks_for(df: DataFrame) -> int:
+    """Chunks by the size of the files that are read, so a hot key's chunks stay bounded as it grows."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = sum(n for n in sizes if n < UNKNOWN_SIZE)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), read // CHUNK_BYTES)
 
 
 def running_totals(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
@@ -35,8 +50,12 @@ def running_totals(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
     null under SQL division semantics) to get a running average."""
     sums, counts = dict(sums or {}), dict(counts or {})
     parts, order = list(partition_cols), list(order_cols)
-    n = num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *parts, *order).withColumn(CHUNK, F.spark_partition_id())
+    spark = df.sparkSession
+    n = num_chunks or _chunks_for(df)
+    path = scratch_path(spark, "running_totals")
+    (df.repartitionByRange(n, *parts, *order).withColumn(CHUNK, F.spark_partition_id())
+       .write.parquet(path))
+    ranged = spark.read.parquet(path)
 
     tot_exprs = ([F.sum(c).alias(f"_t_{a}") for a, c in sums.items()] +
                  [F.count(c).alias(f"_t_{a}") for a, c in counts.items()])

@@ -1,9 +1,9 @@
 """Layer jobs over table paths: what a scheduler calls once per run date.
 
 ``run_bronze`` ingests the five JSON sources, ``run_silver`` cleans the
-lookback window of each raw table, ``run_gold`` rebuilds dimensions, loads
-facts incrementally (slice by the latest stored event time minus a lookback,
-then keyed upsert) and extends the two history tables. Every job takes its
+lookback window of each raw table and checks it before it replaces the stored
+one, ``run_tests`` runs and stores a layer's suite, ``run_gold`` rebuilds
+dimensions, upserts what arrived into the facts and extends the two history tables. Every job takes its
 run date / run time as parameters, writes idempotently and appends one audit
 record per table.
 """
@@ -13,15 +13,17 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.columns import lookback_dates
-from strataflow.operators import gold, history, silver
-from strataflow.operators.upsert import incremental_slice, upsert
-from strataflow.schemas import AUDIT_SCHEMA, ENTITIES
+from strataflow.functions.columns import lookback_dates, ts_lit
+from strataflow.operators import gold, history, quality, silver
+from strataflow.operators.upsert import upsert
+from strataflow.schemas import (AUDIT_SCHEMA, FRESHNESS_HOURS, MAX_ROW_LOSS_PCT, REGRESSION_DROP_PCT,
+                                TEST_RESULT_HISTORY_SCHEMA, ZERO_NULL_COLUMNS)
 from strataflow.sources import bronze as B
-from strataflow.sources.tables import append_records, delete_path, path_exists, read_window, write_table
+from strataflow.sources.tables import (append_records, clustered, delete_path, path_exists, read_window, replace_path,
+                                       write_table)
 
 PARTITIONED = {"reviews": ("review_id",), "checkin_events": ("business_id",), "tips": ("business_id",)}
 
@@ -69,44 +71,134 @@ def run_bronze(spark: SparkSession, paths: Paths, landing: dict[str, str], run_d
             for e, src in landing.items()}
 
 
+class SilverCheckError(RuntimeError):
+    """A clean table came out empty; the stored one is left as it is."""
+
+
 def run_silver(spark: SparkSession, paths: Paths, run_date: dt.date, run_ts: dt.datetime,
                lookback_days: int = 3) -> dict[str, int]:
-    """L2-L7: clean each raw table's lookback window into its clean table."""
+    """L2-L7: clean each raw table's lookback window into its clean table.
+
+    A table is written beside its place and counted on the way (rows, nulls in
+    critical columns, latest time). Only if it is not empty does it replace the
+    stored one; loss, nulls, freshness and regression are warnings. All check
+    rows go to the stored test results.
+    """
     start = lookback_dates(run_date, lookback_days)[0]
     counts = {}
     for entity, (table, transform) in silver.SILVER_TRANSFORMS.items():
         if not path_exists(spark, paths.bronze(entity)):
             continue
         raw = read_window(spark, paths.bronze(entity), "ingestion_date", start, run_date)
-        out = transform(raw)
-        if table in PARTITIONED:
-            n = _write_events(out, paths.silver(table), PARTITIONED[table])
-        else:
-            n = write_table(out, paths.silver(table))
-        counts[table] = n
-        n_in = raw.select(*ENTITIES[entity].keys).distinct().count() if table != "checkin_events" else None
-        _audit(spark, paths, table, "silver", n_in, n, run_date, run_ts)
+        # counted from the files' row counts: the transform itself may run its input twice (range bounds)
+        counts[table] = _replace_checked(spark, paths, transform(raw), table, PARTITIONED.get(table), run_date, run_ts, raw.count())
         if entity == "business":
-            counts["business_categories"] = write_table(silver.business_categories(raw),
-                                                        paths.silver("business_categories"))
+            counts["business_categories"] = _replace_checked(
+                spark, paths, silver.business_categories(raw), "business_categories", None, run_date, run_ts)
     return counts
 
 
-def _write_events(df: DataFrame, path: str, cluster_cols) -> int:
-    """Full rewrite of a year/month partitioned clean table (static overwrite)."""
-    from strataflow.sources.tables import clustered
-    from pyspark.sql import Observation
-    obs = Observation("silver_events")
-    out = clustered(df, ["year", "month"], cluster_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year", "month").parquet(path)
-    return int(obs.get["rows"])
-
-
-def run_gold(spark: SparkSession, paths: Paths, date_start: dt.date, date_end: dt.date,
-             run_ts: dt.datetime, lookback: dt.timedelta = dt.timedelta(days=3)) -> dict[str, object]:
-    """L8, L9, L13, L14: dimensions (full refresh), facts (incremental keyed
-    upsert with lookback), histories (one SCD2 step at ``run_ts``)."""
+_FRESH = {"reviews": "review_date", "users": "yelping_since", "tips": "tip_date", "checkin_events": "checkin_ts"}
+
+
+def _replace_checked(spark: SparkSession, paths: Paths, out: DataFrame, table: str, cluster_cols, run_date: dt.date,
+                     run_ts: dt.datetime, n_in: int | None = None) -> int:
+    path, staging = paths.silver(table), paths.silver(table) + "__staging"
+    critical = [c for c in ZERO_NULL_COLUMNS["silver"].get(table, []) if c in out.columns]
+    fresh = _FRESH.get(table)
+    seen = Observation(f"silver_{table}")
+    aggs = [F.count(F.lit(1)).alias("n"), *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in critical)]
+    if fresh:
+        aggs.append(F.max(F.unix_micros(F.col(fresh).cast("timestamp"))).alias("latest"))
+    parts = ["year", "month"] if cluster_cols else []
+    w = (clustered(out, parts, cluster_cols) if cluster_cols else out).observe(seen, *aggs).write.mode("overwrite")
+    (w.option("partitionOverwriteMode", "static").partitionBy(*parts) if parts else w).parquet(staging)
+    got = seen.get
+    n = int(got["n"])
+    previous = _previous_count(spark, paths, table)
+    loss = (n_in - n) / n_in * 100 if n_in else None
+    drop = (previous - n) / previous * 100 if previous else None
+    age = B.age_hours(run_ts, got["latest"]) if fresh else None
+    limit = float(FRESHNESS_HOURS["silver"])
+    rows = [("non_empty", n > 0, f"{n} rows", float(n), None)]
+    rows += [("zero_nulls", got[f"null_{c}"] == 0, f"column '{c}': {got[f'null_{c}']} null values", float(got[f"null_{c}"]), 0.0)
+             for c in critical]
+    if loss is not None and table != "checkin_events":
+        rows.append(("row_loss", loss <= MAX_ROW_LOSS_PCT, f"input {n_in}, output {n}", round(loss, 2), MAX_ROW_LOSS_PCT))
+    if age is not None:
+        rows.append(("freshness", age <= limit, f"latest record {age:.1f} h old", round(age, 2), limit))
+    if drop is not None:
+        rows.append(("count_regression", drop <= REGRESSION_DROP_PCT, f"previous {previous}, current {n}", round(drop, 2),
+                     REGRESSION_DROP_PCT))
+    append_records(spark, paths.test_results,
+                   [(name, table, "silver", ok, text, value, limit_, run_date, run_ts) for name, ok, text, value, limit_ in rows],
+                   TEST_RESULT_HISTORY_SCHEMA)
+    if not n:
+        delete_path(spark, staging)
+        _audit(spark, paths, table, "silver", n_in, n, run_date, run_ts, "FAILED", "empty result")
+        raise SilverCheckError(f"[{table}] empty result: check the input and the filters")
+    replace_path(spark, staging, path)
+    _audit(spark, paths, table, "silver", n_in, n, run_date, run_ts)
+    return n
+
+
+def _previous_count(spark: SparkSession, paths: Paths, table: str) -> int | None:
+    if not path_exists(spark, paths.audit):
+        return None
+    log = spark.read.schema(AUDIT_SCHEMA).parquet(paths.audit)
+    return (log.filter((F.col("entity") == table) & (F.col("layer") == "silver") & (F.col("status") == "SUCCESS"))
+            .agg(F.max_by("output_count", "run_timestamp")).first()[0])
+
+
+class LayerTestsFailed(RuntimeError):
+    """Some checks of a layer did not pass; all rows are stored."""
+
+
+def run_tests(spark: SparkSession, paths: Paths, layer: str, run_date: dt.date, run_ts: dt.datetime,
+              lookback_days: int = 3, floors: dict | None = None, stop: bool = True) -> DataFrame:
+    """The layer's whole suite over its stored tables: readability, table checks and drift against
+    the results of earlier runs. The rows are stored (they become the next runs' baseline);
+    with ``stop``, a failed check then raises ``LayerTestsFailed``."""
+    names = quality.layer_specs(layer)
+    where = paths.bronze if layer == "bronze" else paths.silver
+    tables, rows = {}, []
+    for spec in names:
+        df, row = quality.table_readable(spark, where(spec.entity), spec.entity, layer)
+        rows.append(row)
+        if df is not None:
+            tables[spec.entity] = df
+    raw = None
+    if layer == "silver":
+        start = lookback_dates(run_date, lookback_days)[0]
+        raw = {e: read_window(spark, paths.bronze(e), "ingestion_date", start, run_date)
+               for e in ("business", "reviews", "users", "tips") if path_exists(spark, paths.bronze(e))}
+    history = quality.read_history(spark, paths.test_results)
+    if tables:
+        rows.append(quality.run_layer_suite(tables, layer, run_ts, run_date, lookback_days, raw, history, floors))
+    out = quality.with_run(quality.union_all(rows), run_date, run_ts)
+    # the rows are stored before anyone reads them: the suite itself runs once
+    staging = paths.test_results + "__staging"
+    out.write.mode("overwrite").parquet(staging)
+    results = spark.read.parquet(staging)
+    results.write.mode("append").parquet(paths.test_results)
+    if stop and results.filter(~F.col("passed")).limit(1).count():
+        raise LayerTestsFailed(f"{layer} checks failed on {run_date}")
+    return spark.read.parquet(paths.test_results).filter(F.col("run_timestamp") == ts_lit(run_ts))
+
+
+def run_gold(spark: SparkSession, paths: Paths, run_ts: dt.datetime,
+             date_start: dt.date | None = None, date_end: dt.date | None = None) -> dict[str, object]:
+    """L8, L9, L13, L14: dimensions (full refresh), facts (keyed upsert of what
+    arrived), histories (one SCD2 step at ``run_ts``).
+
+    The clean tables hold what was ingested in the lookback window, so late
+    events and corrections of old ones reach the facts, and an event dated in
+    the future does no harm. The calendar covers every event time: its bounds
+    are those of the data, widened by ``date_start`` and ``date_end``.
+    """
     rd = spark.read.parquet
+    lo, hi = _event_bounds(rd(paths.silver("reviews")), rd(paths.silver("checkin_events")), paths, spark)
+    date_start, date_end = min(d for d in (lo, date_start) if d), max(d for d in (hi, date_end) if d)
     dates = gold.dim_date(spark, date_start, date_end)
     out = {"dim_date": write_table(dates, paths.gold("dim_date"))}
     dates = rd(paths.gold("dim_date"))
@@ -115,15 +207,11 @@ def run_gold(spark: SparkSession, paths: Paths, date_start: dt.date, date_end: d
     out["dim_business"] = write_table(dim_b, paths.gold("dim_business"), cluster_cols=["city", "state"])
     out["dim_user"] = write_table(gold.dim_user(rd(paths.silver("users"))), paths.gold("dim_user"))
 
-    for name, build, key, ts in (
-            ("fact_reviews", lambda: gold.fact_reviews(rd(paths.silver("reviews")), dates, date_start, date_end),
-             "review_id", "reviewed_at"),
+    for name, build, key in (
+            ("fact_reviews", lambda: gold.fact_reviews(rd(paths.silver("reviews")), dates, date_start, date_end), "review_id"),
             ("fact_checkins", lambda: gold.fact_checkins(rd(paths.silver("checkin_events")), dates, date_start, date_end),
-             "checkin_id", "checkin_ts")):
-        target_path = paths.gold(name)
-        target = rd(target_path) if path_exists(spark, target_path) else None
-        incoming = incremental_slice(build(), target, ts, lookback)
-        out[name] = upsert(spark, incoming, target_path, [key], ["year", "month"])
+             "checkin_id")):
+        out[name] = upsert(spark, build(), paths.gold(name), [key], ["year", "month"])
 
     for name, dim, key, tracked, cols in (
             ("dim_business_history", paths.gold("dim_business"), "business_id", history.BUSINESS_TRACKED,
@@ -138,6 +226,14 @@ def run_gold(spark: SparkSession, paths: Paths, date_start: dt.date, date_end: d
     return out
 
 
+def _event_bounds(reviews: DataFrame, checkins: DataFrame, paths: Paths, spark: SparkSession) -> tuple[dt.date, dt.date]:
+    """First and last event day, of the clean tables and of the calendar that is already stored."""
+    days = reviews.select(F.to_date("review_date").alias("d")).unionAll(checkins.select(F.to_date("checkin_ts")))
+    if path_exists(spark, paths.gold("dim_date")):
+        days = days.unionAll(spark.read.parquet(paths.gold("dim_date")).select("full_date"))
+    return tuple(days.agg(F.min("d"), F.max("d")).first())
+
+
 def materialize(df: DataFrame, kind: str, name: str, path: str | None = None, **upsert_kw):
     """Model materialisation kinds: ``view`` (temp view, recomputed on every
     query), ``ephemeral`` (the DataFrame itself, inlined into its consumers),

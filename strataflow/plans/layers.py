@@ -17,9 +17,6 @@ from strataflow.operators import gold, silver
 from strataflow.session import configure
 from strataflow.sources import driver_tables as src
 
-# Fixed parameters of the derived data set.
-DATE_START = dt.date(1992, 1, 1)
-DATE_END = dt.date(2025, 12, 31)
 LOOKBACK_DAYS = 3
 
 
@@ -29,8 +26,6 @@ class Layers:
     sf_dir: str
     run_date: dt.date = src.RUN_DATE
     lookback_days: int = LOOKBACK_DAYS
-    date_start: dt.date = DATE_START
-    date_end: dt.date = DATE_END
     _memo: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
@@ -68,6 +63,18 @@ class Layers:
         return self._get(("silver", name, snapshot), makers[name])
 
     # star schema -------------------------------------------------------
+    @property
+    def date_start(self) -> dt.date:
+        return self._bounds()[0]
+
+    @property
+    def date_end(self) -> dt.date:
+        return self._bounds()[1]
+
+    def _bounds(self) -> tuple[dt.date, dt.date]:
+        """The calendar covers every event of the input: two scalars from the tables."""
+        return self._get("bounds", lambda: src.event_bounds(self.spark, self.sf_dir))
+
     def dim_date(self) -> DataFrame:
         return self._get(("gold", "dim_date"), lambda: gold.dim_date(self.spark, self.date_start, self.date_end))
 

@@ -12,8 +12,6 @@ import datetime as dt
 
 RUN_DATE = dt.date(2001, 6, 1)
 PREVIOUS_DATE = dt.date(2001, 5, 31)
-DATE_START = dt.date(1992, 1, 1)
-DATE_END = dt.date(2025, 12, 31)
 TS_FMT = "%Y-%m-%d %H:%M:%S"
 
 
@@ -55,7 +53,7 @@ def _business_snapshot(previous: bool) -> str:
         where, day = "p.p_partkey % 10 <> 9", PREVIOUS_DATE
         stars = "case when p.p_partkey % 7 = 0 then 1 + (p.p_size + 1) % 5 else 1 + p.p_size % 5 end"
     else:
-        where, day = "p.p_partkey % 17 <> 5", RUN_DATE
+        where, day = "(p.p_partkey % 17 <> 5 or p.p_partkey % 10 = 9)", RUN_DATE
         stars = "1 + p.p_size % 5"
     return f"""
   select cast(p.p_partkey as varchar) as business_id, p.p_name as name,
@@ -249,6 +247,9 @@ silver_tips as (
 # ── star schema ────────────────────────────────────────────────────────────
 
 DIM_DATE = f"""
+bounds as (
+  select (select min(cast(l_shipdate as date)) from lineitem) as l, (select max(cast(l_shipdate as date)) + 1 from lineitem) as m,
+         (select min(cast(ts as date)) from events) as e, (select max(cast(ts as date)) from events) as e2),
 dim_date as (
   select md5(cast(full_date as varchar)) as date_id, full_date,
          cast(year(full_date) as integer) as year, cast(month(full_date) as integer) as month,
@@ -257,7 +258,8 @@ dim_date as (
          dayname(full_date) as day_name,
          cast(weekofyear(full_date) as integer) as week_of_year,
          dayofweek(full_date) in (0, 6) as is_weekend
-  from (select cast(unnest(generate_series({d(DATE_START)}, {d(DATE_END)}, interval 1 day)) as date) as full_date) s)"""
+  from (select cast(unnest(generate_series(
+        (select least(l, e) from bounds), (select greatest(m, e2) from bounds), interval 1 day)) as date) as full_date) s)"""
 
 FACT_REVIEWS = """
 fact_reviews as (
@@ -362,7 +364,7 @@ def loss_row_sql(bronze: str, silver: str, entity: str, keys: list[str], max_los
               f"(select count(*) from {silver}) as a)")
 
 
-def generic_test_sql(model: str, col: str, kind: str, arg) -> str:
+def generic_test_sql(model: str, col: str, kind: str, arg, layer: str = "gold") -> str:
     msg = f"{q(col + ': ')} || {_sv('x')} || ' failing rows'"
     if kind == "not_null":
         src = f"(select count(*) filter (where {col} is null) as x from {model})"
@@ -374,7 +376,7 @@ def generic_test_sql(model: str, col: str, kind: str, arg) -> str:
     else:
         src = (f"(select count(*) as x from {model} c where c.{col} is not null and not exists "
                f"(select 1 from {arg[0]} p where p.{arg[1]} = c.{col}))")
-    return _row(kind, model, "gold", "x = 0", msg, "x", 0.0) + f" from {src}"
+    return _row(kind, model, layer, "x = 0", msg, "x", 0.0) + f" from {src}"
 
 
 def union(parts: list[str]) -> str:

@@ -61,14 +61,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    A local session without that setting (tests) gets a private folder. On a
+    cluster it must be set: executors there do not share local folders.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="strataflow-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

@@ -2,8 +2,9 @@
 
 ``ingest_entity`` = read with the declared schema (+ drift check against the
 inferred one) -> quarantine malformed rows -> stamp ``ingestion_date`` ->
-row floor -> dynamic overwrite of that date's partition (schema-guarded,
-row count observed during the write) -> read-back verification -> audit record.
+row floor -> dynamic overwrite of that date's partition (types guarded, new
+columns kept, row count observed during the write) -> read-back verification ->
+freshness -> audit record. Row counts come from the one materialised parse.
 Running it twice for the same date leaves the same table.
 """
 
@@ -12,14 +13,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import add_missing_columns
-from strataflow.schemas import AUDIT_SCHEMA, ENTITIES
+from strataflow.schemas import AUDIT_SCHEMA, ENTITIES, FRESHNESS_HOURS, SOURCE_TS_FORMAT
 from strataflow.sources import json_source as J
-from strataflow.sources.tables import (append_frame, append_records, verify_partition,
-                                       write_partitioned)
+from strataflow.sources.tables import (append_frame, append_records, delete_path, grow_schema, partition_dir,
+                                       save_schema, stored_schema, verify_partition, write_partitioned)
 
 
 class RowFloorError(RuntimeError):
@@ -33,20 +34,28 @@ class IngestResult:
     rows_written: int
     quarantined: int
     drift: J.DriftReport = field(default_factory=J.DriftReport)
+    stale: bool = False
+    new_columns: list = field(default_factory=list)
 
 
 def ingest_entity(spark: SparkSession, entity: str, source_path: str, bronze_path: str, run_date: dt.date,
                   run_ts: dt.datetime, audit_path: str | None = None, quarantine_path: str | None = None,
-                  drift_path: str | None = None, min_rows: int | None = None, sampling_ratio: float = 1.0,
+                  drift_path: str | None = None, min_rows: int | None = None,
                   fmt: str = "parquet", rebalance: bool = True) -> IngestResult:
     """Ingest one entity's JSON export as the ``run_date`` partition.
 
+    A column the contract does not know is logged as drift and kept: the
+    table's recorded schema grows, and older partitions hold null in it. A
+    changed type halts the load. The quarantine of the date is replaced, also
+    by nothing. ``stale`` tells whether the latest record was older than the
+    layer's freshness limit at ``run_ts`` (a warning in the audit log).
+
     ``rebalance``: spread the parsed rows over the cluster when the source
     could not be split into enough read tasks (e.g. a few gzip files); a
     splittable source is left as it is.
     """
     declared = ENTITIES[entity].schema
-    inferred = J.infer_source_schema(spark, source_path, sampling_ratio)
+    inferred = J.infer_source_schema(spark, source_path)
     report = J.detect_drift(declared, inferred)
     if report.drifted and drift_path:
         append_frame(J.drift_events(spark, entity, report, run_date, run_ts), drift_path, fmt)
@@ -56,24 +65,36 @@ def ingest_entity(spark: SparkSession, entity: str, source_path: str, bronze_pat
     parsed = J.read_json_entity(spark, source_path, J.read_schema_for(declared, report, inferred))
     if rebalance and parsed.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         parsed = parsed.repartition(spark.sparkContext.defaultParallelism)
-    good, bad = J.split_corrupt(parsed)
-    n_bad = bad.count()
-    if quarantine_path and n_bad:
-        (bad.withColumn("ingestion_date", F.lit(run_date))
-            .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ingestion_date").save(quarantine_path))
-    good = add_missing_columns(good, declared).withColumn("ingestion_date", F.lit(run_date))
+    split = J.split_corrupt(parsed, ENTITIES[entity].freshness_col, SOURCE_TS_FORMAT)
+    if quarantine_path:
+        delete_path(spark, partition_dir(quarantine_path, {"ingestion_date": run_date}))
+        if split.n_bad:
+            (split.bad.withColumn("ingestion_date", F.lit(run_date))
+                .write.format(fmt).mode("append").partitionBy("ingestion_date").save(quarantine_path))
 
     floor = ENTITIES[entity].min_rows if min_rows is None else min_rows
-    n_good = good.count()
-    if n_good < floor:
-        _audit(spark, audit_path, entity, n_good, run_date, run_ts, "FAILED", "below row floor", fmt)
-        raise RowFloorError(f"[{entity}] {n_good} rows below minimum {floor}")
-
-    written = write_partitioned(good, bronze_path, ["ingestion_date"], fmt)
+    if split.n_good < floor:
+        _audit(spark, audit_path, entity, split.n_good, run_date, run_ts, "FAILED", "below row floor", fmt)
+        raise RowFloorError(f"[{entity}] {split.n_good} rows below minimum {floor}")
+
+    good = add_missing_columns(split.good, declared).withColumn("ingestion_date", F.lit(run_date))
+    good, new = grow_schema(good, stored_schema(spark, bronze_path, fmt))
+    written = write_partitioned(good, bronze_path, ["ingestion_date"], fmt, guard=False)
+    save_schema(spark, bronze_path, good.schema)
     verify_partition(spark, bronze_path, "ingestion_date", run_date, written, fmt)
-    _audit(spark, audit_path, entity, written, run_date, run_ts, "SUCCESS", "", fmt)
-    return IngestResult(entity, run_date, written, n_bad, report)
+    age = age_hours(run_ts, split.latest)
+    stale = age is not None and age > FRESHNESS_HOURS["bronze"]
+    _audit(spark, audit_path, entity, written, run_date, run_ts, "SUCCESS",
+           f"stale: latest record {age:.1f} h old" if stale else "", fmt)
+    return IngestResult(entity, run_date, written, split.n_bad, report, stale, new)
+
+
+def age_hours(run_ts: dt.datetime, latest_micros: int | None) -> float | None:
+    """Hours from the latest record (microseconds since the epoch, UTC) to the run."""
+    if latest_micros is None:
+        return None
+    now = (run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=dt.timezone.utc)).timestamp()
+    return (now - latest_micros / 1e6) / 3600
 
 
 def _audit(spark, path, entity, rows, run_date, run_ts, status, error, fmt):
@@ -87,8 +108,3 @@ def replay(spark: SparkSession, entity: str, sources: dict[dt.date, str], bronze
            run_ts: dt.datetime, **kw) -> list[IngestResult]:
     """Re-ingest several dates (each one replaces only its own partition)."""
     return [ingest_entity(spark, entity, src, bronze_path, d, run_ts, **kw) for d, src in sorted(sources.items())]
-
-
-def to_json_lines(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One JSON object per row (nulls omitted), as a single ``value`` column."""
-    return df.select(F.to_json(F.struct(*columns)).alias("value"))

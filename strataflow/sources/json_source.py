@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DataType, DecimalType, DoubleType,
                                FloatType, IntegerType, LongType, MapType, NullType,
                                ShortType, ByteType, StringType, StructField, StructType)
 
-from strataflow.schemas import DRIFT_EVENT_SCHEMA, ENTITIES
+from strataflow.schemas import DRIFT_EVENT_SCHEMA
 from strataflow.session import checkpoint_root
 
 CORRUPT_COL = "_corrupt_record"
@@ -36,18 +36,36 @@ def read_json_entity(spark: SparkSession, path: str, schema: StructType) -> Data
                  .json(path))
 
 
-def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, quarantined rows).
+@dataclass
+class Parsed:
+    """One materialised parse: good rows, quarantined rows, and what was observed while writing it."""
+    good: DataFrame
+    bad: DataFrame
+    n_good: int
+    n_bad: int
+    latest: object = None
+
+
+def split_corrupt(parsed: DataFrame, freshness_col: str | None = None, freshness_format: str | None = None) -> Parsed:
+    """Good rows (without the corrupt column) and quarantined rows.
 
     Which rows count as corrupt depends on the columns a query asks the JSON
     reader for, so the full parse is materialised once (reliable checkpoint in
-    the shared checkpoint folder) and both outputs are cut from that copy.
+    the shared checkpoint folder) and both outputs are cut from that copy. The
+    counts and the latest freshness time are observed during that one pass.
     """
     checkpoint_root(parsed.sparkSession)
-    full = parsed.checkpoint(eager=True)
-    good = full.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = full.filter(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
-    return good, bad
+    seen = Observation("parsed")
+    ok = F.col(CORRUPT_COL).isNull()
+    latest = F.lit(None).cast("timestamp")
+    if freshness_col and freshness_col in parsed.columns:
+        text = F.col(freshness_col)
+        latest = F.try_to_timestamp(text, F.lit(freshness_format)) if freshness_format else text.cast("timestamp")
+    full = parsed.observe(seen, F.count_if(ok).alias("good"), F.count_if(~ok).alias("bad"),
+                          F.max(F.when(ok, F.unix_micros(latest.cast("timestamp")))).alias("latest")).checkpoint(eager=True)
+    got = seen.get
+    return Parsed(full.filter(ok).drop(CORRUPT_COL), full.filter(~ok).select(CORRUPT_COL),
+                  int(got["good"]), int(got["bad"]), got["latest"])
 
 
 # ── drift ──────────────────────────────────────────────────────────────────
@@ -104,9 +122,9 @@ class DriftReport:
         return out
 
 
-def infer_source_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
-    """Schema the JSON itself implies (full scan, or a sample for large inputs)."""
-    inferred = spark.read.option("samplingRatio", sampling_ratio).json(path).schema
+def infer_source_schema(spark: SparkSession, path: str) -> StructType:
+    """Schema the JSON itself implies, from all rows (a sample would miss new columns and type changes)."""
+    inferred = spark.read.json(path).schema
     return StructType([f for f in inferred.fields if f.name != CORRUPT_COL])
 
 
@@ -139,7 +157,3 @@ def drift_events(spark: SparkSession, entity: str, report: DriftReport, run_date
     return (df.withColumn("run_date", F.lit(run_date).cast("date"))
               .withColumn("run_timestamp", F.lit(str(run_ts)).cast("timestamp"))
               .select(*[f.name for f in DRIFT_EVENT_SCHEMA.fields]))
-
-
-def declared_schema(entity: str) -> StructType:
-    return ENTITIES[entity].schema

@@ -8,7 +8,9 @@ path); the format is a parameter everywhere.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +40,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def bytes_on_disk(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (a measured, not estimated, size)."""
-    fs, p = _fs_path(spark, path)
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+def replace_path(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged folder in the place of ``path`` (two renames; the old content goes last)."""
+    fs, old = _fs_path(spark, path)
+    _, new = _fs_path(spark, staged)
+    _, aside = _fs_path(spark, path.rstrip("/") + "__old")
+    fs.delete(aside, True)
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise RuntimeError(f"cannot move {path} aside")
+    if not fs.rename(new, old):
+        fs.rename(aside, old)
+        raise RuntimeError(f"cannot move {staged} to {path}")
+    fs.delete(aside, True)
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -69,26 +79,110 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(raw)
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def partition_dir(path: str, values: dict) -> str:
-    return path.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in values.items())
+    """The folder of one partition, named as Spark names it (null and special characters included)."""
+    return path.rstrip("/") + "/" + "/".join(f"{_escape(k)}={_escape(_text(v))}" for k, v in values.items())
+
+
+def _text(value) -> str:
+    if value is None or value == "":
+        return NULL_PARTITION
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _escape(name: str) -> str:
+    # Characters that Spark percent-encodes in partition folder names.
+    special = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 32)}
+    return "".join(f"%{ord(c):02X}" if c in special else c for c in name)
+
+
+def partition_values(spark: SparkSession, path: str, part_col: str) -> list[str | None]:
+    """Values of the leading partition column, from the folder names (no rows are read)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    raw = [n.partition("=")[2] for n in names if n.startswith(part_col + "=")]
+    return [None if v == NULL_PARTITION else unquote(v) for v in raw]
+
+
+# ── table schema that grows by columns ──────────────────────────────────────
+
+SCHEMA_FILE = "_schema.json"
+
+
+def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Record the table's full schema beside its partitions (readers skip names that start with '_')."""
+    fs, p = _fs_path(spark, path.rstrip("/") + "/" + SCHEMA_FILE)
+    out = fs.create(p, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+
+
+def stored_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> StructType | None:
+    """The recorded schema; without a record what the format infers; None without a table."""
+    if not path_exists(spark, path):
+        return None
+    name = path.rstrip("/") + "/" + SCHEMA_FILE
+    if not path_exists(spark, name):
+        return spark.read.format(fmt).load(path).schema
+    fs, p = _fs_path(spark, name)
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(json.loads(text))
+
+
+def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The table with its recorded schema: partitions older than a column hold null in it."""
+    name = path.rstrip("/") + "/" + SCHEMA_FILE
+    if not path_exists(spark, name):
+        return spark.read.format(fmt).load(path)
+    return spark.read.schema(stored_schema(spark, path, fmt)).format(fmt).load(path)
+
+
+def grow_schema(df: DataFrame, stored: StructType | None) -> tuple[DataFrame, list[str]]:
+    """``df`` with every stored column (null where it lacks one), and its new columns' names.
+
+    A column that changed its type raises ``SchemaMismatch``; a new one is kept.
+    """
+    if stored is None:
+        return df, []
+    have = {f.name: f.dataType for f in df.schema.fields}
+    changed = sorted(f.name for f in stored.fields if f.name in have and have[f.name] != f.dataType)
+    if changed:
+        raise SchemaMismatch(f"schema changed: type={changed}")
+    known = {f.name for f in stored.fields}
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in stored.fields if f.name not in have}
+    new = [c for c in df.columns if c not in known]
+    return df.withColumns(missing).select(*[f.name for f in stored.fields], *new) if missing or new else df, new
 
 
 # ── writes ─────────────────────────────────────────────────────────────────
 
 def clustered(df: DataFrame, partition_cols: Sequence[str] = (), cluster_cols: Sequence[str] = (),
               num_partitions: int | None = None) -> DataFrame:
-    """Range-partition on (partition columns, cluster columns) and sort inside
-    each task before a write.
-
-    Every task then writes few table partitions (no small-file explosion), a
-    partition holding a large share of the rows is split over several tasks
-    (range bounds are sampled, unlike a hash on the partition columns), and
-    row groups come out sorted on the cluster columns so parquet min/max
-    statistics skip row groups on point lookups.
+    """Bring the rows of a table partition together before a write.
+
+    With cluster columns: a range partitioning on (partition columns, cluster
+    columns) and a sort inside each task. A partition that holds a large share
+    of the rows is split over several tasks, and row groups come out sorted, so
+    parquet min/max statistics skip row groups on point lookups.
+
+    Without: a rebalance on the partition columns. Spark cuts every partition
+    beyond the advisory size into several write tasks, so one hot day, month or
+    "current" partition is never one task.
     """
     keys = list(partition_cols) + list(cluster_cols)
     if not keys:
         return df
+    if not cluster_cols and not num_partitions:
+        return df.hint("rebalance", *partition_cols)
     # Without an explicit count AQE sizes the write tasks from the measured
     # shuffle (spark.sql.adaptive.advisoryPartitionSizeInBytes ~ file size).
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
@@ -148,11 +242,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Se
     return int(obs.get["rows"])
 
 
-def write_year_month(df: DataFrame, path: str, cluster_cols: Sequence[str] = (), fmt: str = "parquet") -> int:
-    """Event tables partitioned by year/month, clustered inside each month."""
-    return write_partitioned(df, path, ["year", "month"], fmt, cluster_cols=cluster_cols)
-
-
 def verify_partition(spark: SparkSession, path: str, part_col: str, value, expected: int,
                      fmt: str = "parquet") -> int:
     """Re-read one partition and compare its row count with what was written."""
@@ -178,36 +267,41 @@ def append_frame(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def read_window(spark: SparkSession, path: str, part_col: str, start: dt.date, end: dt.date,
                 fmt: str = "parquet") -> DataFrame:
     """Rows of partitions ``start..end`` (static partition pruning)."""
-    return spark.read.format(fmt).load(path).filter(F.col(part_col).between(F.lit(start), F.lit(end)))
+    return load_table(spark, path, fmt).filter(F.col(part_col).between(F.lit(start), F.lit(end)))
 
 
 def read_partitions(spark: SparkSession, path: str, part_col: str, values: Sequence,
                     fmt: str = "parquet") -> DataFrame:
     """Rows of the listed partitions only (``IN`` list, static partition
     pruning), e.g. scattered dates being replayed."""
-    return spark.read.format(fmt).load(path).filter(F.col(part_col).isin(list(values)))
+    return load_table(spark, path, fmt).filter(F.col(part_col).isin(list(values)))
 
 
 def read_as_of(spark: SparkSession, path: str, as_of: dt.date, part_col: str = "ingestion_date",
                fmt: str = "parquet") -> DataFrame:
     """The latest snapshot partition on or before ``as_of``.
 
-    Only the partition column is scanned to find it (one scalar reaches the
-    driver); the returned read is pruned to that single partition.
+    The dates come from the partition folders, so nothing is scanned to find
+    it; the returned read is pruned to that single partition.
     """
-    df = spark.read.format(fmt).load(path)
-    latest = df.filter(F.col(part_col) <= F.lit(as_of)).agg(F.max(part_col)).first()[0]
-    if latest is None:
-        return df.limit(0)
-    return df.filter(F.col(part_col) == F.lit(latest))
+    df = load_table(spark, path, fmt)
+    days = [v for v in partition_values(spark, path, part_col) if v and v <= as_of.isoformat()]
+    return df.filter(F.col(part_col) == F.lit(max(days)).cast("date")) if days else df.filter(F.lit(False))
 
 
-def expired_partitions(df: DataFrame, part_col: str, as_of: dt.date, keep_days: int) -> DataFrame:
-    """Partition values older than the retention period (the caller deletes)."""
-    cutoff = as_of - dt.timedelta(days=keep_days)
-    return (df.select(F.col(part_col)).distinct()
-              .filter(F.col(part_col) < F.lit(cutoff)).withColumnRenamed(part_col, "expired_" + part_col))
+def expired_partitions(spark: SparkSession, path: str, part_col: str, as_of: dt.date, keep_days: int) -> DataFrame:
+    """Partition values (dates) older than the retention period, from the folder names; the caller deletes."""
+    cutoff = (as_of - dt.timedelta(days=keep_days)).isoformat()
+    old = [(v,) for v in sorted(v for v in partition_values(spark, path, part_col) if v) if v < cutoff]
+    name = "expired_" + part_col
+    return spark.createDataFrame(old, f"{name} string").select(F.col(name).cast("date").alias(name))
 
 
 # Retention per layer, in days.
 RETENTION_DAYS = {"bronze": 90, "silver": 365}
+
+
+def expired_for_layer(spark: SparkSession, path: str, layer: str, as_of: dt.date,
+                      part_col: str = "ingestion_date") -> DataFrame:
+    """``expired_partitions`` under the layer's retention."""
+    return expired_partitions(spark, path, part_col, as_of, RETENTION_DAYS[layer])

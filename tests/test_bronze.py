@@ -29,7 +29,9 @@ def test_quarantine(spark, tmp_dir):
         json.dumps({"business_id": "c", "date": 5}),           # number where text declared: coerced by JSON reader
     ])
     parsed = J.read_json_entity(spark, src, CHECKINS_SCHEMA)
-    good, bad = J.split_corrupt(parsed)
+    p = J.split_corrupt(parsed)
+    good, bad = p.good, p.bad
+    assert (p.n_good, p.n_bad) == (2, 1)
     assert bad.count() == 1
     assert sorted(r.business_id for r in good.collect()) == ["a", "c"]
 
@@ -40,7 +42,8 @@ def test_wrong_type_is_quarantined(spark, tmp_dir):
         json.dumps({"business_id": "a", "user_id": "u", "date": "x", "compliment_count": 3}),
         json.dumps({"business_id": "b", "user_id": "u", "date": "x", "compliment_count": "three"}),
     ])
-    good, bad = J.split_corrupt(J.read_json_entity(spark, src, TIPS_SCHEMA))
+    p = J.split_corrupt(J.read_json_entity(spark, src, TIPS_SCHEMA))
+    good, bad = p.good, p.bad
     assert [r.business_id for r in good.collect()] == ["a"] and bad.count() == 1
 
 
@@ -89,5 +92,27 @@ def test_good_plus_quarantine_equals_input(spark, tmp_dir):
     lines[7] = lines[7][:-5]
     lines[21] = "not json at all"
     src = write_lines(tmp_dir + "/land", "c.json", lines)
-    good, bad = J.split_corrupt(J.read_json_entity(spark, src, CHECKINS_SCHEMA))
+    p = J.split_corrupt(J.read_json_entity(spark, src, CHECKINS_SCHEMA))
+    good, bad = p.good, p.bad
     assert good.count() + bad.count() == len(lines) and bad.count() == 2
+
+
+def test_new_column_is_kept_and_quarantine_is_replaced(spark, tmp_dir):
+    from strataflow.sources.tables import load_table
+    tip = {"business_id": "a", "user_id": "u", "date": "2024-01-01 00:00:00", "compliment_count": 1}
+    day1 = write_lines(tmp_dir + "/1", "t.json", [json.dumps(tip), "{broken"])
+    day2 = write_lines(tmp_dir + "/2", "t.json", [json.dumps({**tip, "client": "app"})])
+    kw = dict(quarantine_path=tmp_dir + "/q", audit_path=tmp_dir + "/audit", min_rows=0)
+    r1 = B.ingest_entity(spark, "tips", day1, tmp_dir + "/b", dt.date(2024, 1, 1), RUN, **kw)
+    r2 = B.ingest_entity(spark, "tips", day2, tmp_dir + "/b", dt.date(2024, 1, 2), RUN, **kw)
+    assert (r1.new_columns, r2.new_columns, r1.stale) == ([], ["client"], True)
+    got = sorted((str(r.ingestion_date), r.client) for r in load_table(spark, tmp_dir + "/b").collect())
+    assert got == [("2024-01-01", None), ("2024-01-02", "app")]
+    # the first day again, now clean: its quarantine goes, the table keeps the new column
+    fixed = write_lines(tmp_dir + "/1b", "t.json", [json.dumps(tip)])
+    B.ingest_entity(spark, "tips", fixed, tmp_dir + "/b", dt.date(2024, 1, 1), RUN, **kw)
+    assert not os.path.exists(tmp_dir + "/q/ingestion_date=2024-01-01")
+    assert sorted((str(r.ingestion_date), r.client) for r in load_table(spark, tmp_dir + "/b").collect()) == got
+    bad = write_lines(tmp_dir + "/3", "t.json", [json.dumps({**tip, "client": 5})])
+    with pytest.raises(SchemaMismatch):
+        B.ingest_entity(spark, "tips", bad, tmp_dir + "/b", dt.date(2024, 1, 3), RUN, **kw)

@@ -52,11 +52,22 @@ def test_scd2_store_rewrites_only_current_and_new_closed(spark, tmp_dir):
     scd2_store(spark, path, s1, "id", ["score"], T1)
     scd2_store(spark, path, s2, "id", ["score"], T2)
     parts = sorted(p for p in os.listdir(path) if p.startswith("closed_run="))
-    assert parts == ["closed_run=__HIVE_DEFAULT_PARTITION__", "closed_run=r20240201000000"]
-    before = os.listdir(os.path.join(path, "closed_run=r20240201000000"))
+    assert parts == ["closed_run=__HIVE_DEFAULT_PARTITION__", "closed_run=r20240201000000000000"]
+    before = os.listdir(os.path.join(path, "closed_run=r20240201000000000000"))
     scd2_store(spark, path, s3, "id", ["score"], "2024-03-01 00:00:00")
-    assert os.listdir(os.path.join(path, "closed_run=r20240201000000")) == before   # untouched
+    assert os.listdir(os.path.join(path, "closed_run=r20240201000000000000")) == before   # untouched
     scd2_store(spark, path, s3, "id", ["score"], "2024-03-01 00:00:00")             # re-run: no-op
     h = read_history(spark, path)
     assert h.count() == 4 and h.filter("is_current").count() == 2
     assert sorted(r.score for r in h.filter("id = 'a'").collect()) == [1, 2, 3]
+
+
+def test_run_older_than_stored_versions_is_refused(spark, tmp_dir):
+    import pytest
+
+    from strataflow.operators.history import RunOutOfOrder, read_history, scd2_store
+    df = spark.createDataFrame([("a", 1)], "id string, score int")
+    scd2_store(spark, tmp_dir + "/h", df, "id", ["score"], "2024-02-01 00:00:00")
+    with pytest.raises(RunOutOfOrder):
+        scd2_store(spark, tmp_dir + "/h", df.withColumn("score", df.score + 1), "id", ["score"], "2024-01-01 00:00:00")
+    assert read_history(spark, tmp_dir + "/h").count() == 1

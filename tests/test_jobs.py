@@ -8,7 +8,6 @@ from strataflow.sources.tables import write_partitioned
 
 SF = "/root/testdata/sf0.001"
 RUN_TS = dt.datetime(2001, 6, 1, 6, 0)
-START, END = dt.date(1992, 1, 1), dt.date(2025, 12, 31)
 
 
 def snapshot(spark, path):
@@ -22,18 +21,18 @@ def test_rerun_is_idempotent_and_history_versions(spark, tmp_dir):
         snap = "previous" if e in ("business", "users") else "all"
         write_partitioned(L.bronze(e, snap), paths.bronze(e), ["ingestion_date"], guard=False)
     jobs.run_silver(spark, paths, dt.date(2001, 6, 1), RUN_TS)
-    jobs.run_gold(spark, paths, START, END, RUN_TS)
+    jobs.run_gold(spark, paths, RUN_TS)
     fact1 = snapshot(spark, paths.gold("fact_reviews"))
     hist1 = snapshot(spark, paths.gold("dim_business_history"))
     # same inputs, same run: nothing changes
     jobs.run_silver(spark, paths, dt.date(2001, 6, 1), RUN_TS)
-    jobs.run_gold(spark, paths, START, END, RUN_TS)
+    jobs.run_gold(spark, paths, RUN_TS)
     assert snapshot(spark, paths.gold("fact_reviews")) == fact1
     assert snapshot(spark, paths.gold("dim_business_history")) == hist1
     # the next export changes some businesses: old versions close, one current per key
     write_partitioned(L.bronze("business", "latest"), paths.bronze("business"), ["ingestion_date"], guard=False)
     jobs.run_silver(spark, paths, dt.date(2001, 6, 1), RUN_TS)
-    jobs.run_gold(spark, paths, START, END, RUN_TS + dt.timedelta(days=1))
+    jobs.run_gold(spark, paths, RUN_TS + dt.timedelta(days=1))
     h = spark.read.parquet(paths.gold("dim_business_history"))
     assert h.count() > len(hist1)
     per_key = h.groupBy("business_id").agg({"is_current": "count"}).collect()
@@ -41,4 +40,33 @@ def test_rerun_is_idempotent_and_history_versions(spark, tmp_dir):
     assert current.filter("count <> 1").count() == 0
     assert current.count() == len(per_key)
     audit = spark.read.parquet(paths.audit)
-    assert audit.filter("layer = 'silver'").count() == 3 * 5
+    assert audit.filter("layer = 'silver'").count() == 3 * 6
+
+
+def test_empty_clean_table_does_not_replace_the_stored_one(spark, tmp_dir):
+    import pytest
+    L, paths, day = Layers(spark, SF), jobs.Paths(tmp_dir), dt.date(2001, 6, 1)
+    write_partitioned(L.bronze("tips"), paths.bronze("tips"), ["ingestion_date"], guard=False)
+    n = jobs.run_silver(spark, paths, day, RUN_TS)["tips"]
+    write_partitioned(L.bronze("tips").selectExpr("null business_id", "user_id", "text", "date", "compliment_count", "ingestion_date"),
+                      paths.bronze("tips"), ["ingestion_date"], guard=False)
+    with pytest.raises(jobs.SilverCheckError):
+        jobs.run_silver(spark, paths, day, RUN_TS + dt.timedelta(hours=1))
+    assert spark.read.parquet(paths.silver("tips")).count() == n
+    rows = spark.read.parquet(paths.test_results).filter("test_name = 'non_empty'").orderBy("run_timestamp").collect()
+    assert [r.passed for r in rows] == [True, False]
+
+
+def test_layer_tests_store_rows_stop_on_failure_and_build_a_baseline(spark, tmp_dir):
+    import pytest
+    L, paths = Layers(spark, SF), jobs.Paths(tmp_dir)
+    for e in ("business", "reviews", "users", "checkins", "tips"):
+        write_partitioned(L.bronze(e), paths.bronze(e), ["ingestion_date"], guard=False)
+    day = dt.date(2001, 6, 1)
+    jobs.run_silver(spark, paths, day, RUN_TS)
+    with pytest.raises(jobs.LayerTestsFailed):
+        jobs.run_tests(spark, paths, "silver", day, RUN_TS)                       # floors of a full load
+    for d in range(1, 5):
+        rows = jobs.run_tests(spark, paths, "silver", day + dt.timedelta(days=d), RUN_TS + dt.timedelta(days=d), floors={}, stop=False)
+    drift = {(r.test_name, r.entity): r for r in rows.collect() if r.test_name.endswith("_drift")}
+    assert drift["row_count_drift", "reviews"].value == 0.0 and drift["metric_drift", "reviews"].message == "within threshold"

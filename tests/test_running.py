@@ -23,3 +23,18 @@ def test_running_totals_match_window_with_hot_key(spark):
     a = sorted(got.collect(), key=key)
     b = sorted(want.collect(), key=key)
     assert [(r.id, r.s, r.c, r.n) for r in a] == [(r.id, r.s, r.c, r.n) for r in b]
+
+
+def test_payload_columns_and_no_exchange_reuse(spark):
+    """More rows than a range sample takes, a kept column the totals do not need, and no reuse of exchanges."""
+    df = spark.range(120_000).select((F.col("id") % 7 * F.when(F.col("id") % 3 == 0, 1).otherwise(0)).alias("k"),
+                                     F.pmod(F.xxhash64("id"), F.lit(50_000)).alias("d"), F.col("id").alias("id"),
+                                     (F.col("id") % 11).alias("v"), F.concat(F.lit("text"), F.col("id").cast("string")).alias("payload"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = running_totals(df, ["k"], ["d", "id"], sums={"s": "v"}, counts={"n": "id"}, num_chunks=9)
+        w = Window.partitionBy("k").orderBy("d", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        want = df.select("*", F.sum("v").over(w).alias("s"), F.count("id").over(w).alias("n"))
+        assert got.exceptAll(want).count() == 0 and got.count() == 120_000
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")

@@ -24,8 +24,7 @@ def test_replay_and_retention(spark, tmp_dir):
     out = tmp_dir + "/bronze"
     res = B.replay(spark, "checkins", srcs, out, dt.datetime(2024, 1, 3), min_rows=0)
     assert [r.rows_written for r in res] == [3, 4]
-    df = spark.read.parquet(out)
-    exp = expired_partitions(df, "ingestion_date", dt.date(2024, 1, 3), keep_days=1)
+    exp = expired_partitions(spark, out, "ingestion_date", dt.date(2024, 1, 3), keep_days=1)
     assert [r[0] for r in exp.collect()] == [dt.date(2024, 1, 1)]
 
 
@@ -71,3 +70,31 @@ def test_results_append_and_pii_tag(spark, tmp_dir):
                                   "fans long, average_stars double, useful long, funny long, cool long, "
                                   "is_elite boolean, elite_years_count int")
     assert dim_user(users).schema["name"].metadata.get("pii") is True
+
+
+def part_files(path):
+    return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+
+
+def test_one_partition_value_is_many_write_tasks(spark, tmp_dir):
+    """A day, a month or the current versions of a history are not one task."""
+    from pyspark.sql import functions as F
+
+    from strataflow.operators.history import scd2_store
+    from strataflow.operators.upsert import upsert
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    df = spark.range(60_000).select(F.col("id").cast("string").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"),
+                                    F.lit(dt.date(2024, 1, 1)).alias("ingestion_date"), F.lit(1).alias("month"))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        write_partitioned(df, tmp_dir + "/day", ["ingestion_date"])
+        upsert(spark, df, tmp_dir + "/month", ["k"], ["month"])
+        upsert(spark, df.withColumn("v", F.upper("v")), tmp_dir + "/month", ["k"], ["month"])
+        scd2_store(spark, tmp_dir + "/history", df.select("k", "v"), "k", ["v"], "2024-01-01 00:00:00")
+        for name in ("day", "month", "history"):
+            assert len(part_files(f"{tmp_dir}/{name}")) >= 4, name
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
