@@ -141,6 +141,10 @@ class TextBytes:
             yield slice(start, len(self))
 
 
+#: Edges to a file of a components round; few edges make few files.
+EDGES_A_FILE = 250_000
+
+
 def connected(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected edge list (a long, b long).
 
@@ -151,9 +155,13 @@ def connected(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     minimum (partial aggregate) and an equi-join that AQE can split when a
     centre is hot. Each round is stored in the shared folder.
     """
-    e = (edges.where(F.col("a") != F.col("b"))
-         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    e, before = stored(e, name), None
+    def summary(t: DataFrame) -> tuple:
+        return tuple(t.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    e = stored(edges.where(F.col("a") != F.col("b"))
+               .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    before = summary(e)
+    files = max(1, -(-before[0] // EDGES_A_FILE))       # a round never has more edges than the one before
     for _ in range(most_rounds):
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(e.select("b", "a"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -163,11 +171,11 @@ def connected(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
         small = large.join(small_low, "a")
         nxt = (small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
                .unionAll(small_low.select("a", F.col("m").alias("b"))).distinct())
-        e = stored(nxt, name)
-        after = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        e = stored(nxt.coalesce(files) if files < partitions(e.sparkSession) else nxt, name)
+        after = summary(e)
         if after == before:
-            roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-            return roots.unionAll(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+            top = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return top.unionAll(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         before = after
     raise RuntimeError(f"{name}: components did not settle in {most_rounds} rounds")
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import TextBytes, partitions, stored
 from strataflow.llm.tokens import encoder
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RUN = "length long, lo long, hi long, first long, per long, at long"
 
@@ -46,7 +46,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
             for s in texts.slices(BATCH_BYTES):
                 rows = []
                 for name, ids in zip(names[s], enc.encode(texts[s])):
-                    ids += end
+                    ids = np.frombuffer(ids, enc.width).astype("<u4").tobytes() + end
                     for k, a in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[a:a + 4 * capacity]
                         row = (name, k, a // 4, len(part) // 4, zlib.crc32(part))

@@ -32,7 +32,7 @@ from strataflow.llm.common import TextBytes, mapped, open_store, partitions, put
 from strataflow.llm.tokens import encoder
 
 NULL_ID = -(1 << 63)
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def _writer(folder: str, tokenizer: str, end_id: int):
@@ -41,12 +41,13 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         parts, lengths, docs, enc = [], [], [], None
         for batch in batches:
             enc = enc or encoder(tokenizer)
-            width = "<u2" if max(enc.vocabulary, end_id + 1) <= 65536 else "<u4"
+            width = enc.width
+            end = np.array([end_id], width).tobytes()
             texts = TextBytes(batch.column(1))
             for s in texts.slices(BATCH_BYTES):
                 for ids in enc.encode(texts[s]):
-                    parts.append(np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(width).tobytes())
-                    lengths.append(len(ids) // 4 + 1)
+                    parts += (ids, end)
+                    lengths.append(len(ids) // len(end) + 1)
             docs.extend(NULL_ID if x is None else x for x in batch.column(0).to_pylist())
         if not docs:
             return
@@ -74,9 +75,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     made = (rows.repartitionByRange(shards or partitions(spark), "id").sortWithinPartitions("id", "text")
             .mapInArrow(_writer(folder, tokenizer, end_id), "shard long, n_docs long, n_tokens long, width long"))
-    made.write.mode("overwrite").parquet(f"{folder}/sizes")
-    sizes = spark.read.parquet(f"{folder}/sizes")
-    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)   # one row per shard
+    # one row a shard: sizes, then bases as a prefix sum
+    sizes = spark.createDataFrame(made.collect(), made.schema)
+    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     (sizes.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
      .write.mode("overwrite").parquet(f"{folder}/shards"))
     return spark.read.parquet(f"{folder}/shards")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 
-#: Words remembered by one Python worker; beyond it the memory starts anew.
-WORDS_KEPT = 600_000
+#: Words remembered by one Python worker; beyond it only the latest texts' words stay.
+WORDS_KEPT = 1_200_000
 #: Marks that often follow a word; between a letter and a mark the pre-tokenizer always cuts.
 MARKS = b".,!?:;*#$%&|"
 END_OF_WORD = "</w>"
@@ -24,7 +25,8 @@ class WordEncoder:
     last token is marked as a word's end), all others one by one. Texts that
     may hold a special token's name, or marks that combine with a letter
     (U+0300 to U+037F), go through the library whole.
-    Ids are little-endian unsigned 32-bit.
+    Ids are little-endian unsigned integers of ``width``: 16 bits where the
+    vocabulary allows, else 32.
     """
 
     def __init__(self, path: str) -> None:
@@ -32,11 +34,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.width = "<u2" if self.vocabulary <= 65536 else "<u4"
         self.ends = np.zeros(self.vocabulary, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items() if t.endswith(END_OF_WORD)]] = True
 
     def _each(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
         plain, odd = [], []
@@ -44,21 +47,20 @@ class WordEncoder:
             (plain if w.isalpha() or w.decode().isalpha() else odd).append(w)
         for i in range(0, len(plain), 5_000):
             part = plain[i:i + 5_000]
-            ids = np.frombuffer(self._each([b" ".join(part).decode()])[0], "<u4")
+            ids = np.frombuffer(self._each([b" ".join(part).decode()])[0], self.width)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(part) and stops[-1] == len(ids):
-                flat, at = ids.tobytes(), (4 * stops).tolist()
+                flat, at = ids.tobytes(), (ids.itemsize * stops).tolist()
                 self.known.update(zip(part, [flat[a:b] for a, b in zip([0, *at], at)]))
             else:
                 odd += part
         self.known.update(zip(odd, self._each([w.decode() for w in odd])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > WORDS_KEPT:
-            self.known = {}
         apart = [b"<|" in t or b"\xcc" in t or b"\xcd" in t for t in texts]
         words = [[] if x else t.lower().split() for t, x in zip(texts, apart)]
-        new, known = set().union(*words).difference(self.known), self.known
+        known = self.known
+        new = set(chain.from_iterable(filterfalse(known.__contains__, w) for w in words))
         marked = []
         for w in new:
             stem = w.rstrip(MARKS)
@@ -67,10 +69,13 @@ class WordEncoder:
         new.difference_update(w for w, _, _ in marked)
         for _, stem, marks in marked:
             new.update(x for x in (stem, marks) if x not in known)
-        self._learn(sorted(new))
+        self._learn(list(new))
         known.update((w, known[stem] + known[marks]) for w, stem, marks in marked)
         whole = iter(self._each([t.decode() for t, x in zip(texts, apart) if x]))
-        return [next(whole) if x else b"".join(map(known.__getitem__, w)) for w, x in zip(words, apart)]
+        out = [next(whole) if x else b"".join(map(known.__getitem__, w)) for w, x in zip(words, apart)]
+        if len(known) > WORDS_KEPT:                              # go on with the words of these texts
+            self.known = {w: known[w] for w in set().union(*words)}
+        return out
 
     @property
     def vocabulary(self) -> int:
