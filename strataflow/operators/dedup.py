@@ -32,8 +32,3 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] =
     out = df.groupBy(*keys).agg(packed)
     return out.select(*[F.col(c) for c in keys], *[F.col("_latest").getField(c).alias(c) for c in ranked]) \
               .select(*df.columns)
-
-
-def distinct_rows_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Dedup when rows sharing a key are identical (any survivor is the same row)."""
-    return df.dropDuplicates(list(keys))
