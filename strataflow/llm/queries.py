@@ -103,5 +103,25 @@ t as (select rid, count(*) n_items, string_agg(s, ',' order by s) ids from (sele
 select doc_id, len(ws)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
        sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 from w left join c using (rid) left join t using (rid)
+""",
+    "op6_embeddings": """
+with recursive v as (select row_number() over () rid, vec_id, embedding::double[] e from embeddings),
+ok as (select * from v where len(e) > 0 and list_bool_and([x is not null and isfinite(x) for x in e]) and list_bool_or([x <> 0 for x in e])),
+l as (select a.rid x, b.rid y from ok a join ok b on a.rid <> b.rid and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(x, y) as (select rid, rid from v union select r.x, l.y from reach r join l on l.x = r.y),
+c as (select r.x, min(v.vec_id) component_id from reach r join v on v.rid = r.y group by r.x)
+select v.vec_id, (select count(*) from l where l.x = v.rid) n_links, component_id, coalesce(v.vec_id = component_id, false) kept
+from v join c on c.x = v.rid
+""",
+    "op8_warc": """
+with h as (select page_id, strlen(coalesce(html, '')) n, sha1(coalesce(html, '')) d,
+                  row_number() over w k, first_value(page_id) over w f
+           from pages window w as (partition by coalesce(html, '') order by page_id nulls last, url nulls first)),
+b as (select *, [('0x' || substr(d, 5 * i + 1, 5))::bigint for i in range(8)] parts from h)
+select page_id, n payload_bytes,
+       array_to_string(flatten([[substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((p >> s) & 31) + 1, 1) for s in [15, 10, 5, 0]] for p in parts]), '')
+         payload_digest,
+       case when k = 1 then 'response' else 'revisit' end record_type, case when k > 1 then f end refers_to
+from b
 """,
 }

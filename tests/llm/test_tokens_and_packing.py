@@ -28,6 +28,14 @@ def test_word_encoder_equals_the_library(vocabulary):
             assert np.frombuffer(got, enc.width).tolist() == ids(t), t
 
 
+def test_other_vocabularies_get_whole_texts():
+    from strataflow.llm.queries import vocabulary_file
+    path = vocabulary_file("byte_bpe_50k.json")
+    enc, ids = WordEncoder(path), plain(path)
+    texts = ["Two  words, and\na line", "", "x" * 300]
+    assert [np.frombuffer(b, enc.width).tolist() for b in enc.encode([t.encode() for t in texts])] == [ids(t) for t in texts]
+
+
 def test_token_files_round_trip(spark, tmp_path, edge_docs, vocabulary):
     folder = f"file://{tmp_path}/tokens"
     shards = token_files.write_token_files(edge_docs, folder, vocabulary, end_id=1, shards=3)
