@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 from itertools import chain, filterfalse
@@ -22,7 +23,8 @@ class WordEncoder:
     it, and ignores case, so a text's ids are those of its space-separated,
     lower-cased words in order. Each distinct word goes through the library once
     per worker: words of letters only in one long call (each is one piece, whose
-    last token is marked as a word's end), all others one by one. Texts that
+    last token is marked as a word's end), all others one by one. Vocabularies
+    of another kind get whole texts. Texts that
     may hold a special token's name, or marks that combine with a letter
     (U+0300 to U+037F), go through the library whole.
     Ids are little-endian unsigned integers of ``width``: 16 bits where the
@@ -31,32 +33,45 @@ class WordEncoder:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        # words are apart only if white space is dropped and each word ends with a mark of its own
+        self.by_word = spec["model"].get("end_of_word_suffix") == END_OF_WORD and steps[0].get("behavior") == "Removed"
+        # lower-case ASCII letters are their own normal form and one piece: white space is all there is to cut at
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
         self.width = "<u2" if self.vocabulary <= 65536 else "<u4"
         self.ends = np.zeros(self.vocabulary, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items() if t.endswith(END_OF_WORD)]] = True
 
-    def _each(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _each(self, words: list[str], tokenizer=None) -> list[bytes]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, self.width).tobytes() for e in found]
 
     def _learn(self, words: list[bytes]) -> None:
-        plain, odd = [], []
+        ascii_, plain, odd = [], [], []
         for w in words:
-            (plain if w.isalpha() or w.decode().isalpha() else odd).append(w)
-        for i in range(0, len(plain), 5_000):
-            part = plain[i:i + 5_000]
-            ids = np.frombuffer(self._each([b" ".join(part).decode()])[0], self.width)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part) and stops[-1] == len(ids):
-                flat, at = ids.tobytes(), (ids.itemsize * stops).tolist()
-                self.known.update(zip(part, [flat[a:b] for a, b in zip([0, *at], at)]))
-            else:
-                odd += part
+            (ascii_ if w.isalpha() else plain if w.decode().isalpha() else odd).append(w)
+        for tokenizer, group in ((self.letters, ascii_), (self.tokenizer, plain)):
+            for i in range(0, len(group), 5_000):
+                part = group[i:i + 5_000]
+                ids = np.frombuffer(self._each([b" ".join(part).decode()], tokenizer)[0], self.width)
+                stops = np.flatnonzero(self.ends[ids]) + 1
+                if len(stops) == len(part) and stops[-1] == len(ids):
+                    flat, at = ids.tobytes(), (ids.itemsize * stops).tolist()
+                    self.known.update(zip(part, [flat[a:b] for a, b in zip([0, *at], at)]))
+                else:
+                    odd += part
         self.known.update(zip(odd, self._each([w.decode() for w in odd])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            return self._each([t.decode() for t in texts])
         apart = [b"<|" in t or b"\xcc" in t or b"\xcd" in t for t in texts]
         words = [[] if x else t.lower().split() for t, x in zip(texts, apart)]
         known = self.known
