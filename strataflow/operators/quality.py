@@ -18,7 +18,6 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -599,10 +598,10 @@ def drift_rows(df: DataFrame, history: DataFrame, entity: str, layer: str, run_d
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Stored results of earlier runs (none yet: an empty frame)."""
-    try:
-        return spark.read.schema(S.TEST_RESULT_HISTORY_SCHEMA).format(fmt).load(path)
-    except AnalysisException:
+    from strataflow.sources.tables import path_exists
+    if not path_exists(spark, path):
         return spark.createDataFrame([], S.TEST_RESULT_HISTORY_SCHEMA)
+    return spark.read.schema(S.TEST_RESULT_HISTORY_SCHEMA).format(fmt).load(path)
 
 
 # ── single-run checks against the audit log, and result persistence ────────
