@@ -4,17 +4,22 @@ Fitted on a bounded sample (``sample`` vectors, those with the smallest hash of
 their id): coarse centroids (one per ``per_list`` vectors, ``most_lists`` at
 most) and, on the residuals, a codebook for each subspace. Every vector is
 indexed: its nearest list, its residual's subspace codes and the length of what
-the codes leave out. Every vector probes its ``probes`` nearest lists; inside a
-list, asymmetric distances come from per-query lookup tables. A vector can only
-be within the limit if its table distance is within the limit plus its own code
-error, so the tables lose nothing; survivors are verified by the exact cosine
-in double precision.
-
-Exact copies are one class from the start. Lists are cut into blocks, and pairs
-of blocks are the groups that tasks work on, so a large list is many bounded
-tasks; a group returns counts of links and one edge a member, never its pairs.
-A pair that both sides find counts once for each, as does a pair that one side
-finds.
+the codes leave out. Every vector probes each list that can hold a partner
+(and its ``probes`` nearest lists in any case): a partner is within the limit of
+the vector, within its list's radius of that list's centroid, and on that
+centroid's side of the plane between it and the vector's own centroid; a list
+that meets neither bound together with the limit has none. Inside a list,
+asymmetric distances come from per-query lookup tables. A vector can only be
+within the limit if its table distance is within the limit plus its own code
+error, so neither the lists nor the tables lose a link; survivors are verified
+by the exact cosine in double precision. Where vectors lie so wide apart that
+the bounds exclude few lists, this compares nearly all pairs.
+
+Exact copies are one class from the start. Neighbouring lists are joined into
+cells, a large list is cut into several, and pairs of cells are the groups that
+tasks work on, so all tasks are bounded; a group returns counts of links and one
+edge a member, never its pairs. A vector asks its own and later cells only, so
+each pair is found once and counts for both sides.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components link with nothing and are their own component; vectors of different
@@ -32,9 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import connected, roots, stored
+from strataflow.llm.common import connected, release, roots, stored
 
-BLOCK = 2000
+#: Rows of a cell: at most about BLOCK, fewer where the table would have under CELLS cells, but not under LEAST for that.
+BLOCK, CELLS, LEAST = 4000, 16, 256
+#: Slack of the bounds for 32-bit rounding, of distances and of squared distances.
+SLACK, SLACK_2 = 1e-3, 1e-4
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -80,16 +88,60 @@ class Quantiser:
         left = sum(((residual[:, s] - b[codes[:, i]]) ** 2).sum(axis=1) for i, (s, b) in enumerate(zip(self.cuts, self.books)))
         return codes.astype(np.uint8), np.sqrt(left)
 
-    def distances(self, x: np.ndarray, number: int, codes: np.ndarray) -> np.ndarray:
-        """Squared distance of each row of ``x`` to each coded member of list ``number``, by table lookup."""
-        residual = x.astype(np.float32) - self.centroids[number]
-        out = np.zeros((len(x), len(codes)), np.float32)
+    def products(self, x: np.ndarray, numbers: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Per coded member (its list and codes) and row of ``x``: their inner product, by table lookup."""
+        x = x.astype(np.float32).T
+        near, at = np.unique(numbers, return_inverse=True)
+        out = (self.centroids[near] @ x)[at]
         for i, (s, b) in enumerate(zip(self.cuts, self.books)):
-            r = residual[:, s]
-            table = (r * r).sum(axis=1)[:, None] - 2 * r @ b.T + (b * b).sum(axis=1)
-            out += table[:, codes[:, i]]
+            out += (b @ x[s])[codes[:, i]]
         return out
 
+    def lengths(self, numbers: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Squared length of each coded member."""
+        y = self.centroids[numbers].copy()
+        for i, (s, b) in enumerate(zip(self.cuts, self.books)):
+            y[:, s] += b[codes[:, i]]
+        return (y * y).sum(axis=1)
+
+    def reachable(self, x: np.ndarray, home: np.ndarray, radius: np.ndarray, reach: float, least: int) -> np.ndarray:
+        """Per row and list: can the list hold a vector within ``reach`` of the row? The ``least`` nearest count, too."""
+        c = self.centroids
+        length, x = (c * c).sum(axis=1), x.astype(np.float32)
+        d = (x * x).sum(axis=1)[:, None] + length - 2 * (x @ c.T)
+        gap = np.sqrt(np.maximum(length[home][:, None] + length - 2 * (c[home] @ c.T), 0) + SLACK_2 ** 2)
+        own = d[np.arange(len(x)), home][:, None]
+        ok = (d <= (reach + radius + SLACK) ** 2 + SLACK_2) & (d - own <= 2 * gap * (reach + SLACK) + SLACK_2)
+        np.put_along_axis(ok, nearest(x, c, least), True, axis=1)
+        ok[np.arange(len(x)), home] = True
+        return ok & (radius >= 0)
+
+
+def path(c: np.ndarray) -> np.ndarray:
+    """The rows of ``c`` in an order that keeps near ones together: halved, again and again, along the widest direction."""
+    def halves(i: np.ndarray) -> list[np.ndarray]:
+        if len(i) < 3:
+            return [i]
+        x = c[i] - c[i].mean(axis=0)
+        far = x[(x * x).sum(axis=1).argmax()]
+        i = i[np.argsort(x @ far, kind="stable")]
+        return halves(i[:len(i) // 2]) + halves(i[len(i) // 2:])
+    return np.concatenate(halves(np.arange(len(c))))
+
+
+def cells(order: np.ndarray, size: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First cell and number of cells of each list: runs of lists of about ``most`` rows, and parts of larger lists."""
+    first, parts = np.zeros(len(size), np.int64), np.ones(len(size), np.int64)
+    cell, held = 0, 0
+    for k in order:
+        if held and held + size[k] > most:
+            cell, held = cell + 1, 0
+        first[k], parts[k] = cell, max(1, -(-size[k] // most))
+        held += size[k]
+        if parts[k] > 1:
+            cell, held = cell + parts[k], 0
+    return first, parts
+
 
 def _matrix(column, width: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -111,77 +163,89 @@ def _links(classes: DataFrame, width: int, limit: float, sample: int, per_list:
     shared = spark.sparkContext.broadcast(model)              # bounded by most_lists and the sample
     reach = float(np.sqrt(2 - 2 * limit))
 
+    kind = classes.schema["v"].dataType.simpleString()
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
         for batch in batches:
             x = _unit(_matrix(batch.column(2), width))
-            near = nearest(x.astype(np.float32), q.centroids, probes)
-            codes, error = q.encode(x, near[:, 0])
+            near = nearest(x.astype(np.float32), q.centroids, 1)[:, 0]
+            codes, error = q.encode(x, near)
+            away = np.sqrt(((x - q.centroids[near]) ** 2).sum(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(near[:, 0].astype(np.int32)), pa.array(list(near.astype(np.int32))),
-                 pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error.astype(np.float32))],
-                names=["node", "copies", "v", "list", "probes", "codes", "error"])
-
-    kind = classes.schema["v"].dataType.simpleString()
-    indexed = stored(classes.select("node", "copies", "v").mapInArrow(
-        index, f"node long, copies long, v {kind}, list int, probes array<int>, codes binary, error float"), "vector_index")
-    # blocks of at most about BLOCK rows a list, for members and for queries; both tables have a row a list
-    asked = indexed.select("node", "copies", "v", "codes", "error", "probes", F.col("list").alias("home"), F.explode("probes").alias("list"))
-    members = indexed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("mb"))
-    queries = (indexed.select(F.explode("probes").alias("list")).groupBy("list")
-               .agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("qb")))
-    blocks = F.broadcast(members.join(queries, "list"))       # at most most_lists rows
-
-    def block(count: str) -> F.Column:
-        return F.pmod(F.xxhash64("node"), count).cast("int")
-
-    def every(count: str) -> F.Column:
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    own = ["node", "copies", "v", "probes"]
-    left = (asked.join(blocks, "list").withColumn("q", block("qb")).withColumn("m", every("mb"))
-            .select("list", "q", "m", F.lit(0).alias("side"), *own, "home", F.lit(None).cast("binary").alias("codes"),
-                    F.lit(None).cast("float").alias("error")))
-    right = (indexed.join(blocks, "list").withColumn("m", block("mb")).withColumn("q", every("qb"))
-             .select("list", "q", "m", F.lit(1).alias("side"), *own, F.col("list").alias("home"), "codes", "error"))
+                [*batch.columns, pa.array(near.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()),
+                 pa.array(error.astype(np.float32)), pa.array(away), batch.column(0)],
+                names=["node", "copies", "v", "list", "codes", "error", "away", "part"])
+
+    own = f"node long, copies long, v {kind}, list int, codes binary, error float"
+    indexed = stored(classes.select("node", "copies", "v").mapInArrow(index, f"{own}, away double, part long")
+                     .withColumn("part", F.xxhash64("part")), "vector_index")
+    size, radius = np.zeros(len(model.centroids), np.int64), np.full(len(model.centroids), -1.0)
+    for k, held, far in indexed.groupBy("list").agg(F.count("*"), F.max("away")).collect():      # at most most_lists rows
+        size[k], radius[k] = held, far
+    first, parts_of = cells(path(model.centroids), size, max(1, min(BLOCK, max(LEAST, n // CELLS))))
+    layout = spark.sparkContext.broadcast((first, parts_of, radius))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, (first, count, radius) = shared.value, layout.value
+        last = int((first + count).max())
+        for whole in batches:
+            for i in range(0, len(whole), 1024):
+                batch = whole.slice(i, 1024)
+                home = batch.column(3).to_numpy()
+                cell = first[home] + batch.column(7).to_numpy() % count[home]
+                ok = q.reachable(_unit(_matrix(batch.column(2), width)), home, radius, reach, probes)
+                asks = np.zeros((len(batch), last + 1), np.int32)    # +1 where a list's cells begin, -1 after them
+                row, k = np.nonzero(ok)
+                np.add.at(asks, (row, first[k]), 1)
+                np.add.at(asks, (row, first[k] + count[k]), -1)
+                asks = (asks.cumsum(axis=1) > 0) & (np.arange(last + 1) >= cell[:, None])
+                to = pa.ListArray.from_arrays(np.append(0, asks.sum(axis=1).cumsum()).astype(np.int32),
+                                              pa.array(np.nonzero(asks)[1].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(cell.astype(np.int32)), to],
+                                                 names=["node", "copies", "v", "list", "codes", "error", "cell", "asks"])
+
+    dealt = stored(indexed.mapInArrow(deal, f"{own}, cell int, asks array<int>"), "vector_cells")
+    release(spark, indexed)
+    ask = (dealt.select(F.col("cell").alias("q"), F.explode("asks").alias("m"), F.lit(0).alias("side"), "node", "copies", "v",
+                        F.lit(None).cast("int").alias("list"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("float").alias("error")))
+    # members go to the cells that ask for theirs
+    asked = dealt.select(F.col("cell").alias("q"), F.explode("asks").alias("m")).distinct()
+    have = (dealt.drop("asks").join(asked, F.col("cell") == F.col("m"))
+            .select("q", "m", F.lit(1).alias("side"), "node", "copies", "v", "list", "codes", "error"))
 
     def compare(group: pa.Table) -> pa.Table:
         side = group["side"].to_numpy()
         ask, have = group.filter(pa.array(side == 0)), group.filter(pa.array(side == 1))
-        empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         if not len(ask) or not len(have):
-            return empty
-        q, number = shared.value, group["list"][0].as_py()
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+        q, same = shared.value, group["q"][0].as_py() == group["m"][0].as_py()
         x, y = _unit(_matrix(ask["v"], width)), _unit(_matrix(have["v"], width))
-        xi, yi = ask["node"].to_numpy(), have["node"].to_numpy()
-        xc, yc, home = ask["copies"].to_numpy(), have["copies"].to_numpy(), ask["home"].to_numpy()
-        codes = np.frombuffer(b"".join(have["codes"].to_pylist()), np.uint8).reshape(len(have), -1)
-        most = (reach + have["error"].to_numpy() + 1e-3) ** 2
-        seen = _matrix(have["probes"], len(have["probes"][0])).astype(np.int32)
-        pairs = []
+        xc, yc = ask["copies"].to_numpy(), have["copies"].to_numpy()
+        nodes, at = np.unique(np.concatenate([ask["node"].to_numpy(), have["node"].to_numpy()]), return_inverse=True)
+        xi, yi = at[:len(x)], at[len(x):]
+        codes, numbers = np.frombuffer(b"".join(have["codes"].to_pylist()), np.uint8).reshape(len(have), -1), have["list"].to_numpy()
+        # the squared table distance is 1 + length - 2 product
+        least = (1 + q.lengths(numbers, codes) - (reach + have["error"].to_numpy() + SLACK) ** 2) / 2
+        n, label = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
         for i in range(0, len(x), 256):
-            a, b = np.nonzero(q.distances(x[i:i + 256], number, codes) <= most)
+            b, a = np.nonzero(q.products(x[i:i + 256], numbers, codes) >= least[:, None])
             a += i
-            for j in range(0, len(a), 1 << 15):
-                s = slice(j, j + (1 << 15))
-                ok = ((x[a[s]] * y[b[s]]).sum(axis=1) >= limit) & (xi[a[s]] != yi[b[s]])
-                pairs.append(np.stack([a[s][ok], b[s][ok]]))
-        a, b = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
-        if not len(a):
-            return empty
-        # the member counts the link, too, where it does not probe the query's list itself
-        alone = ~(seen[b] == home[a][:, None]).any(axis=1)
-        n = (np.bincount(a, yc[b], minlength=len(x)), np.bincount(b[alone], xc[a[alone]], minlength=len(y)))
-        nodes, at = np.unique(np.concatenate([xi[a], yi[b]]), return_inverse=True)
-        root = roots(at[:len(a)], at[len(a):], len(nodes))
-        other = np.flatnonzero(root != np.arange(len(nodes)))
-        counted = [(i[c > 0], c[c > 0].astype(np.int64)) for i, c in zip((xi, yi), n)]
-        counts = np.concatenate([c for c, _ in counted]), np.concatenate([c for _, c in counted])
-        return pa.table({"a": np.concatenate([nodes[other], counts[0]]),
-                         "b": pa.concat_arrays([pa.array(nodes[root[other]]), pa.nulls(len(counts[0]), pa.int64())]),
-                         "n": pa.concat_arrays([pa.nulls(len(other), pa.int64()), pa.array(counts[1])])})
-
-    found = stored(left.unionByName(right).groupBy("list", "q", "m").applyInArrow(compare, "a long, b long, n long"), "vector_links")
+            if same:                                       # both sides are the same rows: each pair once
+                a, b = a[xi[a] < yi[b]], b[xi[a] < yi[b]]
+            ok = [np.einsum("ij,ij->i", x[a[j:j + (1 << 15)]], y[b[j:j + (1 << 15)]]) >= limit for j in range(0, len(a), 1 << 15)]
+            if not ok:
+                continue
+            ok = np.concatenate(ok)
+            a, b = a[ok], b[ok]
+            n += np.bincount(xi[a], yc[b], len(nodes)).astype(np.int64) + np.bincount(yi[b], xc[a], len(nodes)).astype(np.int64)
+            label = roots(np.concatenate([xi[a], np.arange(len(nodes))]), np.concatenate([yi[b], label]), len(nodes))
+        other, counted = np.flatnonzero(label != np.arange(len(nodes))), np.flatnonzero(n)
+        return pa.table({"a": np.concatenate([nodes[other], nodes[counted]]),
+                         "b": pa.concat_arrays([pa.array(nodes[label[other]]), pa.nulls(len(counted), pa.int64())]),
+                         "n": pa.concat_arrays([pa.nulls(len(other), pa.int64()), pa.array(n[counted])])})
+
+    found = stored(ask.unionByName(have).groupBy("q", "m").applyInArrow(compare, "a long, b long, n long"), "vector_links")
     return (found.where("n is not null").select(F.col("a").alias("node"), "n"), found.where("n is null").select("a", "b"))
 
 

@@ -57,3 +57,13 @@ def test_clusters_equal_all_pairs(spark, monkeypatch):
     found, total = sum(r[1] for r in got), sum(r[1] for r in want)
     assert found <= total and found / total > 0.98
     assert np.mean([a == b for a, b in zip(got, want)]) > 0.95
+
+
+@pytest.mark.parametrize("near", [0.02, 0.08])
+def test_large_group_of_near_copies_keeps_all_links(spark, monkeypatch, near):
+    monkeypatch.setattr(embeddings, "BLOCK", 60)
+    rnd = np.random.default_rng(3)
+    centre = rnd.normal(size=16)
+    rows = [(i, np.float32(centre / np.sqrt(centre @ centre) + rnd.normal(size=16) * near if i % 3 == 0 else rnd.normal(size=16)).tolist())
+            for i in range(480)]
+    assert run(spark, rows, per_list=5, probes=4, sample=400, parts=4) == brute(rows, 0.9)
