@@ -8,7 +8,9 @@ of the standard deviation) form the content clusters, and the innermost element
 that holds nearly all of their text is the content region. The region's lines
 are the result, without lines inside elements that are never article text
 (menus, headers, footers, asides, forms, scripts; class, id and role names of
-adverts, notices, sidebars and reader comments).
+adverts, notices, sidebars and reader comments). A form or a class or id name
+does not count where the element holds the page's article, and words such as
+header or notice do not count inside an article.
 
 Defined cases: null or empty html, or a page without text, gives an empty text;
 unclosed and stray tags are tolerated; character references are decoded; repeated
@@ -44,22 +46,29 @@ AROUND = frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs pa
 FOREIGN = frozenset("ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion banner "
                     "cookie cookies consent gdpr notice notices alert alerts popup modal overlay disclaimer "
                     "comment comments commentlist reply replies respond disqus discussion".split())
+#: Of these, words that inside an article name parts of it.
+OWN = frozenset("header masthead notice notices alert alerts disclaimer".split())
+#: Of these, words of what may hold more text than the article.
+TALK = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+#: Results of a look at an element: always foreign, foreign by a name (or a form), the same of reader comments.
+SURE, NAMED, TALKED = 1, 2, 3
 WORD = re.compile(r"[a-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects (text pieces, tags, container, skipped) per line."""
+    """Collects (text, tags, container, mark) per line; a mark is an element that looks foreign."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []         # element, container number, inside something skipped
-        self.parent, self.kind = [-1], ["page"]             # per container
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.open: list[tuple[str, int, int]] = []          # element, container number, innermost mark (-1: none)
+        self.parent, self.kind, self.mark_of = [-1], ["page"], [-1]     # per container
+        self.outer, self.look, self.within = [], [], []     # per mark: the mark around it, why it is one, is it in an article
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
         self.tags = 0
 
-    def _where(self) -> tuple[int, bool]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (0, False)
+    def _where(self) -> tuple[int, int]:
+        return (self.open[-1][1], self.open[-1][2]) if self.open else (0, -1)
 
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -69,24 +78,27 @@ class _Lines(HTMLParser):
             self.lines.append(("", self.tags, *self._where()))
         self.text, self.tags = [], 0
 
-    def _foreign(self, tag: str, attrs: list) -> bool:
+    def _foreign(self, tag: str, attrs: list) -> int:
         inside = any(t in ("article", "main") for t, _, _ in self.open)
-        if tag in SKIPPED or (tag == "header" and not inside):
-            return True
+        if (tag in SKIPPED and tag != "form") or (tag == "header" and not inside):
+            return SURE
         if tag in ("html", "body", "main"):
-            return False
+            return 0
+        found = NAMED if tag == "form" else 0
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
+                return SURE
             if name == "role" and value and value.lower() in ROLES:
-                return True
+                if value.lower() != "form":
+                    return SURE
+                found = found or NAMED
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
-                return True
+                return SURE
             if name in ("class", "id") and value:
-                words = set(WORD.findall(value.lower()))
+                words = set(WORD.findall(value.lower())) - (OWN if inside else set())
                 if words & FOREIGN or (tag != "article" and words & AROUND and not (inside and tag == "header")):
-                    return True
-        return False
+                    found = max(found, TALKED if words & TALK else NAMED)
+        return found
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         block = tag in BLOCKS
@@ -100,14 +112,20 @@ class _Lines(HTMLParser):
         if block and tag not in CONTAINERS:                  # a block without blocks inside ends an open one
             while self.open and self.open[-1][0] in BLOCKS - CONTAINERS:
                 self.open.pop()
-        here, skipped = self._where()
-        foreign = (tag in CONTAINERS or tag in SKIPPED or block or bool(attrs)) and self._foreign(tag, attrs)
+        here, mark = self._where()
+        foreign = self._foreign(tag, attrs) if tag in CONTAINERS or tag in SKIPPED or block or attrs else 0
+        if foreign:
+            self.outer.append(mark)
+            self.look.append(foreign)
+            self.within.append(any(t in ("article", "main") for t, _, _ in self.open))
+            mark = len(self.outer) - 1
         if tag in CONTAINERS:
             self.parent.append(here)
             self.kind.append(tag)
+            self.mark_of.append(mark)
             here = len(self.parent) - 1
         if block or foreign:
-            self.open.append((tag, here, skipped or foreign))
+            self.open.append((tag, here, mark))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -139,6 +157,43 @@ def smooth(x: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(np.pad(x, r, mode="edge"), k / k.sum(), mode="valid")
 
 
+def _chain(outer: list[int], i: int) -> Iterator[int]:
+    while i >= 0:
+        yield i
+        i = outer[i]
+
+
+def _skipped(p: _Lines, weight: np.ndarray) -> list[bool]:
+    """Per mark: is it foreign? ``weight`` is the length of each line that has a high ratio, else 0.
+
+    A name does not make an element foreign that holds the page's article: more
+    text of article or main elements than stands outside all marks (for reader
+    comments: where none does), or most of the text with a high ratio (for
+    comments: all). The second does not hold for what stands beside an article.
+    """
+    sure = [False] * len(p.outer)
+    for m, look in enumerate(p.look):                       # a mark is numbered after those around it
+        sure[m] = look == SURE or (p.outer[m] >= 0 and sure[p.outer[m]])
+    held, article, total, plain = np.zeros(len(p.outer)), np.zeros(len(p.outer)), 0.0, 0
+    for (text, _, c, mark), w in zip(p.lines, weight):
+        if not text or (mark >= 0 and sure[mark]):
+            continue
+        total += w
+        held[list(_chain(p.outer, mark))] += w
+        own = [k for k in _chain(p.parent, c) if p.kind[k] in ("article", "main")]
+        if own and mark < 0:
+            plain += len(text)
+        # articles that are not marked themselves; the marks around any of them
+        own = {m for k in own if p.mark_of[k] == p.mark_of[p.parent[k]] for m in _chain(p.outer, p.mark_of[k])}
+        article[list(own)] += len(text)
+    beside, foreign = plain > 0 or article.any(), [False] * len(p.outer)
+    for m, look in enumerate(p.look):
+        talk = look == TALKED
+        own = (article[m] > plain and not (talk and plain)) or ((p.within[m] or not beside) and (held[m] == total > 0 if talk else held[m] > total / 2))
+        foreign[m] = sure[m] or not own or (p.outer[m] >= 0 and foreign[p.outer[m]])
+    return foreign
+
+
 def main_text(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share: float = 0.9) -> str:
     """The article of a page, one line a block."""
     if not html:
@@ -147,12 +202,16 @@ def main_text(html: str | None, sigma: float = 1.0, threshold: float = 1.0, shar
     p.feed(html)
     p.close()
     p.end_line()
-    kept = [i for i, (text, _, _, skipped) in enumerate(p.lines) if text and not skipped]
-    if not kept:
+    if not p.lines:
         return ""
     length = np.array([len(text) for text, _, _, _ in p.lines], float)
     ratio = smooth(length / np.array([tags for _, tags, _, _ in p.lines], float), sigma)
-    content = [i for i in kept if ratio[i] >= threshold * ratio.std()] or kept
+    high = ratio >= threshold * ratio.std()
+    foreign = _skipped(p, np.where(high, length, 0))
+    kept = [i for i, (text, _, _, mark) in enumerate(p.lines) if text and not (mark >= 0 and foreign[mark])]
+    if not kept:
+        return ""
+    content = [i for i in kept if high[i]] or kept
     held = np.zeros(len(p.parent))
     for i in content:
         c = p.lines[i][2]

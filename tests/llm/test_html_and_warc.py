@@ -30,6 +30,28 @@ def test_article_text(name):
     assert html_text.main_text(PAGES[name]).split("\n") == WANT
 
 
+SIDE = "<div class=sidebar><p>Some other long story that is not wanted here at all.</p></div>"
+WRAPPERS = {
+    "has-sidebar": f"<body>{NAV}<div class='layout has-sidebar'><article>{BODY}</article>{SIDE}</div>{COMMENTS}<footer>f</footer>",
+    "main in has-sidebar": f"<body>{NAV}<div class='has-sidebar'><div id=x class=no-header><main>{BODY}</main>{SIDE}</div></div>{COMMENTS}",
+    "has-sidebar in main": f"<body>{NAV}<main><div class='layout has-sidebar'><article>{BODY}</article>{SIDE}</div></main>{COMMENTS}",
+    "headline beside has-sidebar": f"<body>{NAV}<main><h1>Headline</h1><div class='layout has-sidebar'><div>{BODY[17:]}</div>{SIDE}</div></main>{COMMENTS}",
+    "no-header, no article": f"<body>{NAV}<div id=page class=no-header><div>{BODY}</div>{SIDE}</div>{COMMENTS}",
+    "page-wide form": f"<body><form id=aspnetForm>{NAV}<div class=content>{BODY}</div>{SIDE}{COMMENTS}</form><footer>f</footer>",
+    "form around article": f"<body><form>{NAV}<article>{BODY}</article>{NOISE.replace('form', 'nav')}</form>",
+    "parts of the article": f"<body><article><div class=entry-header><h1>Headline</h1></div><p class=notice>{P1}</p><p class=disclaimer>{P2}</p><p>{P3}</p>{NOISE}</article>{COMMENTS}",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_names_do_not_skip_the_article(name):
+    assert html_text.main_text(WRAPPERS[name]).split("\n") == WANT
+
+
+def test_long_advert_beside_a_short_article():
+    assert html_text.main_text(f"<body><div class=ad>{P1}</div><article><h1>Hi</h1><p>Short.</p></article>") == "Hi\nShort."
+
+
 def test_html_edge_cases(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<html><body></body></html>"), (4, "u", "just text"), (None, "u", "<p>one</p><p>two</p>"),
             (5, "u", PAGES["main"]), (5, "u", PAGES["main"]), (6, "u", "<div" + "<p>x" * 5000), (7, "u", "</p></div><!-- <p>no</p> --> <p>&lt;b&gt; a\x00b")]
