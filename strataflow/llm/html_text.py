@@ -4,9 +4,10 @@ The standard library's streaming HTML parser turns a page into lines: a line
 ends wherever a block element starts or ends. Each line has its text, its
 number of tags and the container elements it stands in. The text-to-tag ratios
 along the page are smoothed by a Gaussian; lines above the threshold (a multiple
-of the standard deviation) form the content clusters, and the innermost element
-that holds nearly all of their text is the content region. The region's lines
-are the result, without lines inside elements that are never article text
+of the standard deviation) form the content clusters. The content region is all
+article and main elements with such lines, if these hold most of their text,
+else the innermost element that holds all of them and the top headings. The
+region's lines (and top headings outside, if it has none) are the result, without lines inside elements that are never article text
 (menus, headers, footers, asides, forms, scripts; class, id and role names of
 adverts, notices, sidebars and reader comments). A form or a class or id name
 does not count where the element holds the page's article, and words such as
@@ -64,6 +65,7 @@ class _Lines(HTMLParser):
         self.parent, self.kind, self.mark_of = [-1], ["page"], [-1]     # per container
         self.outer, self.look, self.within = [], [], []     # per mark: the mark around it, why it is one, is it in an article
         self.lines: list[tuple[str, int, int, int]] = []
+        self.top: list[bool] = []                           # per line: is it a top heading
         self.text: list[str] = []
         self.tags = 0
 
@@ -76,6 +78,8 @@ class _Lines(HTMLParser):
             self.lines.append((text, max(1, self.tags), *self._where()))
         elif self.tags:
             self.lines.append(("", self.tags, *self._where()))
+        if len(self.top) < len(self.lines):
+            self.top.append(any(t == "h1" for t, _, _ in self.open[-1:]))
         self.text, self.tags = [], 0
 
     def _foreign(self, tag: str, attrs: list) -> int:
@@ -194,7 +198,7 @@ def _skipped(p: _Lines, weight: np.ndarray) -> list[bool]:
     return foreign
 
 
-def main_text(html: str | None, sigma: float = 1.0, threshold: float = 1.0, share: float = 0.9) -> str:
+def main_text(html: str | None, sigma: float = 1.0, threshold: float = 1.0) -> str:
     """The article of a page, one line a block."""
     if not html:
         return ""
@@ -219,15 +223,19 @@ def main_text(html: str | None, sigma: float = 1.0, threshold: float = 1.0, shar
             held[c] += length[i]
             c = p.parent[c]
     total = held[0]
-    # containers are numbered in page order, so the last that qualifies is an innermost one
-    named = [c for c in range(len(held)) if p.kind[c] in ("article", "main") and held[c] > total / 2]
-    region = named[-1] if named else max(c for c in range(len(held)) if held[c] >= share * total)
-
-    def inside(c: int) -> bool:
-        while c > region:
-            c = p.parent[c]
-        return c == region
-    return "\n".join(p.lines[i][0] for i in kept if inside(p.lines[i][2]))
+    articles = {c for c in range(len(held)) if p.kind[c] in ("article", "main") and held[c]}
+    texts = {i for i in content if any(c in articles for c in _chain(p.parent, p.lines[i][2]))}
+    if length[list(texts)].sum() > total / 2:
+        region = articles
+        if not any(p.top[i] for i in kept if any(c in articles for c in _chain(p.parent, p.lines[i][2]))):
+            heads = {i for i in kept if p.top[i]}           # the headline stands outside
+        else:
+            heads = set()
+    else:
+        heads = {i for i in kept if p.top[i]}
+        ways = [set(_chain(p.parent, c)) for c in {p.lines[i][2] for i in {*content, *heads}}]
+        region = {max(set.intersection(*ways))}             # containers are numbered in page order
+    return "\n".join(p.lines[i][0] for i in kept if i in heads or any(c in region for c in _chain(p.parent, p.lines[i][2])))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -48,6 +48,24 @@ def test_names_do_not_skip_the_article(name):
     assert html_text.main_text(WRAPPERS[name]).split("\n") == WANT
 
 
+LAST = "And here is a closing paragraph of the article, outside the element that holds nearly all."
+MANY = [f"{P1} {i}" for i in range(14)]
+INNER = "".join(f"<p>{m}</p>" for m in MANY)
+REGIONS = {
+    "divs": f"<body>{NAV}<div id=content><h1>Headline</h1><div class=body>{INNER}</div><div><p>{LAST}</p></div></div>{SIDE}{COMMENTS}{NOISE}<footer>f</footer>",
+    "section": f"<body>{NAV}<div id=content><h1>Headline</h1><section>{INNER}</section><section><p>{LAST}</p></section></div>{COMMENTS}",
+    "main": f"<body>{NAV}<main><h1>Headline</h1>{''.join(f'<p>{m}</p>' for m in MANY[:5])}<article>{''.join(f'<p>{m}</p>' for m in MANY[5:])}<p>{LAST}</p></article></main>{COMMENTS}",
+    "articles": f"<body>{NAV}<div><article><h1>Headline</h1>{INNER}</article>{SIDE}<article><p>{LAST}</p></article></div>{COMMENTS}",
+    "headline only": f"<body>{NAV}<div id=content><h1>Headline</h1><div>{INNER}<p>{LAST}</p></div></div>{COMMENTS}<div class=footer>f</div>",
+    "headline before article": f"<body>{NAV}<div><h1>Headline</h1></div><article>{INNER}<p>{LAST}</p></article>{COMMENTS}",
+}
+
+
+@pytest.mark.parametrize("name", REGIONS)
+def test_headline_and_closing_paragraph_outside_the_largest_container(name):
+    assert html_text.main_text(REGIONS[name]).split("\n") == ["Headline", *MANY, LAST]
+
+
 def test_long_advert_beside_a_short_article():
     assert html_text.main_text(f"<body><div class=ad>{P1}</div><article><h1>Hi</h1><p>Short.</p></article>") == "Hi\nShort."
 
