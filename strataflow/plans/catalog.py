@@ -1105,10 +1105,11 @@ def q_stream_late_events(L: Layers) -> DataFrame:
     late = (F.col("ts") < F.col("last") - F.expr("INTERVAL 10 DAYS")) & (F.col("event_id") % 5 == 0)
     marked = ev.join(F.broadcast(last), F.lit(True)).withColumn("late", late).select("event_id", "ts", "late")   # one row
     for n, part in enumerate((~F.col("late"), F.col("late") & (F.col("event_id") % 2 == 0), F.col("late") & (F.col("event_id") % 2 == 1))):
-        marked.filter(part).select("event_id", "ts").coalesce(1).write.parquet(f"{base}/landing/{n}")
+        marked.filter(part).select("event_id", "ts").write.parquet(f"{base}/landing/{n}")
     schema = spark.read.parquet(base + "/landing/0").schema
-    for n in range(3):       # one run a delivery, so that the watermark has moved when the late rows arrive
-        src = ST.file_stream(spark, f"{base}/landing/{{{','.join(map(str, range(n + 1)))}}}", schema, fmt="parquet", max_files_per_trigger=1)
+    # one run a delivery, all its files in one batch, so that the watermark has moved when the late rows arrive, and not before
+    for n in range(3):
+        src = ST.file_stream(spark, f"{base}/landing/{{{','.join(map(str, range(n + 1)))}}}", schema, fmt="parquet")
         counts = ST.windowed_counts(src, "ts").withColumn("month", F.date_format("window_start", "yyyy-MM"))
         ST.start(counts, base + "/checkpoint", foreach_batch=ST.upsert_batches(base + "/daily", ["window_start"], ["month"]),
                  output_mode="update", available_now=True).awaitTermination()

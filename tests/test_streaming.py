@@ -62,3 +62,21 @@ def test_kafka_reader_reports_missing_package(spark):
         assert "Kafka source" in str(exc)
     else:   # connector present: the stream carries the contract's columns
         assert "review_id" in df.columns and "_corrupt_record" in df.columns
+
+
+def test_late_events_deliveries_spread_over_files(spark, tmp_path, monkeypatch):
+    from strataflow.plans import catalog
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=5 * i)) for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))       # a partition a file
+    try:
+        got = {r.day: r.events for r in catalog.QUERIES["stream_late_events"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    last, want = rows[-1][1], {}
+    for i, ts in rows:
+        if not (ts < last - dt.timedelta(days=10) and i % 5 == 0):
+            want[str(ts.date())] = want.get(str(ts.date()), 0) + 1
+    assert got == want
+    assert len(list((tmp_path / "stream_late" / "landing" / "0").glob("*.parquet"))) > 1
