@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontaminate, embeddings, html_text, katz, language, packing, quality, simhash, token_files, warc
+from strataflow.llm import decontaminate, embeddings, exact_dedup, html_text, katz, language, packing, quality, simhash, token_files, warc
 from strataflow.llm.common import remainder, ship, table
 from strataflow.session import scratch_path
 
@@ -76,6 +76,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
@@ -83,7 +87,7 @@ def _with_package(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_package(f) for f in (
         op1_katz, op2_html_text, op3_best_fit_packing, op4_quality, op5_decontamination, op6_embeddings, op7_simhash, op8_warc, op9_token_files,
-        op10_language_id)
+        op10_language_id, op12_exact_dedup)
 }
 
 SQL: dict[str, str] = {
@@ -123,5 +127,11 @@ select page_id, n payload_bytes,
          payload_digest,
        case when k = 1 then 'response' else 'revisit' end record_type, case when k > 1 then f end refers_to
 from b
+""",
+    "op12_exact_dedup": """
+with d as (select doc_id, coalesce(text, '') t, row_number() over () rid from documents),
+k as (select *, max(doc_id) over (partition by t) keep_id, count(*) over (partition by t) n,
+             row_number() over (partition by t order by doc_id desc nulls last, rid) place from d)
+select doc_id, keep_id, n group_size, place = 1 kept, sha256(t) text_sha256 from k
 """,
 }
