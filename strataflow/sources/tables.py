@@ -54,6 +54,19 @@ def replace_path(spark: SparkSession, staged: str, path: str) -> None:
     fs.delete(aside, True)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that ``df`` reads (0 for inputs that are no files)."""
+    spark, folders = df.sparkSession, {}
+    for name in df.inputFiles():
+        folder, _, leaf = name.rpartition("/")
+        folders.setdefault(folder, set()).add(unquote(leaf))
+    total = 0
+    for folder, leaves in folders.items():
+        fs, p = _fs_path(spark, unquote(folder))
+        total += sum(st.getLen() for st in fs.listStatus(p) if st.getPath().getName() in leaves)
+    return total
+
+
 def measured_bytes(df: DataFrame) -> int:
     """An upper bound of ``df``'s in-memory size from a measurement: the row
     count times the fixed row width (null-bit word + 8 bytes a field) plus the
@@ -114,36 +127,43 @@ def partition_values(spark: SparkSession, path: str, part_col: str) -> list[str
 SCHEMA_FILE = "_schema.json"
 
 
-def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Record the table's full schema beside its partitions (readers skip names that start with '_')."""
-    fs, p = _fs_path(spark, path.rstrip("/") + "/" + SCHEMA_FILE)
+def write_json_file(spark: SparkSession, name: str, content: dict) -> None:
+    """A small file beside a table (readers skip names that start with '_')."""
+    fs, p = _fs_path(spark, name)
     out = fs.create(p, True)
-    out.write(bytearray(schema.json().encode()))
+    out.write(bytearray(json.dumps(content).encode()))
     out.close()
 
 
-def stored_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> StructType | None:
-    """The recorded schema; without a record what the format infers; None without a table."""
-    if not path_exists(spark, path):
-        return None
-    name = path.rstrip("/") + "/" + SCHEMA_FILE
-    if not path_exists(spark, name):
-        return spark.read.format(fmt).load(path).schema
+def read_json_file(spark: SparkSession, name: str) -> dict | None:
     fs, p = _fs_path(spark, name)
+    if not fs.exists(p):
+        return None
     stream = fs.open(p)
     try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return StructType.fromJson(json.loads(text))
+
+
+def save_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Record the table's full schema beside its partitions."""
+    write_json_file(spark, path.rstrip("/") + "/" + SCHEMA_FILE, schema.jsonValue())
+
+
+def stored_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> StructType | None:
+    """The recorded schema; without a record what the format infers; None without a table."""
+    if not path_exists(spark, path):
+        return None
+    recorded = read_json_file(spark, path.rstrip("/") + "/" + SCHEMA_FILE)
+    return StructType.fromJson(recorded) if recorded else spark.read.format(fmt).load(path).schema
 
 
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The table with its recorded schema: partitions older than a column hold null in it."""
-    name = path.rstrip("/") + "/" + SCHEMA_FILE
-    if not path_exists(spark, name):
-        return spark.read.format(fmt).load(path)
-    return spark.read.schema(stored_schema(spark, path, fmt)).format(fmt).load(path)
+    recorded = read_json_file(spark, path.rstrip("/") + "/" + SCHEMA_FILE)
+    reader = spark.read.schema(StructType.fromJson(recorded)) if recorded else spark.read
+    return reader.format(fmt).load(path)
 
 
 def grow_schema(df: DataFrame, stored: StructType | None) -> tuple[DataFrame, list[str]]:
