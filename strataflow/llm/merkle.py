@@ -4,9 +4,11 @@ Rows are leaves. Per group (``lang``) the leaves stand in id order and every
 ``FAN`` neighbours become the hash of their concatenation, level by level, up
 to the group's subroot; the subroots, in order of the group's value, become the
 root in the same way. The built levels are stored as rows that name their
-parent. A recursive SQL query then climbs from every leaf: at each step it
-appends the siblings it passes to the proof and folds the (possibly tampered)
-digest into the parent's.
+parent. A recursive SQL query then climbs from every leaf: each step appends a
+row with the siblings it passes and folds the (possibly tampered) digest into
+the parent's. A leaf's rows, in the order of their steps, are its proof; what
+climbs is only the place and the folded digest, as Spark moves the rows of every
+step.
 
 All rows of the tree's top have the same few ancestors. So that no join key is
 hot, leaves are numbered in blocks of ``BLOCK`` neighbours and an inner node is
@@ -34,7 +36,7 @@ from strataflow.llm.common import partitions, remainder, stored
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 FAN = 8
 #: Leaves that meet one copy of an inner node; a power of FAN.
-BLOCK = FAN ** 4
+BLOCK = FAN ** 3
 DIGEST = 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -122,21 +124,21 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-#: g of the tree over the subroots.
-TOP = -1
+#: Levels from here on are over the subroots.
+TOP = 1000
 
 
 def tree(leaves: DataFrame) -> DataFrame:
-    """Inner nodes as parent-linked rows (g, block, node, parent, slot, children, hash, is_subroot), one for each block below a node.
+    """Inner nodes as parent-linked rows (g, block, level, idx, up_level, up_idx, slot, children, hash, is_subroot), one for each block below a node.
 
-    ``node`` and ``parent`` are names "g.level.idx"; the root has no parent.
-    ``leaves``: (g, idx, n, leaf), stored.
+    A node is named by its level and its place there, its parent by ``up_level`` and ``up_idx``; levels above
+    the subroots go on from ``TOP``. The root has no parent. ``leaves``: (g, idx, n, leaf), stored.
     """
     base = leaves.select("g", F.lit(0).alias("level"), "idx", "n", F.col("leaf").alias("hash"))
     runs, nodes = _levels(base, "merkle_level")
     subroots = stored(_union(nodes).where("n = 1").select("g", "hash"), "merkle_subroots")
     n_groups = subroots.count()
-    top_runs, _ = _levels(subroots.select(F.lit(TOP).cast("long").alias("g"), F.lit(0).alias("level"), F.col("g").alias("idx"),
+    top_runs, _ = _levels(subroots.select(F.lit(0).cast("long").alias("g"), F.lit(0).alias("level"), F.col("g").alias("idx"),
                                           F.lit(n_groups).cast("long").alias("n"), "hash"), "merkle_top")
     sizes = leaves.select("g", "n").distinct()
     blocks = sizes.select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {BLOCK}"))).alias("block"))
@@ -146,43 +148,48 @@ def tree(leaves: DataFrame) -> DataFrame:
         below = run.join(sizes.withColumnRenamed("n", "leaves"), "g") if wide > BLOCK else run
         first = F.expr(f"idx * {max(1, wide // BLOCK)} div {max(1, BLOCK // wide)}")
         copies = (F.sequence(first, F.least(first + (wide // BLOCK - 1), F.expr(f"(leaves - 1) div {BLOCK}"))) if wide > BLOCK else F.array(first))
-        rows.append(below.select("g", F.explode(copies).alias("block"), _name("g", "level", "idx").alias("node"), *_link(n_groups),
-                                 "children", "hash", (F.col("n") == 1).alias("is_subroot")))
+        rows.append(below.select("g", F.explode(copies).alias("block"), "level", "idx", *_link(n_groups), "children", "hash",
+                                 (F.col("n") == 1).alias("is_subroot")))
     # above the subroots: every block of a group passes the group's ancestors
     ancestor, up = blocks.withColumn("up", F.col("g")), []
     for run in top_runs:
         ancestor = ancestor.withColumn("up", F.expr(f"up div {FAN}"))
-        above = run.select(F.col("idx").alias("up"), _name("g", "level", "idx").alias("node"), *_link(1), "children", "hash")
-        up.append(ancestor.join(above, "up").select("g", "block", "node", "parent", "slot", "children", "hash", F.lit(False).alias("is_subroot")))
+        link = [F.when(F.col("n") > 1, F.col("level") + TOP + 1).alias("up_level"), F.when(F.col("n") > 1, F.expr(f"idx div {FAN}")).alias("up_idx"),
+                F.expr(f"idx % {FAN}").cast("int").alias("slot")]
+        above = run.select(F.col("idx").alias("up"), (F.col("level") + TOP).alias("level"), "idx", *link, "children", "hash")
+        up.append(ancestor.join(above, "up").select("g", "block", *above.columns[1:], F.lit(False).alias("is_subroot")))
     return _union(rows + up) if rows + up else None
 
 
-def _name(g, level, idx) -> Column:
-    return F.concat_ws(".", g, level, idx)
-
-
 def _link(n_groups: int) -> list[Column]:
-    """parent and slot of a node; a group's last node hangs below the top tree where there is more than one group."""
-    inside = _name(F.col("g"), F.col("level") + 1, F.expr(f"idx div {FAN}"))
+    """Parent and slot of a node; a group's last node hangs below the first level over the subroots, if there is one."""
+    inside, slot = [F.col("level") + 1, F.expr(f"idx div {FAN}")], F.expr(f"idx % {FAN}")
     if n_groups > 1:
-        last = _name(F.lit(TOP), F.lit(1), F.expr(f"g div {FAN}"))
-        return [F.when(F.col("n") > 1, inside).otherwise(last).alias("parent"), F.expr(f"if(n > 1, idx, g) % {FAN}").cast("int").alias("slot")]
-    return [F.when(F.col("n") > 1, inside).alias("parent"), F.expr(f"idx % {FAN}").cast("int").alias("slot")]
+        last = [F.lit(TOP + 1), F.expr(f"g div {FAN}")]
+        up = [F.when(F.col("n") > 1, i).otherwise(x) for i, x in zip(inside, last)]
+        slot = F.expr(f"if(n > 1, idx, g) % {FAN}")
+    else:
+        up = [F.when(F.col("n") > 1, i) for i in inside]
+    return [up[0].cast("int").alias("up_level"), up[1].cast("long").alias("up_idx"), slot.cast("int").alias("slot")]
 
 
 CLIMB = """
-with recursive climb (id, leaf, subroot, g, block, parent, slot, proof, folded, root) as (
-  select id, leaf, if(n = 1, leaf, cast(null as binary)), g, block, parent, slot, cast('' as binary), tampered,
-         if(parent is null, leaf, cast(null as binary))
+with recursive climb (g, block, place, step, up_level, up_idx, slot, folded, siblings, subroot, root, id, leaf) as (
+  select g, block, idx, 0, up_level, up_idx, slot, tampered, cast('' as binary), if(n = 1, leaf, cast(null as binary)),
+         if(up_level is null, leaf, cast(null as binary)), id, leaf
   from {leaves}
   union all
-  select c.id, c.leaf, if(u.is_subroot, u.hash, c.subroot), c.g, c.block, u.parent, u.slot,
-         concat(c.proof, substring(u.children, 1, {d} * c.slot), substring(u.children, {d} * (c.slot + 1) + 1)),
+  select c.g, c.block, c.place, c.step + 1, u.up_level, u.up_idx, u.slot,
          unhex(sha2(lower(hex(concat(substring(u.children, 1, {d} * c.slot), c.folded, substring(u.children, {d} * (c.slot + 1) + 1)))), 256)),
-         u.hash
-  from climb c join {nodes} u on c.g = u.g and c.block = u.block and c.parent = u.node
+         concat(substring(u.children, 1, {d} * c.slot), substring(u.children, {d} * (c.slot + 1) + 1)),
+         if(u.is_subroot, u.hash, cast(null as binary)), if(u.up_level is null, u.hash, cast(null as binary)),
+         cast(null as bigint), cast(null as binary)
+  from climb c join {nodes} u on c.g = u.g and c.block = u.block and c.up_level = u.level and c.up_idx = u.idx
 )
-select id, leaf, subroot, root, sha2(lower(hex(proof)), 256) as proof, folded from climb where parent is null
+select max(id) as id, max(leaf) as leaf, max(subroot) as subroot, max(root) as root,
+       sha2(lower(hex(aggregate(array_sort(collect_list(named_struct('step', step, 'siblings', siblings))), cast('' as binary), (a, x) -> concat(a, x.siblings)))), 256) as proof,
+       max_by(folded, step) as folded
+from climb group by g, block, place
 """
 
 
@@ -209,7 +216,7 @@ def manifest(docs: DataFrame, fields=FIELDS, group: str = "lang", id_col: str =
     nodes = tree(leaves)
     n_groups = leaves.select("g").distinct().count()
     leaves = (leaves.withColumn("level", F.lit(0)).withColumn("block", F.expr(f"idx div {BLOCK}"))
-              .select("id", "leaf", "tampered", "g", "n", "block", *_link(n_groups)))
+              .select("id", "leaf", "tampered", "g", "idx", "n", "block", *_link(n_groups)))
     if nodes is None:       # at most one leaf: it is the root
         climbed = leaves.select("id", "leaf", F.col("leaf").alias("subroot"), F.col("leaf").alias("root"), F.sha2(F.lit(""), 256).alias("proof"),
                                 F.col("tampered").alias("folded"))

@@ -88,7 +88,7 @@ def test_blocks_of_leaves_and_many_groups(spark, monkeypatch):
     leaves = M.stored(M.numbered_leaves(M.hashed_leaves(df)), "test_leaves")
     keys = leaves.groupBy("g", (leaves.idx / 64).cast("long").alias("block")).count()
     assert keys.agg({"count": "max"}).first()[0] <= 64
-    assert M.tree(leaves).groupBy("g", "block", "node").count().agg({"count": "max"}).first()[0] == 1
+    assert M.tree(leaves).groupBy("g", "block", "level", "idx").count().agg({"count": "max"}).first()[0] == 1
 
 
 def test_edge_rows(spark, edge_docs):
