@@ -1,11 +1,12 @@
 """Raw-layer ingestion job: JSON -> checked, stamped, partitioned table.
 
-``ingest_entity`` = read with the declared schema (+ drift check against the
-inferred one) -> quarantine malformed rows -> stamp ``ingestion_date`` ->
-row floor -> dynamic overwrite of that date's partition (types guarded, new
+``ingest_entity`` = parse the lines once (``json_source.parse_once``) -> drift of
+the schema they imply against the contract and the table -> quarantine of lines
+that do not fit -> typed columns -> stamp ``ingestion_date`` ->
+row floor -> dynamic overwrite of that date's partition (new
 columns kept, row count observed during the write) -> read-back verification ->
-freshness -> audit record. Row counts come from the one materialised parse.
-Running it twice for the same date leaves the same table.
+freshness -> audit record. Every outcome leaves an audit record, a halted load
+one that says why. Running it twice for the same date leaves the same table.
 """
 
 from __future__ import annotations
@@ -24,7 +25,11 @@ from strataflow.sources.tables import (append_frame, append_records, delete_path
 
 
 class RowFloorError(RuntimeError):
-    pass
+    """Fewer rows than the entity must have."""
+
+    def __init__(self, message: str, rows: int) -> None:
+        super().__init__(message)
+        self.rows = rows
 
 
 @dataclass
@@ -54,39 +59,43 @@ def ingest_entity(spark: SparkSession, entity: str, source_path: str, bronze_pat
     could not be split into enough read tasks (e.g. a few gzip files); a
     splittable source is left as it is.
     """
-    declared = ENTITIES[entity].schema
-    inferred = J.infer_source_schema(spark, source_path)
-    report = J.detect_drift(declared, inferred)
+    try:
+        return _ingest(spark, entity, source_path, bronze_path, run_date, run_ts, audit_path, quarantine_path, drift_path, min_rows, fmt, rebalance)
+    except Exception as exc:
+        _audit(spark, audit_path, entity, getattr(exc, "rows", None), run_date, run_ts, "FAILED", f"{type(exc).__name__}: {exc}"[:500], fmt)
+        raise
+
+
+def _ingest(spark, entity, source_path, bronze_path, run_date, run_ts, audit_path, quarantine_path, drift_path, min_rows, fmt, rebalance) -> IngestResult:
+    contract, stored = ENTITIES[entity], stored_schema(spark, bronze_path, fmt)
+    declared = contract.schema
+    lines = J.parse_once(spark, source_path, declared, contract.freshness_col, SOURCE_TS_FORMAT, rebalance)
+    report = J.detect_drift(declared, lines.inferred, stored=stored)
     if report.drifted and drift_path:
         append_frame(J.drift_events(spark, entity, report, run_date, run_ts), drift_path, fmt)
     if report.changed:
         raise J.SchemaDriftError(f"[{entity}] breaking type change: {report.changed}")
 
-    parsed = J.read_json_entity(spark, source_path, J.read_schema_for(declared, report, inferred))
-    if rebalance and parsed.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        parsed = parsed.repartition(spark.sparkContext.defaultParallelism)
-    split = J.split_corrupt(parsed, ENTITIES[entity].freshness_col, SOURCE_TS_FORMAT)
     if quarantine_path:
         delete_path(spark, partition_dir(quarantine_path, {"ingestion_date": run_date}))
-        if split.n_bad:
-            (split.bad.withColumn("ingestion_date", F.lit(run_date))
-                .write.format(fmt).mode("append").partitionBy("ingestion_date").save(quarantine_path))
+        if lines.n_bad:
+            (lines.corrupt().withColumn("ingestion_date", F.lit(run_date))
+                  .write.format(fmt).mode("append").partitionBy("ingestion_date").save(quarantine_path))
 
-    floor = ENTITIES[entity].min_rows if min_rows is None else min_rows
-    if split.n_good < floor:
-        _audit(spark, audit_path, entity, split.n_good, run_date, run_ts, "FAILED", "below row floor", fmt)
-        raise RowFloorError(f"[{entity}] {split.n_good} rows below minimum {floor}")
+    floor = contract.min_rows if min_rows is None else min_rows
+    if lines.n_good < floor:
+        raise RowFloorError(f"[{entity}] {lines.n_good} rows below minimum {floor}", lines.n_good)
 
-    good = add_missing_columns(split.good, declared).withColumn("ingestion_date", F.lit(run_date))
-    good, new = grow_schema(good, stored_schema(spark, bronze_path, fmt))
+    typed = lines.typed(J.read_schema_for(declared, report, lines.inferred, stored))
+    good, new = grow_schema(add_missing_columns(typed, declared).withColumn("ingestion_date", F.lit(run_date)), stored)
     written = write_partitioned(good, bronze_path, ["ingestion_date"], fmt, guard=False)
     save_schema(spark, bronze_path, good.schema)
     verify_partition(spark, bronze_path, "ingestion_date", run_date, written, fmt)
-    age = age_hours(run_ts, split.latest)
+    age = age_hours(run_ts, lines.latest)
     stale = age is not None and age > FRESHNESS_HOURS["bronze"]
     _audit(spark, audit_path, entity, written, run_date, run_ts, "SUCCESS",
            f"stale: latest record {age:.1f} h old" if stale else "", fmt)
-    return IngestResult(entity, run_date, written, split.n_bad, report, stale, new)
+    return IngestResult(entity, run_date, written, lines.n_bad, report, stale, new)
 
 
 def age_hours(run_ts: dt.datetime, latest_micros: int | None) -> float | None:

@@ -1,24 +1,33 @@
-"""Newline-JSON sources: schema-enforced reads, a quarantine for malformed
-rows, and schema drift detection against the declared contract."""
+"""Newline-JSON sources: one parse of the lines, a quarantine for malformed
+rows, and schema drift detection against the declared contract.
+
+``parse_once`` reads a source a single time: each line becomes a ``VARIANT``
+that is written to the shared scratch folder, and the schema that the lines
+imply is aggregated on the way (``schema_of_variant_agg``). Drift, typed columns
+and the quarantine all come from that copy. ``read_json_entity`` is the plain
+schema-enforced read (streams and small reads).
+"""
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DataType, DecimalType, DoubleType,
                                FloatType, IntegerType, LongType, MapType, NullType,
-                               ShortType, ByteType, StringType, StructField, StructType)
+                               ShortType, ByteType, StringType, StructField, StructType, VariantType)
 
 from strataflow.schemas import DRIFT_EVENT_SCHEMA
-from strataflow.session import checkpoint_root
+from strataflow.session import checkpoint_root, scratch_path
+from strataflow.sources.tables import SchemaMismatch
 
 CORRUPT_COL = "_corrupt_record"
 
 
-class SchemaDriftError(RuntimeError):
-    """A declared column changed its type class in the source: halt."""
+class SchemaDriftError(SchemaMismatch):
+    """A column of the contract or of the table changed its type class in the source: halt."""
 
 
 def with_corrupt_column(schema: StructType) -> StructType:
@@ -68,6 +77,86 @@ def split_corrupt(parsed: DataFrame, freshness_col: str | None = None, freshness
                   int(got["good"]), int(got["bad"]), got["latest"])
 
 
+# ── one parse ──────────────────────────────────────────────────────────────
+
+DOC, LINE = "doc", "line"
+
+
+@dataclass
+class ParsedLines:
+    """The stored copy of a source: a variant per line, the text of lines that do not fit, and what was seen on the way."""
+    copy: DataFrame
+    inferred: StructType
+    n_good: int
+    n_bad: int
+    latest: int | None = None
+
+    def typed(self, schema: StructType) -> DataFrame:
+        """Good rows under ``schema`` (a column the source lacks is null)."""
+        good = self.copy.filter(F.col(LINE).isNull())
+        return good.select(*[_value(f.name, f.dataType).alias(f.name) for f in schema.fields])
+
+    def corrupt(self) -> DataFrame:
+        return self.copy.filter(F.col(LINE).isNotNull()).select(F.col(LINE).alias(CORRUPT_COL))
+
+
+def _path(name: str) -> str:
+    return f"$['{name}']" if "'" not in name else f'$["{name}"]'
+
+
+def _value(name: str, t: DataType) -> Column:
+    """A field of the line as the declared type. Where text is declared, objects and arrays are JSON text
+    (without white space, an object's names in order)."""
+    return F.try_variant_get(DOC, _path(name), t.simpleString())
+
+
+def parse_once(spark: SparkSession, path: str, declared: StructType, freshness_col: str | None = None,
+               freshness_format: str | None = None, rebalance: bool = True) -> ParsedLines:
+    """Read the lines of ``path`` once and keep them as variants.
+
+    A line does not fit if it is no JSON object (truncated, other text, a key
+    named twice) or if the value of a declared column cannot be of its type; its text goes
+    to the quarantine. Blank lines are no rows. The counts, the latest freshness time and the schema
+    that the fitting lines imply are observed while the copy is written.
+    ``rebalance``: spread the lines over the cluster before they are parsed when the source could
+    not be split into enough read tasks.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    if rebalance and lines.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        lines = lines.repartition(spark.sparkContext.defaultParallelism)
+    parsed = lines.select("value", F.try_parse_json("value").alias(DOC))
+    fits = F.schema_of_variant(DOC).startswith("OBJECT")
+    for f in declared.fields:
+        if not isinstance(f.dataType, StringType):
+            given = F.try_variant_get(DOC, _path(f.name), "variant")
+            fits &= given.isNull() | F.is_variant_null(given) | _value(f.name, f.dataType).isNotNull()
+    ok = F.coalesce(fits, F.lit(False))
+    rows = parsed.select(F.when(ok, F.col(DOC)).alias(DOC), F.when(~ok, F.col("value")).alias(LINE))
+    latest = F.lit(None).cast("timestamp")
+    if freshness_col and freshness_col in declared.fieldNames():
+        text = _value(freshness_col, StringType())
+        latest = F.try_to_timestamp(text, F.lit(freshness_format)) if freshness_format else text.cast("timestamp")
+    seen, at = Observation("parsed_lines"), scratch_path(spark, "parsed_lines")
+    good = F.col(LINE).isNull()
+    (rows.observe(seen, F.schema_of_variant_agg(DOC).alias("schema"), F.count_if(good).alias("good"), F.count_if(~good).alias("bad"),
+                  F.max(F.when(good, F.unix_micros(latest.cast("timestamp")))).alias("latest"))
+     .write.parquet(at))
+    got = seen.get
+    return ParsedLines(spark.read.schema(rows.schema).parquet(at), implied_schema(got["schema"]), int(got["good"]), int(got["bad"]), got["latest"])
+
+
+def implied_schema(text: str) -> StructType:
+    """The columns of an aggregated variant schema ("OBJECT<a: BIGINT, ...>"), typed as JSON inference types
+    them: fractions are double, values of several classes text."""
+    found = DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", text)) if text.startswith("OBJECT<") else StructType([])
+
+    def plain(t: DataType) -> DataType:
+        if isinstance(t, VariantType):
+            return StringType()
+        return DoubleType() if isinstance(t, (DecimalType, FloatType)) else t
+    return StructType([StructField(f.name, plain(f.dataType), True) for f in found.fields])
+
+
 # ── drift ──────────────────────────────────────────────────────────────────
 
 def type_class(t: DataType) -> str:
@@ -128,21 +217,25 @@ def infer_source_schema(spark: SparkSession, path: str) -> StructType:
     return StructType([f for f in inferred.fields if f.name != CORRUPT_COL])
 
 
-def detect_drift(expected: StructType, actual: StructType, ignore: tuple = ("ingestion_date",)) -> DriftReport:
+def detect_drift(expected: StructType, actual: StructType, ignore: tuple = ("ingestion_date",),
+                 stored: StructType | None = None) -> DriftReport:
+    """What ``actual`` has that the contract does not, lacks, or types otherwise. Columns beside the contract
+    that the table has by now (``stored``) may not change their type either."""
     exp = {f.name: f.dataType for f in expected.fields if f.name not in ignore}
     act = {f.name: f.dataType for f in actual.fields if f.name not in ignore}
     rep = DriftReport()
     rep.new = sorted((c, act[c].simpleString()) for c in set(act) - set(exp))
     rep.missing = sorted((c, exp[c].simpleString()) for c in set(exp) - set(act))
-    rep.changed = sorted((c, exp[c].simpleString(), act[c].simpleString())
-                         for c in set(exp) & set(act) if not compatible(exp[c], act[c]))
+    kept = {f.name: f.dataType for f in (stored.fields if stored else []) if f.name not in exp and f.name not in ignore}
+    rep.changed = sorted((c, t.simpleString(), act[c].simpleString())
+                         for c, t in (exp | kept).items() if c in act and not compatible(t, act[c]))
     return rep
 
 
-def read_schema_for(expected: StructType, report: DriftReport, actual: StructType) -> StructType:
-    """Declared schema plus the new columns (as inferred; nested ones as text)."""
+def read_schema_for(expected: StructType, report: DriftReport, actual: StructType, stored: StructType | None = None) -> StructType:
+    """Declared schema plus the new columns (as the table has them, else as inferred; nested ones as text)."""
     extra = []
-    act = {f.name: f.dataType for f in actual.fields}
+    act = {f.name: f.dataType for f in actual.fields} | {f.name: f.dataType for f in (stored.fields if stored else [])}
     for c, _ in report.new:
         t = act[c]
         extra.append(StructField(c, StringType() if type_class(t) in ("nested", "null") else t, True))

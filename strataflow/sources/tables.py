@@ -265,7 +265,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Se
 def verify_partition(spark: SparkSession, path: str, part_col: str, value, expected: int,
                      fmt: str = "parquet") -> int:
     """Re-read one partition and compare its row count with what was written."""
-    got = spark.read.format(fmt).load(path).filter(F.col(part_col) == F.lit(value)).count()
+    got = load_table(spark, path, fmt).filter(F.col(part_col) == F.lit(value)).count()
     if got != expected:
         raise RuntimeError(f"post-write verification failed: wrote {expected} rows, {got} readable "
                            f"in {part_col}={value}")

@@ -116,3 +116,76 @@ def test_new_column_is_kept_and_quarantine_is_replaced(spark, tmp_dir):
     bad = write_lines(tmp_dir + "/3", "t.json", [json.dumps({**tip, "client": 5})])
     with pytest.raises(SchemaMismatch):
         B.ingest_entity(spark, "tips", bad, tmp_dir + "/b", dt.date(2024, 1, 3), RUN, **kw)
+
+
+# ── one parse ──────────────────────────────────────────────────────────────
+
+def test_source_is_read_once(spark, tmp_dir, monkeypatch):
+    """Drift, typed columns and quarantine come from the copy: the source may be gone after the parse."""
+    import shutil
+    tip = {"business_id": "a", "user_id": "u", "date": "2024-01-01 00:00:00", "compliment_count": 1}
+    src = write_lines(tmp_dir + "/land", "t.json", [json.dumps({**tip, "client": {"os": "x"}}), json.dumps({**tip, "text": "hi"}), "{cut", "", "  "])
+    real = J.parse_once
+
+    def then_gone(*a, **kw):
+        out = real(*a, **kw)
+        shutil.rmtree(src)
+        return out
+    monkeypatch.setattr(J, "parse_once", then_gone)
+    got = B.ingest_entity(spark, "tips", src, tmp_dir + "/b", dt.date(2024, 1, 1), RUN, quarantine_path=tmp_dir + "/q",
+                          drift_path=tmp_dir + "/drift", audit_path=tmp_dir + "/audit", min_rows=0)
+    assert (got.rows_written, got.quarantined, got.new_columns) == (2, 1, [])
+    rows = {r.text: r.client for r in spark.read.parquet(tmp_dir + "/b").collect()}
+    assert rows == {None: '{"os":"x"}', "hi": None}
+    assert [r[0] for r in spark.read.parquet(tmp_dir + "/q").select("_corrupt_record").collect()] == ["{cut"]
+    assert spark.read.parquet(tmp_dir + "/drift").filter("change_kind = 'new' and column_name = 'client'").count() == 1
+
+
+def test_parse_reads_lines_as_the_contract_says(spark, tmp_dir):
+    from strataflow.schemas import BUSINESS_SCHEMA
+    lines = [
+        json.dumps({"business_id": "a", "stars": 4, "review_count": 3, "is_open": 1, "hours": {"Mo": "9-5"}, "latitude": 1.25, "postal_code": 123}),
+        json.dumps({"business_id": "b", "stars": None, "is_open": None, "hours": ["x", 1]}),
+        json.dumps({"business_id": "c", "is_open": 1 << 40}),             # no int
+        '{"business_id": "d", "business_id": "e"}', '"text"', "[1]", "17", "null",
+    ]
+    p = J.parse_once(spark, write_lines(tmp_dir + "/l", "b.json", lines), BUSINESS_SCHEMA)
+    assert (p.n_good, p.n_bad, p.corrupt().count()) == (2, 6, 6)
+    rows = {r.business_id: r for r in p.typed(BUSINESS_SCHEMA).collect()}
+    assert (rows["a"].stars, rows["a"].review_count, rows["a"].is_open, rows["a"].hours, rows["a"].latitude, rows["a"].postal_code) == \
+        (4.0, 3, 1, '{"Mo":"9-5"}', 1.25, "123")
+    assert rows["b"].stars is None and rows["b"].hours == '["x",1]'
+    # the same rows as the schema-enforced read, where both read a line
+    plain = J.read_json_entity(spark, write_lines(tmp_dir + "/m", "b.json", [x.replace('": ', '":').replace(", ", ",") for x in lines[:2]]), BUSINESS_SCHEMA).drop("_corrupt_record")
+    typed = J.parse_once(spark, tmp_dir + "/m", BUSINESS_SCHEMA).typed(BUSINESS_SCHEMA)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, typed.collect()))
+
+
+def test_implied_schema_is_that_of_json_inference(spark, tmp_dir):
+    rows = [{"i": 1, "f": 1.5, "mix": 1, "part": 1, "s": "x", "b": True, "n": None, "o": {"k": 1}, "l": [1], "odd name's": 2},
+            {"i": 2, "f": 2, "mix": "x", "part": 2.5, "s": None, "b": False, "n": None, "o": {"j": "t"}, "l": []}]
+    src = write_lines(tmp_dir + "/l", "x.json", [json.dumps(r) for r in rows])
+    from pyspark.sql.types import StructType
+    got, want = J.parse_once(spark, src, StructType([])).inferred, J.infer_source_schema(spark, src)
+    assert {f.name: J.type_class(f.dataType) for f in got.fields} | {"n": "string"} == \
+        {f.name: J.type_class(f.dataType) for f in want.fields} | {"n": "string"}
+    assert J.implied_schema("VOID").fields == []
+
+
+def test_empty_source_and_halts_are_audited(spark, tmp_dir):
+    tip = {"business_id": "a", "user_id": "u", "date": "2024-01-01 00:00:00", "compliment_count": 1, "client": "app"}
+    kw = dict(audit_path=tmp_dir + "/audit", drift_path=tmp_dir + "/drift")
+    empty = write_lines(tmp_dir + "/0", "t.json", [""])
+    got = B.ingest_entity(spark, "tips", empty, tmp_dir + "/b", dt.date(2024, 1, 1), RUN, min_rows=0, **kw)
+    assert (got.rows_written, got.quarantined) == (0, 0)
+    B.ingest_entity(spark, "tips", write_lines(tmp_dir + "/1", "t.json", [json.dumps(tip)]), tmp_dir + "/b", dt.date(2024, 1, 2), RUN, min_rows=0, **kw)
+    # a column that only the table knows changes its type: event and audit record, then halt
+    other = write_lines(tmp_dir + "/2", "t.json", [json.dumps({**tip, "client": 7})])
+    with pytest.raises(J.SchemaDriftError):
+        B.ingest_entity(spark, "tips", other, tmp_dir + "/b", dt.date(2024, 1, 3), RUN, min_rows=0, **kw)
+    with pytest.raises(B.RowFloorError):
+        B.ingest_entity(spark, "tips", other, tmp_dir + "/new", dt.date(2024, 1, 4), RUN, min_rows=5, **kw)
+    log = {str(r.run_date): (r.status, r.error.split(":")[0], r.row_count) for r in spark.read.parquet(tmp_dir + "/audit").collect()}
+    assert log["2024-01-03"] == ("FAILED", "SchemaDriftError", None) and log["2024-01-04"] == ("FAILED", "RowFloorError", 1)
+    assert log["2024-01-02"][0] == "SUCCESS"
+    assert spark.read.parquet(tmp_dir + "/drift").filter("change_kind = 'type_change' and column_name = 'client'").count() == 1
