@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import partitions, remainder, stored
+from strataflow.llm.common import partitions, release, remainder, stored
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 FAN = 8
@@ -57,20 +57,20 @@ def _hash_of(children: Column) -> Column:
 
 
 def hashed_leaves(docs: DataFrame, fields=FIELDS, group: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, grp, leaf, tampered) of every row; ``tampered`` differs where the tampering rule changes the text."""
+    """(id, grp, leaf, tampered) of every row; ``tampered`` is null where the tampering rule leaves the row alone."""
     col = lambda c: F.col(f"`{c}`")
-    other = F.when(remainder(f"`{id_col}`", 3) == 0, F.translate(col(text_col), UPPER, LOWER)).otherwise(col(text_col))
+    other = F.translate(col(text_col), UPPER, LOWER)
     return docs.select(col(id_col).cast("long").alias("id"), col(group).cast("string").alias("grp"),
                        leaf_digest(*[col(c) for c in fields]).alias("leaf"),
-                       leaf_digest(*[other if c == text_col else col(c) for c in fields]).alias("tampered"))
+                       F.when(remainder(f"`{id_col}`", 3) == 0, leaf_digest(*[other if c == text_col else col(c) for c in fields])).alias("tampered"))
 
 
-def numbered_leaves(hashed: DataFrame) -> DataFrame:
+def numbered_leaves(hashed: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
     """The leaves, each with its group's number ``g`` (in order of its value), its place ``idx`` in the group and the group's size ``n``.
 
     One range shuffle; numbers come from the rows' places in the sorted, stored
     files and from prefix sums over (partition, group) counts, so neither a hot
-    group nor many groups meet in one task.
+    group nor many groups meet in one task. ``made`` collects the tables stored on the way.
     """
     hashed = stored(hashed.withColumn("row", F.monotonically_increasing_id()), "merkle_hashed")
     keys = ["grp", "id", "leaf", "row"]
@@ -78,6 +78,8 @@ def numbered_leaves(hashed: DataFrame) -> DataFrame:
                     .withColumn("at", F.monotonically_increasing_id()), "merkle_placed")
     part = F.shiftright("at", 33)       # the number's upper bits are the partition's
     runs = stored(placed.groupBy(part.alias("part"), "grp").agg(F.min("at").alias("first"), F.count("*").alias("rows")), "merkle_runs")
+    if made is not None:
+        made += [hashed, placed, runs]
     in_group = W.partitionBy("grp").orderBy("part")
     runs = (runs.withColumn("before", F.coalesce(F.sum("rows").over(in_group.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("n", F.sum("rows").over(W.partitionBy("grp")))
@@ -128,11 +130,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 TOP = 1000
 
 
-def tree(leaves: DataFrame) -> DataFrame:
+def tree(leaves: DataFrame, made: list[DataFrame] | None = None) -> DataFrame | None:
     """Inner nodes as parent-linked rows (g, block, level, idx, up_level, up_idx, slot, children, hash, is_subroot), one for each block below a node.
 
     A node is named by its level and its place there, its parent by ``up_level`` and ``up_idx``; levels above
     the subroots go on from ``TOP``. The root has no parent. ``leaves``: (g, idx, n, leaf), stored.
+    None where a single leaf is the root. ``made`` collects the tables stored on the way.
     """
     base = leaves.select("g", F.lit(0).alias("level"), "idx", "n", F.col("leaf").alias("hash"))
     runs, nodes = _levels(base, "merkle_level")
@@ -140,6 +143,8 @@ def tree(leaves: DataFrame) -> DataFrame:
     n_groups = subroots.count()
     top_runs, _ = _levels(subroots.select(F.lit(0).cast("long").alias("g"), F.lit(0).alias("level"), F.col("g").alias("idx"),
                                           F.lit(n_groups).cast("long").alias("n"), "hash"), "merkle_top")
+    if made is not None:
+        made += [*runs, subroots, *top_runs]
     sizes = leaves.select("g", "n").distinct()
     blocks = sizes.select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {BLOCK}"))).alias("block"))
     rows = []
@@ -175,7 +180,7 @@ def _link(n_groups: int) -> list[Column]:
 
 CLIMB = """
 with recursive climb (g, block, place, step, up_level, up_idx, slot, folded, siblings, subroot, root, id, leaf) as (
-  select g, block, idx, 0, up_level, up_idx, slot, tampered, cast('' as binary), if(n = 1, leaf, cast(null as binary)),
+  select g, block, idx, 0, up_level, up_idx, slot, coalesce(tampered, leaf), cast('' as binary), if(n = 1, leaf, cast(null as binary)),
          if(up_level is null, leaf, cast(null as binary)), id, leaf
   from {leaves}
   union all
@@ -205,6 +210,12 @@ def _any_number_of_rows(spark: SparkSession):
         spark.conf.set(name, old)
 
 
+def _drop(spark: SparkSession, made: list[DataFrame]) -> None:
+    """Give back the disk of tables and shuffles that are done with, before the next step takes its own."""
+    release(spark, *made)
+    made.clear()
+
+
 def manifest(docs: DataFrame, fields=FIELDS, group: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
@@ -212,17 +223,22 @@ def manifest(docs: DataFrame, fields=FIELDS, group: str = "lang", id_col: str =
     under the tampering rule); ``verified`` says that it is the stored root.
     """
     spark = docs.sparkSession
-    leaves = stored(numbered_leaves(hashed_leaves(docs, fields, group, id_col, text_col)), "merkle_leaves")
-    nodes = tree(leaves)
-    n_groups = leaves.select("g").distinct().count()
-    leaves = (leaves.withColumn("level", F.lit(0)).withColumn("block", F.expr(f"idx div {BLOCK}"))
+    made: list[DataFrame] = []
+    all_leaves = stored(numbered_leaves(hashed_leaves(docs, fields, group, id_col, text_col), made), "merkle_leaves")
+    _drop(spark, made)
+    nodes = tree(all_leaves, made)
+    n_groups = all_leaves.select("g").distinct().count()
+    leaves = (all_leaves.withColumn("level", F.lit(0)).withColumn("block", F.expr(f"idx div {BLOCK}"))
               .select("id", "leaf", "tampered", "g", "idx", "n", "block", *_link(n_groups)))
     if nodes is None:       # at most one leaf: it is the root
         climbed = leaves.select("id", "leaf", F.col("leaf").alias("subroot"), F.col("leaf").alias("root"), F.sha2(F.lit(""), 256).alias("proof"),
-                                F.col("tampered").alias("folded"))
+                                F.coalesce("tampered", "leaf").alias("folded"))
     else:
+        nodes = stored(nodes, "merkle_nodes")
+        _drop(spark, made)
         with _any_number_of_rows(spark):
-            climbed = stored(spark.sql(CLIMB, leaves=leaves, nodes=stored(nodes, "merkle_nodes"), d=DIGEST), "merkle_climbed")
+            climbed = stored(spark.sql(CLIMB, leaves=leaves, nodes=nodes, d=DIGEST), "merkle_climbed")
+        _drop(spark, [all_leaves, nodes])
     text = lambda c: F.lower(F.hex(c))
     return climbed.select(F.col("id").alias("doc_id"), text("leaf").alias("leaf"), text("subroot").alias("subroot"), text("root").alias("root"),
                           F.col("proof").alias("proof_sha256"), text("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
