@@ -510,6 +510,16 @@ def volume_change(series: DataFrame, growth_pct: float = 20.0, shrink_pct: float
                     round_half_up(chg, 2).alias("change_pct"), flag.alias("alert"))
 
 
+def audit_volume(audit: DataFrame, layer: str | None = None, growth_pct: float = 20.0, shrink_pct: float = 5.0) -> DataFrame:
+    """``volume_change`` of the stored audit log: the last successful run of each table and day against
+    that of its previous day, with the alert that its layer raises."""
+    log = audit.filter((F.col("status") == "SUCCESS") & F.col("row_count").isNotNull())
+    if layer:
+        log = log.filter(F.col("layer") == layer)
+    daily = log.groupBy("entity", "layer", "run_date").agg(F.max_by("row_count", "run_timestamp").alias("row_count"))
+    return volume_change(daily, growth_pct, shrink_pct)
+
+
 def summarize(results: DataFrame) -> DataFrame:
     """passed / failed counts and the overall verdict (one row)."""
     return results.agg(F.count_if(F.col("passed")).alias("passed_count"),

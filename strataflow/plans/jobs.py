@@ -5,24 +5,28 @@ lookback window of each raw table and checks it before it replaces the stored
 one, ``run_tests`` runs and stores a layer's suite, ``run_gold`` rebuilds
 dimensions, upserts what arrived into the facts and extends the two history tables. Every job takes its
 run date / run time as parameters, writes idempotently and appends one audit
-record per table.
+record per table, also for a table that fails. Entities of a layer run side by
+side and do not stop each other (``run_isolated``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import lookback_dates, ts_lit
 from strataflow.operators import gold, history, quality, silver
 from strataflow.operators.upsert import upsert
-from strataflow.schemas import (AUDIT_SCHEMA, FRESHNESS_HOURS, MAX_ROW_LOSS_PCT, REGRESSION_DROP_PCT,
+from strataflow.schemas import (AUDIT_SCHEMA, ENTITIES, FRESHNESS_HOURS, MAX_ROW_LOSS_PCT, REGRESSION_DROP_PCT,
                                 TEST_RESULT_HISTORY_SCHEMA, ZERO_NULL_COLUMNS)
 from strataflow.sources import bronze as B
-from strataflow.sources.tables import (append_records, clustered, delete_path, path_exists, read_window, replace_path,
+from strataflow.sources.tables import (append_records, clustered, delete_path, expired_for_layer, path_exists, read_window, replace_path,
                                        write_table)
 
 PARTITIONED = {"reviews": ("review_id",), "checkin_events": ("business_id",), "tips": ("business_id",)}
@@ -63,12 +67,53 @@ def _audit(spark, paths, entity, layer, inp, out, run_date, run_ts, status="SUCC
                    AUDIT_SCHEMA)
 
 
+class EntityRunsFailed(RuntimeError):
+    """Some entities of a job failed (``failed``: entity -> error); the others are done (``done``: entity -> result)."""
+
+    def __init__(self, job: str, done: dict, failed: dict) -> None:
+        super().__init__(f"{job}: " + "; ".join(f"[{e}] {type(x).__name__}: {x}" for e, x in sorted(failed.items())))
+        self.done, self.failed = done, failed
+
+
+def run_isolated(spark: SparkSession, job: str, tasks: Mapping[str, Callable[[], object]], at_once: int = 4) -> dict[str, object]:
+    """Run one task an entity, several at a time, each in its own scheduler pool and job group.
+
+    A failure does not stop the others. When all have ended, failures raise one
+    ``EntityRunsFailed`` that holds them and what the others returned. Pools share the
+    executors fairly where the cluster runs with ``spark.scheduler.mode=FAIR``.
+    """
+    sc = spark.sparkContext
+
+    def one(entity: str) -> object:
+        sc.setLocalProperty("spark.scheduler.pool", f"{job}-{entity}")
+        sc.setJobGroup(f"{job}-{entity}", f"{job} {entity}")
+        try:
+            return tasks[entity]()
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    done, failed = {}, {}
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(tasks)))) as pool:
+        # a thread of Spark's own properties for each task, as the driver's threads share one JVM
+        runs = {e: pool.submit(inheritable_thread_target(spark)(one), e) for e in tasks}
+        for e, run in runs.items():
+            try:
+                done[e] = run.result()
+            except Exception as exc:  # noqa: BLE001 - gathered and raised below
+                failed[e] = exc
+    if failed:
+        raise EntityRunsFailed(job, done, failed)
+    return done
+
+
 def run_bronze(spark: SparkSession, paths: Paths, landing: dict[str, str], run_date: dt.date,
-               run_ts: dt.datetime, **kw) -> dict[str, B.IngestResult]:
-    """L1 for every entity present in ``landing`` (entity -> JSON path)."""
-    return {e: B.ingest_entity(spark, e, src, paths.bronze(e), run_date, run_ts, audit_path=paths.audit,
-                               quarantine_path=paths.quarantine(e), drift_path=paths.drift, **kw)
-            for e, src in landing.items()}
+               run_ts: dt.datetime, at_once: int = 4, **kw) -> dict[str, B.IngestResult]:
+    """L1 for every entity present in ``landing`` (entity -> JSON path). An entity that fails leaves a
+    FAILED audit record and the others loaded; all failures are raised together at the end."""
+    def ingest(e: str, src: str):
+        return lambda: B.ingest_entity(spark, e, src, paths.bronze(e), run_date, run_ts, audit_path=paths.audit,
+                                       quarantine_path=paths.quarantine(e), drift_path=paths.drift, **kw)
+    return run_isolated(spark, "bronze", {e: ingest(e, src) for e, src in landing.items()}, at_once)
 
 
 class SilverCheckError(RuntimeError):
@@ -76,26 +121,30 @@ class SilverCheckError(RuntimeError):
 
 
 def run_silver(spark: SparkSession, paths: Paths, run_date: dt.date, run_ts: dt.datetime,
-               lookback_days: int = 3) -> dict[str, int]:
+               lookback_days: int = 3, at_once: int = 4) -> dict[str, int]:
     """L2-L7: clean each raw table's lookback window into its clean table.
 
     A table is written beside its place and counted on the way (rows, nulls in
     critical columns, latest time). Only if it is not empty does it replace the
     stored one; loss, nulls, freshness and regression are warnings. All check
-    rows go to the stored test results.
+    rows go to the stored test results. Entities run side by side; one that
+    fails leaves the others' tables replaced and is raised at the end.
     """
     start = lookback_dates(run_date, lookback_days)[0]
-    counts = {}
-    for entity, (table, transform) in silver.SILVER_TRANSFORMS.items():
-        if not path_exists(spark, paths.bronze(entity)):
-            continue
+
+    def clean(entity: str) -> dict[str, int]:
+        table, transform = silver.SILVER_TRANSFORMS[entity]
         raw = read_window(spark, paths.bronze(entity), "ingestion_date", start, run_date)
         # counted from the files' row counts: the transform itself may run its input twice (range bounds)
-        counts[table] = _replace_checked(spark, paths, transform(raw), table, PARTITIONED.get(table), run_date, run_ts, raw.count())
+        counts = {table: _replace_checked(spark, paths, transform(raw), table, PARTITIONED.get(table), run_date, run_ts, raw.count())}
         if entity == "business":
             counts["business_categories"] = _replace_checked(
                 spark, paths, silver.business_categories(raw), "business_categories", None, run_date, run_ts)
-    return counts
+        return counts
+
+    present = [e for e in silver.SILVER_TRANSFORMS if path_exists(spark, paths.bronze(e))]
+    done = run_isolated(spark, "silver", {e: (lambda e=e: clean(e)) for e in present}, at_once)
+    return {table: n for e in present for table, n in done[e].items()}
 
 
 _FRESH = {"reviews": "review_date", "users": "yelping_since", "tips": "tip_date", "checkin_events": "checkin_ts"}
@@ -187,7 +236,7 @@ def run_tests(spark: SparkSession, paths: Paths, layer: str, run_date: dt.date,
 
 
 def run_gold(spark: SparkSession, paths: Paths, run_ts: dt.datetime,
-             date_start: dt.date | None = None, date_end: dt.date | None = None) -> dict[str, object]:
+             date_start: dt.date | None = None, date_end: dt.date | None = None, fact_buckets: int | None = None) -> dict[str, object]:
     """L8, L9, L13, L14: dimensions (full refresh), facts (keyed upsert of what
     arrived), histories (one SCD2 step at ``run_ts``).
 
@@ -195,23 +244,42 @@ def run_gold(spark: SparkSession, paths: Paths, run_ts: dt.datetime,
     events and corrections of old ones reach the facts, and an event dated in
     the future does no harm. The calendar covers every event time: its bounds
     are those of the data, widened by ``date_start`` and ``date_end``.
+    ``fact_buckets``: key buckets of the facts when they are created (see ``upsert``).
+
+    Every table leaves an audit record with its size, also the facts and
+    histories (counted from Parquet footers), and a table that fails one that says why: day-over-day
+    volume checks (``quality.audit_volume``) work on all layers.
     """
     rd = spark.read.parquet
+    out: dict[str, object] = {}
+
+    def build(table: str, make: Callable[[], object], size: Callable[[object], int]) -> object:
+        try:
+            out[table] = got = make()
+            n = size(got)
+        except Exception as exc:
+            _audit(spark, paths, table, "gold", None, None, run_ts.date(), run_ts, "FAILED", f"{type(exc).__name__}: {exc}"[:500])
+            raise
+        _audit(spark, paths, table, "gold", None, n, run_ts.date(), run_ts)
+        return got
+
+    def stored_rows(table: str) -> Callable[[object], int]:
+        return lambda _: rd(paths.gold(table)).count()
+
     lo, hi = _event_bounds(rd(paths.silver("reviews")), rd(paths.silver("checkin_events")), paths, spark)
     date_start, date_end = min(d for d in (lo, date_start) if d), max(d for d in (hi, date_end) if d)
-    dates = gold.dim_date(spark, date_start, date_end)
-    out = {"dim_date": write_table(dates, paths.gold("dim_date"))}
+    build("dim_date", lambda: write_table(gold.dim_date(spark, date_start, date_end), paths.gold("dim_date")), int)
     dates = rd(paths.gold("dim_date"))
     prim = silver.primary_category(rd(paths.silver("business_categories")))
-    dim_b = gold.dim_business(rd(paths.silver("business")), prim)
-    out["dim_business"] = write_table(dim_b, paths.gold("dim_business"), cluster_cols=["city", "state"])
-    out["dim_user"] = write_table(gold.dim_user(rd(paths.silver("users"))), paths.gold("dim_user"))
+    build("dim_business", lambda: write_table(gold.dim_business(rd(paths.silver("business")), prim), paths.gold("dim_business"),
+                                              cluster_cols=["city", "state"], zorder=True), int)
+    build("dim_user", lambda: write_table(gold.dim_user(rd(paths.silver("users"))), paths.gold("dim_user")), int)
 
-    for name, build, key in (
+    for name, rows, key in (
             ("fact_reviews", lambda: gold.fact_reviews(rd(paths.silver("reviews")), dates, date_start, date_end), "review_id"),
             ("fact_checkins", lambda: gold.fact_checkins(rd(paths.silver("checkin_events")), dates, date_start, date_end),
              "checkin_id")):
-        out[name] = upsert(spark, build(), paths.gold(name), [key], ["year", "month"])
+        build(name, lambda: upsert(spark, rows(), paths.gold(name), [key], ["year", "month"], buckets=fact_buckets), stored_rows(name))
 
     for name, dim, key, tracked, cols in (
             ("dim_business_history", paths.gold("dim_business"), "business_id", history.BUSINESS_TRACKED,
@@ -220,12 +288,19 @@ def run_gold(spark: SparkSession, paths: Paths, run_ts: dt.datetime,
             ("dim_user_history", paths.gold("dim_user"), "user_id", history.USER_TRACKED,
              ["user_id", "name", "review_count", "average_stars", "is_elite", "elite_years_count", "fan_count",
               "yelping_since_year", "total_useful_votes", "total_funny_votes", "total_cool_votes"])):
-        out[name] = history.scd2_store(spark, paths.gold(name), rd(dim).select(*cols), key, tracked, run_ts)
-    for t in ("dim_date", "dim_business", "dim_user"):
-        _audit(spark, paths, t, "gold", None, out[t], run_ts.date(), run_ts)
+        build(name, lambda: history.scd2_store(spark, paths.gold(name), rd(dim).select(*cols), key, tracked, run_ts), stored_rows(name))
     return out
 
 
+def expired(spark: SparkSession, paths: Paths, as_of: dt.date) -> DataFrame:
+    """(layer, table, partition, last_day) of all raw and clean partitions beyond their layer's retention.
+    Nothing is deleted: the list is small and the caller decides."""
+    lists = [("bronze", e, paths.bronze(e)) for e in ENTITIES] + [("silver", t, paths.silver(t)) for t in PARTITIONED]
+    found = [expired_for_layer(spark, at, layer, as_of).select(F.lit(layer).alias("layer"), F.lit(t).alias("table"), "partition", "last_day")
+             for layer, t, at in lists if path_exists(spark, at)]
+    return quality.union_all(found)
+
+
 def _event_bounds(reviews: DataFrame, checkins: DataFrame, paths: Paths, spark: SparkSession) -> tuple[dt.date, dt.date]:
     """First and last event day, of the clean tables and of the calendar that is already stored."""
     days = reviews.select(F.to_date("review_date").alias("d")).unionAll(checkins.select(F.to_date("checkin_ts")))

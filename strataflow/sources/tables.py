@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -185,14 +186,51 @@ def grow_schema(df: DataFrame, stored: StructType | None) -> tuple[DataFrame, li
 
 # ── writes ─────────────────────────────────────────────────────────────────
 
+#: Ranges per column in a Z-order (2**bits), and the rows whose values choose them.
+ZORDER_BITS, ZORDER_SAMPLE = 6, 20_000
+
+
+def range_cuts(df: DataFrame, cols: Sequence[str], bits: int = ZORDER_BITS, sample: int = ZORDER_SAMPLE) -> dict[str, list]:
+    """Per column, up to 2**bits - 1 values that cut its rows into even ranges (from a sample of bounded size)."""
+    rows = df.select(*cols).orderBy(F.rand(7)).limit(sample).collect()
+    cuts = {}
+    for c in cols:
+        values = sorted(r[c] for r in rows if r[c] is not None)
+        cuts[c] = sorted({values[len(values) * i // (1 << bits)] for i in range(1, 1 << bits)}) if values else []
+    return cuts
+
+
+def _range_rank(c: str, cuts: Sequence) -> Column:
+    """Number of cuts up to the value (nulls: 0), by halving."""
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(c) < F.lit(cuts[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
+    return F.when(F.col(c).isNull(), F.lit(0)).otherwise(among(0, len(cuts)))
+
+
+def zorder_value(cuts: dict[str, list], bits: int = ZORDER_BITS) -> Column:
+    """Position on the Z curve: the bits of the columns' range ranks, interleaved, highest first."""
+    z = F.lit(0).cast("long")
+    for j, (c, values) in enumerate(reversed(cuts.items())):
+        rank = _range_rank(c, values).cast("long")
+        for i in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(rank, i).bitwiseAND(F.lit(1)), i * len(cuts) + j))
+    return z
+
+
 def clustered(df: DataFrame, partition_cols: Sequence[str] = (), cluster_cols: Sequence[str] = (),
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, zorder: bool = False) -> DataFrame:
     """Bring the rows of a table partition together before a write.
 
     With cluster columns: a range partitioning on (partition columns, cluster
     columns) and a sort inside each task. A partition that holds a large share
     of the rows is split over several tasks, and row groups come out sorted, so
-    parquet min/max statistics skip row groups on point lookups.
+    parquet min/max statistics skip row groups on point lookups of the first
+    column. With ``zorder``, rows go along a Z curve through the columns' ranges
+    instead: every row group covers a small box, so a filter on ANY of the
+    cluster columns skips row groups.
 
     Without: a rebalance on the partition columns. Spark cuts every partition
     beyond the advisory size into several write tasks, so one hot day, month or
@@ -203,10 +241,14 @@ def clustered(df: DataFrame, partition_cols: Sequence[str] = (), cluster_cols: S
         return df
     if not cluster_cols and not num_partitions:
         return df.hint("rebalance", *partition_cols)
+    if zorder and len(cluster_cols) > 1:
+        curve = "_zorder"
+        df = df.withColumn(curve, zorder_value(range_cuts(df, cluster_cols)))
+        keys = [*partition_cols, curve, *cluster_cols]
     # Without an explicit count AQE sizes the write tasks from the measured
     # shuffle (spark.sql.adaptive.advisoryPartitionSizeInBytes ~ file size).
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)
+    return ranged.sortWithinPartitions(*keys).select(*[c for c in df.columns if c != "_zorder"])
 
 
 def check_schema(df: DataFrame, expected: StructType, ignore: Sequence[str] = ()) -> None:
@@ -254,10 +296,10 @@ def write_partitions_observed(df: DataFrame, path: str, partition_cols: Sequence
     return int(got["rows"]), {tuple(r) for r in got["parts"]}
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Sequence[str] = ()) -> int:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Sequence[str] = (), zorder: bool = False) -> int:
     """Full-table overwrite."""
     obs = Observation("write_full")
-    out = clustered(df, (), cluster_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = clustered(df, (), cluster_cols, zorder=zorder).observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.format(fmt).mode("overwrite").save(path)
     return int(obs.get["rows"])
 
@@ -275,11 +317,16 @@ def verify_partition(spark: SparkSession, path: str, part_col: str, value, expec
 def append_records(spark: SparkSession, path: str, rows: Sequence[dict | tuple], schema: StructType,
                    fmt: str = "parquet") -> None:
     """Append a few bookkeeping records (audit, drift events, test results)."""
-    spark.createDataFrame(list(rows), schema).write.format(fmt).mode("append").save(path)
+    append_frame(spark.createDataFrame(list(rows), schema), path, fmt)
+
+
+#: Appends to one folder share its staging folder, so those of this driver's threads go one after another.
+_appending = threading.Lock()
 
 
 def append_frame(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("append").save(path)
+    with _appending:
+        df.write.format(fmt).mode("append").save(path)
 
 
 # ── reads ──────────────────────────────────────────────────────────────────
@@ -317,11 +364,43 @@ def expired_partitions(spark: SparkSession, path: str, part_col: str, as_of: dt.
     return spark.createDataFrame(old, f"{name} string").select(F.col(name).cast("date").alias(name))
 
 
+def partition_folders(spark: SparkSession, path: str, cols: Sequence[str]) -> list[tuple[str | None, ...]]:
+    """Values of the leading partition columns, level by level from the folder names (no rows are read)."""
+    if not cols:
+        return [()]
+    out = []
+    for v in partition_values(spark, path, cols[0]):
+        out += [(v, *rest) for rest in partition_folders(spark, partition_dir(path, {cols[0]: v}), cols[1:])]
+    return out
+
+
+def expired_months(spark: SparkSession, path: str, as_of: dt.date, keep_days: int,
+                   part_cols: Sequence[str] = ("year", "month")) -> DataFrame:
+    """(year, month, last_day) of the year/month partitions whose last day is older than the retention
+    period; partitions without a month never expire; the caller deletes."""
+    cutoff, old = as_of - dt.timedelta(days=keep_days), []
+    for y, m in partition_folders(spark, path, part_cols):
+        if y is None or m is None:
+            continue
+        year, month = int(y), int(m)
+        last = (dt.date(year + month // 12, month % 12 + 1, 1) if year < 9999 else dt.date.max) - dt.timedelta(days=1)
+        if last < cutoff:
+            old.append((year, month, last))
+    return spark.createDataFrame(sorted(old), "year int, month int, last_day date")
+
+
 # Retention per layer, in days.
 RETENTION_DAYS = {"bronze": 90, "silver": 365}
 
 
 def expired_for_layer(spark: SparkSession, path: str, layer: str, as_of: dt.date,
                       part_col: str = "ingestion_date") -> DataFrame:
-    """``expired_partitions`` under the layer's retention."""
-    return expired_partitions(spark, path, part_col, as_of, RETENTION_DAYS[layer])
+    """(partition, last_day) of a table's partitions beyond its layer's retention: days of a raw table,
+    months of a clean table (``partition`` is the folder's name below ``path``)."""
+    keep = RETENTION_DAYS[layer]
+    if partition_values(spark, path, part_col):
+        days = expired_partitions(spark, path, part_col, as_of, keep)
+        return days.select(F.concat(F.lit(part_col + "="), F.col(f"expired_{part_col}").cast("string")).alias("partition"),
+                           F.col(f"expired_{part_col}").alias("last_day"))
+    months = expired_months(spark, path, as_of, keep)
+    return months.select(F.concat(F.lit("year="), "year", F.lit("/month="), "month").alias("partition"), "last_day")

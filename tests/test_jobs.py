@@ -50,7 +50,7 @@ def test_empty_clean_table_does_not_replace_the_stored_one(spark, tmp_dir):
     n = jobs.run_silver(spark, paths, day, RUN_TS)["tips"]
     write_partitioned(L.bronze("tips").selectExpr("null business_id", "user_id", "text", "date", "compliment_count", "ingestion_date"),
                       paths.bronze("tips"), ["ingestion_date"], guard=False)
-    with pytest.raises(jobs.SilverCheckError):
+    with pytest.raises(jobs.EntityRunsFailed, match="SilverCheckError"):
         jobs.run_silver(spark, paths, day, RUN_TS + dt.timedelta(hours=1))
     assert spark.read.parquet(paths.silver("tips")).count() == n
     rows = spark.read.parquet(paths.test_results).filter("test_name = 'non_empty'").orderBy("run_timestamp").collect()
@@ -70,3 +70,58 @@ def test_layer_tests_store_rows_stop_on_failure_and_build_a_baseline(spark, tmp_
         rows = jobs.run_tests(spark, paths, "silver", day + dt.timedelta(days=d), RUN_TS + dt.timedelta(days=d), floors={}, stop=False)
     drift = {(r.test_name, r.entity): r for r in rows.collect() if r.test_name.endswith("_drift")}
     assert drift["row_count_drift", "reviews"].value == 0.0 and drift["metric_drift", "reviews"].message == "within threshold"
+
+
+def test_entities_run_side_by_side_and_do_not_stop_each_other(spark):
+    import threading
+    import time
+
+    import pytest
+    meet, seen = threading.Barrier(3, timeout=30), {}
+
+    def task(name, fail=False):
+        def run():
+            meet.wait()                         # all three are at work at once
+            seen[name] = (spark.sparkContext.getLocalProperty("spark.scheduler.pool"), spark.sparkContext.getLocalProperty("spark.jobGroup.id"),
+                          spark.range(10).count())
+            if fail:
+                raise ValueError("no good")
+            time.sleep(0.1)
+            return name.upper()
+        return run
+    with pytest.raises(jobs.EntityRunsFailed) as e:
+        jobs.run_isolated(spark, "t", {"a": task("a"), "b": task("b", True), "c": task("c")})
+    assert e.value.done == {"a": "A", "c": "C"} and list(e.value.failed) == ["b"] and "[b] ValueError: no good" in str(e.value)
+    assert seen["a"] == ("t-a", "t-a", 10) and seen["b"] == ("t-b", "t-b", 10)
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    assert jobs.run_isolated(spark, "t", {}) == {}
+
+
+def test_failed_clean_table_leaves_the_others_replaced(spark, tmp_dir):
+    import pytest
+    L, paths, day = Layers(spark, SF), jobs.Paths(tmp_dir), dt.date(2001, 6, 1)
+    for e in ("tips", "checkins", "users"):
+        write_partitioned(L.bronze(e), paths.bronze(e), ["ingestion_date"], guard=False)
+    write_partitioned(L.bronze("tips").selectExpr("null business_id", "user_id", "text", "date", "compliment_count", "ingestion_date"),
+                      paths.bronze("tips"), ["ingestion_date"], guard=False)
+    with pytest.raises(jobs.EntityRunsFailed) as e:
+        jobs.run_silver(spark, paths, day, RUN_TS)
+    assert list(e.value.failed) == ["tips"] and isinstance(e.value.failed["tips"], jobs.SilverCheckError)
+    status = {r.entity: r.status for r in spark.read.parquet(paths.audit).collect()}
+    assert status == {"tips": "FAILED", "checkin_events": "SUCCESS", "users": "SUCCESS"}
+
+
+def test_gold_audit_covers_facts_histories_and_failures(spark, tmp_dir):
+    import pytest
+    L, paths = Layers(spark, SF), jobs.Paths(tmp_dir)
+    for t in ("business", "business_categories", "users", "reviews", "checkin_events"):
+        L.silver(t).write.parquet(paths.silver(t))
+    jobs.run_gold(spark, paths, RUN_TS, fact_buckets=2)
+    rows = {r.entity: r for r in spark.read.parquet(paths.audit).collect()}
+    assert set(rows) == {"dim_date", "dim_business", "dim_user", "fact_reviews", "fact_checkins", "dim_business_history", "dim_user_history"}
+    assert rows["fact_reviews"].row_count == L.silver("reviews").count() and all(r.status == "SUCCESS" for r in rows.values())
+    L.silver("users").withColumnRenamed("fans", "followers").write.mode("overwrite").parquet(paths.silver("users"))
+    with pytest.raises(Exception):
+        jobs.run_gold(spark, paths, RUN_TS + dt.timedelta(days=1))
+    failed = spark.read.parquet(paths.audit).filter("status = 'FAILED'").collect()
+    assert [(r.entity, r.row_count) for r in failed] == [("dim_user", None)] and failed[0].error

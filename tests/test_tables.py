@@ -98,3 +98,66 @@ def test_one_partition_value_is_many_write_tasks(spark, tmp_dir):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def row_groups_met(path, column, low, high):
+    """(row groups whose footer range meets [low, high], all row groups)."""
+    import pyarrow.parquet as pq
+    met = total = 0
+    for root, _, names in os.walk(path):
+        for f in (n for n in names if n.endswith(".parquet")):
+            meta = pq.ParquetFile(os.path.join(root, f)).metadata
+            for g in range(meta.num_row_groups):
+                stats = next(meta.row_group(g).column(i).statistics for i in range(meta.num_columns)
+                             if meta.row_group(g).column(i).path_in_schema == column)
+                total += 1
+                met += not (stats.max < low or stats.min > high)
+    return met, total
+
+
+def test_zorder_skips_on_the_second_column(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from strataflow.sources.tables import write_table
+    df = spark.range(120_000).select(F.concat(F.lit("c"), F.lpad((F.xxhash64("id") % 5000 + 5000).cast("string"), 5, "0")).alias("city"),
+                                     (F.xxhash64(F.col("id") + 1) % 100_000).alias("score"), F.col("id"))
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "24k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+            "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        write_table(df, tmp_dir + "/lex", cluster_cols=["city", "score"])
+        write_table(df, tmp_dir + "/z", cluster_cols=["city", "score"], zorder=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert spark.read.parquet(tmp_dir + "/z").exceptAll(df).count() == 0 and spark.read.parquet(tmp_dir + "/z").count() == 120_000
+    met, total = row_groups_met(tmp_dir + "/lex", "score", 1000, 3000)
+    assert met > 0.9 * total and total >= 30                    # lexicographic: the first column alone can skip
+    met, total = row_groups_met(tmp_dir + "/z", "score", 1000, 3000)
+    assert met < 0.35 * total and total >= 30
+    met, total = row_groups_met(tmp_dir + "/z", "city", "c01000", "c01200")
+    assert met < 0.35 * total
+
+
+def test_zorder_of_nulls_ties_and_empty(spark, tmp_dir):
+    from strataflow.sources.tables import range_cuts, write_table, zorder_value
+    df = spark.createDataFrame([(None, 1.5, dt.date(2024, 1, 1)), ("a", None, None), ("a", 2.5, dt.date(2024, 1, 2))] * 20, "a string, b double, c date")
+    assert write_table(df, tmp_dir + "/t", cluster_cols=["a", "b", "c"], zorder=True) == 60
+    assert write_table(df.limit(0), tmp_dir + "/e", cluster_cols=["a", "b"], zorder=True) == 0
+    z = df.select("a", "b", zorder_value(range_cuts(df, ["a", "b"])).alias("z")).distinct().collect()
+    assert next(r.z for r in z if r.a is None) < next(r.z for r in z if r.a == "a" and r.b == 2.5)
+
+
+def test_retention_of_year_month_tables(spark, tmp_dir):
+    from strataflow.sources.tables import expired_for_layer
+    rows = [("2010", 1, 12), ("x", 2023, 1), ("x", 2023, 2), ("x", 2024, 1), ("x", None, None), ("x", 2023, 12)]
+    df = spark.createDataFrame(rows, "k string, year int, month int").filter("k <> '2010'").unionByName(
+        spark.createDataFrame([("k", 2010, 12)], "k string, year int, month int"))
+    write_partitioned(df, tmp_dir + "/silver", ["year", "month"])
+    got = [tuple(r) for r in expired_for_layer(spark, tmp_dir + "/silver", "silver", dt.date(2024, 2, 15)).collect()]
+    assert got == [("year=2010/month=12", dt.date(2010, 12, 31)), ("year=2023/month=1", dt.date(2023, 1, 31))]
+    write_partitioned(df.selectExpr("k", "date'2023-10-01' as ingestion_date"), tmp_dir + "/bronze", ["ingestion_date"])
+    got = [tuple(r) for r in expired_for_layer(spark, tmp_dir + "/bronze", "bronze", dt.date(2024, 2, 15)).collect()]
+    assert got == [("ingestion_date=2023-10-01", dt.date(2023, 10, 1))]
