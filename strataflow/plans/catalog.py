@@ -577,7 +577,7 @@ def q_dq_volume_change(L: Layers) -> DataFrame:
 
 from strataflow.functions.columns import surrogate_key  # noqa: E402
 from strataflow.operators import history as hist  # noqa: E402
-from strataflow.operators.upsert import incremental_slice, upsert  # noqa: E402
+from strataflow.operators.upsert import incremental_slice, read_keyed, upsert  # noqa: E402
 from strataflow.session import scratch_path  # noqa: E402
 from strataflow.sources.tables import write_table  # noqa: E402
 
@@ -614,14 +614,14 @@ def q_fact_upsert(L: Layers) -> DataFrame:
                   .withColumn("date_id", surrogate_key(F.to_date(at))))
 
     first = f.filter(votes != 2).withColumn("reviewed_at", F.when(votes == 3, at + F.expr("INTERVAL 100 YEARS")).otherwise(at))
-    upsert(spark, dated(first, votes == 6), path, ["review_id"], ["year", "month"])
+    upsert(spark, dated(first, votes == 6), path, ["review_id"], ["year", "month"], buckets=2)
     changed = (f.filter(votes.isin(1, 2, 4, 5))
                 .withColumn("reviewed_at", F.when(votes == 1, at + F.expr("INTERVAL 40 DAYS")).otherwise(at))
                 .withColumn("review_stars", F.when(votes == 2, F.col("review_stars")).otherwise(6.0 - F.col("review_stars")))
                 .withColumn("ingestion_date", F.when(votes == 5, F.lit(RUN_DATE - dt.timedelta(days=10))).otherwise(F.lit(RUN_DATE))))
     arrived = incremental_slice(dated(changed, votes == 4), RUN_DATE, LOOKBACK).drop("ingestion_date")
     upsert(spark, arrived, path, ["review_id"], ["year", "month"])
-    return spark.read.parquet(path).select(*_FACT_COLS)
+    return read_keyed(spark, path).select(*_FACT_COLS)
 
 
 _BIZ_COLS = ["business_id", "name", "city", "state", "stars", "review_count", "is_open", "primary_category",
@@ -833,10 +833,10 @@ def q_stream_upsert(L: Layers) -> DataFrame:
     src = ST.file_stream(spark, base + "/landing", schema, fmt="json", max_files_per_trigger=2)
     handler = ST.upsert_batches(base + "/silver", ["review_id"], ["year", "month"],
                                 transform=lambda b: _clean_reviews(b, keep_ingestion_date=True),
-                                order_cols=["ingestion_date"], resolve="latest")
+                                order_cols=["ingestion_date"], resolve="latest", buckets=2)
     q = ST.start(src, base + "/checkpoint", foreach_batch=handler, available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(base + "/silver").drop("ingestion_date")
+    return read_keyed(spark, base + "/silver").drop("ingestion_date")
 
 
 # ── end-to-end layer jobs ──────────────────────────────────────────────────

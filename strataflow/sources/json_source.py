@@ -117,7 +117,7 @@ def parse_once(spark: SparkSession, path: str, declared: StructType, freshness_c
     A line does not fit if it is no JSON object (truncated, other text, a key
     named twice) or if the value of a declared column cannot be of its type; its text goes
     to the quarantine. Blank lines are no rows. The counts, the latest freshness time and the schema
-    that the fitting lines imply are observed while the copy is written.
+    that all objects imply are observed while the copy is written.
     ``rebalance``: spread the lines over the cluster before they are parsed when the source could
     not be split into enough read tasks.
     """
@@ -125,13 +125,14 @@ def parse_once(spark: SparkSession, path: str, declared: StructType, freshness_c
     if rebalance and lines.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         lines = lines.repartition(spark.sparkContext.defaultParallelism)
     parsed = lines.select("value", F.try_parse_json("value").alias(DOC))
-    fits = F.schema_of_variant(DOC).startswith("OBJECT")
+    is_object = F.schema_of_variant(DOC).startswith("OBJECT")
+    fits = is_object
     for f in declared.fields:
         if not isinstance(f.dataType, StringType):
             given = F.try_variant_get(DOC, _path(f.name), "variant")
             fits &= given.isNull() | F.is_variant_null(given) | _value(f.name, f.dataType).isNotNull()
     ok = F.coalesce(fits, F.lit(False))
-    rows = parsed.select(F.when(ok, F.col(DOC)).alias(DOC), F.when(~ok, F.col("value")).alias(LINE))
+    rows = parsed.select(F.when(is_object, F.col(DOC)).alias(DOC), F.when(~ok, F.col("value")).alias(LINE))
     latest = F.lit(None).cast("timestamp")
     if freshness_col and freshness_col in declared.fieldNames():
         text = _value(freshness_col, StringType())

@@ -80,3 +80,65 @@ def test_late_events_deliveries_spread_over_files(spark, tmp_path, monkeypatch):
             want[str(ts.date())] = want.get(str(ts.date()), 0) + 1
     assert got == want
     assert len(list((tmp_path / "stream_late" / "landing" / "0").glob("*.parquet"))) > 1
+
+
+# ── rows behind the watermark, several topics ──────────────────────────────
+
+def events(spark, rows):
+    return spark.createDataFrame([(i, None if t is None else dt.datetime(2024, 1, t)) for i, t in rows], "id long, ts timestamp")
+
+
+def test_split_late_takes_the_watermark_of_earlier_batches(spark, tmp_dir):
+    seen = []
+    handler = ST.split_late("ts", tmp_dir + "/late", lambda b, e: seen.append((e, sorted(r.id for r in b.collect()))), delay="3 days")
+    handler(events(spark, [(1, 20), (2, 1)]), 0)                    # the first batch has no watermark
+    handler(events(spark, [(3, 17), (4, 16), (5, None), (6, 30)]), 1)
+    handler(events(spark, [(7, 26), (8, 27)]), 2)
+    handler(events(spark, [(7, 26), (8, 27)]), 2)                   # replay of a batch: split as before
+    assert seen == [(0, [1, 2]), (1, [3, 5, 6]), (2, [8]), (2, [8])]
+    late = spark.read.parquet(tmp_dir + "/late")
+    assert sorted((r.batch, r.id) for r in late.collect()) == [(1, 4), (2, 7)]
+    # with windows, a row is late once its window has ended
+    seen.clear()
+    handler = ST.split_late("ts", tmp_dir + "/late_w", lambda b, e: seen.append(sorted(r.id for r in b.collect())), delay="1 day", window="2 days")
+    handler(events(spark, [(1, 20)]), 0)
+    handler(events(spark, [(2, 18), (3, 17), (4, 16), (5, 15)]), 1)
+    ends = {r.id: r.e for r in events(spark, [(2, 18), (3, 17), (4, 16), (5, 15)]).select("id", F.window("ts", "2 days")["end"].alias("e")).collect()}
+    assert seen[1] == sorted(i for i, e in ends.items() if e > dt.datetime(2024, 1, 19))
+
+
+def test_late_rows_are_taken_once_and_again_after_a_stop(spark, tmp_dir):
+    import pytest
+    handler = ST.split_late("ts", tmp_dir + "/late", ST.window_parts(tmp_dir + "/daily", "ts"))
+    handler(events(spark, [(1, 20), (2, 20)]), 0)
+    handler(events(spark, [(3, 2), (4, 20)]), 1)
+    step, calls = ST.window_parts(tmp_dir + "/daily", "ts", prefix="replay"), []
+
+    def stopping(rows):
+        step(rows)
+        raise KeyError("stopped")
+    with pytest.raises(KeyError):
+        ST.take_late(spark, tmp_dir + "/late", stopping)
+    for _ in range(3):
+        ST.take_late(spark, tmp_dir + "/late", lambda rows: (calls.append(rows.count()), step(rows)))
+    assert calls == [1]
+    got = {str(r.window_start)[:10]: (r.events, r.late_events) for r in ST.merged_windows(spark, tmp_dir + "/daily").collect()}
+    assert got == {"2024-01-20": (3, 0), "2024-01-02": (1, 1)}
+    handler(events(spark, [(5, 3)]), 2)
+    assert ST.take_late(spark, tmp_dir + "/late", step) == [2]
+
+
+def test_topics_go_to_their_sinks_and_the_rest_to_the_quarantine(spark, tmp_dir):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    schema = StructType([StructField("k", StringType()), StructField("v", LongType())])
+    topics = {t: ST.Topic(schema, [ST.batch_partition(f"{tmp_dir}/raw_{t}"), ST.upsert_batches(f"{tmp_dir}/{t}", ["k"], ["p"], lambda b: b.selectExpr("k", "v", "1 as p"))])
+              for t in ("a", "b")}
+    handle = ST.route_topics(topics, tmp_dir + "/q")
+    rows = [("a", '{"k": "x", "v": 1}'), ("a", '{"k": "y", "v": "no"}'), ("b", '{"k": "x", "v": 2}'), ("c", "{}"), (None, "t"), ("b", None), ("b", "{cut")]
+    batch = spark.createDataFrame(rows, "topic string, value string")
+    for _ in range(2):
+        handle(batch, 4)
+    assert {t: [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/{t}").select("k", "v").collect()] for t in "ab"} == {"a": [("x", 1)], "b": [("x", 2)]}
+    assert spark.read.parquet(tmp_dir + "/raw_a").count() == 1
+    bad = sorted((str(r.topic), str(r.value), r.batch) for r in spark.read.parquet(tmp_dir + "/q").collect())
+    assert bad == sorted([("a", '{"k": "y", "v": "no"}', 4), ("c", "{}", 4), ("None", "t", 4), ("b", "None", 4), ("b", "{cut", 4)])
