@@ -4,18 +4,18 @@ Result shape (``TEST_RESULT_SCHEMA``): test_name, entity, layer, passed,
 message, value, threshold. Each check is a lazy DataFrame:
 
 * all scalar checks of one table (row floor, null counts, null rates, star
-  range, freshness) come from ONE aggregate pass, then the single metrics row
-  is turned into result rows with ``inline(array(struct ...))``;
-* checks that need two scalars from different inputs (raw vs clean counts,
-  today vs history) union tagged one-row aggregates and fold them with a
-  global aggregate — no cross joins, nothing collected to the driver;
+  range, freshness, drift figures) come from ONE aggregate pass, duplicate keys from a second;
+* a layer's suite is one plan (``fused_rows``): the figures of all tables, of
+  raw inputs and of the stored history are united and folded into one
+  small map a table, from which the result rows are built — no joins, nothing
+  collected to the driver;
 * messages carry integers only, numeric details live in ``value``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -89,91 +89,118 @@ class TableChecks:
     extra: dict = field(default_factory=dict)
 
 
-def check_table(df: DataFrame, spec: TableChecks, as_of_ts: dt.datetime | None = None) -> DataFrame:
-    """Row floor, zero nulls, null rates, star range and freshness in one
-    aggregate; duplicate keys in one more (group by key, then fold)."""
-    spark = df.sparkSession
-    e, lay = spec.entity, spec.layer
-    have = set(df.columns)
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    structs, out = [], []
+Get = Callable[[str], Column]
+
+
+@dataclass
+class Scalars:
+    """Scalar checks of one table: named aggregates of one pass, and builders of result rows that get a figure by its name."""
+    aggs: dict[str, Column] = field(default_factory=dict)
+    rows: list[Callable[[Get], Column]] = field(default_factory=list)
+    skipped: list[tuple[str, str]] = field(default_factory=list)        # (test, why)
+
+
+def scalar_checks(spec: TableChecks, columns: Iterable[str], as_of_ts: dt.datetime | None = None) -> Scalars:
+    """Row floor, zero nulls, null rates, star range and freshness of ``spec``."""
+    e, lay, have = spec.entity, spec.layer, set(columns)
+    out = Scalars({"_n": F.count(F.lit(1))})
 
     if spec.min_rows is not None:
-        n = F.col("_n")
-        structs.append(result(
-            "row_count_minimum", e, lay, n >= spec.min_rows,
-            F.when(n >= spec.min_rows, F.concat(F.lit("row count "), _s(n), F.lit(" >= minimum "), F.lit(str(spec.min_rows))))
-             .otherwise(F.concat(F.lit("FAIL - row count "), _s(n), F.lit(" below minimum "), F.lit(str(spec.min_rows)))),
-            n, float(spec.min_rows)))
+        floor = spec.min_rows
+
+        def floor_row(get: Get) -> Column:
+            n = get("_n")
+            return result(
+                "row_count_minimum", e, lay, n >= floor,
+                F.when(n >= floor, F.concat(F.lit("row count "), _s(n), F.lit(" >= minimum "), F.lit(str(floor))))
+                 .otherwise(F.concat(F.lit("FAIL - row count "), _s(n), F.lit(" below minimum "), F.lit(str(floor)))),
+                n, float(floor))
+        out.rows.append(floor_row)
 
     for c in spec.zero_null_cols:
         if c not in have:
-            out.append(skipped(spark, "zero_nulls", e, lay, f"column '{c}' not in table - skipped"))
+            out.skipped.append(("zero_nulls", f"column '{c}' not in table - skipped"))
             continue
-        k = f"_null_{c}"
-        aggs.append(F.count_if(F.col(c).isNull()).alias(k))
-        structs.append(result(
-            "zero_nulls", e, lay, F.col(k) == 0,
-            F.concat(F.lit(f"column '{c}': "), _s(k), F.lit(" null values")), F.col(k), 0.0))
+        out.aggs[f"_null_{c}"] = F.count_if(F.col(c).isNull())
+        out.rows.append(lambda get, c=c: result(
+            "zero_nulls", e, lay, get(f"_null_{c}") == 0,
+            F.concat(F.lit(f"column '{c}': "), _s(get(f"_null_{c}")), F.lit(" null values")), get(f"_null_{c}"), 0.0))
 
     for c in spec.null_rate_cols:
         if c not in have:
             continue
-        k = f"_nr_{c}"
-        aggs.append(F.count_if(F.col(c).isNull()).alias(k))
-        rate = F.when(F.col("_n") > 0, F.col(k) / F.col("_n")).otherwise(F.lit(0.0))
-        structs.append(result(
-            "null_rate", e, lay, F.col(k) == 0,
-            F.concat(F.lit(f"column '{c}': "), _s(k), F.lit(" of "), _s("_n"), F.lit(" rows null")),
-            round_half_up(rate, 4), 0.0))
+        out.aggs[f"_null_{c}"] = F.count_if(F.col(c).isNull())
+        out.rows.append(lambda get, c=c: result(
+            "null_rate", e, lay, get(f"_null_{c}") == 0,
+            F.concat(F.lit(f"column '{c}': "), _s(get(f"_null_{c}")), F.lit(" of "), _s(get("_n")), F.lit(" rows null")),
+            round_half_up(F.when(get("_n") > 0, get(f"_null_{c}") / get("_n")).otherwise(F.lit(0.0)), 4), 0.0))
 
     if spec.stars_col:
         if spec.stars_col not in have:
-            out.append(skipped(spark, "star_rating_range", e, lay, "no stars column - skipped"))
+            out.skipped.append(("star_rating_range", "no stars column - skipped"))
         else:
-            aggs.append(F.count_if(~F.col(spec.stars_col).between(1, 5)).alias("_bad_stars"))
-            structs.append(result(
-                "star_rating_range", e, lay, F.col("_bad_stars") == 0,
-                F.concat(_s("_bad_stars"), F.lit(" rows with stars outside 1-5")), F.col("_bad_stars"), 0.0))
+            out.aggs["_bad_stars"] = F.count_if(~F.col(spec.stars_col).between(1, 5))
+            out.rows.append(lambda get: result(
+                "star_rating_range", e, lay, get("_bad_stars") == 0,
+                F.concat(_s(get("_bad_stars")), F.lit(" rows with stars outside 1-5")), get("_bad_stars"), 0.0))
 
     if spec.freshness_col:
         if spec.freshness_col not in have or as_of_ts is None:
-            out.append(skipped(spark, "freshness", e, lay, f"no date column '{spec.freshness_col}' - skipped"))
+            out.skipped.append(("freshness", f"no date column '{spec.freshness_col}' - skipped"))
         else:
             ts = F.col(spec.freshness_col)
             if spec.freshness_format:
                 ts = F.try_to_timestamp(ts, F.lit(spec.freshness_format))
-            aggs.append(F.max(ts.cast("timestamp")).alias("_latest"))
-            age = hours_between(as_of_ts, F.col("_latest"))
+            out.aggs["_latest"] = F.max(F.unix_micros(ts.cast("timestamp")))
             thr = float(spec.freshness_hours or 0)
-            structs.append(result(
-                "freshness", e, lay, F.col("_latest").isNotNull() & (age <= thr),
-                F.when(F.col("_latest").isNull(), F.lit("FAIL - no latest timestamp"))
-                 .when(age <= thr, F.lit(f"latest record within {int(thr)}h"))
-                 .otherwise(F.lit(f"FAIL - latest record older than {int(thr)}h")),
-                round_half_up(age, 2), thr))
 
-    if structs:
-        out.insert(0, rows_from(df.agg(*aggs), structs))
+            def fresh_row(get: Get) -> Column:
+                latest = F.timestamp_micros(get("_latest"))
+                age = hours_between(as_of_ts, latest)
+                return result(
+                    "freshness", e, lay, latest.isNotNull() & (age <= thr),
+                    F.when(latest.isNull(), F.lit("FAIL - no latest timestamp"))
+                     .when(age <= thr, F.lit(f"latest record within {int(thr)}h"))
+                     .otherwise(F.lit(f"FAIL - latest record older than {int(thr)}h")),
+                    round_half_up(age, 2), thr)
+            out.rows.append(fresh_row)
+    return out
 
+
+def check_table(df: DataFrame, spec: TableChecks, as_of_ts: dt.datetime | None = None) -> DataFrame:
+    """Row floor, zero nulls, null rates, star range and freshness in one
+    aggregate; duplicate keys in one more (group by key, then fold)."""
+    spark = df.sparkSession
+    checks = scalar_checks(spec, df.columns, as_of_ts)
+    out = [skipped(spark, test, spec.entity, spec.layer, why) for test, why in checks.skipped]
+    if checks.rows:
+        metrics = df.agg(*[c.alias(name) for name, c in checks.aggs.items()])
+        out.insert(0, rows_from(metrics, [row(F.col) for row in checks.rows]))
     if spec.key_col:
-        out.append(no_duplicate_keys(df, e, lay, spec.key_col))
+        out.append(no_duplicate_keys(df, spec.entity, spec.layer, spec.key_col))
     if not out:
-        return static_results(spark, [result("no_checks", e, lay, F.lit(True), F.lit("nothing to check"))])
+        return static_results(spark, [result("no_checks", spec.entity, spec.layer, F.lit(True), F.lit("nothing to check"))])
     return union_all(out)
 
 
+def _key_counts(df: DataFrame, key_col: str) -> DataFrame:
+    """(_rows, _keys) of a table; null counts as one key. A partial aggregate on the key."""
+    per = df.groupBy(key_col).agg(F.count(F.lit(1)).alias("_c"))
+    return per.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_rows"), F.count(F.lit(1)).alias("_keys"))
+
+
+def _duplicates_row(entity: str, layer: str, key_col: str, get: Get) -> Column:
+    dup = get("_rows") - get("_keys")
+    return result("no_duplicate_keys", entity, layer, dup == 0,
+                  F.concat(F.lit(f"key '{key_col}': "), _s(dup), F.lit(" duplicate rows")), dup, 0.0)
+
+
 def no_duplicate_keys(df: DataFrame, entity: str, layer: str, key_col: str) -> DataFrame:
     """``count - count(distinct key)`` (null counts as one value), via a
     partial aggregate on the key."""
     if key_col not in df.columns:
         return skipped(df.sparkSession, "no_duplicate_keys", entity, layer, f"key column '{key_col}' not found - skipped")
-    per = df.groupBy(key_col).agg(F.count(F.lit(1)).alias("_c"))
-    m = per.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_total"), F.count(F.lit(1)).alias("_distinct"))
-    dup = F.col("_total") - F.col("_distinct")
-    return rows_from(m, [result("no_duplicate_keys", entity, layer, dup == 0,
-                                F.concat(F.lit(f"key '{key_col}': "), _s(dup), F.lit(" duplicate rows")),
-                                dup, 0.0)])
+    return rows_from(_key_counts(df, key_col), [_duplicates_row(entity, layer, key_col, F.col)])
 
 
 def non_empty(df: DataFrame, entity: str, layer: str) -> DataFrame:
@@ -185,24 +212,34 @@ def non_empty(df: DataFrame, entity: str, layer: str) -> DataFrame:
 # ── partitions, loss, readability ──────────────────────────────────────────
 
 def lookback_partitions_present(df: DataFrame, entity: str, layer: str, run_date: dt.date,
-                                lookback_days: int, part_col: str = "ingestion_date") -> DataFrame:
+                                lookback_days: int, part_col: str = "ingestion_date",
+                                present: Iterable[dt.date] | None = None) -> DataFrame:
     """Every date of the lookback window has a partition.
 
-    The distinct partition values (bounded by the calendar, not by rows) are
-    gathered into one set and compared with the expected dates; no join."""
+    ``present``: the stored partitions' dates (``tables.partition_values``: folder names, no rows are read).
+    Without them the values are gathered from the rows into one set (bounded by
+    the calendar) and compared with the expected dates; no join."""
     spark = df.sparkSession
     if part_col not in df.columns:
         return skipped(spark, "lookback_partitions_present", entity, layer,
                        f"no {part_col} partition column - skipped")
-    start = lookback_dates(run_date, lookback_days)[0]
-    present = (df.select(F.col(part_col).cast("date").alias("_d")).distinct()
-                 .agg(F.collect_set("_d").alias("_present")))
-    expected = F.sequence(F.lit(start), F.lit(run_date))
-    m = present.select(F.size(F.array_except(expected, F.coalesce(F.col("_present"), F.array().cast("array<date>"))))
-                       .cast("long").alias("_m"))
-    return rows_from(m, [result("lookback_partitions_present", entity, layer, F.col("_m") == 0,
-                                F.concat(_s("_m"), F.lit(f" of {lookback_days} lookback partitions missing")),
-                                F.col("_m"), 0.0)])
+    missing = _missing_dates(run_date, lookback_days, part_col, present)
+    m = spark.range(1).select(missing.alias("_missing")) if present is not None else df.agg(missing.alias("_missing"))
+    return rows_from(m, [_lookback_row(entity, layer, lookback_days, F.col)])
+
+
+def _missing_dates(run_date: dt.date, lookback_days: int, part_col: str, present: Iterable[dt.date] | None) -> Column:
+    """Number of expected dates without a partition; an aggregate over the rows where ``present`` is not given."""
+    expected = lookback_dates(run_date, lookback_days)
+    if present is not None:
+        return F.lit(len(set(expected) - set(present))).cast("long")
+    there = F.collect_set(F.when(F.col(part_col).cast("date").between(F.lit(expected[0]), F.lit(run_date)), F.col(part_col).cast("date")))
+    return F.size(F.array_except(F.sequence(F.lit(expected[0]), F.lit(run_date)), there)).cast("long")
+
+
+def _lookback_row(entity: str, layer: str, lookback_days: int, get: Get) -> Column:
+    return result("lookback_partitions_present", entity, layer, get("_missing") == 0,
+                  F.concat(_s(get("_missing")), F.lit(f" of {lookback_days} lookback partitions missing")), get("_missing"), 0.0)
 
 
 def row_loss(before: DataFrame, after: DataFrame, entity: str, max_loss_pct: float = S.MAX_ROW_LOSS_PCT,
@@ -211,11 +248,15 @@ def row_loss(before: DataFrame, after: DataFrame, entity: str, max_loss_pct: flo
     """Loss from ``before`` to ``after`` in percent; ``before_keys`` counts
     distinct keys of the input (raw snapshots repeat keys across days)."""
     b = before.select(*before_keys).distinct() if before_keys else before
-    m = _tagged_counts(_b=b, _a=after)
-    loss = F.when(F.col("_b") > 0, (F.col("_b") - F.col("_a")) / F.col("_b") * 100.0).otherwise(F.lit(0.0))
-    return rows_from(m, [result(test_name, entity, layer, loss <= max_loss_pct,
-                                F.concat(F.lit("input "), _s("_b"), F.lit(", output "), _s("_a")),
-                                round_half_up(loss, 2), max_loss_pct)])
+    m = _tagged_counts(_before=b, _n=after)
+    return rows_from(m, [_loss_row(entity, layer, test_name, max_loss_pct, F.col)])
+
+
+def _loss_row(entity: str, layer: str, test_name: str, max_loss_pct: float, get: Get) -> Column:
+    before, after = get("_before"), get("_n")
+    loss = F.when(before > 0, (before - after) / before * 100.0).otherwise(F.lit(0.0))
+    return result(test_name, entity, layer, loss <= max_loss_pct, F.concat(F.lit("input "), _s(before), F.lit(", output "), _s(after)),
+                  round_half_up(loss, 2), max_loss_pct)
 
 
 def table_readable(spark: SparkSession, path: str, entity: str, layer: str, fmt: str = "parquet") -> tuple[DataFrame | None, DataFrame]:
@@ -399,58 +440,121 @@ def source_freshness(df: DataFrame, entity: str, ts_col: str, as_of_ts: dt.datet
 
 # ── checks against history ─────────────────────────────────────────────────
 
-def history_baseline(history: DataFrame, test_name: str, entity: str, layer: str, as_of: dt.date,
-                     runs: int = S.ANOMALY_LOOKBACK_RUNS) -> DataFrame:
-    """avg(value) and row count of the latest ``runs`` passed results before
-    ``as_of`` (one row; the window spans one metric's runs only)."""
-    h = history.filter((F.col("test_name") == test_name) & (F.col("entity") == entity)
-                       & (F.col("layer") == layer) & F.col("passed") & (F.col("run_date") < F.lit(as_of)))
-    w = Window.partitionBy("test_name", "entity", "layer").orderBy(F.col("run_date").desc(),
-                                                                   F.col("run_timestamp").desc())
+def history_baselines(history: DataFrame, layer: str, as_of: dt.date, runs: int = S.ANOMALY_LOOKBACK_RUNS) -> DataFrame:
+    """(entity, test_name, _base, _hist): avg(value) and number of the latest ``runs`` passed results before
+    ``as_of`` of every table and test of a layer. One pass; a window spans one metric's runs only."""
+    h = history.filter((F.col("layer") == layer) & F.col("passed") & (F.col("run_date") < F.lit(as_of)))
+    w = Window.partitionBy("test_name", "entity").orderBy(F.col("run_date").desc(), F.col("run_timestamp").desc())
     latest = h.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= runs)
-    return latest.agg(F.avg("value").alias("_base"), F.count(F.lit(1)).alias("_hist"))
+    return latest.groupBy("entity", "test_name").agg(F.avg("value").alias("_base"), F.count(F.lit(1)).alias("_hist"))
+
+
+@dataclass(frozen=True)
+class Drift:
+    """A drift rule: today's figure (from named aggregates), the stored test whose values are its baseline, and the limit."""
+    test_name: str
+    baseline_test: str
+    kind: str           # row_count (percent), metric (absolute) or null_rate (one-sided)
+    today: Callable[[Get], Column]
+    aggs: Mapping[str, Column]
+
+    def row(self, entity: str, layer: str, get: Get) -> Column:
+        today, base, hist = self.today(get).cast("double"), get(f"_base_{self.baseline_test}"), get(f"_hist_{self.baseline_test}")
+        if self.kind == "row_count":
+            dev, thr, value, always = F.when(base != 0, F.abs(today - base) / base * 100.0), S.ROW_COUNT_DRIFT_PCT, None, False
+        elif self.kind == "metric":
+            dev, thr, value, always = F.abs(today - base), S.METRIC_DRIFT_THRESHOLD, today, True
+        else:
+            dev, thr, value, always = today - base, S.NULL_RATE_DRIFT_THRESHOLD, today, True
+        value = round_half_up(dev, 2) if value is None else round_half_up(value, 4)
+        hist = F.coalesce(hist, F.lit(0))
+        enough = (hist >= S.MIN_HISTORY_ROWS) & base.isNotNull() & today.isNotNull()
+        # a metric's value is recorded also while history is short, so that a baseline can form
+        return result(
+            self.test_name, entity, layer, ~enough | (dev <= thr),
+            F.when(~enough, F.concat(F.lit("insufficient history ("), _s(hist), F.lit(" runs) - skipped")))
+             .when(dev <= thr, F.lit("within threshold")).otherwise(F.lit("FAIL - drift above threshold")),
+            value if always else F.when(enough, value), thr)
+
+
+def count_drift() -> Drift:
+    """Today's count vs the mean of recent passed ``row_count_minimum`` values (percent)."""
+    return Drift("row_count_drift", "row_count_minimum", "row_count", lambda get: get("_n"), {"_n": F.count(F.lit(1))})
+
+
+def average_drift(col: str) -> Drift:
+    """Absolute shift of ``avg(col)`` vs the mean of its own recent passed values."""
+    return Drift("metric_drift", "metric_drift", "metric", lambda get: get("_avg"), {"_avg": F.avg(col)})
+
+
+def null_drift(col: str) -> Drift:
+    """One-sided: today's null rate may exceed the baseline by at most 0.02."""
+    return Drift("null_rate_drift", "null_rate_drift", "null_rate", lambda get: get(f"_null_{col}") / F.greatest(get("_n"), F.lit(1)),
+                 {"_n": F.count(F.lit(1)), f"_null_{col}": F.count_if(F.col(col).isNull())})
 
 
-def _drift_row(today: DataFrame, base: DataFrame, test_name: str, entity: str, layer: str,
-               deviation: Column, threshold: float, value: Column, always: bool = False) -> DataFrame:
-    """``always``: record the value also while history is short, so that a baseline can form."""
-    u = (today.select(F.col("_today").cast("double").alias("_today"), F.lit(None).cast("double").alias("_base"),
-                      F.lit(None).cast("long").alias("_hist"))
-         .unionByName(base.select(F.lit(None).cast("double").alias("_today"), "_base", "_hist")))
-    m = u.agg(F.max("_today").alias("_today"), F.max("_base").alias("_base"), F.max("_hist").alias("_hist"))
-    enough = (F.col("_hist") >= S.MIN_HISTORY_ROWS) & F.col("_base").isNotNull() & F.col("_today").isNotNull()
-    return rows_from(m, [result(
-        test_name, entity, layer, ~enough | (deviation <= threshold),
-        F.when(~enough, F.concat(F.lit("insufficient history ("), _s("_hist"), F.lit(" runs) - skipped")))
-         .when(deviation <= threshold, F.lit("within threshold")).otherwise(F.lit("FAIL - drift above threshold")),
-        value if always else F.when(enough, value), threshold)])
+def _drift_of(df: DataFrame, history: DataFrame, entity: str, layer: str, as_of: dt.date, rule: Drift) -> DataFrame:
+    """One rule of one table on its own."""
+    return fused_rows([Figures(entity, df.agg(*[c.alias(n) for n, c in rule.aggs.items()]))],
+                      {entity: [lambda get: rule.row(entity, layer, get)]}, history_baselines(history, layer, as_of))
 
 
 def row_count_drift(df: DataFrame, history: DataFrame, entity: str, layer: str, as_of: dt.date) -> DataFrame:
-    """Today's count vs the mean of recent passed ``row_count_minimum`` values (percent)."""
-    today = df.agg(F.count(F.lit(1)).alias("_today"))
-    base = history_baseline(history, "row_count_minimum", entity, layer, as_of)
-    dev = F.abs(F.col("_today") - F.col("_base")) / F.col("_base") * 100.0
-    return _drift_row(today, base, "row_count_drift", entity, layer,
-                      F.when(F.col("_base") != 0, dev), S.ROW_COUNT_DRIFT_PCT, round_half_up(dev, 2))
+    return _drift_of(df, history, entity, layer, as_of, count_drift())
 
 
 def metric_drift(df: DataFrame, history: DataFrame, entity: str, layer: str, metric_col: str, as_of: dt.date) -> DataFrame:
-    """Absolute shift of ``avg(metric_col)`` vs the mean of its own recent passed values."""
-    today = df.agg(F.avg(metric_col).alias("_today"))
-    base = history_baseline(history, "metric_drift", entity, layer, as_of)
-    dev = F.abs(F.col("_today") - F.col("_base"))
-    return _drift_row(today, base, "metric_drift", entity, layer, dev, S.METRIC_DRIFT_THRESHOLD,
-                      round_half_up(F.col("_today"), 4), always=True)
+    return _drift_of(df, history, entity, layer, as_of, average_drift(metric_col))
 
 
 def null_rate_drift(df: DataFrame, history: DataFrame, entity: str, layer: str, col: str, as_of: dt.date) -> DataFrame:
-    """One-sided: today's null rate may exceed the baseline by at most 0.02."""
-    today = df.agg((F.count_if(F.col(col).isNull()) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("_today"))
-    base = history_baseline(history, "null_rate_drift", entity, layer, as_of)
-    dev = F.col("_today") - F.coalesce(F.col("_base"), F.lit(0.0))
-    return _drift_row(today, base, "null_rate_drift", entity, layer, dev, S.NULL_RATE_DRIFT_THRESHOLD,
-                      round_half_up(F.col("_today"), 4), always=True)
+    return _drift_of(df, history, entity, layer, as_of, null_drift(col))
+
+
+# ── many tables in one plan ────────────────────────────────────────────────
+
+@dataclass(frozen=True)
+class Figures:
+    """A one-row frame of named figures of a table."""
+    entity: str
+    row: DataFrame
+
+
+WHOLE = ("bigint", "int", "smallint", "tinyint")
+
+
+def _as_entries(f: Figures) -> DataFrame:
+    """(name, n, x): one row a figure; whole numbers in ``n``, others in ``x``."""
+    entries = [F.struct(F.lit(c).alias("name"), (F.col(c) if t in WHOLE else F.lit(None)).cast("long").alias("n"),
+                        (F.lit(None) if t in WHOLE else F.col(c)).cast("double").alias("x")) for c, t in f.row.dtypes]
+    return f.row.select(F.inline(F.array(*entries)))
+
+
+def fused_rows(figures: Sequence[Figures], rows: Mapping[str, Sequence[Callable[[Get], Column]]],
+               baselines: DataFrame | None = None) -> DataFrame:
+    """Result rows of many tables from one plan.
+
+    A table's figures, those of its raw input and the baselines of its drift checks are
+    united and folded into one small map, from which its rows are built: no
+    join, and no figure is computed twice. The tables' rows are united, so Spark runs all their scans as one job.
+    """
+    out = []
+    for entity, builders in rows.items():
+        mine = [f for f in figures if f.entity == entity]
+        entries = [_as_entries(f) for f in mine]
+        kinds = {c: "n" if t in WHOLE else "x" for f in mine for c, t in f.row.dtypes}
+        if baselines is not None:
+            b = baselines.filter(F.col("entity") == entity)
+            entries.append(b.select(F.inline(F.array(
+                F.struct(F.concat(F.lit("_base_"), "test_name").alias("name"), F.lit(None).cast("long").alias("n"), F.col("_base").alias("x")),
+                F.struct(F.concat(F.lit("_hist_"), "test_name").alias("name"), F.col("_hist").alias("n"), F.lit(None).cast("double").alias("x"))))))
+        folded = union_all(entries).agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("n", "x")))).alias("_m"))
+
+        def get(name: str, kinds=kinds) -> Column:
+            return F.try_element_at("_m", F.lit(name))[kinds.get(name) or ("x" if name.startswith("_base_") else "n")]
+        if builders:
+            out.append(rows_from(folded, [build(get) for build in builders]))
+    return union_all(out)
 
 
 def drift_backtest(series: DataFrame, kind: str, runs: int = S.ANOMALY_LOOKBACK_RUNS,
@@ -554,8 +658,12 @@ def layer_specs(layer: str) -> list[TableChecks]:
 def run_layer_suite(tables: Mapping[str, DataFrame], layer: str, as_of_ts: dt.datetime,
                     run_date: dt.date | None = None, lookback_days: int = 3,
                     bronze: Mapping[str, DataFrame] | None = None, history: DataFrame | None = None,
-                    floors: Mapping[str, int] | None = None) -> DataFrame:
-    """All checks of a layer over ``tables`` (entity -> DataFrame).
+                    floors: Mapping[str, int] | None = None, partitions: Mapping[str, Sequence[dt.date]] | None = None) -> DataFrame:
+    """All checks of a layer over ``tables`` (entity -> DataFrame), as one plan.
+
+    A table is read at most twice: every scalar figure, today's drift figures
+    included, comes from one aggregate, the duplicate keys from a second.
+    ``partitions``: dates of the stored partitions, where the caller can list them.
 
     ``history`` (stored results of earlier runs) adds the drift checks: row
     count of every table, average stars of the reviews, null rates of one
@@ -566,44 +674,54 @@ def run_layer_suite(tables: Mapping[str, DataFrame], layer: str, as_of_ts: dt.da
     partitions. For the clean layer, ``bronze`` enables the loss check
     (distinct raw keys vs clean rows).
     """
-    out = []
+    figures, rows, out = [], {}, []
     for spec in layer_specs(layer):
-        df = tables.get(spec.entity)
+        e, df = spec.entity, tables.get(spec.entity)
         if df is None:
             continue
         if floors is not None:
-            spec.min_rows = floors.get(spec.entity, 0)
+            spec.min_rows = floors.get(e, 0)
+        checks = scalar_checks(spec, df.columns, as_of_ts)
+        aggs, build = dict(checks.aggs), list(checks.rows)
+        out += [skipped(df.sparkSession, test, e, layer, why) for test, why in checks.skipped]
         if history is not None and run_date is not None:
-            out += drift_rows(df, history, spec.entity, layer, run_date)
-        if layer == "bronze" and spec.key_col and run_date is not None and "ingestion_date" in df.columns:
-            key, spec.key_col = spec.key_col, None
-            out.append(check_table(df, spec, as_of_ts))
-            latest = df.filter(F.col("ingestion_date") == F.lit(run_date))
-            out.append(no_duplicate_keys(latest, spec.entity, layer, key))
-        else:
-            out.append(check_table(df, spec, as_of_ts))
-        if layer == "bronze" and run_date is not None:
-            out.append(lookback_partitions_present(df, spec.entity, layer, run_date, lookback_days))
-    if layer == "silver" and bronze:
-        for ent in ("business", "reviews", "users", "tips"):
-            if ent in bronze and ent in tables:
-                keys = list(S.ENTITIES[ent].keys)
-                out.append(row_loss(bronze[ent], tables[ent], ent, before_keys=keys))
-    return union_all(out)
+            for rule in drift_rules(e, df.columns):
+                aggs |= rule.aggs
+                build.append(lambda get, rule=rule, e=e: rule.row(e, layer, get))
+        raw = layer == "bronze" and run_date is not None
+        if raw and "ingestion_date" in df.columns:
+            aggs["_missing"] = _missing_dates(run_date, lookback_days, "ingestion_date", (partitions or {}).get(e))
+            build.append(lambda get, e=e: _lookback_row(e, layer, lookback_days, get))
+        elif raw:
+            out.append(lookback_partitions_present(df, e, layer, run_date, lookback_days))
+        figures.append(Figures(e, df.agg(*[c.alias(name) for name, c in aggs.items()])))
+        key = spec.key_col
+        if key and key not in df.columns:
+            out.append(no_duplicate_keys(df, e, layer, key))
+        elif key:
+            one_day = raw and "ingestion_date" in df.columns
+            figures.append(Figures(e, _key_counts(df.filter(F.col("ingestion_date") == F.lit(run_date)) if one_day else df, key)))
+            build.append(lambda get, e=e, key=key: _duplicates_row(e, layer, key, get))
+        if layer == "silver" and bronze and e in bronze and e in ("business", "reviews", "users", "tips"):
+            figures.append(Figures(e, bronze[e].select(*S.ENTITIES[e].keys).distinct().agg(F.count(F.lit(1)).alias("_before"))))
+            build.append(lambda get, e=e: _loss_row(e, layer, "bronze_silver_row_ratio", S.MAX_ROW_LOSS_PCT, get))
+        rows[e] = build
+    baselines = history_baselines(history, layer, run_date) if history is not None and run_date is not None else None
+    return union_all(([fused_rows(figures, rows, baselines)] if rows else []) + out)
 
 
 # The column whose null rate is followed, per table.
 NULL_DRIFT_COLUMNS = {"reviews": "stars", "business": "city", "users": "average_stars"}
 
 
-def drift_rows(df: DataFrame, history: DataFrame, entity: str, layer: str, run_date: dt.date) -> list[DataFrame]:
-    out = [row_count_drift(df, history, entity, layer, run_date)]
+def drift_rules(entity: str, columns: Iterable[str]) -> list[Drift]:
+    """The drift checks of a table."""
+    rules = [count_drift()]
     if entity == "reviews":
-        out.append(metric_drift(df, history, entity, layer, "stars", run_date))
-    col = NULL_DRIFT_COLUMNS.get(entity)
-    if col in df.columns:
-        out.append(null_rate_drift(df, history, entity, layer, col, run_date))
-    return out
+        rules.append(average_drift("stars"))
+    if NULL_DRIFT_COLUMNS.get(entity) in set(columns):
+        rules.append(null_drift(NULL_DRIFT_COLUMNS[entity]))
+    return rules
 
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

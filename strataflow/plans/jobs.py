@@ -26,7 +26,7 @@ from strataflow.operators.upsert import upsert
 from strataflow.schemas import (AUDIT_SCHEMA, ENTITIES, FRESHNESS_HOURS, MAX_ROW_LOSS_PCT, REGRESSION_DROP_PCT,
                                 TEST_RESULT_HISTORY_SCHEMA, ZERO_NULL_COLUMNS)
 from strataflow.sources import bronze as B
-from strataflow.sources.tables import (append_records, clustered, delete_path, expired_for_layer, path_exists, read_window, replace_path,
+from strataflow.sources.tables import (append_records, clustered, delete_path, expired_for_layer, partition_values, path_exists, read_window, replace_path,
                                        write_table)
 
 PARTITIONED = {"reviews": ("review_id",), "checkin_events": ("business_id",), "tips": ("business_id",)}
@@ -223,7 +223,9 @@ def run_tests(spark: SparkSession, paths: Paths, layer: str, run_date: dt.date,
                for e in ("business", "reviews", "users", "tips") if path_exists(spark, paths.bronze(e))}
     history = quality.read_history(spark, paths.test_results)
     if tables:
-        rows.append(quality.run_layer_suite(tables, layer, run_ts, run_date, lookback_days, raw, history, floors))
+        days = {e: [dt.date.fromisoformat(v) for v in partition_values(spark, paths.bronze(e), "ingestion_date") if v]
+                for e in tables} if layer == "bronze" else None
+        rows.append(quality.run_layer_suite(tables, layer, run_ts, run_date, lookback_days, raw, history, floors, days))
     out = quality.with_run(quality.union_all(rows), run_date, run_ts)
     # the rows are stored before anyone reads them: the suite itself runs once
     staging = paths.test_results + "__staging"

@@ -69,7 +69,9 @@ def test_partition_list_read_prunes(spark, tmp_dir):
 WRITES = {"fact_upsert", "business_history", "user_history", "asof_elite", "bronze_roundtrip", "schema_drift",
           "stream_dedup_events", "stream_daily_events", "stream_upsert", "layered_build", "snapshot_as_of",
           "retention_expired", "running_rating", "running_votes", "ingest_two_dates", "ingest_logs", "lookback_read",
-          "materialize_kinds", "clustered_layout", "dq_drift_runs", "dq_job_checks", "stream_quarantine", "stream_late_events", "dq_history_tests"}
+          "materialize_kinds", "clustered_layout", "dq_drift_runs", "dq_job_checks", "stream_quarantine", "stream_late_events", "dq_history_tests",
+          "running_null_keys", "upsert_null_keys", "history_any_order", "isolated_runs", "gold_volume_alert", "retention_clean", "zorder_layout",
+          "stream_late_replayed", "stream_three_topics"}
 
 
 def test_no_cross_or_nested_loop_joins(spark):
@@ -83,3 +85,18 @@ def test_no_cross_or_nested_loop_joins(spark):
         if found:
             bad[name] = found
     assert not bad, bad
+
+
+def test_silver_suite_reads_each_table_twice_at_most(spark):
+    """Every clean table takes one aggregate and one grouping by key; raw tables are read once more for the loss check."""
+    from strataflow.plans import catalog
+    L = catalog.layers_for(spark, SF)
+    p = plan(E.queries()["dq_silver_suite"](spark, SF))
+
+    def sources(df):
+        return plan(df).count("FileScan parquet")
+    tables, keyed = catalog._silver_tables(L), {"business", "reviews", "users", "checkin_events"}
+    most = sum(sources(t) * (2 if n in keyed else 1) for n, t in tables.items() if n != "business_categories")
+    most += sources(tables["business_categories"]) * 2
+    most += sum(sources(L.window(e)) for e in ("business", "reviews", "users", "tips"))
+    assert p.count("FileScan parquet") <= most, (p.count("FileScan parquet"), most)

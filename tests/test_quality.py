@@ -84,3 +84,71 @@ def test_loss_and_partitions(spark):
     p = Q.lookback_partitions_present(raw, "x", "bronze", dt.date(2024, 1, 3), 3).first()
     assert p.value == 1 and not p.passed
     assert Q.summarize(Q.union_all([Q.non_empty(b, "x", "y"), Q.non_empty(b.limit(0), "x", "y")])).first().failed_count == 1
+
+
+# ── a layer's suite in one plan ────────────────────────────────────────────
+
+def scans(df, path):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count(f"Location: InMemoryFileIndex(1 paths)[file:{path}]")
+
+
+def _stored_silver(spark, base, n=300):
+    from pyspark.sql import functions as F
+    t = F.timestamp_seconds(F.lit(1704067200) - F.col("id") * 600)
+    spark.range(n).select(F.concat(F.lit("r"), F.col("id") % (n - 5)).alias("review_id"), F.concat(F.lit("b"), F.col("id") % 7).alias("business_id"),
+                          F.lit("u").alias("user_id"), F.when(F.col("id") % 10 != 0, (F.col("id") % 7).cast("double")).alias("stars"),
+                          t.alias("review_date")).write.parquet(base + "/reviews")
+    spark.range(n).select(F.concat(F.lit("u"), F.col("id")).alias("user_id"), t.alias("yelping_since"),
+                          F.col("id").cast("double").alias("average_stars")).write.parquet(base + "/users")
+    return {e: spark.read.parquet(f"{base}/{e}") for e in ("reviews", "users")}
+
+
+def test_suite_reads_a_table_twice_at_most_and_equals_single_checks(spark, tmp_dir):
+    tables = _stored_silver(spark, tmp_dir)
+    raw = {e: df.unionByName(df.limit(3)) for e, df in tables.items()}
+    hist = history(spark, [100, 100, 100], "row_count_minimum").unionByName(history(spark, [3.0, 3.1, 3.2], "metric_drift"))
+    day = dt.date(2024, 2, 1)
+    got = Q.run_layer_suite(tables, "silver", AS_OF, day, bronze=None, history=hist)
+    assert scans(got, tmp_dir + "/reviews") == 2 and scans(got, tmp_dir + "/users") == 2
+    want = []
+    for spec in Q.layer_specs("silver"):
+        if spec.entity in tables:
+            df = tables[spec.entity]
+            want.append(Q.check_table(df, spec, AS_OF))
+            want.append(Q.row_count_drift(df, hist, spec.entity, "silver", day))
+            want.append(Q.null_rate_drift(df, hist, spec.entity, "silver", Q.NULL_DRIFT_COLUMNS[spec.entity], day))
+    want.append(Q.metric_drift(tables["reviews"], hist, "reviews", "silver", "stars", day))
+    assert sorted(map(str, got.collect())) == sorted(map(str, Q.union_all(want).collect()))
+    loss = [r for r in Q.run_layer_suite(tables, "silver", AS_OF, day, bronze=raw).collect() if r.test_name == "bronze_silver_row_ratio"]
+    single = [Q.row_loss(raw[e], tables[e], e, before_keys=[k]).first() for e, k in (("reviews", "review_id"), ("users", "user_id"))]
+    assert sorted(map(str, loss)) == sorted(map(str, single))
+
+
+def test_suite_of_empty_tables(spark, tmp_dir):
+    tables = {e: df.limit(0) for e, df in _stored_silver(spark, tmp_dir).items()}
+    rows = {(r.entity, r.test_name): r for r in Q.run_layer_suite(tables, "silver", AS_OF, dt.date(2024, 2, 1), history=history(spark, [], "x")).collect()}
+    assert not rows["reviews", "row_count_minimum"].passed and rows["reviews", "no_duplicate_keys"].passed
+    assert not rows["users", "freshness"].passed and rows["users", "row_count_drift"].passed
+
+
+def test_listed_partitions_replace_the_scan(spark, tmp_dir):
+    spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 1, 3))], "business_id string, ingestion_date date") \
+         .write.partitionBy("ingestion_date").parquet(tmp_dir + "/checkins")
+    df = spark.read.parquet(tmp_dir + "/checkins")
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 3)]
+    one = Q.lookback_partitions_present(df, "checkins", "bronze", dt.date(2024, 1, 3), 3, present=days)
+    assert scans(one, tmp_dir + "/checkins") == 0 and one.first().value == 1.0
+    for given in (None, {"checkins": days}):
+        rows = Q.run_layer_suite({"checkins": df}, "bronze", AS_OF, dt.date(2024, 1, 3), 3, floors={}, partitions=given).collect()
+        assert next(r.value for r in rows if r.test_name == "lookback_partitions_present") == 1.0
+
+
+def test_audit_volume_takes_the_last_run_of_a_day(spark):
+    from strataflow.schemas import AUDIT_SCHEMA
+    row = lambda day, hour, n, status="SUCCESS", layer="gold": ("fact", layer, n, None, None, None, dt.date(2024, 1, day), dt.datetime(2024, 1, day, hour), status, "")
+    log = spark.createDataFrame([row(1, 1, 50), row(1, 2, 100), row(2, 1, 94), row(2, 2, None, "FAILED"), row(3, 1, 200), row(1, 1, 100, layer="bronze"),
+                                 row(2, 1, 121, layer="bronze")], AUDIT_SCHEMA)
+    got = {(r.layer, r.run_date.day): (r.row_count, r.change_pct, r.alert) for r in Q.audit_volume(log).collect()}
+    assert got == {("gold", 1): (100, None, None), ("gold", 2): (94, -6.0, "shrink"), ("gold", 3): (200, 112.77, None),
+                   ("bronze", 1): (100, None, None), ("bronze", 2): (121, 21.0, "growth")}
