@@ -122,13 +122,11 @@ def q_rising_stars_silver(L: Layers) -> DataFrame:
                                             MIN_RECENT, MIN_IMPROVEMENT)
 
 
-@register("review_trends", W(*O.REVIEWS_CHAIN) + f"""
-select dd.year, dd.month, strftime(make_date(dd.year, dd.month, 1), '%Y-%m') as year_month,
-       count(f.review_id) as total_reviews, {O.r2('avg(f.review_stars)')} as avg_rating,
-       {O.r2('avg(f.useful_votes)')} as avg_useful_votes,
-       {O.r2('avg(f.review_length_chars)', 0)} as avg_review_length
-from fact_reviews f join dim_date dd on f.date_id = dd.date_id
-group by dd.year, dd.month
+@register("review_trends", W(O.BRONZE_REVIEWS, O.SILVER_REVIEWS) + f"""
+select cast(year(review_date) as integer) as year, cast(month(review_date) as integer) as month, strftime(min(review_date), '%Y-%m') as year_month,
+       count(*) as total_reviews, {O.r2('sum(stars) / count(stars)')} as avg_rating, {O.r2('sum(useful) / count(useful)')} as avg_useful_votes,
+       {O.r2('sum(length(text)) / count(text)', 0)} as avg_review_length
+from silver_reviews group by year(review_date), month(review_date)
 """)
 def q_review_trends(L: Layers) -> DataFrame:
     return reports.review_trends(L.fact_reviews(), L.dates())
@@ -430,10 +428,10 @@ def q_dq_gold_tests(L: Layers) -> DataFrame:
 
 
 @register("dq_grain", W(*O.REVIEWS_CHAIN, O.CHECKIN_ITEMS, O.SILVER_CHECKINS, O.FACT_CHECKINS) + """
-select 'fact_reviews' as table_name, 'review_id' as grain_key, review_id as key_value, count(*) as duplicate_count
-from fact_reviews group by review_id having count(*) > 1
-union all
-select 'fact_checkins', 'checkin_id', checkin_id, count(*) from fact_checkins group by checkin_id having count(*) > 1
+select *, count(*) as duplicate_count
+from (select unnest([{'table_name': 'fact_reviews', 'grain_key': 'review_id', 'key_value': review_id}], recursive := true) from fact_reviews
+      union all select 'fact_checkins', 'checkin_id', checkin_id from fact_checkins) tagged
+group by all having duplicate_count > 1
 """)
 def q_dq_grain(L: Layers) -> DataFrame:
     return (quality.grain_violations(L.fact_reviews(), "fact_reviews", "review_id")
@@ -466,20 +464,26 @@ def q_dq_rising_not_empty(L: Layers) -> DataFrame:
 _FRESH_AS_OF = "2024-01-31 12:00:00"
 
 
-@register("dq_source_freshness", W(O.CHECKIN_ITEMS, O.SILVER_CHECKINS, O.BRONZE_TIPS, O.SILVER_TIPS) + O.union([
-    O._row("source_freshness", ent, "source",
-           "status <> 'error'", "status", O.r2("age", 2), 48.0)
-    + f" from (select {age} as age, case when latest is null or {age} > 48 then 'error' "
-      f"when {age} > 25 then 'warn' else 'pass' end as status from (select max({col}) as latest from {t}) m) s"
-    for ent, t, col, age in [
-        ("checkin_events", "checkin_events", "checkin_ts",
-         f"((epoch_us(timestamp '{_FRESH_AS_OF}') - epoch_us(latest)) / 3600000000.0)"),
-        ("tips", "silver_tips", "tip_date",
-         f"((epoch_us(timestamp '{_FRESH_AS_OF}') - epoch_us(latest)) / 3600000000.0)")]]))
+def _age(latest: str) -> str:
+    return f"((epoch_us(timestamp '{_FRESH_AS_OF}') - epoch_us(cast({latest} as timestamp))) / 3600000000.0)"
+
+
+@register("dq_source_freshness", W(O.BRONZE_REVIEWS, O.SILVER_REVIEWS, O.ELITE, O.BRONZE_USERS, O.silver_users(), O.CHECKIN_ITEMS, O.SILVER_CHECKINS,
+                                   O.BRONZE_TIPS, O.SILVER_TIPS, O.BRONZE_BUSINESS) + O.union([
+    O._row("source_freshness", ent, "source", "status <> 'error'", "status", O.r2("age", 2), 48.0)
+    + f" from (select age, case when age is null or age > 48 then 'error' when age > 25 then 'warn' else 'pass' end as status "
+      f"from (select {_age(f'max({col})')} as age from {t}) m) s"
+    for ent, t, col in [("reviews", "silver_reviews", "review_date"), ("users", "silver_users", "yelping_since"),
+                        ("checkin_events", "checkin_events", "checkin_ts"), ("tips", "silver_tips", "tip_date"),
+                        ("business", "bronze_business", "ingestion_date"),
+                        ("business_categories", "bronze_business where categories is not null", "ingestion_date")]]))
 def q_dq_source_freshness(L: Layers) -> DataFrame:
-    ts = dt.datetime(2024, 1, 31, 12, 0, 0)
-    return (quality.source_freshness(L.silver("checkin_events"), "checkin_events", "checkin_ts", ts)
-            .unionByName(quality.source_freshness(L.silver("tips"), "tips", "tip_date", ts)))
+    """All sources; those without an event time go by the day their raw rows arrived."""
+    ts, raw = dt.datetime(2024, 1, 31, 12, 0, 0), L.bronze("business")
+    sources = {"reviews": (L.silver("reviews"), "review_date"), "users": (L.silver("users"), "yelping_since"),
+               "checkin_events": (L.silver("checkin_events"), "checkin_ts"), "tips": (L.silver("tips"), "tip_date"),
+               "business": (raw, "ingestion_date"), "business_categories": (raw.filter("categories is not null"), "ingestion_date")}
+    return quality.union_all([quality.source_freshness(df, e, col, ts) for e, (df, col) in sources.items()])
 
 
 # ── checks against history (every day of a derived daily history) ─────────
@@ -861,7 +865,7 @@ def q_layered_build(L: Layers) -> DataFrame:
 # ── snapshot reads and retention over a written raw table ──────────────────
 
 from strataflow.sources.tables import (  # noqa: E402
-    expired_partitions, load_table, read_as_of, read_partitions, read_window)
+    expired_partitions, load_table, partition_values, read_as_of, read_partitions, read_window)
 
 
 def _raw_table(L: Layers, entity: str, name: str) -> str:
@@ -1010,13 +1014,9 @@ def q_clustered_layout(L: Layers) -> DataFrame:
 
 # ── checks over several runs, from stored results ──────────────────────────
 
-_DRIFT_YEARS = [1995, 1996, 1997, 1998, 1999]
-
-
 def _drift_sql() -> str:
-    runs = ", ".join(f"({y}, date '{y}-12-31')" for y in _DRIFT_YEARS)
     return f"""
-, runs as (select * from (values {runs}) r(y, run_date)),
+, runs as (select distinct year as y, make_date(year, 12, 31) as run_date from silver_reviews),
 m as (select run_date, 'row_count_drift' as test_name, count(*) as today from runs join silver_reviews on year <= y group by run_date
       union all select run_date, 'metric_drift', avg(stars) from runs join silver_reviews on year <= y group by run_date
       union all select run_date, 'null_rate_drift', count(*) filter (where stars is null) / count(*)
@@ -1041,7 +1041,7 @@ def q_dq_drift_runs(L: Layers) -> DataFrame:
     spark, path = L.spark, scratch_path(L.spark, "dq_drift") + "/test_results"
     reviews_path = scratch_path(L.spark, "dq_drift") + "/reviews"
     write_partitioned(L.silver("reviews"), reviews_path, ["year"], guard=False)
-    for y in _DRIFT_YEARS:
+    for y in sorted(int(v) for v in partition_values(spark, reviews_path, "year")):
         day = dt.date(y, 12, 31)
         so_far = spark.read.parquet(reviews_path).filter(F.col("year") <= y)
         rows = quality.run_layer_suite({"reviews": so_far}, "silver", dt.datetime(y, 12, 31), day,

@@ -19,7 +19,7 @@ from strataflow.plans.catalog import _RUN_TS, _USER_COLS, _USER_SNAPSHOTS, TS, W
 from strataflow.plans.layers import Layers
 from strataflow.session import scratch_path
 from strataflow.sources.driver_tables import RUN_DATE, table
-from strataflow.sources.tables import append_frame, expired_for_layer, write_partitioned, write_table
+from strataflow.sources.tables import SchemaMismatch, expired_for_layer, write_partitioned, write_table
 from strataflow.streaming import streams as ST
 
 # ── null keys ──────────────────────────────────────────────────────────────
@@ -156,6 +156,40 @@ def q_zorder_layout(L: Layers) -> DataFrame:
             .groupBy("business_id", "user_id").agg(F.count("*").alias("reviews")))
 
 
+@register("schema_guard", W(O.BRONZE_TIPS, O.SILVER_TIPS) + """
+select attempt, attempt <> 'same columns' as refused, (select count(*) from silver_tips) as rows_after
+from (select unnest(['same columns', 'other type', 'new column', 'missing column']) as attempt)
+""")
+def q_schema_guard(L: Layers) -> DataFrame:
+    """Writes into a stored table under other schemas are refused and leave it as it was."""
+    spark, path, tips = L.spark, scratch_path(L.spark, "schema_guard") + "/tips", L.silver("tips")
+    write_partitioned(tips, path, ["year", "month"], guard=False)
+    attempts = {"same columns": tips, "other type": tips.withColumn("compliment_count", F.col("compliment_count").cast("string")),
+                "new column": tips.withColumn("client", F.lit("app")), "missing column": tips.drop("text")}
+    out = []
+    for name, df in attempts.items():
+        try:
+            write_partitioned(df, path, ["year", "month"])
+            refused = False
+        except SchemaMismatch:
+            refused = True
+        out.append(spark.read.parquet(path).agg(F.count("*").alias("rows_after")).select(F.lit(name).alias("attempt"), F.lit(refused).alias("refused"), "rows_after"))
+    return quality.union_all(out)
+
+
+@register("personal_columns", W(*O.USERS_CHAIN) + """
+select 'name' as column_name, count(name) as filled, count(distinct md5(name)) as pseudonyms from dim_user
+""")
+def q_personal_columns(L: Layers) -> DataFrame:
+    """Columns of the stored user dimension that are tagged as personal data, with their values replaced by pseudonyms."""
+    path = scratch_path(L.spark, "personal") + "/dim_user"
+    write_table(L.dim_user(), path)
+    users = L.spark.read.parquet(path)
+    tagged = [f.name for f in users.schema.fields if f.metadata.get("pii")]
+    return quality.union_all([users.select(F.md5(c).alias("p")).agg(F.lit(c).alias("column_name"), F.count("p").alias("filled"), F.countDistinct("p").alias("pseudonyms"))
+                              for c in tagged])
+
+
 # ── streams ────────────────────────────────────────────────────────────────
 
 _LATE = ("cast(ts as timestamp) < (select max(cast(ts as timestamp)) from events) - interval 10 day and event_id % 5 = 0")

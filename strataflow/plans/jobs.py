@@ -26,7 +26,7 @@ from strataflow.operators.upsert import upsert
 from strataflow.schemas import (AUDIT_SCHEMA, ENTITIES, FRESHNESS_HOURS, MAX_ROW_LOSS_PCT, REGRESSION_DROP_PCT,
                                 TEST_RESULT_HISTORY_SCHEMA, ZERO_NULL_COLUMNS)
 from strataflow.sources import bronze as B
-from strataflow.sources.tables import (append_records, clustered, delete_path, expired_for_layer, partition_values, path_exists, read_window, replace_path,
+from strataflow.sources.tables import (append_records, clustered, delete_path, expired_for_layer, partition_values, path_exists, read_window, replace_path, restore_path,
                                        write_table)
 
 PARTITIONED = {"reviews": ("review_id",), "checkin_events": ("business_id",), "tips": ("business_id",)}
@@ -254,6 +254,8 @@ def run_gold(spark: SparkSession, paths: Paths, run_ts: dt.datetime,
     """
     rd = spark.read.parquet
     out: dict[str, object] = {}
+    for table in ("business", "business_categories", "users", "reviews", "checkin_events"):
+        restore_path(spark, paths.silver(table))
 
     def build(table: str, make: Callable[[], object], size: Callable[[object], int]) -> object:
         try:

@@ -202,9 +202,9 @@ def silver_users(src: str = "bronze_users", name: str = "silver_users") -> str:
   from (
     select user_id, name, review_count, try_strptime(yelping_since, '%Y-%m-%d %H:%M:%S') as yelping_since,
            fans, cast(average_stars as double) as average_stars, useful, funny, cool,
-           (elite is not null and trim(elite) <> '') as is_elite,
-           cast(case when elite is not null and trim(elite) <> '' then len(string_split(elite, ','))
-                else 0 end as integer) as elite_years_count,
+           coalesce(regexp_matches(elite, '[^ ]'), false) as is_elite,
+           cast(coalesce(length(elite) - length(replace(elite, ',', '')) + 1, 0) * coalesce(regexp_matches(elite, '[^ ]'), false)::int as integer)
+             as elite_years_count,
            row_number() over (partition by user_id order by ingestion_date desc) as rn
     from {src} where user_id is not null) t
   where rn = 1)"""

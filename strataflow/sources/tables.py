@@ -41,8 +41,20 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def restore_path(spark: SparkSession, path: str) -> bool:
+    """Put back the old content of a table whose replacement stopped between its two renames."""
+    fs, p = _fs_path(spark, path)
+    _, aside = _fs_path(spark, path.rstrip("/") + "__old")
+    return bool(not fs.exists(p) and fs.exists(aside) and fs.rename(aside, p))
+
+
 def replace_path(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a staged folder in the place of ``path`` (two renames; the old content goes last)."""
+    """Put a staged folder in the place of ``path`` (two renames; the old content goes last).
+
+    Between the renames there is no table at the path. A run that stops just there leaves the old content
+    beside it, and ``restore_path``, which the jobs call before they read or replace a table, puts it back.
+    """
+    restore_path(spark, path)
     fs, old = _fs_path(spark, path)
     _, new = _fs_path(spark, staged)
     _, aside = _fs_path(spark, path.rstrip("/") + "__old")

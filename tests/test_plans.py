@@ -71,7 +71,7 @@ WRITES = {"fact_upsert", "business_history", "user_history", "asof_elite", "bron
           "retention_expired", "running_rating", "running_votes", "ingest_two_dates", "ingest_logs", "lookback_read",
           "materialize_kinds", "clustered_layout", "dq_drift_runs", "dq_job_checks", "stream_quarantine", "stream_late_events", "dq_history_tests",
           "running_null_keys", "upsert_null_keys", "history_any_order", "isolated_runs", "gold_volume_alert", "retention_clean", "zorder_layout",
-          "stream_late_replayed", "stream_three_topics"}
+          "stream_late_replayed", "stream_three_topics", "schema_guard", "personal_columns"}
 
 
 def test_no_cross_or_nested_loop_joins(spark):

@@ -161,3 +161,15 @@ def test_retention_of_year_month_tables(spark, tmp_dir):
     write_partitioned(df.selectExpr("k", "date'2023-10-01' as ingestion_date"), tmp_dir + "/bronze", ["ingestion_date"])
     got = [tuple(r) for r in expired_for_layer(spark, tmp_dir + "/bronze", "bronze", dt.date(2024, 2, 15)).collect()]
     assert got == [("ingestion_date=2023-10-01", dt.date(2023, 10, 1))]
+
+
+def test_replacement_that_stopped_between_its_renames_is_undone(spark, tmp_dir):
+    from strataflow.sources.tables import replace_path, restore_path
+    t, staged = tmp_dir + "/t", tmp_dir + "/t__staging"
+    spark.range(3).write.parquet(t)
+    os.rename(t, t + "__old")                   # the first rename, then the run is gone
+    assert restore_path(spark, t) and spark.read.parquet(t).count() == 3 and not restore_path(spark, t)
+    os.rename(t, t + "__old")
+    spark.range(5).write.parquet(staged)
+    replace_path(spark, staged, t)              # a run that goes on puts it back first, so nothing is lost if it stops, too
+    assert spark.read.parquet(t).count() == 5 and not os.path.exists(t + "__old")
