@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Fixed values of HTML: elements without content, elements that end a line, elements that contain blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -247,5 +248,6 @@ def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> Data
 
     rest = [c for c in pages.columns if c not in (html_col, out)]
     packed = pages.select(F.col(f"`{html_col}`").cast("string").alias("html"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"))
-    return (packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, text string")
+    schema = StructType([packed.schema["row"], StructField("text", StringType())])
+    return (packed.mapInArrow(run, schema)
             .select("row.*", F.col("text").alias(out)))

@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import remainder
 
 UND = "und"
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Characters that are numbers but no decimal digits (superscripts, fractions, circled and Roman numerals).
+NUMBERS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+NOT_LETTERS = re.compile(rf"[\W\d_{NUMBERS}]+")
 #: n-gram codes: 1 byte, 2 bytes, 3 bytes, one after another.
 SHIFT = (0, 1 << 8, (1 << 8) + (1 << 16))
 CODES = SHIFT[2] + (1 << 24)
@@ -117,6 +119,11 @@ class KernelClassifier:
 
 def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge: float = 1e-4, folds: int = 4, held_out: int = 2,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> KernelClassifier:
+    """Fit on at most ``per_language`` documents of each language whose fold is not ``held_out``.
+
+    A sampled id gives one row (of rows that repeat it in a language, the smallest text), so the sample that
+    comes to the driver is bounded by ids and rows alike; of a text, only its set of n-grams comes.
+    """
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                       F.col(text_col).cast("string").alias("text"))
     known = own.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (remainder("id", folds) != held_out))
@@ -132,7 +139,8 @@ def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
                                               pa.array([r[2] for r in rows], pa.binary())], names=["id", "lang", "grams"])
 
-    sample = (known.join(F.broadcast(ids), ["lang", "id"])           # broadcast: per_language rows a language
+    # broadcast: per_language rows a language; repeats of an id shrink to one row before the exchange
+    sample = (known.join(F.broadcast(ids), ["lang", "id"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
               .select("id", "lang", "text").mapInArrow(sets, "id long, lang string, grams binary"))
     rows = sorted((r[0], r[1], bytes(r[2])) for r in sample.collect())
     return KernelClassifier([np.frombuffer(r[2], "<i4") for r in rows], [r[1] for r in rows], landmarks, ridge)
@@ -140,7 +148,8 @@ def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge:
 
 def predict(docs: DataFrame, model: KernelClassifier, text_col: str = "text",
             lang_out: str = "lang_pred", score_out: str = "lang_score") -> DataFrame:
-    """``docs`` with predicted language and score; every other column stays in the JVM."""
+    """``docs`` with predicted language and score; every other column stays in the JVM, whatever its name
+    (a column that has an output's name is replaced)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)      # bounded by the sample
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -158,5 +167,6 @@ def predict(docs: DataFrame, model: KernelClassifier, text_col: str = "text",
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], names=["lang", "score"])
 
     found = F.arrow_udf(run, "lang string, score double").asNondeterministic()
-    return (docs.withColumn("_language", found(F.col(f"`{text_col}`").cast("string")))
-            .withColumns({lang_out: F.col("_language.lang"), score_out: F.col("_language.score")}).drop("_language"))
+    rest = [F.col(f"row.`{c}`") for c in docs.columns if c not in (lang_out, score_out)]
+    return (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), found(F.col(f"`{text_col}`").cast("string")).alias("found"))
+            .select(*rest, F.col("found.lang").alias(lang_out), F.col("found.score").alias(score_out)))

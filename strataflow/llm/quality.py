@@ -139,23 +139,32 @@ def fit(x: np.ndarray, bounds: np.ndarray, label: np.ndarray, rounds: int = 500,
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, folds: int = 5, held_out: int = 0,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> LineCrf:
-    """Fit on at most ``max_docs`` labelled documents whose fold is not ``held_out``."""
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_lines: int = 512) -> LineCrf:
+    """Fit on at most ``max_docs`` labelled documents whose fold is not ``held_out``.
+
+    A sampled id gives one row (of rows that repeat it, the smallest text). Of a longer document the fit
+    takes ``max_lines`` consecutive lines from a place that its id chooses. So what comes to the driver is
+    at most ``max_docs`` x ``max_lines`` lines of 124 bytes (254 MB; the given tables have some 20 lines a document).
+    """
     known = (labels.where((remainder(id_col, folds) != held_out) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.avg(F.col(label_col)).alias("label"))
              .where("label is not null").orderBy(F.xxhash64("id"), "id").limit(max_docs))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = TextBytes(batch.column(1))
+            texts, places = TextBytes(batch.column(1)), batch.column(2).to_pylist()
             for s in texts.slices(BATCH_BYTES):
                 x, _, bounds = line_features(texts[s])
+                n = np.minimum(np.diff(bounds), max_lines)
+                starts = [a + place % (b - a - k + 1) for a, b, k, place in zip(bounds[:-1].tolist(), bounds[1:].tolist(), n.tolist(), places[s])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[s], pa.array(np.diff(bounds)), pa.array([x[a:b].tobytes() for a, b in zip(bounds, bounds[1:])])],
+                    [batch.column(0)[s], pa.array(n, pa.int64()), pa.array([x[a:a + k].tobytes() for a, k in zip(starts, n.tolist())])],
                     names=["label", "n", "x"])
 
     sample = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(known), "id").select("label", "text")       # broadcast: at most max_docs (id, label) rows
+              # broadcast: at most max_docs (id, label) rows; repeats of an id shrink to one row before the exchange
+              .join(F.broadcast(known), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+              .select("label", "text", F.pmod(F.xxhash64("id", "label"), F.lit(1 << 40)).alias("place"))
               .mapInArrow(features, "label double, n long, x binary"))
     rows = sorted(map(tuple, sample.collect()))
     x = np.frombuffer(b"".join(bytes(r[2]) for r in rows), np.float32).reshape(-1, 3 * N_OWN + 1).astype(float)
@@ -165,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, folds: int =
 
 
 def score(docs: DataFrame, crf: LineCrf, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with a score column; every other column stays, whatever its name.
+    """``docs`` with a score column; every other column stays, whatever its name (one named ``out`` is replaced).
 
     Only the text goes to Python; the other columns wait in the JVM.
     """

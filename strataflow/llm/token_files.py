@@ -11,14 +11,16 @@ and the Parquet table ``shards`` (shard, n_docs, n_tokens, base): ``base`` is
 the number of ids in all earlier shards, a prefix sum over the shard table.
 
 Defined cases: null or empty text is a document with only the end id; a null
-document id sorts first; rows that share an id stand in text order; exact
-repeats are kept; an empty table gives an empty ``shards`` table. Other columns
+document id sorts first; rows that share an id stand in the order of their
+first 16 characters; exact repeats are kept; an empty table gives an empty ``shards`` table. Other columns
 of the input are not read.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,34 +32,38 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.common import TextBytes, mapped, open_store, partitions, put_file
 from strataflow.llm.tokens import encoder
+from strataflow.sources.tables import input_bytes
 
 NULL_ID = -(1 << 63)
 BATCH_BYTES = 1 << 20
+SHARD_BYTES = 128 << 20
 
 
 def _writer(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One shard: ids go to the file as they are made; only offsets and document ids are kept until its end."""
         shard = TaskContext.get().partitionId()
-        parts, lengths, docs, enc = [], [], [], None
+        off, docs, out, enc = array("q", [0]), array("q"), None, encoder(tokenizer)
+        store, path = open_store(folder)
+        name = f"{path}/{shard:06d}.ids"
+        private = f"{name}.{uuid.uuid4().hex}.tmp"      # renamed when it is whole, as put_file does
+        end = np.array([end_id], enc.width).tobytes()
         for batch in batches:
-            enc = enc or encoder(tokenizer)
-            width = enc.width
-            end = np.array([end_id], width).tobytes()
             texts = TextBytes(batch.column(1))
             for s in texts.slices(BATCH_BYTES):
+                out = out or store.open_output_stream(private)
                 for ids in enc.encode(texts[s]):
-                    parts += (ids, end)
-                    lengths.append(len(ids) // len(end) + 1)
+                    out.write(ids + end)
+                    off.append(off[-1] + len(ids) // len(end) + 1)
             docs.extend(NULL_ID if x is None else x for x in batch.column(0).to_pylist())
         if not docs:
             return
-        store, path = open_store(folder)
-        off = np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")
-        put_file(store, f"{path}/{shard:06d}.ids", parts)
-        put_file(store, f"{path}/{shard:06d}.off", off.tobytes())
-        put_file(store, f"{path}/{shard:06d}.doc", np.array(docs, "<i8").tobytes())
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [len(docs)], "n_tokens": [int(off[-1])],
-                                          "width": [int(width[-1])]})
+        out.close()
+        store.move(private, name)
+        put_file(store, f"{path}/{shard:06d}.off", np.frombuffer(off, np.int64).astype("<i8").tobytes())
+        put_file(store, f"{path}/{shard:06d}.doc", np.frombuffer(docs, np.int64).astype("<i8").tobytes())
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [len(docs)], "n_tokens": [off[-1]],
+                                          "width": [int(enc.width[-1])]})
     return write
 
 
@@ -65,7 +71,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                       id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> DataFrame:
     """Encode every text, append ``end_id``, write the shard files to ``folder``.
 
-    One range shuffle by document id; each task sorts and writes one shard.
+    One range shuffle by document id; each task sorts and writes one shard, as
+    many as the size of the files read asks for (``SHARD_BYTES`` each). Rows that
+    share an id are cut by their texts and, where these repeat, by row, so no id fills a shard.
     Files appear by rename, so lost or repeated tasks are harmless. Returns the
     ``shards`` table.
     """
@@ -73,8 +81,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     store, path = open_store(folder)
     store.create_dir(path, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    made = (rows.repartitionByRange(shards or partitions(spark), "id").sortWithinPartitions("id", "text")
-            .mapInArrow(_writer(folder, tokenizer, end_id), "shard long, n_docs long, n_tokens long, width long"))
+    order = ["id", F.substring("text", 1, 16), F.xxhash64("text"), "row"]
+    n = shards or max(partitions(spark), input_bytes(docs) // SHARD_BYTES)
+    made = (rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .select("id", "text").mapInArrow(_writer(folder, tokenizer, end_id), "shard long, n_docs long, n_tokens long, width long"))
     # one row a shard: sizes, then bases as a prefix sum
     sizes = spark.createDataFrame(made.collect(), made.schema)
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)

@@ -94,3 +94,27 @@ def test_language_held_out_accuracy(spark):
     found = language.predict(docs, language.train(docs)).where((remainder("doc_id", 4) == 2) & (F.length("text") > 40))
     rows = found.select("lang", "lang_pred").collect()
     assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.98
+
+
+def test_letters_are_unicode_letters_only():
+    import unicodedata
+    for text in ("²³", "½ ⅔", "①②", "Ⅳ ⅻ", "٣ 5 _", "!?", "", None):
+        assert language.letters(text) is None, text
+    for c in "aÉßİ漢ªʰאあ":
+        assert unicodedata.category(c).startswith("L") and language.letters(c) is not None
+    assert language.letters("x² is ⅔y") == b" x is y "
+
+
+def test_samples_are_bounded_in_rows_and_lines(spark, monkeypatch):
+    """A sampled id that holds most rows, and very long documents, give one bounded record each."""
+    text = "A line of words.\n" * 3000
+    rows = [(1, text, "en")] * 500 + [(i, f"short text {i}\nand a line", "en" if i % 2 else "de") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    sizes, real = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: sizes.append(real(self)) or sizes[-1])
+    quality.train(docs, labels, held_out=9, max_lines=50)
+    language.train(docs, held_out=9)
+    sample, grams = sizes
+    assert len(sample) == 39 and max(r.n for r in sample) == 50 and all(len(r.x) == 4 * (3 * quality.N_OWN + 1) * r.n for r in sample)
+    assert len(grams) == len({r.id for r in grams}) <= 39

@@ -4,6 +4,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from strataflow.llm import queries
 
@@ -37,6 +39,48 @@ def test_stages_keep_columns_and_drop_planted_documents(spark, tmp_path):
     assert {r.doc_id for r in packed} == {r.doc_id for r in now.select("doc_id").collect()}
 
 
+def test_stages_return_every_column_and_handle_edge_rows(spark):
+    """Clashing names, a null id, repeated rows, null, empty and very long texts, and an empty table, in every stage."""
+    own = spark.read.parquet(f"{SF}/documents.parquet")
+    more = [(None, "A row without an id, in plain words."), (None, None), (8001, ""), (8002, None), (8003, "⅔ ² Ⅻ ①"),
+            (8005, "word " * 40_000), (8006, own.first().text), (8006, own.first().text)]
+    docs = own.unionByName(spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in more], own.schema))
+    clash = ["_quality", "_lang", "_lang_score", "_language", "row", "score", "found", "id", "fp", "lang_pred"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in clash])
+    for name, stage in C.STAGES[:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.dtypes == docs.dtypes, name
+        rows = kept.collect()
+        for r in rows:
+            assert all(r[c] == f"{c}:{'-' if r.doc_id is None else r.doc_id}" for c in clash), name
+        n = {i: sum(r.doc_id == i for r in rows) for i in (8001, 8002, 8003, 8005, 8006)}
+        if name == "language":
+            assert (n[8001], n[8002], n[8003], n[8006]) == (0, 0, 0, 2)         # numbers are no letters
+            assert sum(r.doc_id is not None and r.doc_id < 8000 for r in rows) == own.count()
+        if name == "decontamination":
+            assert n[8001] == n[8002] == 1
+        if name == "simhash":
+            assert n[8001] + n[8002] <= 1
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    packed = C.STAGES[-1][1](spark, docs, SF)
+    assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    assert C.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0
+
+
+FINNISH = ("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto "
+           "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä ") * 2
+
+
+def test_language_stage_rejects_languages_that_were_not_learned(spark):
+    """By the kernel's score: long texts in other languages go, each given document stays, few letters are no ground."""
+    own = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    more = [(900_001, FINNISH), (900_002, "人人生而自由在尊严和权利上一律平等" * 15), (900_003, "все люди рождаются свободными и равными " * 8), (900_004, FINNISH[:60])]
+    docs = own.unionByName(spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in more], own.schema))
+    kept = C.language_stage(spark, docs, SF)
+    assert [r.doc_id for r in kept.where("doc_id > 900000").collect()] == [900_004]
+    assert kept.where("doc_id < 900000").count() == own.count()
+
+
 def test_run_equals_its_stages(spark):
     n = C.run(spark, SF).count()
     assert n > 0
@@ -44,7 +88,7 @@ def test_run_equals_its_stages(spark):
 
 def test_every_operator_has_one_query():
     names = sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))
-    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 14))
 
 
 def test_entry_works_without_the_corpus_part():

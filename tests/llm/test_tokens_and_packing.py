@@ -53,6 +53,18 @@ def test_token_files_round_trip(spark, tmp_path, edge_docs, vocabulary):
     assert token_files.read_token_files(spark, folder).count() == len(EDGE)
 
 
+def test_a_third_of_all_rows_under_one_id(spark, tmp_path, vocabulary):
+    """Even shards: an id is cut by its texts, and a text that repeats under it by row."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, "the same words" if i % 2 else f"some text {i}") for i in range(1800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    shards = token_files.write_token_files(df, f"file://{tmp_path}/hot", vocabulary, end_id=1, shards=9).collect()
+    assert sum(r.n_docs for r in shards) == 1800 and max(r.n_docs for r in shards) < 2 * 1800 / 9
+    got = token_files.read_token_files(spark, f"file://{tmp_path}/hot").orderBy("start").collect()
+    ids = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(ids) and len(ids) == 1800
+    assert not list((tmp_path / "hot").glob("*.tmp"))
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path, edge_docs, vocabulary):
     folder = f"file://{tmp_path}/none"
     assert token_files.write_token_files(edge_docs.limit(0), folder, vocabulary, end_id=1).count() == 0
