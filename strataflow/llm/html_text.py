@@ -7,7 +7,10 @@ along the page are smoothed by a Gaussian; lines above the threshold (a multiple
 of the standard deviation) form the content clusters. The content region is all
 article and main elements with such lines, if these hold most of their text,
 else the innermost element that holds all of them and the top headings. The
-region's lines (and top headings outside, if it has none) are the result, without lines inside elements that are never article text
+region's lines (and top headings outside, if it has none) are the result, less what the clusters leave out of it:
+runs of lines that are links throughout and whose smoothed ratios lie below the threshold (lists of other
+pages; with the heading over them), and, where nothing narrower than the page's body holds the
+content, all lines before its first and after its last cluster line. Also without lines inside elements that are never article text
 (menus, headers, footers, asides, forms, scripts; class, id and role names of
 adverts, notices, sidebars and reader comments). A form or a class or id name
 does not count where the element holds the page's article, and words such as
@@ -36,6 +39,7 @@ CONTAINERS = frozenset("html body main article section div header footer nav asi
                        "tr figure details fieldset dialog menu search hgroup address".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre hr caption figcaption summary legend "
                                 "title option center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Never article text.
 SKIPPED = frozenset("head title script style noscript template svg math canvas iframe object audio video nav footer aside form "
                     "button select option textarea dialog menu search datalist".split())
@@ -55,6 +59,8 @@ TALK = frozenset("comment comments commentlist reply replies respond disqus disc
 #: Results of a look at an element: always foreign, foreign by a name (or a form), the same of reader comments.
 SURE, NAMED, TALKED = 1, 2, 3
 WORD = re.compile(r"[a-z]+")
+#: A line is a link throughout from this share of its characters on.
+LINKED = 0.9
 
 
 class _Lines(HTMLParser):
@@ -66,9 +72,11 @@ class _Lines(HTMLParser):
         self.parent, self.kind, self.mark_of = [-1], ["page"], [-1]     # per container
         self.outer, self.look, self.within = [], [], []     # per mark: the mark around it, why it is one, is it in an article
         self.lines: list[tuple[str, int, int, int]] = []
-        self.top: list[bool] = []                           # per line: is it a top heading
+        self.heading: list[int] = []                        # per line: 1 to 6 for headings, else 0
+        self.linked: list[float] = []                       # per line: share of its characters inside links
         self.text: list[str] = []
         self.tags = 0
+        self.in_link, self.link_chars = False, 0
 
     def _where(self) -> tuple[int, int]:
         return (self.open[-1][1], self.open[-1][2]) if self.open else (0, -1)
@@ -79,9 +87,11 @@ class _Lines(HTMLParser):
             self.lines.append((text, max(1, self.tags), *self._where()))
         elif self.tags:
             self.lines.append(("", self.tags, *self._where()))
-        if len(self.top) < len(self.lines):
-            self.top.append(any(t == "h1" for t, _, _ in self.open[-1:]))
-        self.text, self.tags = [], 0
+        if len(self.heading) < len(self.lines):
+            tag = self.open[-1][0] if self.open else ""
+            self.heading.append(int(tag[1]) if tag in HEADINGS else 0)
+            self.linked.append(self.link_chars / max(1, len("".join(text.split()))))
+        self.text, self.tags, self.link_chars = [], 0, 0
 
     def _foreign(self, tag: str, attrs: list) -> int:
         inside = any(t in ("article", "main") for t, _, _ in self.open)
@@ -112,6 +122,8 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
+        if tag == "a" or tag in CONTAINERS:
+            self.in_link = tag == "a"
         if tag in VOID:
             return
         if block and tag not in CONTAINERS:                  # a block without blocks inside ends an open one
@@ -142,6 +154,8 @@ class _Lines(HTMLParser):
         if block:
             self.end_line()
         self.tags += 1
+        if tag == "a" or tag in CONTAINERS:
+            self.in_link = False
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 if not block and "".join(self.text).strip():
@@ -153,6 +167,8 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if self.in_link:
+            self.link_chars += len("".join(data.split()))
 
 
 def smooth(x: np.ndarray, sigma: float) -> np.ndarray:
@@ -211,7 +227,8 @@ def main_text(html: str | None, sigma: float = 1.0, threshold: float = 1.0) -> s
         return ""
     length = np.array([len(text) for text, _, _, _ in p.lines], float)
     ratio = smooth(length / np.array([tags for _, tags, _, _ in p.lines], float), sigma)
-    high = ratio >= threshold * ratio.std()
+    spread = ratio.std()
+    high = ratio >= threshold * spread
     foreign = _skipped(p, np.where(high, length, 0))
     kept = [i for i, (text, _, _, mark) in enumerate(p.lines) if text and not (mark >= 0 and foreign[mark])]
     if not kept:
@@ -228,15 +245,37 @@ def main_text(html: str | None, sigma: float = 1.0, threshold: float = 1.0) -> s
     texts = {i for i in content if any(c in articles for c in _chain(p.parent, p.lines[i][2]))}
     if length[list(texts)].sum() > total / 2:
         region = articles
-        if not any(p.top[i] for i in kept if any(c in articles for c in _chain(p.parent, p.lines[i][2]))):
-            heads = {i for i in kept if p.top[i]}           # the headline stands outside
+        if not any(p.heading[i] == 1 for i in kept if any(c in articles for c in _chain(p.parent, p.lines[i][2]))):
+            heads = {i for i in kept if p.heading[i] == 1}           # the headline stands outside
         else:
             heads = set()
     else:
-        heads = {i for i in kept if p.top[i]}
+        heads = {i for i in kept if p.heading[i] == 1}
         ways = [set(_chain(p.parent, c)) for c in {p.lines[i][2] for i in {*content, *heads}}]
         region = {max(set.intersection(*ways))}             # containers are numbered in page order
-    return "\n".join(p.lines[i][0] for i in kept if i in heads or any(c in region for c in _chain(p.parent, p.lines[i][2])))
+    inside = [i for i in kept if i in heads or any(c in region for c in _chain(p.parent, p.lines[i][2]))]
+    if all(p.kind[c] in ("page", "html", "body") for c in region):
+        ends = [k for k, i in enumerate(inside) if high[i] or p.heading[i] == 1]
+        inside = inside[ends[0]:ends[-1] + 1] if ends else inside
+    other = _link_lists(p, inside, ratio, threshold * spread)
+    return "\n".join(p.lines[i][0] for k, i in enumerate(inside) if k not in other)
+
+
+def _link_lists(p: _Lines, inside: list[int], ratio: np.ndarray, limit: float) -> set[int]:
+    """Places in ``inside`` of two or more lines in a row that are links throughout (``LINKED``) and whose mean
+    smoothed ratio is below the limit, and of a heading just over them."""
+    out: set[int] = set()
+    k = 0
+    while k < len(inside):
+        end = k
+        while end < len(inside) and p.linked[inside[end]] >= LINKED and p.heading[inside[end]] != 1:
+            end += 1
+        if end - k >= 2 and ratio[inside[k:end]].mean() < limit:
+            out.update(range(k, end))
+            if k and p.heading[inside[k - 1]] > 1:
+                out.add(k - 1)
+        k = max(end, k + 1)
+    return out
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

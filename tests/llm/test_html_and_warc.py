@@ -66,6 +66,86 @@ def test_headline_and_closing_paragraph_outside_the_largest_container(name):
     assert html_text.main_text(REGIONS[name]).split("\n") == ["Headline", *MANY, LAST]
 
 
+LINKS = "<h3>Read next</h3><ul>" + "".join(f"<li><a href=/{i}>Another story number {i}</a>" for i in range(5)) + "</ul>"
+QUIET = {       # no article element and no telling name: the ratios alone tell what is text
+    "links in an article": f"<body>{NAV}<article>{BODY}{LINKS}</article>{COMMENTS}",
+    "links between paragraphs": f"<body>{NAV}<article><h1>Headline</h1><p>{P1}{LINKS}<p>{P2}<p>{P3}</article>",
+    "links in divs": f"<body><div><div>{LINKS}</div><div>{BODY}</p>{LINKS}</div></div><div>{LINKS}</div>",
+    "no containers": f"<p><a href=/>Home</a> <a href=/n>News</a></p>{BODY}<p>Terms Privacy</p>",
+    "plain edges": f"<body><p>Home News<p>Log in{BODY}</p><p>Terms Privacy<p>Imprint</body>",
+}
+
+
+@pytest.mark.parametrize("name", QUIET)
+def test_clusters_decide_lines_inside_the_region(name):
+    assert html_text.main_text(QUIET[name]).split("\n") == WANT
+
+
+def test_text_with_links_stays():
+    """Paragraphs with links in them, a single line that is a link, and long linked titles in a cluster."""
+    cited = "".join(f"<li><a href=/{i}>{P1} {P1} part {i}</a>" for i in range(3))
+    page = f"<body>{NAV}<article>{BODY}<p><a href=/m>More of this</a><p>{P1}<h2>Sources</h2><ul>{cited}</ul></article>"
+    assert html_text.main_text(page).split("\n") == [*WANT, "More of this", P1, "Sources", *[f"{P1} {P1} part {i}" for i in range(3)]]
+
+
+def labelled(rnd):
+    """A page of lines that are labelled as they are made: (html, text lines). Content stands in an unnamed div."""
+    def words(n):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+
+    def links():
+        return "<ul>" + "".join(f"<li><a href=/x>{words(rnd.randint(1, 3))}</a></li>" for _ in range(rnd.randint(4, 8))) + "</ul>"
+    want, body = [words(5)], []
+    body.append(f"<h1>{want[0]}</h1>")
+    for k in range(rnd.randint(3, 8)):
+        if k and rnd.random() < 0.3:
+            want.append(words(3))
+            body.append(f"<h2>{want[-1]}</h2>")
+        want.append(words(rnd.randint(40, 90)))
+        body.append(f"<p>{want[-1]}</p>")
+        if rnd.random() < 0.3:
+            want.append(words(2))
+            body.append(f"<p>{want[-1]}</p>")
+            want.append(words(rnd.randint(40, 90)))
+            body.append(f"<p>{want[-1]}</p>")
+        if rnd.random() < 0.4:
+            body.append(f"<h3>{words(2)}</h3>{links()}")
+            want.append(words(rnd.randint(40, 90)))
+            body.append(f"<p>{want[-1]}</p>")
+    if rnd.random() < 0.5:
+        body.append(links())
+    around = [f"<div>{links()}</div>" for _ in range(2)]
+    return f"<html><body>{around[0]}<div><div>{''.join(body)}</div></div>{around[1]}</body></html>", want
+
+
+def test_labelled_pages_without_telling_names():
+    import random
+    rnd = random.Random(8)
+    for _ in range(60):
+        page, want = labelled(rnd)
+        assert html_text.main_text(page).split("\n") == want
+
+
+def test_without_the_ratios_the_result_is_another(monkeypatch):
+    """Ablation: a threshold of zero, or random numbers for the smoothed ratios, lose the link lists."""
+    import random
+
+    import numpy as np
+    rnd = random.Random(9)
+    pages = [(h, w) for h, w in (labelled(rnd) for _ in range(40))] + [(h, WANT) for h in QUIET.values()]
+    right = sum(html_text.main_text(h).split("\n") == w for h, w in pages)
+    flat = sum(html_text.main_text(h, threshold=0).split("\n") == w for h, w in pages)
+    gen = np.random.default_rng(1)
+    monkeypatch.setattr(html_text, "smooth", lambda x, sigma: gen.permutation(x))
+    shuffled = sum(html_text.main_text(h).split("\n") == w for h, w in pages)
+    assert right == len(pages) and flat < 0.5 * len(pages) and shuffled < 0.5 * len(pages)
+
+
+def test_columns_with_odd_names_pass_through(spark):
+    df = spark.createDataFrame([(1, PAGES["article"], 2, 3)], "page_id long, html string, `a-b c` int, `x:y` int")
+    assert html_text.extract(df).first().asDict() == {"page_id": 1, "a-b c": 2, "x:y": 3, "text": "\n".join(WANT)}
+
+
 def test_long_advert_beside_a_short_article():
     assert html_text.main_text(f"<body><div class=ad>{P1}</div><article><h1>Hi</h1><p>Short.</p></article>") == "Hi\nShort."
 
