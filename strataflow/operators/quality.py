@@ -380,36 +380,45 @@ LAYER_COLUMN_TESTS = {
 
 
 def run_column_tests(models: Mapping[str, DataFrame], tests=GOLD_COLUMN_TESTS, layer: str = "gold") -> DataFrame:
-    """All declared column tests over the given models, one result row each.
+    """All declared column tests over the given models, one result row each, as one plan.
 
-    Per model, every ``not_null`` and ``accepted_values`` test is answered by
-    one shared aggregate pass; ``unique`` needs a group-by on its column and
-    ``relationships`` an anti-join, each a pass of its own.
+    A model is read at most twice: ``not_null`` and ``accepted_values`` tests share one aggregate;
+    for ``unique`` and ``relationships`` tests the values of all key columns
+    are counted in one grouping by (column, value), a partial aggregate that collapses hot keys before the
+    shuffle, and these counts meet the tagged keys of all parents in one join.
     """
-    out = []
+    figures, rows = [], {}
     for model in dict.fromkeys(m for m, _, _, _ in tests):
         df = models.get(model)
         if df is None:
             continue
-        mine = [(c, k, a) for m, c, k, a in tests if m == model]
-        aggs, structs = [], []
-        for i, (col, kind, arg) in enumerate(mine):
-            x = f"_x{i}"
-            if kind == "not_null":
-                aggs.append(F.count_if(F.col(col).isNull()).alias(x))
-            elif kind == "accepted_values":
-                aggs.append(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(arg))).alias(x))
-            else:
-                continue
-            structs.append(_generic(kind, model, col, F.col(x), layer))
-        if aggs:
-            out.append(rows_from(df.agg(*aggs), structs))
-        for col, kind, arg in mine:
-            if kind == "unique":
-                out.append(test_unique(df, model, col, layer))
-            elif kind == "relationships" and models.get(arg[0]) is not None:
-                out.append(test_relationships(df, model, col, models[arg[0]], arg[1], layer))
-    return union_all(out)
+        mine = [(i, c, k, a) for i, (c, k, a) in enumerate((c, k, a) for m, c, k, a in tests if m == model)
+                if k != "relationships" or models.get(a[0]) is not None]
+        plain = {f"_x{i}": F.count_if(F.col(c).isNull()) if k == "not_null" else F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(a)))
+                 for i, c, k, a in mine if k in ("not_null", "accepted_values")}
+        if plain:
+            figures.append(Figures(model, df.agg(*[x.alias(n) for n, x in plain.items()])))
+        keyed = [(i, c, k, a) for i, c, k, a in mine if k in ("unique", "relationships")]
+        if keyed:
+            keys = list(dict.fromkeys(c for _, c, _, _ in keyed))
+            each = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("key")) for c in keys]))
+            counts = (df.select(each.alias("_v")).select("_v.*").filter(F.col("key").isNotNull())
+                        .groupBy("col", "key").agg(F.count(F.lit(1)).alias("n")))
+            which = None        # the tests of a column
+            for c in keys:
+                ids = F.array(*[F.lit(i) for i, col, _, _ in keyed if col == c])
+                which = F.when(F.col("col") == c, ids) if which is None else which.when(F.col("col") == c, ids)
+            values = counts.select(F.explode(which).alias("test"), "key", "n")
+            linked = [(i, a) for i, _, k, a in keyed if k == "relationships"]
+            found = F.lit(False)
+            if linked:
+                parents = union_all([models[a[0]].select(F.lit(i).alias("test"), F.col(a[1]).cast("string").alias("key")).distinct() for i, a in linked])
+                values, found = values.join(parents.withColumn("there", F.lit(True)), ["test", "key"], "left"), F.coalesce("there", F.lit(False))
+            bad = F.when(F.col("test").isin([i for i, _, k, _ in keyed if k == "unique"]), (F.col("n") > 1).cast("long")).otherwise(
+                F.when(~found, F.col("n")).otherwise(0))
+            figures.append(Figures(model, values.agg(*[F.coalesce(F.sum(F.when(F.col("test") == i, bad)), F.lit(0)).alias(f"_x{i}") for i, _, _, _ in keyed])))
+        rows[model] = [lambda get, i=i, c=c, k=k, model=model: _generic(k, model, c, get(f"_x{i}"), layer) for i, c, k, _ in mine]
+    return fused_rows(figures, rows)
 
 
 def grain_violations(df: DataFrame, table_name: str, key_col: str) -> DataFrame:

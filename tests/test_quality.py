@@ -152,3 +152,19 @@ def test_audit_volume_takes_the_last_run_of_a_day(spark):
     got = {(r.layer, r.run_date.day): (r.row_count, r.change_pct, r.alert) for r in Q.audit_volume(log).collect()}
     assert got == {("gold", 1): (100, None, None), ("gold", 2): (94, -6.0, "shrink"), ("gold", 3): (200, 112.77, None),
                    ("bronze", 1): (100, None, None), ("bronze", 2): (121, 21.0, "growth")}
+
+
+def test_column_tests_read_a_model_twice(spark, tmp_dir):
+    spark.createDataFrame([("a", "x", "p", 1.0), ("a", "y", "p", 7.0), ("b", None, "q", 2.0), (None, "x", "r", None)],
+                          "id string, b string, u string, stars double").write.parquet(tmp_dir + "/fact")
+    fact = spark.read.parquet(tmp_dir + "/fact")
+    b, u = spark.createDataFrame([("x",)], "b string"), spark.createDataFrame([("p",), ("p",), ("q",)], "u string")
+    tests = [("fact", "id", "unique", None), ("fact", "id", "not_null", None), ("fact", "b", "unique", None), ("fact", "b", "relationships", ("b", "b")),
+             ("fact", "u", "relationships", ("u", "u")), ("fact", "stars", "accepted_values", [1.0, 2.0]), ("fact", "stars", "relationships", ("gone", "x"))]
+    got = Q.run_column_tests({"fact": fact, "b": b, "u": u}, tests)
+    assert scans(got, tmp_dir + "/fact") == 2
+    assert {(r.test_name, r.message.split(":")[0]): r.value for r in got.collect()} == {
+        ("unique", "id"): 1.0, ("not_null", "id"): 1.0, ("unique", "b"): 1.0, ("relationships", "b"): 1.0, ("relationships", "u"): 1.0,
+        ("accepted_values", "stars"): 1.0}
+    single = Q.union_all([Q.test_unique(fact, "fact", "b"), Q.test_relationships(fact, "fact", "u", u, "u")])
+    assert sorted(map(str, single.collect())) == sorted(str(r) for r in got.collect() if (r.test_name, r.message[0]) in (("unique", "b"), ("relationships", "u")))
