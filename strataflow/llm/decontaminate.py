@@ -87,13 +87,15 @@ def find_hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str =
               .select("words", F.col("x.window").alias("block")).distinct().withColumn("known", F.lit(True)))
     if small:
         windows, blocks = F.broadcast(windows), F.broadcast(blocks)
-    # every document also sends one row that matches nothing and carries its word count
-    nothing = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("words"), F.lit("").alias("block"), F.array().cast("array<string>").alias("around")))
+    # every document also sends one row that matches nothing and carries its word count; its key, which no words
+    # make, spreads these rows where the joins are shuffled
+    apart = F.concat(F.lit("\0"), F.pmod(F.xxhash64("id", "text_hash"), F.lit(1 << 20)).cast("string"))
+    nothing = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("words"), apart.alias("block"), F.array().cast("array<string>").alias("around")))
     rows = scan.select("id", "text_hash", F.size("w").alias("n"), F.explode(F.concat(nothing, *(_blocks("w", m) for m in lengths))).alias("x"))
     near = (rows.select("id", "text_hash", "n", "x.*").join(blocks, ["words", "block"], "left")
             .where(F.col("known") | (F.col("at") == 0)))
     looked = near.select("id", "text_hash", "n", F.explode(
-        F.when(F.col("at") == 0, F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("window"))))
+        F.when(F.col("at") == 0, F.array(F.struct(F.lit(0).alias("at"), F.col("block").alias("window"))))
         .otherwise(_windows(F.col("around"), F.col("words"), F.col("at")))).alias("x"))
     found = (looked.select("id", "text_hash", "n", "x.at", "x.window").join(windows, "window", "left")
              .where(F.col("words").isNotNull() | (F.col("at") == 0)))

@@ -71,3 +71,13 @@ def test_empty_tables(spark):
     assert decontaminate.find_hits(docs.limit(0), items).count() == 0
     none = decontaminate.find_hits(docs, items.limit(0)).collect()
     assert len(none) == len(DOCS) and not any(r.spans for r in none)
+
+
+def test_marker_rows_spread_over_the_shuffle(spark):
+    """Each document's row that matches nothing has a key of its own, so shuffled joins have no hot key."""
+    docs = spark.createDataFrame([(i, f"plain words of text {i}") for i in range(2000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "some benchmark item of a few words")], "item_id long, text string")
+    hits = decontaminate.find_hits(docs, items, width=5, broadcast_bytes=0)
+    assert hits.count() == 2000 and hits.where("size(spans) > 0").count() == 0
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(xxhash64" in plan
