@@ -32,8 +32,10 @@ from strataflow.llm.common import remainder
 
 UND = "und"
 #: Characters that are numbers but no decimal digits (superscripts, fractions, circled and Roman numerals).
-NUMBERS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-NOT_LETTERS = re.compile(rf"[\W\d_{NUMBERS}]+")
+NUMBERS = {ord(c): " " for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
+#: A quick look for them, which also stops at any character beyond the basic plane.
+MAYBE_NUMBERS = re.compile("[" + "".join(chr(c) for c in NUMBERS if c < 0x10000) + "\U00010000-\U0010FFFF]")
+NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: n-gram codes: 1 byte, 2 bytes, 3 bytes, one after another.
 SHIFT = (0, 1 << 8, (1 << 8) + (1 << 16))
 CODES = SHIFT[2] + (1 << 24)
@@ -42,7 +44,10 @@ BATCH_ROWS = 256
 
 def letters(text: str | None) -> bytes | None:
     """Lower-case words of letters, single spaces around each; None without a letter."""
-    words = NOT_LETTERS.sub(" ", text or "").strip()
+    text = text or ""
+    if not text.isascii() and MAYBE_NUMBERS.search(text):        # rare, and slow as a part of the other pattern
+        text = text.translate(NUMBERS)
+    words = NOT_LETTERS.sub(" ", text).strip()
     return f" {words.lower()} ".encode() if words else None
 
 
