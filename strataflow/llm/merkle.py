@@ -193,8 +193,8 @@ with recursive climb (g, block, place, step, up_level, up_idx, slot, folded, sib
 )
 select max(id) as id, max(leaf) as leaf, max(subroot) as subroot, max(root) as root,
        sha2(lower(hex(aggregate(array_sort(collect_list(named_struct('step', step, 'siblings', siblings))), cast('' as binary), (a, x) -> concat(a, x.siblings)))), 256) as proof,
-       max_by(folded, step) as folded
-from climb group by g, block, place
+       max(if(root is null, cast(null as binary), folded)) as folded
+from climb group by g, place
 """
 
 
