@@ -37,7 +37,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in one of the languages that ``docs`` itself teaches.
 
     Documents without a letter (``und``; null and empty texts too) go, and those that the kernel classifier scores below
-    ``MIN_LANGUAGE`` in every learned language although they have ``LANGUAGE_LETTERS`` letters to judge by. Rows that repeat
+    ``MIN_LANGUAGE`` in every learned language although they have ``LANGUAGE_LETTERS`` letters to judge by. The score is that of
+    the best single language, so a text that mixes three or four learned languages may go, too (see the README). Rows that repeat
     are judged each, alike; a table that teaches no language is ``und`` throughout; all columns of ``docs`` are
     returned as they were, whatever their names.
     """
