@@ -16,9 +16,10 @@ from strataflow.llm.queries import vocabulary_file
 
 #: Documents with a lower quality score go.
 MIN_QUALITY = 0.3
-#: Documents with a lower language score go, if they have so many letters. A text in none of the learned languages
-#: scores up to 0.35; of 10,000 given documents with as many letters the lowest, one repeated word, scores 0.47.
-MIN_LANGUAGE, LANGUAGE_LETTERS = 0.4, 200
+#: Documents go of whose n-grams a smaller share is known, if their score, counted for that share alone, is lower too
+#: (0.5: the best language's classifier is undecided) and they have so many letters to judge by. Of given documents with as
+#: many letters the least share is 0.92; of texts in other languages of Latin script the largest is 0.84.
+MIN_LANGUAGE, MIN_KNOWN, LANGUAGE_LETTERS = 0.5, 0.9, 200
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,16 +37,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that ``docs`` itself teaches.
 
-    Documents without a letter (``und``; null and empty texts too) go, and those that the kernel classifier scores below
-    ``MIN_LANGUAGE`` in every learned language although they have ``LANGUAGE_LETTERS`` letters to judge by. The score is that of
-    the best single language, so a text that mixes three or four learned languages may go, too (see the README). Rows that repeat
+    Documents without a letter (``und``; null and empty texts too) go, and those of at least ``LANGUAGE_LETTERS`` letters
+    of whose n-grams the sample knows fewer than ``MIN_KNOWN`` and whose score times that share is below ``MIN_LANGUAGE``. A text
+    that mixes learned languages has known n-grams and stays. Rows that repeat
     are judged each, alike; a table that teaches no language is ``und`` throughout; all columns of ``docs`` are
     returned as they were, whatever their names.
     """
     ship(spark)
-    found = language.predict(_packed(docs), language.train(docs), lang_out="lang", score_out="score")
+    found = language.predict(_packed(docs), language.train(docs), lang_out="lang", score_out="score", known_out="known")
     few = F.length(F.regexp_replace("text", r"\P{L}", "")) < LANGUAGE_LETTERS
-    return _rows(found.where((F.col("lang") != language.UND) & ((F.col("score") >= MIN_LANGUAGE) | few)))
+    learned = (F.col("known") >= MIN_KNOWN) | (F.col("score") * F.col("known") >= MIN_LANGUAGE)
+    return _rows(found.where((F.col("lang") != language.UND) & (learned | few)))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,9 @@ value per language. Texts are scored in batches by matrix products.
 The sample is bounded: at most ``per_language`` documents of each language, one
 from each of that many hash buckets, of which ``landmarks`` per language serve
 as landmarks. Only their sets of n-grams reach the driver. Scoring reads whole
-texts.
+texts. Beside the score, the share of a text's n-grams that the sample knows tells
+a mixture of learned languages (no single one scores high, all is known) from a
+language that was not learned.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0; a
 null language is no label; a null id counts as empty text for the fold;
@@ -102,7 +104,8 @@ class KernelClassifier:
         table[self.grams] = np.arange(len(self.grams), dtype=np.int32)
         return table
 
-    def predict(self, texts: list[str | None], table: np.ndarray) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str | None], table: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score (0.5: the best language's classifier is undecided) and share of known n-grams of each text."""
         presence = np.zeros((len(texts), len(self.grams)), np.float32)
         sizes, has = np.zeros(len(texts)), np.zeros(len(texts), bool)
         for i, text in enumerate(texts):
@@ -115,11 +118,12 @@ class KernelClassifier:
                 new = codes[at < 0]
                 presence[i, at[at >= 0]] = 1
                 sizes[i] += len(np.unique(new))
-            sizes[i] += presence[i].sum()
+        known = presence.sum(axis=1)
+        sizes += known
         value = self._kernel(presence, sizes) @ self.alpha + self.bias
         best = value.argmax(axis=1)
         score = (np.clip(value[np.arange(len(texts)), best], -1, 1) + 1) / 2
-        return [self.languages[b] if h else UND for b, h in zip(best, has)], np.where(has, score, 0.0)
+        return [self.languages[b] if h else UND for b, h in zip(best, has)], np.where(has, score, 0.0), known / np.maximum(sizes, 1)
 
 
 def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge: float = 1e-4, folds: int = 4, held_out: int = 2,
@@ -152,26 +156,30 @@ def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge:
 
 
 def predict(docs: DataFrame, model: KernelClassifier, text_col: str = "text",
-            lang_out: str = "lang_pred", score_out: str = "lang_score") -> DataFrame:
-    """``docs`` with predicted language and score; every other column stays in the JVM, whatever its name
-    (a column that has an output's name is replaced)."""
+            lang_out: str = "lang_pred", score_out: str = "lang_score", known_out: str | None = None) -> DataFrame:
+    """``docs`` with predicted language and score, and the share of known n-grams (0 without a letter) if ``known_out``
+    names a column for it; every other column stays in the JVM, whatever its name (a column that has an output's name is
+    replaced)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)      # bounded by the sample
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m, table = shared.value, None
         for column in columns:
-            langs, scores = [], [np.empty(0)]
+            langs, scores, shares = [], [np.empty(0)], [np.empty(0)]
             if not m.languages:
-                langs, scores = [UND] * len(column), [np.zeros(len(column))]
+                langs, scores, shares = [UND] * len(column), [np.zeros(len(column))], [np.zeros(len(column))]
             else:
                 table = m.lookup() if table is None else table
                 for i in range(0, len(column), BATCH_ROWS):
-                    a, b = m.predict(column[i:i + BATCH_ROWS].to_pylist(), table)
+                    a, b, c = m.predict(column[i:i + BATCH_ROWS].to_pylist(), table)
                     langs += a
                     scores.append(b)
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], names=["lang", "score"])
+                    shares.append(c)
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores)), pa.array(np.concatenate(shares))],
+                                             names=["lang", "score", "known"])
 
-    found = F.arrow_udf(run, "lang string, score double").asNondeterministic()
-    rest = [F.col(f"row.`{c}`") for c in docs.columns if c not in (lang_out, score_out)]
+    found = F.arrow_udf(run, "lang string, score double, known double").asNondeterministic()
+    outs = [(lang_out, "lang"), (score_out, "score"), *([(known_out, "known")] if known_out else [])]
+    rest = [F.col(f"row.`{c}`") for c in docs.columns if c not in dict(outs)]
     return (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), found(F.col(f"`{text_col}`").cast("string")).alias("found"))
-            .select(*rest, F.col("found.lang").alias(lang_out), F.col("found.score").alias(score_out)))
+            .select(*rest, *[F.col(f"found.{field}").alias(out) for out, field in outs]))
