@@ -21,6 +21,7 @@ DATE_DIM_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 # ── staging projections ────────────────────────────────────────────────────
+# The columns each staging model keeps and the names they get, which are the star schema's contract.
 
 def stg_business(silver_business: DataFrame) -> DataFrame:
     return (silver_business.filter(F.col("business_id").isNotNull())

@@ -26,7 +26,7 @@ from strataflow.operators.upsert import upsert
 from strataflow.schemas import (AUDIT_SCHEMA, ENTITIES, FRESHNESS_HOURS, MAX_ROW_LOSS_PCT, REGRESSION_DROP_PCT,
                                 TEST_RESULT_HISTORY_SCHEMA, ZERO_NULL_COLUMNS)
 from strataflow.sources import bronze as B
-from strataflow.sources.tables import (append_records, clustered, delete_path, expired_for_layer, partition_values, path_exists, read_window, replace_path, restore_path,
+from strataflow.sources.tables import (append_records, clustered, delete_path, expired_for_layer, partition_folders, partition_values, path_exists, read_window, replace_path, restore_path,
                                        write_table)
 
 PARTITIONED = {"reviews": ("review_id",), "checkin_events": ("business_id",), "tips": ("business_id",)}
@@ -270,7 +270,7 @@ def run_gold(spark: SparkSession, paths: Paths, run_ts: dt.datetime,
     def stored_rows(table: str) -> Callable[[object], int]:
         return lambda _: rd(paths.gold(table)).count()
 
-    lo, hi = _event_bounds(rd(paths.silver("reviews")), rd(paths.silver("checkin_events")), paths, spark)
+    lo, hi = _event_bounds(spark, paths)
     date_start, date_end = min(d for d in (lo, date_start) if d), max(d for d in (hi, date_end) if d)
     build("dim_date", lambda: write_table(gold.dim_date(spark, date_start, date_end), paths.gold("dim_date")), int)
     dates = rd(paths.gold("dim_date"))
@@ -305,9 +305,22 @@ def expired(spark: SparkSession, paths: Paths, as_of: dt.date) -> DataFrame:
     return quality.union_all(found)
 
 
-def _event_bounds(reviews: DataFrame, checkins: DataFrame, paths: Paths, spark: SparkSession) -> tuple[dt.date, dt.date]:
+def edge_months(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the first and the last month of a year/month table, which hold its first and last event: two
+    partitions are read, however many there are. A table without such folders is read whole."""
+    months = sorted((int(y), int(m)) for y, m in partition_folders(spark, path, ["year", "month"]) if y and m)
+    rows = spark.read.parquet(path)
+    if not months:
+        return rows
+    (y0, m0), (y1, m1) = months[0], months[-1]
+    year, month = F.col("year"), F.col("month")
+    return rows.filter(((year == y0) & (month == m0)) | ((year == y1) & (month == m1)))
+
+
+def _event_bounds(spark: SparkSession, paths: Paths) -> tuple[dt.date, dt.date]:
     """First and last event day, of the clean tables and of the calendar that is already stored."""
-    days = reviews.select(F.to_date("review_date").alias("d")).unionAll(checkins.select(F.to_date("checkin_ts")))
+    days = (edge_months(spark, paths.silver("reviews")).select(F.to_date("review_date").alias("d"))
+            .unionAll(edge_months(spark, paths.silver("checkin_events")).select(F.to_date("checkin_ts"))))
     if path_exists(spark, paths.gold("dim_date")):
         days = days.unionAll(spark.read.parquet(paths.gold("dim_date")).select("full_date"))
     return tuple(days.agg(F.min("d"), F.max("d")).first())

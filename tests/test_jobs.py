@@ -125,3 +125,25 @@ def test_gold_audit_covers_facts_histories_and_failures(spark, tmp_dir):
         jobs.run_gold(spark, paths, RUN_TS + dt.timedelta(days=1))
     failed = spark.read.parquet(paths.audit).filter("status = 'FAILED'").collect()
     assert [(r.entity, r.row_count) for r in failed] == [("dim_user", None)] and failed[0].error
+
+
+def test_calendar_bounds_read_two_months(spark, tmp_dir):
+    """The first and the last event lie in the first and the last month's folder; rows without a month count for nothing."""
+    paths = jobs.Paths(tmp_dir)
+    L = Layers(spark, SF)
+    reviews, checkins = L.silver("reviews"), L.silver("checkin_events")
+    undated = reviews.limit(3).selectExpr(*[c if c not in ("review_date", "year", "month") else f"cast(null as {t}) {c}" for c, t in reviews.dtypes])
+    write_partitioned(reviews.unionByName(undated), paths.silver("reviews"), ["year", "month"], guard=False)
+    checkins.write.parquet(paths.silver("checkin_events"))          # no month folders: read whole
+    stored = spark.read.parquet(paths.silver("reviews"))
+    months = sorted(map(tuple, stored.select("year", "month").distinct().dropna().collect()))
+    assert len(months) > 10
+    read = jobs.edge_months(spark, paths.silver("reviews"))
+    assert sorted(map(tuple, read.select("year", "month").distinct().collect())) == [months[0], months[-1]]
+    plan = read.select("review_date")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan and "DataFilters: []" in plan
+    want = reviews.selectExpr("to_date(review_date) d").unionAll(checkins.selectExpr("to_date(checkin_ts)")).selectExpr("min(d)", "max(d)").first()
+    assert jobs._event_bounds(spark, paths) == tuple(want)
+    # a calendar that is stored already is never cut
+    spark.sql("select date'1990-01-01' full_date union all select date'2090-01-01'").write.parquet(paths.gold("dim_date"))
+    assert jobs._event_bounds(spark, paths) == (dt.date(1990, 1, 1), dt.date(2090, 1, 1))
