@@ -3,8 +3,9 @@
 Each text is cut where a rolling hash of its last 32 bytes says so, hence equal
 texts are cut alike. A chunk is named by a 128-bit digest, a text by its recipe:
 the ordered list of its chunks' names. Texts with different recipes differ, so
-only the chunks of texts whose recipe another row may share move, each at most
-once a task: all contents of a name are compared byte by byte. A name that
+only the chunks of texts whose recipe another row may share are compared: all
+contents of a name byte by byte, in the task with those it remembers (an equal
+one does not move again), and after a shuffle over all tasks. A name that
 stood for two contents would fail the check, and the whole job would be done
 again with another digest seed; so the lists that are compared in the end hold
 verified identifiers, and no text moves for a comparison.
@@ -35,8 +36,8 @@ from strataflow.llm.common import TextBytes, mix64, stored
 SHORTEST, LONGEST, CUT_BITS = 256, 8192, 10
 WINDOW = 1 << 22
 MARK_BITS = 26
-#: Names a task remembers as already sent; beyond that it may send a chunk again.
-REMEMBERED = 1 << 20
+#: Bytes of the sent chunks that a task remembers, with what an entry takes besides; beyond that it may send a chunk again.
+REMEMBERED, ENTRY_BYTES = 1 << 26, 256
 
 _gear = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
@@ -119,12 +120,14 @@ def _name_rows(seed: int, digest: Digest):
 
 
 def _send_chunks(seed: int, digest: Digest, shared):
-    """(name, data) of the chunks of texts whose recipe's bit is set, each name once a task."""
+    """(name, data) of the chunks of texts whose recipe's bit is set. A chunk is left out only after its bytes
+    were compared with those that this task sent under its name; other bytes of the name are sent, too."""
     width = len(digest(b"", seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
-        sent: set[bytes] = set()
+        sent: dict[bytes, bytes] = {}
+        held = 0
         for batch in batches:
             names, data, size = [], [], 0
             for text, recipe, cuts in _recipes(batch, 0, seed, digest):
@@ -132,14 +135,17 @@ def _send_chunks(seed: int, digest: Digest, shared):
                 if not bits[m >> 3] >> (m & 7) & 1:
                     continue
                 for i, (a, b) in enumerate(zip([0, *cuts], cuts)):
-                    name = recipe[i * width:(i + 1) * width]
-                    if name in sent:
+                    name, chunk = recipe[i * width:(i + 1) * width], text[a:b]
+                    if sent.get(name) == chunk:
                         continue
-                    if len(sent) >= REMEMBERED:
-                        sent.clear()
-                    sent.add(name)
+                    if name not in sent:
+                        if held >= REMEMBERED:
+                            sent.clear()
+                            held = 0
+                        sent[name] = chunk
+                        held += len(chunk) + ENTRY_BYTES
                     names.append(name)
-                    data.append(text[a:b])
+                    data.append(chunk)
                     size += b - a
                 if size > WINDOW:
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(data, pa.binary())], names=["name", "data"])

@@ -70,6 +70,23 @@ def test_a_name_of_two_contents_is_found(spark):
         X.recipes(df, digest=lambda chunk, seed: bytes(16))
 
 
+def test_a_name_of_two_contents_is_found_within_a_task(spark):
+    rows = [(i, f"text {i % 2}") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def one_name_first(chunk, seed):
+        return X.digest128(chunk, seed) if seed else bytes(16)
+    assert result(X.exact_duplicates(df, digest=one_name_first)) == expected(rows)
+    with pytest.raises(X.UnverifiedChunks):
+        X.recipes(df, digest=lambda chunk, seed: bytes(16))
+    # also where a task can remember next to nothing
+    old, X.REMEMBERED = X.REMEMBERED, 1
+    try:
+        assert result(X.exact_duplicates(df, digest=one_name_first)) == expected(rows)
+    finally:
+        X.REMEMBERED = old
+
+
 def test_cuts_depend_on_the_text_alone_and_survive_an_insertion():
     r = np.random.default_rng(3)
     a, b = r.integers(0, 256, 200_000, np.uint8), r.integers(0, 256, 5_000, np.uint8)
