@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strataflow.streaming import streams as ST
@@ -142,3 +143,39 @@ def test_topics_go_to_their_sinks_and_the_rest_to_the_quarantine(spark, tmp_dir)
     assert spark.read.parquet(tmp_dir + "/raw_a").count() == 1
     bad = sorted((str(r.topic), str(r.value), r.batch) for r in spark.read.parquet(tmp_dir + "/q").collect())
     assert bad == sorted([("a", '{"k": "y", "v": "no"}', 4), ("c", "{}", 4), ("None", "t", 4), ("b", "None", 4), ("b", "{cut", 4)])
+
+
+def _benchmark_rows(spark, at):
+    """Small tables of the benchmark's schema."""
+    n = 600
+    ship = F.expr("timestampadd(DAY, cast(id % 700 as int), timestamp'1999-01-01 00:00:00')")
+    spark.range(n).select((F.col("id") % 150).alias("l_orderkey"), (F.col("id") % 40).alias("l_partkey"), (F.col("id") % 9).alias("l_suppkey"),
+                          (F.col("id") % 7).cast("int").alias("l_linenumber"), (F.col("id") % 50).cast("double").alias("l_quantity"),
+                          ship.alias("l_shipdate")).repartition(2).write.parquet(f"{at}/lineitem.parquet")
+    spark.range(150).select(F.col("id").alias("o_orderkey"), (F.col("id") % 20).alias("o_custkey")).write.parquet(f"{at}/orders.parquet")
+    spark.range(40).select(F.col("id").alias("p_partkey"), F.concat(F.lit("part "), "id").alias("p_name")).write.parquet(f"{at}/part.parquet")
+    spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 30).alias("user_id"), F.lit("view").alias("event_type"), ship.alias("ts"),
+                          F.lit("{}").alias("props")).repartition(2).write.parquet(f"{at}/events.parquet")
+
+
+@pytest.mark.parametrize("name, least", [("stream_three_topics", 9), ("stream_upsert", 6)])
+def test_landing_files_grow_with_the_input_and_batches_do_not(spark, tmp_dir, monkeypatch, name, least):
+    from strataflow.plans import catalog, catalog_runs
+    from strataflow.sources import driver_tables
+
+    _benchmark_rows(spark, tmp_dir + "/in")
+    base = iter([tmp_dir + "/small", tmp_dir + "/large"])
+    for module in (catalog, catalog_runs):
+        monkeypatch.setattr(module, "scratch_path", lambda *_: at)
+    got = []
+    for limit in (1 << 24, 1 << 10):
+        at = next(base)
+        monkeypatch.setattr(driver_tables, "LANDING_FILE_BYTES", limit)
+        rows = sorted(map(str, catalog.QUERIES[name](spark, tmp_dir + "/in").collect()))
+        files = [f for _, _, fs in os.walk(at + "/landing") for f in fs if f.startswith("part-")]
+        batches = [f for f in os.listdir(at + "/checkpoint/commits") if f.isdigit()]
+        got.append((rows, len(files), len(batches)))
+    (small, few, batches), (large, many, same) = got
+    assert small and small == large
+    assert least <= few < 2 * few <= many
+    assert 3 <= same <= batches + 1 <= 6
