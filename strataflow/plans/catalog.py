@@ -709,7 +709,9 @@ def q_bronze_roundtrip(L: Layers) -> DataFrame:
     raw = L.bronze("reviews")
     js = F.to_json(F.struct(*REVIEWS_SCHEMA.fieldNames()))
     line = F.when(F.col("review_id").endswith("-7"), F.expr("substring(_js, 1, length(_js) - 7)")).otherwise(F.col("_js"))
-    raw.select(js.alias("_js"), "review_id").select(line.alias("value")).write.mode("overwrite").text(base + "/landing")
+    # gzip files cannot be split, so their rows are bounded
+    (raw.select(js.alias("_js"), "review_id").select(line.alias("value")).write.mode("overwrite")
+     .option("maxRecordsPerFile", 500_000).text(base + "/landing", compression="gzip"))
     B.ingest_entity(spark, "reviews", base + "/landing", base + "/bronze", RUN_DATE, _RUN_TS,
                     audit_path=base + "/audit", quarantine_path=base + "/quarantine",
                     drift_path=base + "/drift", min_rows=0)

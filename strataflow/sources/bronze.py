@@ -88,7 +88,8 @@ def _ingest(spark, entity, source_path, bronze_path, run_date, run_ts, audit_pat
 
     typed = lines.typed(J.read_schema_for(declared, report, lines.inferred, stored))
     good, new = grow_schema(add_missing_columns(typed, declared).withColumn("ingestion_date", F.lit(run_date)), stored)
-    written = write_partitioned(good, bronze_path, ["ingestion_date"], fmt, guard=False)
+    # one date, in tasks as even as the copy's splits: nothing to bring together
+    written = write_partitioned(good, bronze_path, ["ingestion_date"], fmt, guard=False, rebalance=False)
     save_schema(spark, bronze_path, good.schema)
     verify_partition(spark, bronze_path, "ingestion_date", run_date, written, fmt)
     age = age_hours(run_ts, lines.latest)

@@ -275,15 +275,19 @@ def check_schema(df: DataFrame, expected: StructType, ignore: Sequence[str] = ()
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet",
-                      guard: bool = True, cluster_cols: Sequence[str] = ()) -> int:
+                      guard: bool = True, cluster_cols: Sequence[str] = (), rebalance: bool = True) -> int:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite),
     after checking the stored schema; returns the number of rows written
-    (counted during the write by an ``Observation``, no extra pass)."""
+    (counted during the write by an ``Observation``, no extra pass).
+
+    Without ``rebalance``, each task writes the rows it has: for few partitions
+    whose rows already lie in even tasks, which saves a shuffle of all of them."""
     spark = df.sparkSession
     if guard and path_exists(spark, path):
         check_schema(df, spark.read.format(fmt).load(path).schema)
     obs = Observation("write")
-    out = clustered(df, partition_cols, cluster_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
+    laid_out = clustered(df, partition_cols, cluster_cols) if rebalance or cluster_cols else df
+    out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"))
     (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols).save(path))
     return int(obs.get["rows"])

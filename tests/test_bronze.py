@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataflow.schemas import CHECKINS_SCHEMA
 from strataflow.sources import bronze as B
@@ -189,3 +190,12 @@ def test_empty_source_and_halts_are_audited(spark, tmp_dir):
     assert log["2024-01-03"] == ("FAILED", "SchemaDriftError", None) and log["2024-01-04"] == ("FAILED", "RowFloorError", 1)
     assert log["2024-01-02"][0] == "SUCCESS"
     assert spark.read.parquet(tmp_dir + "/drift").filter("change_kind = 'type_change' and column_name = 'client'").count() == 1
+
+
+def test_ingest_writes_a_day_in_the_tasks_it_was_parsed_in(spark, tmp_dir):
+    line = '{"review_id": "r%d", "business_id": "b", "user_id": "u", "stars": 3, "date": "2024-01-01 00:00:00"}'
+    spark.range(400).select(F.format_string(line, "id").alias("value")).repartition(6).write.text(tmp_dir + "/in", compression="gzip")
+    got = B.ingest_entity(spark, "reviews", tmp_dir + "/in", tmp_dir + "/bronze", dt.date(2024, 1, 2), RUN, min_rows=0)
+    # a shuffle of all rows would make one file of so few
+    assert len([f for f in os.listdir(tmp_dir + "/bronze/ingestion_date=2024-01-02") if f.endswith(".parquet")]) > 1
+    assert got.rows_written == 400 and spark.read.parquet(tmp_dir + "/bronze").select("review_id").distinct().count() == 400
