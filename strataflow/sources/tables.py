@@ -313,10 +313,20 @@ def write_partitions_observed(df: DataFrame, path: str, partition_cols: Sequence
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Sequence[str] = (), zorder: bool = False) -> int:
-    """Full-table overwrite."""
+    """Full-table overwrite.
+
+    Along a Z curve, the rows are read more than once (for the cuts, the range
+    bounds and the write), so they are made once and stored beside the table meanwhile."""
+    spark, staged = df.sparkSession, path.rstrip("/") + "__unordered"
+    on_curve = zorder and len(cluster_cols) > 1
+    if on_curve:
+        df.write.format(fmt).mode("overwrite").save(staged)
+        df = spark.read.schema(df.schema).format(fmt).load(staged)
     obs = Observation("write_full")
     out = clustered(df, (), cluster_cols, zorder=zorder).observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.format(fmt).mode("overwrite").save(path)
+    if on_curve:
+        delete_path(spark, staged)
     return int(obs.get["rows"])
 
 

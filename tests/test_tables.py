@@ -5,6 +5,8 @@ import datetime as dt
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from strataflow.operators import quality as Q
 from strataflow.plans import jobs
 from strataflow.schemas import AUDIT_SCHEMA
@@ -173,3 +175,25 @@ def test_replacement_that_stopped_between_its_renames_is_undone(spark, tmp_dir):
     spark.range(5).write.parquet(staged)
     replace_path(spark, staged, t)              # a run that goes on puts it back first, so nothing is lost if it stops, too
     assert spark.read.parquet(t).count() == 5 and not os.path.exists(t + "__old")
+
+
+def test_zorder_makes_its_rows_once(spark, tmp_dir):
+    from strataflow.sources.tables import write_table
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row.id % 17, row.id % 5, str(row.id)
+    df = spark.createDataFrame(spark.range(300).rdd.map(counted), "a long, b long, c string")
+    assert write_table(df, tmp_dir + "/z", cluster_cols=["a", "b"], zorder=True) == 300
+    assert made.value == 300
+    assert sorted(map(tuple, spark.read.parquet(tmp_dir + "/z").collect())) == sorted(map(tuple, df.collect()))
+    assert [f for f in os.listdir(tmp_dir) if not f.startswith(".")] == ["z"]
+
+
+def test_a_write_without_rebalance_keeps_its_tasks(spark, tmp_dir):
+    from strataflow.sources.tables import write_partitioned
+    df = spark.range(400).repartition(4).withColumn("day", F.lit(dt.date(2024, 1, 1)))
+    assert write_partitioned(df, tmp_dir + "/t", ["day"], rebalance=False) == 400
+    assert len([f for f in os.listdir(tmp_dir + "/t/day=2024-01-01") if f.endswith(".parquet")]) == 4
+    assert spark.read.parquet(tmp_dir + "/t").select("id").distinct().count() == 400
