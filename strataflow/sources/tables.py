@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import threading
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -312,9 +312,13 @@ def write_partitions_observed(df: DataFrame, path: str, partition_cols: Sequence
     return int(got["rows"]), {tuple(r) for r in got["parts"]}
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Sequence[str] = (), zorder: bool = False) -> int:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Sequence[str] = (), zorder: bool = False,
+                finish: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Full-table overwrite.
 
+    ``finish``: a step over the rows where they will be written, such as a look-up in a broadcast table: the
+    columns it adds do not travel. It must leave the rows' order.
+
     Along a Z curve, the rows are read more than once (for the cuts, the range
     bounds and the write), so they are made once and stored beside the table meanwhile."""
     spark, staged = df.sparkSession, path.rstrip("/") + "__unordered"
@@ -323,7 +327,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", cluster_cols: Se
         df.write.format(fmt).mode("overwrite").save(staged)
         df = spark.read.schema(df.schema).format(fmt).load(staged)
     obs = Observation("write_full")
-    out = clustered(df, (), cluster_cols, zorder=zorder).observe(obs, F.count(F.lit(1)).alias("rows"))
+    laid_out = clustered(df, (), cluster_cols, zorder=zorder)
+    out = (finish(laid_out) if finish else laid_out).observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.format(fmt).mode("overwrite").save(path)
     if on_curve:
         delete_path(spark, staged)
