@@ -171,7 +171,9 @@ def scd2_store(spark, path: str, snapshot: DataFrame, key: str, tracked: Sequenc
         since = stored.filter(F.col(CLOSED_RUN).isNull() | (F.col(CLOSED_RUN) >= tag)).drop(CLOSED_RUN)
         out = scd2_apply(since, snapshot, key, tracked, run_ts, runs)
         check_schema(out, stored.schema, ignore=[CLOSED_RUN])
-    n, present = write_partitions_observed(out.withColumn(CLOSED_RUN, _run_tag(F.col("valid_to"))), path, [CLOSED_RUN], fmt)
+    # the current and this run's partition: all tasks have rows of both, and each writes its own
+    n, present = write_partitions_observed(out.withColumn(CLOSED_RUN, _run_tag(F.col("valid_to"))), path, [CLOSED_RUN], fmt,
+                                           rebalance=len(touched) > 2)
     for v in touched:
         if (v,) not in present:
             delete_path(spark, partition_dir(path, {CLOSED_RUN: v}))
