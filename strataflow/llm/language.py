@@ -99,9 +99,9 @@ class KernelClassifier:
         return (presence @ self.marks) / np.sqrt(np.outer(np.maximum(sizes, 1), self.mark_size))
 
     def lookup(self) -> np.ndarray:
-        """Position of every possible n-gram code among the known ones, -1 elsewhere."""
-        table = np.full(CODES, -1, np.int32)
-        table[self.grams] = np.arange(len(self.grams), dtype=np.int32)
+        """Position of every possible n-gram code among the known ones, -1 elsewhere; 16 bits each where they suffice."""
+        table = np.full(CODES, -1, np.int16 if len(self.grams) <= 1 << 15 else np.int32)
+        table[self.grams] = np.arange(len(self.grams))
         return table
 
     def predict(self, texts: list[str | None], table: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.common import TextBytes, hash_words, remainder
 
-BATCH_BYTES = 2 << 20
+#: Texts whose features a worker makes at once; the arrays on the way take some 70 times as much memory.
+BATCH_BYTES = 512 << 10
 OTHER, SPACE, LOWER, UPPER, DIGIT, PUNCT, SYMBOL = range(7)
 _CLASS = np.full(256, LOWER, np.uint8)
 _CLASS[:128] = OTHER

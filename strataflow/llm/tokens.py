@@ -9,8 +9,9 @@ from itertools import chain, filterfalse
 
 import numpy as np
 
-#: Words remembered by one Python worker; beyond it only the latest texts' words stay.
-WORDS_KEPT = 1_200_000
+#: Words after which a Python worker starts to forget those that it has not met since as many words ago; it remembers
+#: twice as many at most, besides those of the texts at hand.
+WORDS_KEPT = 400_000
 #: Marks that often follow a word; between a letter and a mark the pre-tokenizer always cuts.
 MARKS = b".,!?:;*#$%&|"
 END_OF_WORD = "</w>"
@@ -22,7 +23,7 @@ class WordEncoder:
     The vocabulary's pre-tokenizer drops white space, never joins text across
     it, and ignores case, so a text's ids are those of its space-separated,
     lower-cased words in order. Each distinct word goes through the library once
-    per worker: words of letters only in one long call (each is one piece, whose
+    while the worker remembers it: words of letters only in one long call (each is one piece, whose
     last token is marked as a word's end), all others one by one. Vocabularies
     of another kind get whole texts. Texts that
     may hold a special token's name, or marks that combine with a letter
@@ -45,6 +46,7 @@ class WordEncoder:
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}                      # words met before those in `known`
         self.width = "<u2" if self.vocabulary <= 65536 else "<u4"
         self.ends = np.zeros(self.vocabulary, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items() if t.endswith(END_OF_WORD)]] = True
@@ -69,27 +71,33 @@ class WordEncoder:
                     odd += part
         self.known.update(zip(odd, self._each([w.decode() for w in odd])))
 
+    def _forgotten(self, words: set[bytes]) -> set[bytes]:
+        """Those of ``words`` that have to be learned; the older ones among them are remembered on."""
+        older = self.older
+        met = list(filter(older.__contains__, words))
+        self.known.update(zip(met, map(older.__getitem__, met)))
+        return words.difference(met)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._each([t.decode() for t in texts])
         apart = [b"<|" in t or b"\xcc" in t or b"\xcd" in t for t in texts]
         words = [[] if x else t.lower().split() for t, x in zip(texts, apart)]
         known = self.known
-        new = set(chain.from_iterable(filterfalse(known.__contains__, w) for w in words))
+        new = self._forgotten(set(chain.from_iterable(filterfalse(known.__contains__, w) for w in words)))
         marked = []
         for w in new:
             stem = w.rstrip(MARKS)
             if stem and len(stem) < len(w) and stem.decode()[-1].lower().isalpha():
                 marked.append((w, stem, w[len(stem):]))
-        new.difference_update(w for w, _, _ in marked)
-        for _, stem, marks in marked:
-            new.update(x for x in (stem, marks) if x not in known)
-        self._learn(list(new))
+        new.difference_update([w for w, _, _ in marked])
+        parts = {x for _, stem, marks in marked for x in (stem, marks) if x not in known}
+        self._learn(list(new | self._forgotten(parts)))
         known.update((w, known[stem] + known[marks]) for w, stem, marks in marked)
         whole = iter(self._each([t.decode() for t, x in zip(texts, apart) if x]))
         out = [next(whole) if x else b"".join(map(known.__getitem__, w)) for w, x in zip(words, apart)]
-        if len(known) > WORDS_KEPT:                              # go on with the words of these texts
-            self.known = {w: known[w] for w in set().union(*words)}
+        if len(known) > WORDS_KEPT:
+            self.known, self.older = {}, known
         return out
 
     @property

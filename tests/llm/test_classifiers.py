@@ -118,3 +118,22 @@ def test_samples_are_bounded_in_rows_and_lines(spark, monkeypatch):
     sample, grams = sizes
     assert len(sample) == 39 and max(r.n for r in sample) == 50 and all(len(r.x) == 4 * (3 * quality.N_OWN + 1) * r.n for r in sample)
     assert len(grams) == len({r.id for r in grams}) <= 39
+
+
+def test_scoring_takes_little_memory_however_many_texts_come():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from strataflow.llm.common import TextBytes
+    texts = TextBytes(pa.array(["A line of words.\nAnother LINE | of 12 words\n" * 20] * 8000))
+    crf = quality.LineCrf(np.ones(3 * quality.N_OWN + 1), np.zeros((2, 2)))
+    crf.scores(texts[:600])                       # tables that stay are made
+    tracemalloc.start()
+    scores = [crf.scores(texts[s]) for s in texts.slices(quality.BATCH_BYTES)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, scores)) == 8000 and most < 80 << 20
+    model = language.KernelClassifier([language.gram_set(b" one two "), language.gram_set(b" eins zwei ")], ["en", "de"], 1, 1e-4)
+    table = model.lookup()
+    assert table.nbytes <= 2 * language.CODES and (table[model.grams] == np.arange(len(model.grams))).all()

@@ -28,6 +28,26 @@ def test_word_encoder_equals_the_library(vocabulary):
             assert np.frombuffer(got, enc.width).tolist() == ids(t), t
 
 
+def test_a_worker_forgets_words_but_not_the_latest(vocabulary, monkeypatch):
+    """What a worker holds does not grow with its texts; words that come again soon are not learned again."""
+    def word(i):
+        return "".join("abcdefghijklmnopqrstuvwxyz"[i // 26 ** k % 26] for k in range(5)).encode()
+
+    enc, step = WordEncoder(vocabulary), 100_000
+    for i in range(0, 11 * step, step):
+        enc.encode([b" ".join(map(word, range(i, i + step)))])
+        assert sum(len(d) for d in vars(enc).values() if isinstance(d, dict)) <= 1_000_000
+    monkeypatch.setattr("strataflow.llm.tokens.WORDS_KEPT", 40)
+    enc, ids, learned = WordEncoder(vocabulary), plain(vocabulary), []
+    learn = enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda words: (learned.extend(words), learn(words)))
+    for i in range(30):
+        text = " ".join(word(k).decode() for k in range(10 * i, 10 * i + 10)) + " often often, Often. never-alone!"
+        assert np.frombuffer(enc.encode([text.encode()])[0], enc.width).tolist() == ids(text)
+    assert learned.count(b"often") == learned.count(b"never-alone") == 1
+    assert len(enc.known) + len(enc.older) <= 120
+
+
 def test_other_vocabularies_get_whole_texts():
     from strataflow.llm.queries import vocabulary_file
     path = vocabulary_file("byte_bpe_50k.json")
