@@ -12,7 +12,7 @@ from strataflow.streaming import streams as ST
 from tests.test_streaming import _benchmark_rows
 
 
-@pytest.mark.parametrize("name", ["stream_three_topics"])
+@pytest.mark.parametrize("name", ["stream_three_topics", "stream_upsert"])
 def test_landing_files_are_compressed_and_nothing_else_stays(spark, tmp_dir, monkeypatch, name):
     from strataflow.plans import catalog, catalog_runs
     _benchmark_rows(spark, tmp_dir + "/in")
